@@ -108,7 +108,7 @@ def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("runs/"), F.col("event_id").cast("string")).alias("pipeline_uri"))
 
 
-RUN_METRICS_SQL = """(SELECT CAST(ts AS TIMESTAMP) AS "timestamp",
+RUN_METRICS_SQL = """(SELECT CAST(ts AS TIMESTAMPTZ) AS "timestamp",
   'proj_' || CAST(user_id % 3 AS VARCHAR) AS project_name, 'gbt' AS model_name,
   event_type AS metric_name, CAST(value AS DOUBLE) AS metric_value,
   'runs/' || CAST(event_id AS VARCHAR) AS pipeline_uri

@@ -60,12 +60,14 @@ def write_yearly_files(df: DataFrame, date_col: str, path: str) -> DataFrame:
 # -- A3 / A4 / A5: table loads ---------------------------------------------------
 
 def load_full_refresh(df: DataFrame, table: str, partition_by: Sequence[str] = (),
-                      dynamic: bool = False) -> None:
+                      dynamic: bool = False, path: str | None = None) -> None:
     """A3: overwrite a catalog table; ``dynamic`` replaces only the partitions
     present in ``df`` (a one-year refresh)."""
     spark = df.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic" if dynamic else "static")
     writer = df.write.mode("overwrite").format("parquet")
+    if path:
+        writer = writer.option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if dynamic and spark.catalog.tableExists(table):
@@ -74,16 +76,21 @@ def load_full_refresh(df: DataFrame, table: str, partition_by: Sequence[str] = (
         writer.saveAsTable(table)
 
 
-def create_or_replace(df: DataFrame, table: str) -> DataFrame:
+def _writer(df: DataFrame, mode: str, path: str | None):
+    w = df.write.mode(mode).format("parquet")
+    return w.option("path", path) if path else w
+
+
+def create_or_replace(df: DataFrame, table: str, path: str | None = None) -> DataFrame:
     """A4: create-or-replace table as select (writer form; the session catalog
     refuses the SQL form)."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
+    _writer(df, "overwrite", path).saveAsTable(table)
     return df.sparkSession.table(table)
 
 
-def create_strict(df: DataFrame, table: str) -> DataFrame:
+def create_strict(df: DataFrame, table: str, path: str | None = None) -> DataFrame:
     """A5: create table as select; fails if the table exists."""
-    df.write.mode("errorifexists").format("parquet").saveAsTable(table)
+    _writer(df, "errorifexists", path).saveAsTable(table)
     return df.sparkSession.table(table)
 
 
@@ -143,6 +150,6 @@ def export_rows(df: DataFrame, label_col: str, path: str) -> None:
        .option("header", True).csv(path))
 
 
-def append_rows(df: DataFrame, table: str) -> None:
+def append_rows(df: DataFrame, table: str, path: str | None = None) -> None:
     """Append to a catalog table; failures raise (they are not swallowed)."""
-    df.write.mode("append").format("parquet").saveAsTable(table)
+    _writer(df, "append", path).saveAsTable(table)
