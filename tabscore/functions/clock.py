@@ -16,11 +16,22 @@ from pyspark.sql import functions as F
 from tabscore.functions.text import col
 
 
+def round_half_away(t: Column) -> Column:
+    """Round a double to a whole number, halves away from zero (the
+    warehouse's FLOAT → INT cast), in plain double arithmetic: the fraction
+    ``a - floor(a)`` is exact, so the comparison with 0.5 is too.  Values are
+    capped at 1e9 in magnitude (far outside any clock value) so the integral
+    part never overflows."""
+    a = F.least(F.abs(t), F.lit(1e9))
+    fl = F.floor(a).cast("double")
+    return F.signum(t) * (fl + F.when(a - fl >= 0.5, F.lit(1.0)).otherwise(F.lit(0.0)))
+
+
 def time_to_minutes(c: Column | str, strict: bool = False) -> Column:
     """H1 (lenient, invalid → NULL) or H4 (``strict=True``: invalid raises)."""
     t = col(c) if isinstance(c, str) else c
     t = t.cast("double")
-    r = F.round(t)  # half away from zero, like the warehouse's FLOAT → INT
+    r = round_half_away(t)
     bad = F.isnan(t) | (r < 0) | (r > 2400) | (F.pmod(r, F.lit(100.0)) >= 60)
     value = (F.floor(r / 100) * 60 + F.pmod(r, F.lit(100.0))).cast("bigint")
     if strict:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabscore.functions import text as tx
+from tabscore.plans.ranks import spread
 
 PROFILE_SCHEMA = T.StructType([
     T.StructField("Column_Name", T.StringType()),
@@ -129,6 +130,7 @@ def profile(df: DataFrame, skip: Iterable[str] = (), samples: int = 5,
     fields = _profiled_fields(df, skip)
     if not fields:
         return df.sparkSession.createDataFrame([], PROFILE_SCHEMA)
+    df = spread(df.select(*[tx.col(f.name) for f in fields]))
     stats = _stats(df, fields, digits, approx)
     dv = distinct_values(df, fields)
     w = Window.partitionBy("ordinal").orderBy(F.col("k").asc_nulls_last(), "v")

@@ -33,9 +33,20 @@ from tabscore.functions.text import col
 DEFAULT_BUCKETS = 1 << 18
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a frame over the cluster's cores when its scan yields fewer
+    partitions than cores (one large row group, say).  Real inputs at scale
+    already have more splits than cores, and then nothing is added."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def with_hash(df: DataFrame, keys: Sequence[str], seed: int = 42,
-              buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+              buckets: int | None = None) -> DataFrame:
     """Add ``_h`` (order hash), ``_f`` (fraction in [0,1)) and ``_b`` (bucket)."""
+    buckets = buckets or DEFAULT_BUCKETS
     return (df.withColumn("_h", order_hash(keys, seed))
               .withColumn("_f", unit_fraction(keys, seed))
               .withColumn("_b", F.floor(F.col("_f") * F.lit(buckets)).cast("int")))
@@ -46,7 +57,7 @@ def _tie_break(keys: Sequence[str]) -> list[Column]:
 
 
 def rank_in_class(df: DataFrame, class_cols: Sequence[str], keys: Sequence[str],
-                  seed: int = 42, buckets: int = DEFAULT_BUCKETS,
+                  seed: int = 42, buckets: int | None = None,
                   rank_col: str = "rank") -> DataFrame:
     """Exact 1-based rank of every row inside its class by the seeded md5
     order.  Shuffles rows by (class, bucket); no cell is larger than about
@@ -123,7 +134,7 @@ def smallest_by_hash(df: DataFrame, quota: Mapping[tuple, int] | int, keys: Sequ
 
 def split_by_quota(df: DataFrame, class_cols: Sequence[str], keys: Sequence[str],
                    quota: Mapping[tuple, int], seed: int = 42,
-                   buckets: int = DEFAULT_BUCKETS, flag_col: str = "is_first") -> DataFrame:
+                   buckets: int | None = None, flag_col: str = "is_first") -> DataFrame:
     """Flag the ``quota[class]`` first rows of each class in md5 order, without
     ranking all rows: whole buckets below the boundary bucket are in, whole
     buckets above are out, and only the boundary bucket's rows are ranked."""
