@@ -14,9 +14,9 @@ the seeded order into many small cells first:
 * a row's rank is its cell's offset plus its ``row_number`` inside the cell.
 
 ``smallest_by_hash`` picks the n smallest hashes without ranking everything:
-the md5 fraction is uniform, so the n smallest lie below ``n/N`` plus a
-margin; rows below that cut are few, and a top-n over them is exact.  If the
-cut ever holds fewer than n rows, it is widened and tried again.
+one aggregate counts rows under 33 dyadic cuts of the md5 fraction, and the
+smallest cut that still holds n rows (between n and 2n of them) bounds the
+rows that are ranked.
 """
 
 from __future__ import annotations
@@ -86,50 +86,46 @@ def _class_match(class_cols: Sequence[str], values: tuple) -> Column:
     return cond
 
 
+def _dyadic_cut(k: int) -> str:
+    """Hex prefix bound for ``fraction < 2^-k`` (k = 0 keeps everything)."""
+    return "g" if k == 0 else f"{1 << (32 - k):08x}"
+
+
 def smallest_by_hash(df: DataFrame, quota: Mapping[tuple, int] | int, keys: Sequence[str],
-                     seed: int = 42, class_cols: Sequence[str] = (),
-                     counts: Mapping[tuple, int] | None = None) -> DataFrame:
+                     seed: int = 42, class_cols: Sequence[str] = ()) -> DataFrame:
     """Rows with the ``quota`` smallest order hashes (per class when
-    ``class_cols`` is given): ``ORDER BY md5 LIMIT n`` without moving more
-    than about n rows to any task."""
+    ``class_cols`` is given): ``ORDER BY md5 LIMIT n`` in two passes without
+    moving more than about 2n rows to any task.
+
+    Pass 1 is one aggregate: per class, the number of rows whose md5 fraction
+    is below 2^-k for k = 0..32.  The largest k whose count still reaches the
+    quota gives a cut holding between n and 2n rows (or the whole class).
+    Pass 2 keeps the rows under each class's cut and ranks only those."""
     if isinstance(quota, int):
         quota = {(): quota}
-    if counts is None:
-        counts = {r[:-1]: r[-1] for r in class_counts(df, class_cols)} if class_cols \
-            else {(): df.count()}
-    h = df.withColumn("_h", order_hash(keys, seed)).withColumn("_f", unit_fraction(keys, seed))
-    widen = 1.0
-    while True:
-        cuts = {}
-        for cls, n in quota.items():
-            total = counts.get(cls, 0)
-            if n <= 0 or total == 0:
-                continue
-            if n >= total:
-                cuts[cls] = 1.0
-            else:
-                cuts[cls] = min(1.0, widen * (n + 6.0 * math.sqrt(n) + 16.0) / total)
-        if not cuts:
-            return h.where(F.lit(False)).drop("_h", "_f")
-        cond = F.lit(False)
-        for cls, cut in cuts.items():
-            cond = cond | (_class_match(class_cols, cls) & (F.col("_f") < F.lit(cut)))
-        cand = h.where(cond)
-        if all(c >= 1.0 for c in cuts.values()):
-            break
-        got = {r[:-1]: r[-1] for r in class_counts(cand, class_cols)} if class_cols \
-            else {(): cand.count()}
-        if all(got.get(cls, 0) >= min(quota[cls], counts.get(cls, 0)) for cls in cuts):
-            break
-        widen *= 4.0
-    # Candidates are about sum(quota) rows: an exact top-n per class over them.
+    quota = {c: n for c, n in quota.items() if n > 0}
+    h = df.withColumn("_h", order_hash(keys, seed))
+    if not quota:
+        return h.where(F.lit(False)).drop("_h")
+    pre = F.substring(F.col("_h"), 1, 8)
+    aggs = []
+    for ci, cls in enumerate(quota):
+        m = _class_match(class_cols, cls)
+        aggs += [F.count_if(m & (pre < F.lit(_dyadic_cut(k)))).alias(f"c{ci}_{k}") for k in range(33)]
+    counts = h.agg(*aggs).first()
+    cond = F.lit(False)
+    for ci, (cls, n) in enumerate(quota.items()):
+        k = max(k for k in range(33) if counts[f"c{ci}_{k}"] >= min(n, counts[f"c{ci}_0"]))
+        cond = cond | (_class_match(class_cols, cls) & (pre < F.lit(_dyadic_cut(k))))
+    cand = h.where(cond)
+    # Candidates are at most about 2 × sum(quota) rows: an exact top-n per class.
     w = Window.partitionBy(*[col(c) for c in class_cols]).orderBy(*_tie_break(keys))
     limit = F.lit(0)
     for cls, n in quota.items():
         limit = F.when(_class_match(class_cols, cls), F.lit(n)).otherwise(limit)
     return (cand.withColumn("_rn", F.row_number().over(w))
                 .where(F.col("_rn") <= limit)
-                .drop("_h", "_f", "_rn"))
+                .drop("_h", "_rn"))
 
 
 def split_by_quota(df: DataFrame, class_cols: Sequence[str], keys: Sequence[str],
@@ -175,18 +171,28 @@ def split_by_quota(df: DataFrame, class_cols: Sequence[str], keys: Sequence[str]
 
 
 def running_sums_desc(df: DataFrame, order_col: str, sum_cols: Sequence[str],
-                      buckets: int = 1024) -> DataFrame:
+                      buckets: int = 1024, value_range: tuple[float, float] | None = None) -> DataFrame:
     """Running sums of ``sum_cols`` over ``order_col`` descending (one row per
-    distinct order value expected).  Rows are cut into ``buckets`` ranges by
-    approximate quantiles; prefix offsets come from the small bucket table."""
-    from pyspark.ml.feature import Bucketizer
-
-    probs = [i / buckets for i in range(1, buckets)]
-    q = df.agg(F.percentile_approx(col(order_col).cast("double"), probs, 10000).alias("q")).first()["q"]
-    splits = sorted({float(x) for x in (q or []) if x is not None and not math.isnan(x)})
-    splits = [-math.inf] + splits + [math.inf]
-    tmp = df.withColumn("_o", col(order_col).cast("double"))
-    b = Bucketizer(splits=splits, inputCol="_o", outputCol="_bk", handleInvalid="keep").transform(tmp)
+    distinct order value expected).  Rows are cut into monotone buckets —
+    fixed-width over ``value_range`` (values outside are clamped into the end
+    buckets, which keeps the order) or, without a range, approximate-quantile
+    ranges (one extra pass).  Prefix offsets come from the bucket table
+    (≤ ``buckets`` rows, so broadcasting it is bounded); inside a bucket a
+    window adds the rest."""
+    o = col(order_col).cast("double")
+    if value_range is not None:
+        lo, hi = value_range
+        b = df.withColumn("_o", o).withColumn(
+            "_bk", F.least(F.greatest(F.floor((F.col("_o") - F.lit(lo)) / F.lit(hi - lo) * buckets),
+                                      F.lit(0)), F.lit(buckets - 1)).cast("double"))
+    else:
+        from pyspark.ml.feature import Bucketizer
+        probs = [i / buckets for i in range(1, buckets)]
+        q = df.agg(F.percentile_approx(o, probs, 10000).alias("q")).first()["q"]
+        splits = sorted({float(x) for x in (q or []) if x is not None and not math.isnan(x)})
+        splits = [-math.inf] + splits + [math.inf]
+        b = Bucketizer(splits=splits, inputCol="_o", outputCol="_bk", handleInvalid="keep") \
+            .transform(df.withColumn("_o", o))
     totals = b.groupBy("_bk").agg(*[F.sum(c).alias(f"_t{i}") for i, c in enumerate(sum_cols)])
     prefix = Window.orderBy(F.desc("_bk")).rowsBetween(Window.unboundedPreceding, -1)
     offs = totals.select("_bk", *[F.coalesce(F.sum(f"_t{i}").over(prefix), F.lit(0)).alias(f"_o{i}")
