@@ -501,3 +501,26 @@ ORDER BY {_md5_sql('o_orderkey')}, o_orderkey) - 1) % 3 AS INTEGER) AS fold FROM
 def j4_stratified_folds(spark, sf):
     o = fx.orders_t(spark, sf).select("o_orderkey", "done")
     return smp.stratified_folds(o, "done", 3, ["o_orderkey"])
+
+
+@register("f9_distinct_limit", "SELECT DISTINCT l_returnflag FROM lineitem ORDER BY l_returnflag LIMIT 2")
+def f9_distinct_limit(spark, sf):
+    return read_table(spark, sf, "lineitem").select("l_returnflag").distinct().orderBy("l_returnflag").limit(2)
+
+
+@register("h11_abs_fill", f"""SELECT l_orderkey, l_linenumber, abs(l_discount - 0.05) AS discount_gap,
+coalesce(ship_hhmm, -1.0) AS ship_filled FROM {fx.WIDE_SQL}""")
+def h11_abs_fill(spark, sf):
+    w = fx.wide(spark, sf)
+    return w.select("l_orderkey", "l_linenumber", F.abs(F.col("l_discount") - 0.05).alias("discount_gap"),
+                    F.coalesce(F.col("ship_hhmm"), F.lit(-1.0)).alias("ship_filled"))
+
+
+@register("i2_frame_transform", f"""SELECT l_linenumber, l_quantity, {_ttm_sql('ship_hhmm')} AS ship_hhmm_minutes,
+{_ttm_sql('arr_hhmm')} AS arr_hhmm_minutes FROM {fx.WIDE_SQL}""")
+def i2_frame_transform(spark, sf):
+    """The frame-level preprocessing steps chained with ``DataFrame.transform``."""
+    out = (fx.wide(spark, sf)
+           .transform(lambda d: clock.with_minutes(d, fx.WIDE_CLOCK))
+           .transform(lambda d: rl.drop_skipped(d, fx.WIDE_SKIP_ADDITIONAL, fx.WIDE_ROLES)[0]))
+    return out.select("l_linenumber", "l_quantity", "ship_hhmm_minutes", "arr_hhmm_minutes")
