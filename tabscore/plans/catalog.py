@@ -38,6 +38,12 @@ def register(name: str, sql: str | None = None):
 R6 = fx.sql_round
 
 
+def _view_name(prefix: str) -> str:
+    """A per-call temp view name, so concurrent calls never share a view."""
+    import uuid
+    return f"{prefix}_{uuid.uuid4().hex[:10]}"
+
+
 # ---------------------------------------------------------------- D: profile
 
 @register("d7_profile_lineitem", fx.profile_sql("lineitem", fx.LINEITEM_KINDS))
@@ -187,9 +193,10 @@ def h4_clock_parse(spark, sf):
 {_ttm_sql('arr_hhmm')} AS arr_minutes FROM {fx.WIDE_SQL}""")
 def i1_sql_function(spark, sf):
     clock.register_sql_functions(spark)
-    fx.wide(spark, sf).createOrReplaceTempView("wide_lines")
+    view = _view_name("wide_lines")
+    fx.wide(spark, sf).createOrReplaceTempView(view)
     return spark.sql("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, arr_hhmm, "
-                     "time_to_minutes(arr_hhmm) AS arr_minutes FROM wide_lines")
+                     f"time_to_minutes(arr_hhmm) AS arr_minutes FROM {view}")
 
 
 @register("h13_strip_prefix", f"""SELECT pipeline_uri, regexp_replace(pipeline_uri, '^runs/', '') AS run_id,
@@ -239,11 +246,12 @@ def c2_role_invert(spark, sf):
 (SELECT string_agg(v, ', ' ORDER BY v) FROM (SELECT DISTINCT l_returnflag AS v FROM lineitem
   WHERE l_returnflag IS NOT NULL ORDER BY v LIMIT 5)) AS Sample_Values FROM lineitem""")
 def c3_scalar_subquery(spark, sf):
-    read_table(spark, sf, "lineitem").createOrReplaceTempView("lineitem_c3")
-    return spark.sql("""SELECT 'l_returnflag' AS Column_Name, COUNT(DISTINCT l_returnflag) AS n_unique,
+    view = _view_name("lineitem_c3")
+    read_table(spark, sf, "lineitem").createOrReplaceTempView(view)
+    return spark.sql(f"""SELECT 'l_returnflag' AS Column_Name, COUNT(DISTINCT l_returnflag) AS n_unique,
       (SELECT listagg(v, ', ') WITHIN GROUP (ORDER BY v) FROM (SELECT DISTINCT l_returnflag AS v
-        FROM lineitem_c3 WHERE l_returnflag IS NOT NULL ORDER BY v LIMIT 5)) AS Sample_Values
-      FROM lineitem_c3""")
+        FROM {view} WHERE l_returnflag IS NOT NULL ORDER BY v LIMIT 5)) AS Sample_Values
+      FROM {view}""")
 
 
 def _features(spark, sf):
@@ -293,8 +301,9 @@ def b5_conjunctive_filter(spark, sf):
 @register("b6_parameterised_predicate", f"""SELECT metric_name, metric_value, pipeline_uri FROM {fx.RUN_METRICS_SQL}
 WHERE project_name = 'proj_2'""")
 def b6_parameterised_predicate(spark, sf):
-    fx.run_metrics(spark, sf).createOrReplaceTempView("run_metrics_b6")
-    return spark.sql("SELECT metric_name, metric_value, pipeline_uri FROM run_metrics_b6 "
+    view = _view_name("run_metrics_b6")
+    fx.run_metrics(spark, sf).createOrReplaceTempView(view)
+    return spark.sql(f"SELECT metric_name, metric_value, pipeline_uri FROM {view} "
                      "WHERE project_name = :project_name", args={"project_name": "proj_2"})
 
 
