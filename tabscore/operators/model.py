@@ -4,7 +4,7 @@
 The prepared frame (label, weight, fold, split) is checkpointed once into the
 shared checkpoint folder, so the many fits of the search read a short lineage
 and survive executor loss.  Fits run as Spark ML jobs; ``CrossValidator``
-runs the folds × parameter sets with ``parallelism``.
+the search runs all folds × parameter sets side by side in a thread pool.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -125,20 +124,37 @@ def prepare(df: DataFrame, target: str, keys: Sequence[str], test_size: float =
 
 
 def search(train: DataFrame, numeric: Sequence[str], params: list[dict], folds: int = 3,
-           parallelism: int = 3, seed: int = 42, fixed: dict | None = None):
-    """Cross-validate each parameter set on the ``fold`` column;
-    returns the fitted ``CrossValidatorModel`` and a table of mean scores."""
-    gbt = classifier(fixed, seed=seed)
-    two = build_pipeline(gbt, preprocessor(numeric))
-    maps = [{getattr(gbt, k): v for k, v in p.items()} for p in params]
-    cv = CrossValidator(estimator=two.pipeline, estimatorParamMaps=maps, evaluator=CompositeEvaluator(),
-                        numFolds=folds, foldCol="fold", parallelism=parallelism, seed=seed,
-                        collectSubModels=False)
-    model = cv.fit(train.select(*numeric, "label", "weight", "fold"))
+           parallelism: int | None = None, seed: int = 42, fixed: dict | None = None):
+    """Cross-validate every parameter set on the ``fold`` column.
+    All trial × fold fits are submitted at once to a thread pool (each fit
+    is a chain of small Spark jobs, so running them side by side keeps the
+    cluster busy); returns the per-trial mean scores as a table and a list."""
+    from concurrent.futures import ThreadPoolExecutor
+
     spark = train.sparkSession
-    rows = [(i, json.dumps(p, sort_keys=True), float(m)) for i, (p, m) in enumerate(zip(params, model.avgMetrics))]
+    data = train.select(*numeric, "label", "weight", "fold")
+    parts = [(data.where(F.col("fold") != f).cache(), data.where(F.col("fold") == f).cache())
+             for f in range(folds)]
+    evaluator = CompositeEvaluator()
+
+    def run(job):
+        i, f = job
+        tr, va = parts[f]
+        m = fit_final(tr, numeric, {**(fixed or {}), **params[i]}, seed)
+        return i, f, evaluator.evaluate(m.transform(va))
+
+    jobs = [(i, f) for i in range(len(params)) for f in range(folds)]
+    workers = parallelism or min(len(jobs), max(1, spark.sparkContext.defaultParallelism))
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        results = list(pool.map(run, jobs))
+    for tr, va in parts:
+        tr.unpersist()
+        va.unpersist()
+    scores = [[s for i, f, s in results if i == t] for t in range(len(params))]
+    means = [sum(v) / len(v) for v in scores]
+    rows = [(i, json.dumps(p, sort_keys=True), float(m)) for i, (p, m) in enumerate(zip(params, means))]
     table = spark.createDataFrame(rows, "trial int, params string, mean_score double")
-    return model, table
+    return means, table
 
 
 def fit_final(train: DataFrame, numeric: Sequence[str], params: dict, seed: int = 42,
@@ -174,7 +190,7 @@ class TrainResult:
 
 def train(df: DataFrame, numeric: Sequence[str], target: str, keys: Sequence[str],
           n_trials: int = 3, folds: int = 3, test_size: float = 0.2, seed: int = 42,
-          parallelism: int = 3, fixed: dict | None = None, checkpoint: bool = True) -> TrainResult:
+          parallelism: int | None = None, fixed: dict | None = None, checkpoint: bool = True) -> TrainResult:
     """K8 → K6 → K14: search on the training folds, fit on all training rows,
     tune the threshold on a validation fold (a fit on the other folds), and
     report F2 on the test rows at 0.5 and at the tuned threshold."""
@@ -185,8 +201,8 @@ def train(df: DataFrame, numeric: Sequence[str], target: str, keys: Sequence[str
     params = draw_params(n_trials, seed)
     if fixed:
         params = [{**p, **fixed} for p in params]
-    cvm, table = search(tr, numeric, params, folds, parallelism, seed)
-    best_i = max(range(len(params)), key=lambda i: (cvm.avgMetrics[i], -i))
+    means, table = search(tr, numeric, params, folds, parallelism, seed)
+    best_i = max(range(len(params)), key=lambda i: (means[i], -i))
     best = params[best_i]
     val_model = fit_final(tr.where(F.col("fold") != 0), numeric, best, seed)
     val = with_score(val_model.transform(tr.where(F.col("fold") == 0)))
