@@ -5,10 +5,11 @@ Plan shape for ``profile`` (two scans, no per-column unions):
 
 * one global aggregate with ``count, min, max, avg, stddev_samp`` for every
   column: each task emits one partial row, so the shuffle is one row per task;
-* one ``unpivot`` of all columns to ``(ordinal, text, sort key)`` followed by a
-  ``groupBy(ordinal, text)``, which combines map-side.  The distinct table
+* one ``unpivot`` of all columns to ``(ordinal, typed value)`` followed by a
+  ``distinct``, which combines map-side.  The distinct table
   feeds both the distinct count (a partial ``groupBy(ordinal)``) and the five
-  smallest sample values (``row_number`` limited per column, which Spark runs
+  smallest sample values (values stay typed — long, double or text — until
+  after the distinct, so only distinct values are formatted) (``row_number`` limited per column, which Spark runs
   as a partial ``WindowGroupLimit`` before its shuffle).  No column's values
   ever meet in one task.
 """
@@ -79,28 +80,52 @@ def _stats(df: DataFrame, fields: Sequence[T.StructField], digits: int | None,
     return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+def _slot(dt: T.DataType) -> str:
+    """Which field of the unpivoted struct carries a column: ``i`` (integral
+    and boolean, exact as long), ``x`` (floating point) or ``s`` (text form:
+    strings, timestamps, dates, decimals)."""
+    if isinstance(dt, (T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.BooleanType)):
+        return "i"
+    if isinstance(dt, (T.DoubleType, T.FloatType)):
+        return "x"
+    return "s"
+
+
 def long_values(df: DataFrame, fields: Sequence[T.StructField] | None = None) -> DataFrame:
-    """Unpivot every column to ``(ordinal, v string)``; NULLs dropped."""
+    """Unpivot every column to ``(ordinal, i, x, s)`` with the value in its
+    typed slot (the others NULL); rows with a NULL value are dropped.  Values
+    stay typed until after the distinct, so only distinct values are ever
+    formatted as text."""
     fields = list(fields if fields is not None else df.schema.fields)
-    packed = df.select(*[tx.value_text(tx.col(f.name), f.dataType).alias(str(i))
-                         for i, f in enumerate(fields)])
-    return (packed.unpivot([], [str(i) for i in range(len(fields))], "ordinal", "v")
-            .select(F.col("ordinal").cast("int").alias("ordinal"), "v")
-            .where(F.col("v").isNotNull()))
+    packed = []
+    for n, f in enumerate(fields):
+        c, slot = tx.col(f.name), _slot(f.dataType)
+        i = (c.cast("int") if isinstance(f.dataType, T.BooleanType) else c).cast("bigint") if slot == "i" \
+            else F.lit(None).cast("bigint")
+        x = c.cast("double") if slot == "x" else F.lit(None).cast("double")
+        s_ = tx.value_text(c, f.dataType) if slot == "s" else F.lit(None).cast("string")
+        packed.append(F.struct(i.alias("i"), x.alias("x"), s_.alias("s")).alias(str(n)))
+    return (df.select(*packed).unpivot([], [str(n) for n in range(len(fields))], "ordinal", "p")
+            .select(F.col("ordinal").cast("int").alias("ordinal"), "p.i", "p.x", "p.s")
+            .where(F.col("i").isNotNull() | F.col("x").isNotNull() | F.col("s").isNotNull()))
 
 
 def distinct_values(df: DataFrame, fields: Sequence[T.StructField] | None = None) -> DataFrame:
-    """Distinct ``(ordinal, v)`` per column; combines map-side."""
+    """Distinct typed ``(ordinal, i, x, s)`` per column; combines map-side."""
     return long_values(df, fields).distinct()
 
 
-def _text_sort_key(fields: Sequence[T.StructField]):
-    """Typed order recovered from the text after the distinct: numerics parse
-    back to double; timestamp, date and boolean texts already sort in order."""
-    numeric = [i for i, f in enumerate(fields) if tx.is_numeric_name(tx.type_name(f.dataType))]
-    if not numeric:
-        return F.lit(None).cast("double")
-    return F.when(F.col("ordinal").isin(numeric), F.expr("try_cast(v AS double)"))
+def _text_and_key(fields: Sequence[T.StructField]):
+    """Text ``v`` and numeric sort key ``k`` of a distinct typed value."""
+    bools = [n for n, f in enumerate(fields) if isinstance(f.dataType, T.BooleanType)]
+    i_txt = F.col("i").cast("string")
+    if bools:
+        i_txt = F.when(F.col("ordinal").isin(bools), F.when(F.col("i") == 1, F.lit("true")).otherwise(F.lit("false"))) \
+                 .otherwise(i_txt)
+    v = F.when(F.col("i").isNotNull(), i_txt).when(F.col("x").isNotNull(), tx.double_text(F.col("x"))) \
+         .otherwise(F.col("s"))
+    k = F.coalesce(F.col("i").cast("double"), F.col("x"))
+    return v, k
 
 
 def column_stats(df: DataFrame, skip: Iterable[str] = (), digits: int | None = None) -> DataFrame:
@@ -115,7 +140,8 @@ def sample_values(df: DataFrame, skip: Iterable[str] = (), samples: int = 5) ->
     fields = _profiled_fields(df, skip)
     names = F.array(*[F.lit(f.name) for f in fields])
     w = Window.partitionBy("ordinal").orderBy(F.col("k").asc_nulls_last(), "v")
-    return (distinct_values(df, fields).withColumn("k", _text_sort_key(fields))
+    v, k = _text_and_key(fields)
+    return (distinct_values(df, fields).select("ordinal", v.alias("v"), k.alias("k"))
             .withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= samples)
             .groupBy("ordinal").agg(_sample_agg().alias("Sample_Values"))
             .select(F.element_at(names, F.col("ordinal") + 1).alias("Column_Name"), "Sample_Values"))
@@ -134,7 +160,8 @@ def profile(df: DataFrame, skip: Iterable[str] = (), samples: int = 5,
     stats = _stats(df, fields, digits, approx)
     dv = distinct_values(df, fields)
     w = Window.partitionBy("ordinal").orderBy(F.col("k").asc_nulls_last(), "v")
-    sample_txt = (dv.withColumn("k", _text_sort_key(fields))
+    v, k = _text_and_key(fields)
+    sample_txt = (dv.select("ordinal", v.alias("v"), k.alias("k"))
                   .withColumn("rn", F.row_number().over(w))
                   .where(F.col("rn") <= samples)
                   .groupBy("ordinal")
