@@ -49,30 +49,41 @@ def balanced_sample(df: DataFrame, target: str, n: int | None, keys: Sequence[st
                                   class_cols=[target])
 
 
+def test_quota(totals: dict, test_size: float) -> dict:
+    """J3 quotas: ``ceil(p * n)`` test rows in all; each class gets
+    ``floor(n_test * n_c / n)`` plus one for the largest remainders (ties by
+    class value)."""
+    total = sum(totals.values())
+    if not total:
+        return {}
+    n_test = int(math.ceil(test_size * total))
+    quota = {c: (n_test * n) // total for c, n in totals.items()}
+    rem = sorted(((-((n_test * n) % total), str(c), c) for c, n in totals.items()))
+    for _, _, c in rem[:n_test - sum(quota.values())]:
+        quota[c] += 1
+    return quota
+
+
 def stratified_split(df: DataFrame, target: str, test_size: float, keys: Sequence[str],
                      seed: int = 42, split_col: str = "split") -> DataFrame:
-    """Exact per-class holdout.  Total test rows are ``ceil(p * n)``; each
-    class gets ``floor(n_test * n_c / n)`` plus one for the largest remainders
-    (ties by class value).  Within a class, test rows are the smallest md5."""
-    counts = ranks.class_counts(df.where(col(target).isNotNull()), [target])
-    total = sum(c[-1] for c in counts)
-    n_test = int(math.ceil(test_size * total))
-    base = {c[:-1]: (n_test * c[-1]) // total for c in counts} if total else {}
-    rem = sorted(((-((n_test * c[-1]) % total), c[:-1]) for c in counts), key=lambda x: (x[0], str(x[1])))
-    left = n_test - sum(base.values())
-    quota = dict(base)
-    for _, cls in rem[:left]:
-        quota[cls] += 1
-    flagged = ranks.split_by_quota(df.where(col(target).isNotNull()), [target], keys, quota, seed,
+    """Exact per-class holdout (quotas from ``test_quota``); within a
+    class, the test rows are the smallest md5.  NULL labels are dropped."""
+    labelled = df.where(col(target).isNotNull())
+    flagged = ranks.split_by_quota(labelled, [target], keys, lambda t: test_quota(t, test_size), seed,
                                    flag_col="_test")
     return (flagged.withColumn(split_col, F.when(F.col("_test"), F.lit("test")).otherwise(F.lit("train")))
                    .drop("_test"))
 
 
 def stratified_folds(df: DataFrame, target: str, k: int, keys: Sequence[str], seed: int = 42,
-                     fold_col: str = "fold") -> DataFrame:
+                     fold_col: str = "fold", exact: bool = True) -> DataFrame:
     """fold = (rank in class - 1) mod k, rank by md5; every class is spread
-    evenly over the folds."""
+    evenly over the folds (sizes differ by at most one).  ``exact=False``
+    takes the fold from the md5 fraction instead: balanced only in
+    expectation, but a pure projection with no shuffle."""
+    if not exact:
+        return (df.where(col(target).isNotNull())
+                  .withColumn(fold_col, F.floor(unit_fraction(keys, seed) * k).cast("int")))
     ranked = ranks.rank_in_class(df.where(col(target).isNotNull()), [target], keys, seed,
                                  rank_col="_rk")
     return ranked.withColumn(fold_col, F.pmod(F.col("_rk") - 1, F.lit(k)).cast("int")).drop("_rk")

@@ -22,7 +22,7 @@ rows that are ranked.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -129,14 +129,23 @@ def smallest_by_hash(df: DataFrame, quota: Mapping[tuple, int] | int, keys: Sequ
 
 
 def split_by_quota(df: DataFrame, class_cols: Sequence[str], keys: Sequence[str],
-                   quota: Mapping[tuple, int], seed: int = 42,
+                   quota: Mapping[tuple, int] | Callable[[dict], Mapping[tuple, int]], seed: int = 42,
                    buckets: int | None = None, flag_col: str = "is_first") -> DataFrame:
     """Flag the ``quota[class]`` first rows of each class in md5 order, without
     ranking all rows: whole buckets below the boundary bucket are in, whole
-    buckets above are out, and only the boundary bucket's rows are ranked."""
+    buckets above are out, and only the boundary bucket's rows are ranked.
+
+    ``quota`` may be a function of the per-class totals; the totals then come
+    from the (class, bucket) cell table, which is checkpointed (it has at most
+    classes × buckets rows) so the data is read three times in all: cells,
+    boundary bucket, final flags."""
     cls = [col(c) for c in class_cols]
     h = with_hash(df, keys, seed, buckets)
     cells = h.groupBy(*cls, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    if callable(quota):
+        cells = cells.checkpoint(eager=True)
+        totals = {tuple(r[:-1]): r[-1] for r in cells.groupBy(*cls).agg(F.sum("_n")).collect()}
+        quota = quota(totals)
     run = Window.partitionBy(*cls).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     qexpr = F.lit(0)
     for c, q in quota.items():
@@ -149,8 +158,8 @@ def split_by_quota(df: DataFrame, class_cols: Sequence[str], keys: Sequence[str]
                 .agg(F.min_by(F.struct("_b", "_cum", "_n", "_q"), F.col("_b")).alias("s"))
                 .select(*class_cols, F.col("s._b").alias("_bb"),
                         (F.col("s._q") - (F.col("s._cum") - F.col("s._n"))).alias("_need")))
-    # Hash of the last row taken from each boundary bucket (bounded: one
-    # bucket per class).
+    # Hash of the last row taken from each boundary bucket (bounded: one row
+    # per class, and only one bucket of rows per class is ranked).
     edge_rows = h.join(F.broadcast(bound), [*class_cols], "inner").where(F.col("_b") == F.col("_bb"))
     w = Window.partitionBy(*cls).orderBy(*_tie_break(keys))
     edge = (edge_rows.withColumn("_rn", F.row_number().over(w))

@@ -79,3 +79,18 @@ def test_hash_fraction_matches_python(orders):
     want = {k for k, _ in rows if int(_md5(42, k)[:8], 16) / 2 ** 32 < 0.1}
     got = {r.o_orderkey for r in smp.hash_fraction(orders, 0.1, ["o_orderkey"]).collect()}
     assert got == want
+
+
+def test_test_quota_largest_remainder():
+    q = smp.test_quota({("a",): 7, ("b",): 3}, 0.25)
+    # n_test = ceil(2.5) = 3; exact shares 2.1 and 0.9 → floors 2, 0; remainder to b
+    assert q == {("a",): 2, ("b",): 1}
+    assert sum(smp.test_quota({(True,): 4933, (False,): 4979}, 0.2).values()) == math.ceil(0.2 * 9912)
+
+
+def test_folds_from_fraction_without_shuffle(orders):
+    f = smp.stratified_folds(orders, "done", 3, ["o_orderkey"], exact=False)
+    plan = f._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    counts = [r["count"] for r in f.groupBy("fold").count().collect()]
+    assert len(counts) == 3 and min(counts) > 0.25 * sum(counts)
