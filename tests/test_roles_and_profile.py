@@ -76,3 +76,11 @@ def test_profile_edge_columns(spark):
     assert rows["s"]["Unique_Values_Count"] == 2 and rows["s"]["Min_Value"] == ""
     # -0.0 and 0.0 are one value; NaN is a value of its own
     assert rows["odd"]["Unique_Values_Count"] == 2
+
+
+def test_profile_approx_counts_close(spark):
+    df = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    exact = {r["Column_Name"]: r["Unique_Values_Count"] for r in prof.profile(df).collect()}
+    approx = {r["Column_Name"]: r["Unique_Values_Count"] for r in prof.profile(df, approx=True).collect()}
+    for c, n in exact.items():
+        assert abs(approx[c] - n) <= max(2, 0.03 * n)
