@@ -17,32 +17,35 @@ from tabscore.functions.text import col
 
 
 def round_half_away(t: Column) -> Column:
-    """Round a double to a whole number, halves away from zero (the
-    warehouse's FLOAT → INT cast), in plain double arithmetic: the fraction
-    ``a - floor(a)`` is exact, so the comparison with 0.5 is too.  Values are
-    capped at 1e9 in magnitude (far outside any clock value) so the integral
-    part never overflows."""
-    a = F.least(F.abs(t), F.lit(1e9))
-    fl = F.floor(a).cast("double")
-    return F.signum(t) * (fl + F.when(a - fl >= 0.5, F.lit(1.0)).otherwise(F.lit(0.0)))
+    """Round a double to a whole number (bigint), halves away from zero (the
+    warehouse's FLOAT → INT cast), in plain arithmetic: ``t - floor(t)`` is
+    exact, so the comparison with 0.5 is too.  Callers keep ``t`` inside the
+    clock domain first, where halves away from zero and halves up agree
+    except below zero, and (-0.5, 0) rounds to 0 either way."""
+    fl = F.floor(t)
+    return fl + F.when(t - fl >= 0.5, F.lit(1)).otherwise(F.lit(0))
 
 
 def time_to_minutes(c: Column | str, strict: bool = False) -> Column:
-    """H1 (lenient, invalid → NULL) or H4 (``strict=True``: invalid raises)."""
-    t = col(c) if isinstance(c, str) else c
-    t = t.cast("double")
+    """H1 (lenient, invalid → NULL) or H4 (``strict=True``: invalid raises).
+
+    Written so the rounded value is referenced only a few times: the
+    generated code stays small enough for the JIT (an earlier form that
+    repeated the rounding in every branch ran 10x slower inside whole-stage
+    codegen)."""
+    t = (col(c) if isinstance(c, str) else c).cast("double")
     r = round_half_away(t)
-    bad = F.isnan(t) | (r < 0) | (r > 2400) | (F.pmod(r, F.lit(100.0)) >= 60)
-    value = (F.floor(r / 100) * 60 + F.pmod(r, F.lit(100.0))).cast("bigint")
+    outside = F.isnan(t) | (t <= -0.5) | (t >= 2400.5)   # rounds below 0 or above 2400
+    value = ((r / 100).cast("bigint") * 60 + r % 100).cast("bigint")
     if strict:
-        err = F.raise_error(F.concat(F.lit("invalid clock value: "), t.cast("string")))
+        err = F.raise_error(F.concat(F.lit("invalid clock value: "), t.cast("string"))).cast("bigint")
         return (F.when(t.isNull(), F.lit(None).cast("bigint"))
-                 .when(bad | (r == 2400), err.cast("bigint"))
+                 .when(outside, err)
+                 .when((r == 2400) | (r % 100 >= 60), err)
                  .otherwise(value))
-    return (F.when(t.isNull(), F.lit(None).cast("bigint"))
-             .when(F.isnan(t), F.lit(None).cast("bigint"))
+    return (F.when(t.isNull() | outside, F.lit(None).cast("bigint"))
              .when(r == 2400, F.lit(0).cast("bigint"))
-             .when(bad, F.lit(None).cast("bigint"))
+             .when(r % 100 >= 60, F.lit(None).cast("bigint"))
              .otherwise(value))
 
 
@@ -91,11 +94,11 @@ def with_block_minutes(df: DataFrame, columns: list[str], strict: bool = False)
 TIME_TO_MINUTES_SQL = """
 CREATE OR REPLACE TEMPORARY FUNCTION time_to_minutes(t DOUBLE) RETURNS BIGINT RETURN
   CASE
-    WHEN t IS NULL OR isnan(t) THEN NULL
-    WHEN round(t) = 2400 THEN 0
-    WHEN round(t) < 0 OR round(t) > 2400 THEN NULL
-    WHEN pmod(round(t), 100) >= 60 THEN NULL
-    ELSE CAST(floor(round(t) / 100) * 60 + pmod(round(t), 100) AS BIGINT)
+    WHEN t IS NULL OR isnan(t) OR t <= -0.5 OR t >= 2400.5 THEN NULL
+    WHEN floor(t) + IF(t - floor(t) >= 0.5, 1, 0) = 2400 THEN 0
+    WHEN (floor(t) + IF(t - floor(t) >= 0.5, 1, 0)) % 100 >= 60 THEN NULL
+    ELSE (floor(t) + IF(t - floor(t) >= 0.5, 1, 0)) DIV 100 * 60
+         + (floor(t) + IF(t - floor(t) >= 0.5, 1, 0)) % 100
   END
 """
 
