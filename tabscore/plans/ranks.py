@@ -38,6 +38,11 @@ def spread(df: DataFrame) -> DataFrame:
     partitions than cores (one large row group, say).  Real inputs at scale
     already have more splits than cores, and then nothing is added."""
     cores = df.sparkSession.sparkContext.defaultParallelism
+    # Only look at shuffle-free plans (a scan with projections and filters):
+    # building the RDD of a plan with exchanges would run them under AQE, and
+    # such a frame already has shuffle-sized partitions.
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
     return df
