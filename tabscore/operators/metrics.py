@@ -11,7 +11,8 @@ probability ``score``.  Nothing is collected except the one-row results.
   sums of row-local terms: AP = Σ tp_i·P_i / T and
   AUC = Σ tp_i/T · (P_i + P_{i-1}) / 2, where P_{i-1} comes from the running
   counts minus the row's own counts.
-* Threshold sweep: per threshold three counts, all in one pass.
+* Threshold sweep: one grid bin per row and a partial count per bin; the
+  per-threshold counts are sums over the small bin table.
 """
 
 from __future__ import annotations
@@ -118,18 +119,29 @@ def composite(scored: DataFrame, label: str, score: str, beta: float = 2.0,
 def threshold_sweep(scored: DataFrame, label: str, score: str, beta: float = 2.0,
                     grid: Sequence[float] | None = None) -> DataFrame:
     """K14 (table form): one row per threshold with counts and F-beta; a
-    threshold where every row gets the same predicted class is not eligible."""
+    threshold where every row gets the same predicted class is not eligible.
+
+    Each row is placed once in its grid bin (the number of thresholds it
+    reaches, a short CASE ladder) and counted per ``(bin, label)`` with a
+    partial aggregate; the per-threshold counts are then sums over at most
+    ``2 × (len(grid) + 1)`` rows."""
     grid = list(grid) if grid is not None else sweep_grid()
     s, y = col(score), _pos(label)
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for i, t in enumerate(grid):
-        pred = s >= F.lit(t)
-        aggs += [F.count_if(pred & y).alias(f"tp{i}"), F.count_if(pred & ~y).alias(f"fp{i}"),
-                 F.count_if(~pred & y).alias(f"fn{i}"), F.count_if(pred).alias(f"pp{i}")]
-    one = scored.agg(*aggs)
+    ladder = F.lit(0)
+    for i, t in enumerate(grid):          # bin = number of thresholds t_i <= score
+        ladder = F.when(s >= F.lit(t), F.lit(i + 1)).otherwise(ladder)
+    bins = scored.groupBy(ladder.alias("bin")).agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
+    aggs = [F.sum("pos").alias("P"), F.sum(F.col("pos") + F.col("neg")).alias("n")]
+    for i in range(len(grid)):
+        hit = F.col("bin") > i
+        aggs += [F.sum(F.when(hit, F.col("pos")).otherwise(0)).alias(f"tp{i}"),
+                 F.sum(F.when(hit, F.col("neg")).otherwise(0)).alias(f"fp{i}")]
+    one = bins.agg(*aggs)
     rows = [F.struct(F.lit(i).alias("i"), F.lit(t).alias("threshold"),
-                     F.col(f"tp{i}").alias("tp"), F.col(f"fp{i}").alias("fp"), F.col(f"fn{i}").alias("fn"),
-                     ((F.col(f"pp{i}") > 0) & (F.col(f"pp{i}") < F.col("n"))).alias("eligible"))
+                     F.col(f"tp{i}").alias("tp"), F.col(f"fp{i}").alias("fp"),
+                     (F.col("P") - F.col(f"tp{i}")).alias("fn"),
+                     ((F.col(f"tp{i}") + F.col(f"fp{i}") > 0) &
+                      (F.col(f"tp{i}") + F.col(f"fp{i}") < F.col("n"))).alias("eligible"))
             for i, t in enumerate(grid)]
     long = one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
     return long.withColumn("score", _fbeta_expr(F.col("tp"), F.col("fp"), F.col("fn"), beta))
