@@ -49,13 +49,25 @@ def _profiled_fields(df: DataFrame, skip: Iterable[str]) -> list[T.StructField]:
     return [f for f in df.schema.fields if f.name.strip() not in skip_set]
 
 
+def _var_width(dt: T.DataType) -> bool:
+    """min/max of these types needs a variable-width buffer, which forces the
+    whole aggregate off the codegen'd hash path."""
+    return isinstance(dt, (T.StringType, T.BinaryType)) or (isinstance(dt, T.DecimalType) and dt.precision > 18)
+
+
 def _stats(df: DataFrame, fields: Sequence[T.StructField], digits: int | None,
-           approx: bool) -> DataFrame:
-    """One-row typed aggregate → one row per column (ordinal, stats...)."""
+           approx: bool, minmax: bool = True) -> DataFrame:
+    """One-row typed aggregate → one row per column (ordinal, stats...).
+    With ``minmax=False`` variable-width columns get no min/max here (the
+    profile takes them from its distinct table)."""
     aggs = [F.count(F.lit(1)).alias("n")]
     for i, f in enumerate(fields):
         c = tx.col(f.name)
-        aggs += [F.count(c).alias(f"c{i}"), F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
+        aggs.append(F.count(c).alias(f"c{i}"))
+        if minmax or not _var_width(f.dataType):
+            aggs += [F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
+        else:
+            aggs += [F.lit(None).cast(f.dataType).alias(f"lo{i}"), F.lit(None).cast(f.dataType).alias(f"hi{i}")]
         if tx.is_numeric_name(tx.type_name(f.dataType)):
             aggs += [F.avg(c).alias(f"m{i}"), F.stddev_samp(c).alias(f"s{i}")]
         if approx:
@@ -157,8 +169,21 @@ def profile(df: DataFrame, skip: Iterable[str] = (), samples: int = 5,
     if not fields:
         return df.sparkSession.createDataFrame([], PROFILE_SCHEMA)
     df = spread(df.select(*[tx.col(f.name) for f in fields]))
-    stats = _stats(df, fields, digits, approx)
+    stats = _stats(df, fields, digits, approx, minmax=False)
     dv = distinct_values(df, fields)
+    var = [n for n, f in enumerate(fields) if _var_width(f.dataType)]
+    if var:
+        # Text order is the typed order for these columns; one partial row
+        # per task over the distinct values only.
+        mm = dv.where(F.col("ordinal").isin(var)).agg(*[
+            a for n in var for a in (F.min(F.when(F.col("ordinal") == n, F.col("s"))).alias(f"mn{n}"),
+                                     F.max(F.when(F.col("ordinal") == n, F.col("s"))).alias(f"mx{n}"))])
+        mm = mm.select(F.explode(F.array(*[F.struct(F.lit(n).alias("ordinal"), F.col(f"mn{n}").alias("_mn"),
+                                                    F.col(f"mx{n}").alias("_mx")) for n in var])).alias("m")) \
+               .select("m.*")
+        stats = (stats.join(F.broadcast(mm), "ordinal", "left")
+                 .withColumn("Min_Value", F.coalesce("Min_Value", "_mn"))
+                 .withColumn("Max_Value", F.coalesce("Max_Value", "_mx")).drop("_mn", "_mx"))
     w = Window.partitionBy("ordinal").orderBy(F.col("k").asc_nulls_last(), "v")
     v, k = _text_and_key(fields)
     sample_txt = (dv.select("ordinal", v.alias("v"), k.alias("k"))
