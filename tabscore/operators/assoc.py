@@ -7,8 +7,9 @@
 * ``contingency``: every column is coded as a string (numeric → equal-width
   bin over its range, categorical → value); each row emits one record per
   column *pair* (pairs of columns, bounded by the schema, never pairs of
-  rows) and a partial ``count`` per ``(a, b, va, vb)`` builds all tables in
-  one pass.
+  rows).  Whole code tuples are counted first (map-side combine), so pairs
+  are emitted per distinct tuple, and a partial ``sum`` per
+  ``(a, b, va, vb)`` builds all tables in one pass.
 * χ² and Cramér's V are SQL aggregates over those small tables; φ_K inverts
   a bivariate-normal χ² per pair in ``applyInPandas`` (numpy, per-pair table
   of at most ``bins × bins`` cells).
@@ -83,11 +84,15 @@ def contingency(df: DataFrame, num: Sequence[str], cat: Sequence[str], bins: int
     pairs = list(pairs) if pairs is not None else [(names[i], names[j]) for i in range(len(names))
                                                    for j in range(i + 1, len(names))]
     c = coded(df, num, cat, bins)
+    # Pre-aggregate whole code tuples first (combines map-side; binned codes
+    # have few distinct tuples), then emit the pairs of each tuple once,
+    # weighted by its count.
+    tuples = c.groupBy(*[col(x) for x in names]).agg(F.count(F.lit(1)).alias("_w"))
     recs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), col(a).alias("va"), col(b).alias("vb"))
                      for a, b in pairs])
-    return (c.select(F.explode(recs).alias("r")).select("r.*")
+    return (tuples.select(F.explode(recs).alias("r"), "_w").select("r.*", "_w")
             .where(F.col("va").isNotNull() & F.col("vb").isNotNull())
-            .groupBy("a", "b", "va", "vb").agg(F.count(F.lit(1)).alias("n")))
+            .groupBy("a", "b", "va", "vb").agg(F.sum("_w").alias("n")))
 
 
 def chi2_table(ct: DataFrame) -> DataFrame:
