@@ -132,9 +132,11 @@ def search(train: DataFrame, numeric: Sequence[str], params: list[dict], folds:
     from concurrent.futures import ThreadPoolExecutor
 
     spark = train.sparkSession
+    # ``train`` reads the checkpointed frame; every fit persists its own
+    # input (GBT does), so fold parts are not cached here: caching k folds of
+    # a full table would hold k copies of it.
     data = train.select(*numeric, "label", "weight", "fold")
-    parts = [(data.where(F.col("fold") != f).cache(), data.where(F.col("fold") == f).cache())
-             for f in range(folds)]
+    parts = [(data.where(F.col("fold") != f), data.where(F.col("fold") == f)) for f in range(folds)]
     evaluator = CompositeEvaluator()
 
     def run(job):
@@ -147,9 +149,6 @@ def search(train: DataFrame, numeric: Sequence[str], params: list[dict], folds:
     workers = parallelism or min(len(jobs), max(1, spark.sparkContext.defaultParallelism))
     with ThreadPoolExecutor(max_workers=workers) as pool:
         results = list(pool.map(run, jobs))
-    for tr, va in parts:
-        tr.unpersist()
-        va.unpersist()
     scores = [[s for i, f, s in results if i == t] for t in range(len(params))]
     means = [sum(v) / len(v) for v in scores]
     rows = [(i, json.dumps(p, sort_keys=True), float(m)) for i, (p, m) in enumerate(zip(params, means))]
