@@ -254,10 +254,20 @@ def c3_scalar_subquery(spark, sf):
       FROM {view}""")
 
 
+_FEATURES_MEMO: dict = {}
+
+
 def _features(spark, sf):
-    rt = role_table(spark, sf)
-    num = rl.columns_by_role(rt, "num", skip=fx.WIDE_SKIP_ADDITIONAL, order_col="ordinal")
-    return num, rl.target_column(rt, order_col="ordinal"), rt
+    """Feature names, target and role table of the wide stand-in.  The name
+    lists are derived from the profile once per application and scale (the
+    role table is produced once and read by later steps)."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FEATURES_MEMO:
+        rt = role_table(spark, sf)
+        num = rl.columns_by_role(rt, "num", skip=fx.WIDE_SKIP_ADDITIONAL, order_col="ordinal")
+        _FEATURES_MEMO[key] = (num, rl.target_column(rt, order_col="ordinal"))
+    num, tgt = _FEATURES_MEMO[key]
+    return num, tgt, role_table(spark, sf)
 
 
 # num minus skip, profile order: l_quantity, l_extendedprice, l_discount, l_tax (l_linenumber is 'hot').
