@@ -94,3 +94,19 @@ def test_folds_from_fraction_without_shuffle(orders):
     assert "Exchange" not in plan
     counts = [r["count"] for r in f.groupBy("fold").count().collect()]
     assert len(counts) == 3 and min(counts) > 0.25 * sum(counts)
+
+
+@pytest.mark.parametrize("buckets", [3, 64])
+def test_split_exact_with_skewed_classes(spark, buckets, monkeypatch):
+    """Three classes of very different sizes (status P is about 2%)."""
+    monkeypatch.setattr(ranks, "DEFAULT_BUCKETS", buckets)
+    o = spark.read.parquet(f"{SF001}/orders.parquet").select("o_orderkey", "o_orderstatus")
+    rows = [(r.o_orderkey, r.o_orderstatus) for r in o.collect()]
+    split = {r.o_orderkey: r.split for r in smp.stratified_split(o, "o_orderstatus", 0.1, ["o_orderkey"]).collect()}
+    totals = {}
+    for _, c in rows:
+        totals[(c,)] = totals.get((c,), 0) + 1
+    quota = smp.test_quota(totals, 0.1)
+    for (cls,), q in quota.items():
+        order = sorted([k for k, c in rows if c == cls], key=lambda k: _md5(42, k))
+        assert [split[k] for k in order] == ["test"] * q + ["train"] * (len(order) - q)
