@@ -60,7 +60,6 @@ def a3_full_refresh(spark, sf):
     tb.load_full_refresh(o, t, ["year"], path=path)
     # One-year refresh with the same rows: dynamic overwrite keeps it idempotent.
     tb.load_full_refresh(o.where(F.col("year") == 1996), t, ["year"], dynamic=True, path=path)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
     return spark.table(t).select(*o.columns)
 
 

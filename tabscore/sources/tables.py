@@ -64,16 +64,26 @@ def load_full_refresh(df: DataFrame, table: str, partition_by: Sequence[str] = (
     """A3: overwrite a catalog table; ``dynamic`` replaces only the partitions
     present in ``df`` (a one-year refresh)."""
     spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic" if dynamic else "static")
+    mode = "dynamic" if dynamic else "static"
+    if dynamic and spark.catalog.tableExists(table):
+        # insertInto reads the session setting (a write option is ignored):
+        # set it for this insert and put the caller's value back.
+        key = "spark.sql.sources.partitionOverwriteMode"
+        prev = spark.conf.get(key, "static")
+        spark.conf.set(key, mode)
+        try:
+            df.write.mode("overwrite").insertInto(table)
+        finally:
+            spark.conf.set(key, prev)
+        return
+    # No partitionOverwriteMode option here: it would be stored with the
+    # table and override later dynamic refreshes.
     writer = df.write.mode("overwrite").format("parquet")
     if path:
         writer = writer.option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if dynamic and spark.catalog.tableExists(table):
-        df.write.mode("overwrite").insertInto(table)
-    else:
-        writer.saveAsTable(table)
+    writer.saveAsTable(table)
 
 
 def _writer(df: DataFrame, mode: str, path: str | None):
