@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from tabscore.functions import clock
 from tabscore.functions import text as tx
-from tabscore.functions.hashing import order_hash, unit_fraction
 from tabscore.operators import profile as prof
 from tabscore.operators import roles as rl
 from tabscore.operators import sampling as smp
