@@ -31,6 +31,7 @@ from tabscore.functions.hashing import order_hash, unit_fraction
 from tabscore.functions.text import col
 
 DEFAULT_BUCKETS = 1 << 18
+MAX_CLASSES = 10_000
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -78,12 +79,6 @@ def rank_in_class(df: DataFrame, class_cols: Sequence[str], keys: Sequence[str],
              .drop("_h", "_f", "_b", "_off"))
 
 
-def class_counts(df: DataFrame, class_cols: Sequence[str]) -> list[tuple]:
-    """Row count per class, collected (one row per class)."""
-    rows = df.groupBy(*[col(c) for c in class_cols]).agg(F.count(F.lit(1)).alias("_n")).collect()
-    return [tuple(r[:-1]) + (r["_n"],) for r in rows]
-
-
 def _class_match(class_cols: Sequence[str], values: tuple) -> Column:
     cond = F.lit(True)
     for c, v in zip(class_cols, values):
@@ -149,7 +144,12 @@ def split_by_quota(df: DataFrame, class_cols: Sequence[str], keys: Sequence[str]
     cells = h.groupBy(*cls, "_b").agg(F.count(F.lit(1)).alias("_n"))
     if callable(quota):
         cells = cells.checkpoint(eager=True)
-        totals = {tuple(r[:-1]): r[-1] for r in cells.groupBy(*cls).agg(F.sum("_n")).collect()}
+        per_class = cells.groupBy(*cls).agg(F.sum("_n"))
+        # Quotas are per class and travel as a broadcast map: the class
+        # column must have few values (a label), not an id.
+        if per_class.limit(MAX_CLASSES + 1).count() > MAX_CLASSES:
+            raise ValueError(f"more than {MAX_CLASSES} classes; stratify on a label column")
+        totals = {tuple(r[:-1]): r[-1] for r in per_class.collect()}
         quota = quota(totals)
     run = Window.partitionBy(*cls).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     qexpr = F.lit(0)
