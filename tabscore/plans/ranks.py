@@ -38,15 +38,17 @@ def spread(df: DataFrame) -> DataFrame:
     """Round-robin a frame over the cluster's cores when its scan yields fewer
     partitions than cores (one large row group, say).  Real inputs at scale
     already have more splits than cores, and then nothing is added."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    # Only look at shuffle-free plans (a scan with projections and filters):
-    # building the RDD of a plan with exchanges would run them under AQE, and
-    # such a frame already has shuffle-sized partitions.
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        # Only look at shuffle-free plans (a scan with projections and
+        # filters): building the RDD of a plan with exchanges would run them
+        # under AQE, and such a frame already has shuffle-sized partitions.
+        if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+            return df
+        narrow = df.rdd.getNumPartitions() < cores
+    except Exception:  # noqa: BLE001 - no JVM handle (e.g. a Connect session): leave as is
         return df
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    return df.repartition(cores) if narrow else df
 
 
 def with_hash(df: DataFrame, keys: Sequence[str], seed: int = 42,
