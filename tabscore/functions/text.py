@@ -98,3 +98,13 @@ def strip_prefix(c: Column, prefix: str) -> Column:
     """Remove a leading scheme/prefix (``gs://`` and the like)."""
     import re
     return F.regexp_replace(c, "^" + re.escape(prefix), "")
+
+
+def int_half_away(c: Column) -> Column:
+    """H8: the warehouse's FLOAT → INT cast, which rounds halves away from
+    zero (Spark's own cast truncates).  ``|x| - floor(|x|)`` is exact, so the
+    half test is too; ANSI mode raises on overflow, as the warehouse does."""
+    a = F.abs(c)
+    fl = F.floor(a)
+    whole = fl + F.when(a - fl >= 0.5, F.lit(1)).otherwise(F.lit(0))
+    return F.when(c < 0, -whole).otherwise(whole).cast("bigint")

@@ -96,3 +96,13 @@ def categorical_stages(cat_cols: Sequence[str], hot_cols: Sequence[str]):
         stages.append(OneHotEncoder(inputCols=[c + "__idx" for c in hot_cols],
                                     outputCols=[c + "__ohe" for c in hot_cols], handleInvalid="keep"))
     return stages
+
+
+def xy_frame(df: DataFrame, features: Sequence[str], target: str, label: str = "label",
+             keys: Sequence[str] = ()) -> DataFrame:
+    """C4: features and label side by side, row-aligned by construction.
+    Both come from one projection of the same rows, so no row id and no
+    positional join is needed (a ``monotonically_increasing_id`` pairing
+    would depend on partitioning)."""
+    return df.select(*[col(k) for k in keys], *[col(c) for c in features],
+                     col(target).cast("int").alias(label))

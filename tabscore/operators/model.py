@@ -75,10 +75,13 @@ class CompositeEvaluator(Evaluator):
         super().__init__()
         self.beta, self.w_f, self.w_ap = beta, w_f, w_ap
 
+    def frame(self, dataset: DataFrame) -> DataFrame:
+        """The metric as a one-row DataFrame (fbeta, average_precision,
+        composite); ``evaluate`` reads its single value."""
+        return metrics.composite(with_score(dataset), "label", "p1", self.beta, self.w_f, self.w_ap)
+
     def _evaluate(self, dataset: DataFrame) -> float:
-        s = with_score(dataset)
-        r = metrics.composite(s, "label", "p1", self.beta, self.w_f, self.w_ap).first()
-        return float(r["composite"])
+        return float(self.frame(dataset).first()["composite"])
 
     def isLargerBetter(self) -> bool:
         return True
