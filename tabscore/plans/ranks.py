@@ -32,6 +32,8 @@ from tabscore.functions.text import col
 
 DEFAULT_BUCKETS = 1 << 18
 MAX_CLASSES = 10_000
+# Largest per-class quota ranked in one window task (about 2x this many rows).
+WINDOW_QUOTA = 1_000_000
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -94,15 +96,18 @@ def _dyadic_cut(k: int) -> str:
 
 
 def smallest_by_hash(df: DataFrame, quota: Mapping[tuple, int] | int, keys: Sequence[str],
-                     seed: int = 42, class_cols: Sequence[str] = ()) -> DataFrame:
+                     seed: int = 42, class_cols: Sequence[str] = (),
+                     window_limit: int = WINDOW_QUOTA) -> DataFrame:
     """Rows with the ``quota`` smallest order hashes (per class when
-    ``class_cols`` is given): ``ORDER BY md5 LIMIT n`` in two passes without
-    moving more than about 2n rows to any task.
+    ``class_cols`` is given): ``ORDER BY md5 LIMIT n`` in two passes.
 
     Pass 1 is one aggregate: per class, the number of rows whose md5 fraction
     is below 2^-k for k = 0..32.  The largest k whose count still reaches the
     quota gives a cut holding between n and 2n rows (or the whole class).
-    Pass 2 keeps the rows under each class's cut and ranks only those."""
+    Pass 2 keeps the rows under each class's cut and ranks only those: with
+    one window per class while every quota is at most ``window_limit`` (about
+    2n rows in one task), else with ``rank_in_class`` over (class, bucket)
+    cells, so a large quota never lands in one task."""
     if isinstance(quota, int):
         quota = {(): quota}
     quota = {c: n for c, n in quota.items() if n > 0}
@@ -120,11 +125,15 @@ def smallest_by_hash(df: DataFrame, quota: Mapping[tuple, int] | int, keys: Sequ
         k = max(k for k in range(33) if counts[f"c{ci}_{k}"] >= min(n, counts[f"c{ci}_0"]))
         cond = cond | (_class_match(class_cols, cls) & (pre < F.lit(_dyadic_cut(k))))
     cand = h.where(cond)
-    # Candidates are at most about 2 × sum(quota) rows: an exact top-n per class.
-    w = Window.partitionBy(*[col(c) for c in class_cols]).orderBy(*_tie_break(keys))
     limit = F.lit(0)
     for cls, n in quota.items():
         limit = F.when(_class_match(class_cols, cls), F.lit(n)).otherwise(limit)
+    if max(quota.values()) > window_limit:
+        ranked = rank_in_class(cand.drop("_h"), class_cols, keys, seed, rank_col="_rn")
+        return ranked.where(F.col("_rn") <= limit).drop("_rn")
+    # Candidates are at most about 2 × quota rows per class: an exact top-n
+    # per class in one window each.
+    w = Window.partitionBy(*[col(c) for c in class_cols]).orderBy(*_tie_break(keys))
     return (cand.withColumn("_rn", F.row_number().over(w))
                 .where(F.col("_rn") <= limit)
                 .drop("_h", "_rn"))

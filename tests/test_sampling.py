@@ -110,3 +110,18 @@ def test_split_exact_with_skewed_classes(spark, buckets, monkeypatch):
     for (cls,), q in quota.items():
         order = sorted([k for k, c in rows if c == cls], key=lambda k: _md5(42, k))
         assert [split[k] for k in order] == ["test"] * q + ["train"] * (len(order) - q)
+
+
+@pytest.mark.parametrize("window_limit", [1_000_000, 0])
+def test_smallest_by_hash_both_rank_paths(orders, window_limit):
+    """Large quotas rank through (class, bucket) cells; the result is the
+    same exact per-class md5 top-n as the one-window path."""
+    rows = [r for r in _rows(orders) if r[1] is not None]
+    quota = {(True,): 40, (False,): 25}
+    got = ranks.smallest_by_hash(orders.where("done IS NOT NULL"), quota, ["o_orderkey"], 42,
+                                 class_cols=["done"], window_limit=window_limit)
+    want = set()
+    for cls, n in quota.items():
+        part = sorted((r for r in rows if r[1] == cls[0]), key=lambda r: (_md5(42, r[0]), r[0]))
+        want |= {r[0] for r in part[:n]}
+    assert {r.o_orderkey for r in got.collect()} == want
