@@ -76,9 +76,13 @@ def rank_in_class(df: DataFrame, class_cols: Sequence[str], keys: Sequence[str],
     h = with_hash(df, keys, seed, buckets)
     cells = h.groupBy(*cls, "_b").agg(F.count(F.lit(1)).alias("_n"))
     prefix = Window.partitionBy(*cls).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = cells.select(*cls, "_b", F.coalesce(F.sum("_n").over(prefix), F.lit(0)).alias("_off"))
+    ck = [f"_c{i}" for i in range(len(class_cols))]
+    offsets = cells.select(*cls, F.col("_b").alias("_ob"),
+                           F.coalesce(F.sum("_n").over(prefix), F.lit(0)).alias("_off")).toDF(*ck, "_ob", "_off")
+    # Null-safe on the class, so a NULL class is ranked like any other.
+    cond = [h[c].eqNullSafe(offsets[k]) for c, k in zip(class_cols, ck)] + [h["_b"] == offsets["_ob"]]
     in_cell = Window.partitionBy(*cls, "_b").orderBy(*_tie_break(keys))
-    return (h.join(offsets, [*class_cols, "_b"], "inner")
+    return (h.join(offsets, cond, "inner").drop(*ck, "_ob")
              .withColumn(rank_col, F.col("_off") + F.row_number().over(in_cell))
              .drop("_h", "_f", "_b", "_off"))
 
@@ -139,6 +143,53 @@ def smallest_by_hash(df: DataFrame, quota: Mapping[tuple, int] | int, keys: Sequ
                 .drop("_h", "_rn"))
 
 
+def leading_zeros32(h: Column) -> Column:
+    """Leading zero bits (0..32) of the 32-bit md5 prefix of hex ``h``: a row
+    is under the dyadic cut 2^-k exactly when this is at least k.  The bit
+    length comes from ``log2`` and is then corrected against powers of two
+    (exact doubles, as is every 32-bit value), so the result is exact."""
+    v = F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint")
+    bl = (F.floor(F.log2(v)) + 1).cast("int")
+    two = F.lit(2.0)
+    bl = (F.when(F.pow(two, bl - 1) > v, bl - 1)
+           .when(F.pow(two, bl) <= v, bl + 1)
+           .otherwise(bl))
+    return F.when(v == 0, F.lit(32)).otherwise(F.lit(32) - bl)
+
+
+def smallest_per_class(df: DataFrame, class_cols: Sequence[str], n: int, keys: Sequence[str],
+                       seed: int = 42, window_limit: int = WINDOW_QUOTA) -> DataFrame:
+    """The ``n`` rows with the smallest order hashes in every class (classes
+    found in the data, NULL being one), in two passes.
+
+    Pass 1 counts rows per (class, leading zero bits): at most classes × 33
+    rows, combined map-side.  Per class, the deepest dyadic cut that still
+    holds n rows (or the whole class) is taken from that table.  Pass 2
+    keeps the rows under their class's cut (about 2n per class) and ranks
+    only those, so no class sends more than that to one task however many
+    input tasks there are."""
+    if n <= 0:
+        return df.where(F.lit(False))
+    cls = [col(c) for c in class_cols]
+    h = df.withColumn("_h", order_hash(keys, seed)).withColumn("_z", leading_zeros32(F.col("_h")))
+    counts = h.groupBy(*cls, "_z").agg(F.count(F.lit(1)).alias("_n"))
+    deeper = Window.partitionBy(*cls).orderBy(F.desc("_z")).rowsBetween(Window.unboundedPreceding, 0)
+    total = Window.partitionBy(*cls)
+    ck = [f"_c{i}" for i in range(len(class_cols))]
+    cuts = (counts.withColumn("_ge", F.sum("_n").over(deeper)).withColumn("_tot", F.sum("_n").over(total))
+                  .where(F.col("_ge") >= F.least(F.lit(n), F.col("_tot")))
+                  .groupBy(*cls).agg(F.max("_z").alias("_k"))
+                  .toDF(*ck, "_k"))
+    # One row per class; AQE broadcasts it at run time when it is small.
+    cond = [h[c].eqNullSafe(cuts[k]) for c, k in zip(class_cols, ck)]
+    cand = h.join(cuts, cond, "inner").where(F.col("_z") >= F.col("_k")).drop(*ck, "_k", "_z")
+    if n > window_limit:
+        ranked = rank_in_class(cand.drop("_h"), class_cols, keys, seed, rank_col="_rn")
+        return ranked.where(F.col("_rn") <= n).drop("_rn")
+    w = Window.partitionBy(*cls).orderBy(*_tie_break(keys))
+    return cand.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_h", "_rn")
+
+
 def split_by_quota(df: DataFrame, class_cols: Sequence[str], keys: Sequence[str],
                    quota: Mapping[tuple, int] | Callable[[dict], Mapping[tuple, int]], seed: int = 42,
                    buckets: int | None = None, flag_col: str = "is_first") -> DataFrame:

@@ -125,3 +125,26 @@ def test_smallest_by_hash_both_rank_paths(orders, window_limit):
         part = sorted((r for r in rows if r[1] == cls[0]), key=lambda r: (_md5(42, r[0]), r[0]))
         want |= {r[0] for r in part[:n]}
     assert {r.o_orderkey for r in got.collect()} == want
+
+
+def test_leading_zeros_exact(spark):
+    from pyspark.sql import functions as F
+    vals = [0, 1, 2, 3, 0xFFFF, 0x10000, 0x7FFFFFFF, 0x80000000, 0xFFFFFFFF] + [(1 << k) - 1 for k in range(1, 33)] \
+        + [1 << k for k in range(32)]
+    df = spark.createDataFrame([(f"{v:08x}" + "0" * 24,) for v in vals], "h string")
+    got = [r["z"] for r in df.select(ranks.leading_zeros32(F.col("h")).alias("z")).collect()]
+    assert got == [32 - v.bit_length() for v in vals]
+
+
+@pytest.mark.parametrize("n,window_limit", [(3, 1_000_000), (40, 1_000_000), (40, 0), (100000, 1_000_000)])
+def test_smallest_per_class_brute_force(spark, n, window_limit):
+    from tabscore.plans import fixtures as fx
+    o = fx.orders_t(spark, SF001).select("o_orderkey", "o_orderpriority", "done")
+    rows = [(r.o_orderkey, r.done) for r in o.collect()]
+    got = ranks.smallest_per_class(o, ["done"], n, ["o_orderkey"], 42, window_limit=window_limit)
+    want = set()
+    for cls in {r[1] for r in rows}:           # NULL is a class of its own
+        part = sorted((r for r in rows if r[1] == cls), key=lambda r: (_md5(42, r[0]), r[0]))
+        want |= {r[0] for r in part[:n]}
+    got_keys = [r.o_orderkey for r in got.collect()]
+    assert len(got_keys) == len(set(got_keys)) and set(got_keys) == want
