@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabscore.functions.hashing import order_hash, unit_fraction
@@ -107,17 +107,16 @@ def fallback_sample(df: DataFrame, prediction: str, score: str, label: str, n: i
                     keys: Sequence[str], seed: int = 42) -> DataFrame:
     """n examples per group with the three-step fallback: predicted
     positives; if there are none, the highest scores; then actual positives.
-    Expressed as one ranking over a ``priority`` column."""
+    The md5-ordered groups are exact top-n picks by dyadic cut (about 2n
+    rows ranked per group), the score-ordered one a plain top-n, so no group
+    is ranked whole in one task."""
     has_pos = df.agg(F.count_if(col(prediction) == 1).alias("n")).first()["n"] > 0
-    h = order_hash(keys, seed)
-    negs = df.where(col(prediction) == 0).withColumn("group", F.lit("false")) \
-        .withColumn("_o1", F.lit(0.0)).withColumn("_o2", h)
+    negs = ranks.smallest_by_hash(df.where(col(prediction) == 0), n, keys, seed) \
+        .withColumn("group", F.lit("false"))
     if has_pos:
-        pos = df.where(col(prediction) == 1).withColumn("group", F.lit("true")) \
-            .withColumn("_o1", F.lit(0.0)).withColumn("_o2", h)
+        pos = ranks.smallest_by_hash(df.where(col(prediction) == 1), n, keys, seed) \
+            .withColumn("group", F.lit("true"))
     else:
-        pos = df.withColumn("group", F.lit("high_prob_true")) \
-            .withColumn("_o1", -col(score)).withColumn("_o2", h)
-    both = pos.unionByName(negs)
-    w = Window.partitionBy("group").orderBy("_o1", "_o2", *[col(k) for k in keys])
-    return both.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn", "_o1", "_o2")
+        pos = (df.orderBy(col(score).desc_nulls_last(), order_hash(keys, seed), *[col(k) for k in keys])
+                 .limit(n).withColumn("group", F.lit("high_prob_true")))
+    return pos.unionByName(negs)

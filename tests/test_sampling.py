@@ -148,3 +148,24 @@ def test_smallest_per_class_brute_force(spark, n, window_limit):
         want |= {r[0] for r in part[:n]}
     got_keys = [r.o_orderkey for r in got.collect()]
     assert len(got_keys) == len(set(got_keys)) and set(got_keys) == want
+
+
+@pytest.mark.parametrize("cut", [0.5, 2.0])
+def test_fallback_sample_brute_force(spark, cut):
+    """Predicted positives (md5 top-n), or the highest scores when there are
+    none; md5 top-n of the predicted negatives."""
+    from pyspark.sql import functions as F
+    from tabscore.plans import fixtures as fx
+    o = fx.orders_t(spark, SF001).withColumn("prediction", (F.col("score") >= cut).cast("int"))
+    rows = [(r.o_orderkey, r.prediction, r.score) for r in o.collect()]
+    got = smp.fallback_sample(o, "prediction", "score", "done", 7, ["o_orderkey"])
+    got = {(r.o_orderkey, r.group) for r in got.collect()}
+    md5_top = lambda rs: [r[0] for r in sorted(rs, key=lambda r: (_md5(42, r[0]), r[0]))[:7]]
+    want = {(k, "false") for k in md5_top([r for r in rows if r[1] == 0])}
+    pos = [r for r in rows if r[1] == 1]
+    if pos:
+        want |= {(k, "true") for k in md5_top(pos)}
+    else:
+        top = sorted(rows, key=lambda r: (-r[2], _md5(42, r[0]), r[0]))[:7]
+        want |= {(r[0], "high_prob_true") for r in top}
+    assert got == want
