@@ -159,6 +159,22 @@ def sample_values(df: DataFrame, skip: Iterable[str] = (), samples: int = 5) ->
             .select(F.element_at(names, F.col("ordinal") + 1).alias("Column_Name"), "Sample_Values"))
 
 
+def smallest_values(df: DataFrame, fields: Sequence[T.StructField], samples: int = 5) -> DataFrame:
+    """D6 without a distinct table: ``(ordinal, Sample_Values)`` with the
+    ``samples`` smallest distinct values of every column.  A
+    ``dense_rank <= samples`` per column in the typed order runs as a partial
+    ``WindowGroupLimit`` in every task before the shuffle, so at most
+    ``samples`` distinct values per column and task are moved, however many
+    distinct values a column has.  Only those values are formatted."""
+    w = Window.partitionBy("ordinal").orderBy(F.col("i").asc_nulls_last(), F.col("x").asc_nulls_last(),
+                                              F.col("s").asc_nulls_last())
+    top = (long_values(df, fields).withColumn("_dr", F.dense_rank().over(w))
+           .where(F.col("_dr") <= samples).select("ordinal", "i", "x", "s").distinct())
+    v, k = _text_and_key(fields)
+    return (top.select("ordinal", v.alias("v"), k.alias("k"))
+            .groupBy("ordinal").agg(_sample_agg().alias("Sample_Values")))
+
+
 def profile(df: DataFrame, skip: Iterable[str] = (), samples: int = 5,
             approx: bool = False, digits: int | None = None,
             keep_ordinal: bool = False) -> DataFrame:
@@ -169,6 +185,17 @@ def profile(df: DataFrame, skip: Iterable[str] = (), samples: int = 5,
     if not fields:
         return df.sparkSession.createDataFrame([], PROFILE_SCHEMA)
     df = spread(df.select(*[tx.col(f.name) for f in fields]))
+    if approx:
+        # No distinct table: nothing data-sized is shuffled.  min/max come
+        # from the global aggregate, samples from per-task top values, and
+        # the HyperLogLog counts from a groupBy(ordinal) over the unpivoted
+        # values: one sketch buffer per column and task.  (Sketches inside
+        # the global aggregate would put every column's registers into one
+        # buffer row, which Spark handles slowly.)
+        stats = _stats(df, fields, digits, approx=False, minmax=True)
+        uniques = (long_values(df, fields).groupBy("ordinal")
+                   .agg(F.approx_count_distinct(F.xxhash64("i", "x", "s"), 0.01).alias("Unique_Values_Count")))
+        return _assemble(stats, uniques, smallest_values(df, fields, samples), keep_ordinal)
     stats = _stats(df, fields, digits, approx, minmax=False)
     dv = distinct_values(df, fields)
     var = [n for n, f in enumerate(fields) if _var_width(f.dataType)]
@@ -191,12 +218,15 @@ def profile(df: DataFrame, skip: Iterable[str] = (), samples: int = 5,
                   .where(F.col("rn") <= samples)
                   .groupBy("ordinal")
                   .agg(_sample_agg().alias("Sample_Values")))
-    if approx:
-        uniques = stats.select("ordinal", F.col("approx_unique").alias("Unique_Values_Count"))
-    else:
-        uniques = dv.groupBy("ordinal").agg(F.count(F.lit(1)).alias("Unique_Values_Count"))
-    out = (stats.join(uniques, "ordinal", "left")
-           .join(sample_txt, "ordinal", "left")
+    uniques = dv.groupBy("ordinal").agg(F.count(F.lit(1)).alias("Unique_Values_Count"))
+    return _assemble(stats, uniques, sample_txt, keep_ordinal)
+
+
+def _assemble(stats: DataFrame, uniques: DataFrame, sample_txt: DataFrame,
+              keep_ordinal: bool) -> DataFrame:
+    """Join the per-column parts (each at most one row per column)."""
+    out = stats.drop("approx_unique").join(uniques, "ordinal", "left")
+    out = (out.join(sample_txt, "ordinal", "left")
            .select("ordinal", "Column_Name", "Data_Type", "Min_Value", "Max_Value",
                    F.coalesce("Unique_Values_Count", F.lit(0)).cast("bigint").alias("Unique_Values_Count"),
                    F.col("Missing_Values_Count").cast("bigint").alias("Missing_Values_Count"),
