@@ -30,13 +30,21 @@ def score_stream(spark: SparkSession, in_dir: str, schema: T.StructType, model:
     raw = reader.load(in_dir)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        valid, rejected = validate(batch, schema)
-        scored = score(valid, model, threshold).withColumn("batch_id", F.lit(batch_id))
-        (scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy("batch_id").parquet(out_dir))
-        if rejected_dir:
-            (rejected.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-                     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(rejected_dir))
+        # Scored and rejected rows are two writes of one batch: keep the
+        # batch's lines so the files are read once (a lost block is re-read
+        # from the source files by lineage).
+        lines = batch.persist() if rejected_dir else batch
+        try:
+            valid, rejected = validate(lines, schema)
+            scored = score(valid, model, threshold).withColumn("batch_id", F.lit(batch_id))
+            (scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                   .partitionBy("batch_id").parquet(out_dir))
+            if rejected_dir:
+                (rejected.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+                         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(rejected_dir))
+        finally:
+            if rejected_dir:
+                lines.unpersist()
 
     w = raw.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")

@@ -61,3 +61,31 @@ def test_metrics_stream_idempotent_total(spark, tmp_path):
     q.awaitTermination()
     got = {r.g: r.n for r in spark.read.parquet(out).groupBy("g").agg(F.sum("n").alias("n")).collect()}
     assert got == {0: 34, 1: 33, 2: 33}
+
+
+def test_score_stream_splits_valid_and_rejected(spark, tmp_path):
+    """M1 with a rejected sink: every record lands once, valid ones scored,
+    invalid ones kept with their errors."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.sql import types as T
+
+    from tabscore.streaming.scoring_stream import score_stream
+    train = spark.createDataFrame([(float(i), float(i % 2)) for i in range(40)], "x double, label double")
+    model = Pipeline(stages=[VectorAssembler(inputCols=["x"], outputCol="features"),
+                             LogisticRegression(maxIter=5)]).fit(train)
+    src = tmp_path / "in"
+    src.mkdir()
+    for part in range(3):
+        lines = [f'{{"k": {part * 10 + i}, "x": {i}.5}}' for i in range(5)] + [f'{{"k": {part}, "x": "bad"}}', "not json"]
+        (src / f"p{part}.json").write_text("\n".join(lines) + "\n")
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("x", T.DoubleType())])
+    out, rej = str(tmp_path / "out"), str(tmp_path / "rej")
+    q = score_stream(spark, str(src), schema, model, out, str(tmp_path / "ck"), 0.5,
+                     rejected_dir=rej, max_files_per_trigger=1)
+    q.awaitTermination()
+    scored = spark.read.parquet(out)
+    assert scored.count() == 15 and {"probability", "prediction"} <= set(scored.columns)
+    rejected = spark.read.parquet(rej).collect()
+    assert len(rejected) == 6 and all(len(r["errors"]) == 1 for r in rejected)
