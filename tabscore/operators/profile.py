@@ -1,7 +1,9 @@
 """Table profile: one row per column (D1-D7), value counts (D8), distinct
 values (D11), cardinality split (D12) and row counts (D13).
 
-Plan shape for ``profile`` (two scans, no per-column unions):
+Plan shape for ``profile`` (no per-column unions; the input is read by the
+aggregate, by the string min/max of the string columns only, and by the
+unpivot):
 
 * one global aggregate with ``count, min, max, avg, stddev_samp`` for every
   column: each task emits one partial row, so the shuffle is one row per task;
