@@ -1,9 +1,7 @@
 """Table profile: one row per column (D1-D7), value counts (D8), distinct
 values (D11), cardinality split (D12) and row counts (D13).
 
-Plan shape for ``profile`` (no per-column unions; the input is read by the
-aggregate, by the string min/max of the string columns only, and by the
-unpivot):
+Plan shape for ``profile`` (two column-pruned reads, no per-column unions):
 
 * one global aggregate with ``count, min, max, avg, stddev_samp`` for every
   column: each task emits one partial row, so the shuffle is one row per task;
@@ -198,21 +196,11 @@ def profile(df: DataFrame, skip: Iterable[str] = (), samples: int = 5,
         uniques = (long_values(df, fields).groupBy("ordinal")
                    .agg(F.approx_count_distinct(F.xxhash64("i", "x", "s"), 0.01).alias("Unique_Values_Count")))
         return _assemble(stats, uniques, smallest_values(df, fields, samples), keep_ordinal)
-    stats = _stats(df, fields, digits, approx, minmax=False)
+    # String min/max sit in the global aggregate too: one partial row per
+    # task either way, and a separate branch would read the input once more
+    # (measured: 2.7-3.0 s vs 3.4-3.6 s for the wide table at sf0.1).
+    stats = _stats(df, fields, digits, approx, minmax=True)
     dv = distinct_values(df, fields)
-    var = [n for n, f in enumerate(fields) if _var_width(f.dataType)]
-    if var:
-        # Text order is the typed order for these columns; one partial row
-        # per task over the distinct values only.
-        mm = dv.where(F.col("ordinal").isin(var)).agg(*[
-            a for n in var for a in (F.min(F.when(F.col("ordinal") == n, F.col("s"))).alias(f"mn{n}"),
-                                     F.max(F.when(F.col("ordinal") == n, F.col("s"))).alias(f"mx{n}"))])
-        mm = mm.select(F.explode(F.array(*[F.struct(F.lit(n).alias("ordinal"), F.col(f"mn{n}").alias("_mn"),
-                                                    F.col(f"mx{n}").alias("_mx")) for n in var])).alias("m")) \
-               .select("m.*")
-        stats = (stats.join(F.broadcast(mm), "ordinal", "left")
-                 .withColumn("Min_Value", F.coalesce("Min_Value", "_mn"))
-                 .withColumn("Max_Value", F.coalesce("Max_Value", "_mx")).drop("_mn", "_mx"))
     w = Window.partitionBy("ordinal").orderBy(F.col("k").asc_nulls_last(), "v")
     v, k = _text_and_key(fields)
     sample_txt = (dv.select("ordinal", v.alias("v"), k.alias("k"))
