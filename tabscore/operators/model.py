@@ -115,15 +115,15 @@ def prepare(df: DataFrame, target: str, keys: Sequence[str], test_size: float =
     test = split.where(F.col("split") == "test").withColumn("fold", F.lit(-1))
     both = train.unionByName(test)
     both = both.withColumn("label", col(target).cast("double"))
-    # K5 weights come from the training part only.
-    r = train.agg(F.count_if(col(target).cast("boolean")).alias("p"),
-                  F.count_if(~col(target).cast("boolean")).alias("n")).first()
-    ratio = float(r["n"]) / max(int(r["p"]), 1)
-    both = both.withColumn("weight", F.when(F.col("label") == 1.0, F.lit(ratio)).otherwise(F.lit(1.0)))
     if checkpoint:
         ensure_checkpoint_dir(df.sparkSession)
         both = both.checkpoint(eager=True)
-    return both
+    # K5 weights come from the training part only.  Counted after the
+    # checkpoint, so the split and fold plans run once, not twice.
+    r = both.where(F.col("split") == "train").agg(
+        F.count_if(F.col("label") == 1.0).alias("p"), F.count_if(F.col("label") == 0.0).alias("n")).first()
+    ratio = float(r["n"]) / max(int(r["p"]), 1)
+    return both.withColumn("weight", F.when(F.col("label") == 1.0, F.lit(ratio)).otherwise(F.lit(1.0)))
 
 
 def search(train: DataFrame, numeric: Sequence[str], params: list[dict], folds: int = 3,

@@ -169,3 +169,21 @@ def test_fallback_sample_brute_force(spark, cut):
         top = sorted(rows, key=lambda r: (-r[2], _md5(42, r[0]), r[0]))[:7]
         want |= {(r[0], "high_prob_true") for r in top}
     assert got == want
+
+
+def test_prepare_weights_from_training_rows(spark):
+    """K5 in ``prepare``: positives weigh n_neg / n_pos of the training part,
+    test rows have fold -1 and NULL labels are dropped."""
+    from tabscore.operators import model as mdl
+    from tabscore.plans import fixtures as fx
+    o = fx.orders_t(spark, SF001).select("o_orderkey", "o_totalprice", "done")
+    prep = mdl.prepare(o, "done", ["o_orderkey"], test_size=0.2, folds=3)
+    rows = prep.select("label", "weight", "split", "fold").collect()
+    assert len(rows) == o.where("done IS NOT NULL").count()
+    tr = [r for r in rows if r["split"] == "train"]
+    p = sum(r["label"] == 1.0 for r in tr)
+    n = sum(r["label"] == 0.0 for r in tr)
+    assert all(r["weight"] == pytest.approx(n / p) for r in rows if r["label"] == 1.0)
+    assert {r["weight"] for r in rows if r["label"] == 0.0} == {1.0}
+    assert {r["fold"] for r in rows if r["split"] == "test"} == {-1}
+    assert {r["fold"] for r in tr} == {0, 1, 2}
