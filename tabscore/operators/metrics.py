@@ -62,6 +62,20 @@ def fbeta(scored: DataFrame, label: str, score: str, beta: float = 2.0,
     return c.select(_fbeta_expr(F.col("tp"), F.col("fp"), F.col("fn"), beta).alias("fbeta"))
 
 
+def fbetas(scored: DataFrame, label: str, score: str, cuts: dict[str, tuple[float, bool]],
+           beta: float = 2.0) -> DataFrame:
+    """K10 at several thresholds in one pass: ``cuts`` maps an output name to
+    ``(threshold, strict)``; one row with one F-beta column per name."""
+    y, s = _pos(label), col(score)
+    aggs, outs = [], []
+    for i, (name, (t, strict)) in enumerate(cuts.items()):
+        pred = (s > F.lit(t)) if strict else (s >= F.lit(t))
+        aggs += [F.count_if(pred & y).alias(f"tp{i}"), F.count_if(pred & ~y).alias(f"fp{i}"),
+                 F.count_if(~pred & y).alias(f"fn{i}")]
+        outs.append(_fbeta_expr(F.col(f"tp{i}"), F.col(f"fp{i}"), F.col(f"fn{i}"), beta).alias(name))
+    return scored.agg(*aggs).select(*outs)
+
+
 # Scores are probabilities: fixed-width buckets over [0, 1] order them for
 # the running sums without an extra quantile pass (out-of-range scores are
 # clamped into the end buckets, which keeps the result exact).

@@ -65,3 +65,12 @@ def test_running_sums_match_pandas(spark):
     got = running_sums_desc(spark.createDataFrame(g), "s", ["v"], buckets=16).toPandas()
     m = want.merge(got, on="s", suffixes=("", "_g"))
     assert len(m) == len(g) and (m["cum_v"] == m["cum_v_g"]).all()
+
+
+def test_fbetas_one_pass_equals_single(spark):
+    from tabscore.operators import metrics as m
+    rows = [(i % 3 == 0, (i * 29 % 97) / 97.0) for i in range(300)]
+    s = spark.createDataFrame(rows, "y boolean, p double")
+    both = m.fbetas(s, "y", "p", {"a": (0.5, True), "b": (0.3, False)}, 2.0).first()
+    assert both["a"] == pytest.approx(m.fbeta(s, "y", "p", 2.0, 0.5, strict=True).first()[0])
+    assert both["b"] == pytest.approx(m.fbeta(s, "y", "p", 2.0, 0.3).first()[0])
