@@ -126,6 +126,10 @@ def prepare(df: DataFrame, target: str, keys: Sequence[str], test_size: float =
     return both.withColumn("weight", F.when(F.col("label") == 1.0, F.lit(ratio)).otherwise(F.lit(1.0)))
 
 
+# Upper bound on fits submitted side by side (each holds a driver thread).
+MAX_CONCURRENT_FITS = 32
+
+
 def search(train: DataFrame, numeric: Sequence[str], params: list[dict], folds: int = 3,
            parallelism: int | None = None, seed: int = 42, fixed: dict | None = None):
     """Cross-validate every parameter set on the ``fold`` column.
@@ -149,7 +153,9 @@ def search(train: DataFrame, numeric: Sequence[str], params: list[dict], folds:
         return i, f, evaluator.evaluate(m.transform(va))
 
     jobs = [(i, f) for i in range(len(params)) for f in range(folds)]
-    workers = parallelism or min(len(jobs), max(1, spark.sparkContext.defaultParallelism))
+    # Threads only submit jobs; Spark shares the cores among their tasks.
+    # Submitting every fit at once avoids a last fit running alone.
+    workers = parallelism or min(len(jobs), MAX_CONCURRENT_FITS)
     with ThreadPoolExecutor(max_workers=workers) as pool:
         results = list(pool.map(run, jobs))
     scores = [[s for i, f, s in results if i == t] for t in range(len(params))]
