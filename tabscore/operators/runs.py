@@ -77,3 +77,16 @@ def run_record(spark: SparkSession, run_id: str, params: dict, metrics: dict, ar
     a = spark.createDataFrame([(run_id, k, v) for k, v in artifacts.items()],
                               "run_id string, name string, uri string")
     return {"runs": runs, "run_params": p, "run_metrics": m, "run_artifacts": a}
+
+
+def log_run(spark: SparkSession, record: dict[str, DataFrame], root: str) -> dict[str, str]:
+    """Append a run's frames (``run_record``) to the run tables below
+    ``root``, one append-only Parquet folder per table, and return the folder
+    of each.  ``root`` belongs in the shared folder, so the tables outlive
+    the job and any executor."""
+    paths = {}
+    for name, df in record.items():
+        path = f"{root.rstrip('/')}/{name}"
+        df.write.mode("append").parquet(path)
+        paths[name] = path
+    return paths

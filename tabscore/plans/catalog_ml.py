@@ -128,6 +128,7 @@ def _log_run(spark, sf):
     rec = runs.run_record(spark, base.rsplit("/", 1)[-1], {**res.best_params, "skip_additional_columns":
                           fx.WIDE_SKIP_ADDITIONAL, "num_features_used": len(num), "optimal_threshold": res.threshold},
                           {"f2_score": res.f2_tuned}, {"model": model_uri}, meta)
+    rec = {name: spark.read.parquet(path) for name, path in runs.log_run(spark, rec, base + "/tables").items()}
     table = "run_metrics_" + base.rsplit("-", 1)[-1]
     runs.append_metric(runs.metric_row(spark, runs.PROJECT_NAME, "gbt", "f2_score", res.f2_tuned, model_uri),
                        table, base + "/run_metrics")

@@ -89,3 +89,14 @@ def test_score_stream_splits_valid_and_rejected(spark, tmp_path):
     assert scored.count() == 15 and {"probability", "prediction"} <= set(scored.columns)
     rejected = spark.read.parquet(rej).collect()
     assert len(rejected) == 6 and all(len(r["errors"]) == 1 for r in rejected)
+
+
+def test_log_run_appends(spark, tmp_path):
+    from tabscore.operators import runs
+    root = str(tmp_path / "runs")
+    for i in range(2):
+        rec = runs.run_record(spark, f"r{i}", {"depth": 4}, {"f2_score": 0.5 + i}, {"model": f"m{i}"}, {"k": i})
+        paths = runs.log_run(spark, rec, root)
+    assert sorted(paths) == ["run_artifacts", "run_metrics", "run_params", "runs"]
+    got = sorted((r["run_id"], r["value"]) for r in spark.read.parquet(paths["run_metrics"]).collect())
+    assert got == [("r0", 0.5), ("r1", 1.5)]
