@@ -1,7 +1,7 @@
 """Token-id shards with a minimal perfect hash index.
 
 ``write`` range-partitions the rows by key, encodes them and writes, per partition, one payload of raw ids
-(little-endian unsigned 32-bit, nothing else) and one index.  The index maps a key to its slot by a minimal
+(little-endian unsigned, 16-bit where every id of the vocabulary fits, else 32-bit; nothing else) and one index.  The index maps a key to its slot by a minimal
 perfect hash (levels of bit arrays; a key lands on the first level where its bit is its own; the slot is the rank of
 that bit).  A slot stores the key's 32-bit fingerprint, its first row and its row count; a row table stores where each row's
 ids begin.  So a keyed read costs a few array reads whatever the shard's size, and a key that isn't there is
@@ -85,8 +85,9 @@ class Lookup:
         return out
 
 
-def pack_shard(keys: list, starts) -> bytes:
-    """Index file: a JSON header line, then the arrays it names.  ``keys``: per row, ascending, None first."""
+def pack_shard(keys: list, starts, width: int = 4) -> bytes:
+    """Index file: a JSON header line, then the arrays it names.  ``keys``: per row, ascending, None first; ``width``:
+    bytes of an id in the payload."""
     import numpy as np
     nulls = sum(1 for k in keys if k is None)
     own = np.array(keys[nulls:], np.int64)
@@ -98,7 +99,7 @@ def pack_shard(keys: list, starts) -> bytes:
     table[slot, 1] = first + nulls
     table[slot, 2] = count
     parts = [np.packbits(x).tobytes() for x in levels] + [table.tobytes(), np.asarray(starts, "<u8").tobytes()]
-    head = {"nulls": nulls, "levels": [len(x) for x in levels], "keys": len(distinct), "rows": len(keys)}
+    head = {"nulls": nulls, "levels": [len(x) for x in levels], "keys": len(distinct), "rows": len(keys), "width": width}
     return json.dumps(head).encode() + b"\n" + b"".join(parts)
 
 
@@ -137,8 +138,11 @@ class Shard:
             yield from ((i, r) for r in range(self.head["nulls"]))
 
     def ids(self, row: int) -> bytes:
-        a, b = int(self.starts[row]), int(self.starts[row + 1])
-        return self.payload.read_at((b - a) * 4, a * 4)
+        """Ids of a row as little-endian unsigned 32-bit integers."""
+        import numpy as np
+        a, b, width = int(self.starts[row]), int(self.starts[row + 1]), self.head["width"]
+        data = self.payload.read_at((b - a) * width, a * width)
+        return data if width == 4 else np.frombuffer(data, "<u2").astype("<u4").tobytes()
 
 
 def filesystem(uri: str):
@@ -151,7 +155,7 @@ def filesystem(uri: str):
 # ---- encoding ------------------------------------------------------------------------------------------------------
 
 #: A full stop or comma that ends a word of Latin letters: the pre-tokenizer parts it from the word anyway.
-TAIL = re.compile(rb"(?:(?<=[a-z])|(?<=\xc3[\xa0-\xb6\xb8-\xbf]))[.,](?=[ \n]|\Z)")
+TAIL = re.compile(rb"[.,](?=[ \n]|\Z)(?:(?<=[a-z].)|(?<=\xc3[\xa0-\xb6\xb8-\xbf].))")
 
 
 class WordEncoder:
@@ -169,6 +173,7 @@ class WordEncoder:
         pre = json.dumps(spec.get("pre_tokenizer") or {})
         normal = json.dumps(spec.get("normalizer") or {})
         self.chunked = '"Removed"' in pre and "\\\\s\\\\p{L}\\\\p{N}" in pre and "Lowercase" in normal
+        self.largest = max(self.tokenizer.get_vocab(with_added_tokens=True).values())
         self.memory = ChunkMemory(self._encode_new)
 
     def _encode_new(self, chunks: list) -> list[list[int]]:
@@ -197,7 +202,9 @@ def write(df: DataFrame, folder: str, tokenizer_path: str, key: str = "doc_id",
 
     def run(batches):
         import numpy as np
-        own, end, keys, counts, out, path = encoder(tokenizer_path), np.array([end_id], "<u4").tobytes(), [], [], None, ""
+        own, keys, counts, out, path = encoder(tokenizer_path), [], [], None, ""
+        width = 2 if max(own.largest, end_id) < 1 << 16 else 4
+        end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             texts = [x if isinstance(x, str) else "" for x in batch["_text"]]
             for a, b in slices([len(x) for x in texts]):
@@ -207,7 +214,8 @@ def write(df: DataFrame, folder: str, tokenizer_path: str, key: str = "doc_id",
                     fs, at = filesystem(path)
                     fs.create_dir(at.rpartition("/")[0], recursive=True)
                     out = fs.open_output_stream(f"{at}.ids")
-                out.write(b"".join(x for p in packed for x in (p, end)))
+                joined = b"".join(x for p in packed for x in (p, end))
+                out.write(joined if width == 4 else np.frombuffer(joined, "<u4").astype("<u2").tobytes())
                 counts += [len(p) // 4 + 1 for p in packed]
             keys += [None if n else int(k) for k, n in zip(batch["_key"], batch["_null"])]
         if out is None:
@@ -215,7 +223,7 @@ def write(df: DataFrame, folder: str, tokenizer_path: str, key: str = "doc_id",
         out.close()
         starts = np.concatenate([[0], np.cumsum(np.array(counts, np.int64))])
         with fs.open_output_stream(f"{at}.idx") as f:
-            f.write(pack_shard(keys, starts))
+            f.write(pack_shard(keys, starts, width))
         real = [k for k in keys if k is not None]
         yield pd.DataFrame({"path": [path], "has_null": [keys[0] is None], "lo": [real[0] if real else None], "hi": [real[-1] if real else None],
                             "n_docs": [len(keys)], "n_ids": [int(starts[-1])]}).astype({"lo": "Int64", "hi": "Int64"})
