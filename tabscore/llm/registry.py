@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tabscore.llm import decontaminate, language_crf, license_scan, sentencepiece_codec, token_files, vector_join
+from tabscore.llm import decontaminate, language_crf, license_scan, near_documents, sentencepiece_codec, token_files, vector_join
 
-MODULES = [decontaminate, language_crf, vector_join, license_scan, sentencepiece_codec, token_files]
+MODULES = [near_documents, decontaminate, language_crf, vector_join, license_scan, sentencepiece_codec, token_files]
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in getattr(m, "ORACLE", {}).items()}
