@@ -54,7 +54,7 @@ def clock_via_parse(c: Column | str) -> Column:
     Raises (ANSI) for hour 24 or minutes ≥ 60, like the warehouse's PARSE_TIME."""
     t = (col(c) if isinstance(c, str) else c).cast("double")
     ti = F.round(t).cast("bigint")
-    txt = F.format_string("%02d:%02d", F.floor(ti / 100).cast("bigint"), F.pmod(ti, F.lit(100)))
+    txt = F.when(ti.isNotNull(), F.format_string("%02d:%02d", F.floor(ti / 100).cast("bigint"), F.pmod(ti, F.lit(100))))
     ts = F.to_timestamp(txt, "HH:mm")
     return (F.hour(ts) * 60 + F.minute(ts)).cast("bigint")
 

@@ -32,16 +32,3 @@ def unit_fraction(keys: Sequence[str], seed: int = 42) -> Column:
 def hash_bucket(keys: Sequence[str], buckets: int, seed: int = 42) -> Column:
     """Uniform bucket id in [0, buckets) taken from the md5 prefix."""
     return F.floor(unit_fraction(keys, seed) * F.lit(buckets)).cast("int")
-
-
-def prefix_below(h: Column, p: float) -> Column:
-    """``unit_fraction < p`` evaluated on an existing md5 hex column ``h``
-    without parsing it: the 8-hex-digit prefix is below ``ceil(p * 2^32)``,
-    and equal-length lowercase hex strings compare like the numbers."""
-    import math
-    if p >= 1.0:
-        return F.lit(True)
-    if p <= 0.0:
-        return F.lit(False)
-    cut = math.ceil(p * 4294967296.0)
-    return F.substring(h, 1, 8) < F.lit(f"{cut:08x}")

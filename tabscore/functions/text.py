@@ -73,20 +73,6 @@ def value_text(c: Column, dt: T.DataType) -> Column:
     return c.cast("string")
 
 
-def sort_key(c: Column, dt: T.DataType) -> Column:
-    """Numeric key that orders values by their typed order (NULL for text)."""
-    if isinstance(dt, (T.LongType, T.IntegerType, T.ShortType, T.ByteType,
-                       T.DoubleType, T.FloatType, T.DecimalType)):
-        return c.cast("double")
-    if isinstance(dt, T.BooleanType):
-        return c.cast("int").cast("double")
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if isinstance(dt, T.DateType):
-        return F.unix_date(c).cast("double")
-    return F.lit(None).cast("double")
-
-
 def round6(c: Column, digits: int | None = 6) -> Column:
     """Stable rounding for cross-engine comparison: ``round(x + 1e-9, d)``."""
     if digits is None:

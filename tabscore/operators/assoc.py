@@ -5,14 +5,12 @@
   equi-join back on the column name, equal-width bins over the joint range
   and a partial ``count`` per ``(column, class, bin)``.  All rows are used.
 * ``contingency``: every column is coded as a string (numeric → equal-width
-  bin over its range, categorical → value); each row emits one record per
-  column *pair* (pairs of columns, bounded by the schema, never pairs of
-  rows).  Whole code tuples are counted first (map-side combine), so pairs
-  are emitted per distinct tuple, and a partial ``sum`` per
-  ``(a, b, va, vb)`` builds all tables in one pass.
-* χ² and Cramér's V are SQL aggregates over those small tables; φ_K inverts
-  a bivariate-normal χ² per pair in ``applyInPandas`` (numpy, per-pair table
-  of at most ``bins × bins`` cells).
+  bin over its range, categorical → value); in blocks of one left column,
+  each row emits one record per partner *column* (never pairs of rows), and a
+  partial count per ``(a, b, va, vb)`` builds the block's tables.
+* χ² and Cramér's V are SQL aggregates over those tables, with margins by
+  aggregates and joins; φ_K inverts a bivariate-normal χ² per pair in
+  ``applyInPandas`` (numpy, on the most frequent values and a rest).
 """
 
 from __future__ import annotations
@@ -30,7 +28,8 @@ from tabscore.functions.text import col
 
 def _long(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     packed = df.select(*[col(k) for k in keep], *[col(c).cast("double").alias(c) for c in cols])
-    return (packed.unpivot(list(keep), list(cols), "column", "x").where(F.col("x").isNotNull()))
+    # NaN counts as missing: one NaN in a range would spoil every bin.
+    return (packed.unpivot(list(keep), list(cols), "column", "x").where(F.col("x").isNotNull() & ~F.isnan("x")))
 
 
 def class_histogram(df: DataFrame, cols: Sequence[str], target: str, bins: int = 100) -> DataFrame:
@@ -53,6 +52,12 @@ def class_histogram(df: DataFrame, cols: Sequence[str], target: str, bins: int =
                     (F.col("n") / (F.col("n_class") * width)).alias("density")))
 
 
+def _finite(name: str):
+    """A numeric column as double, NaN counting as missing."""
+    x = col(name).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def coded(df: DataFrame, num: Sequence[str], cat: Sequence[str], bins: int = 10) -> DataFrame:
     """Each column as a string code: numeric → equal-width bin index over the
     column's range (fit with one global aggregate), categorical → value."""
@@ -60,11 +65,12 @@ def coded(df: DataFrame, num: Sequence[str], cat: Sequence[str], bins: int = 10)
     if num:
         aggs = []
         for i, c in enumerate(num):
-            aggs += [F.min(col(c)).cast("double").alias(f"lo{i}"), F.max(col(c)).cast("double").alias(f"hi{i}")]
+            x = _finite(c)
+            aggs += [F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
         r = df.agg(*aggs).first()
         for i, c in enumerate(num):
             lo, hi = r[f"lo{i}"], r[f"hi{i}"]
-            x = col(c).cast("double")
+            x = _finite(c)
             if lo is None or hi == lo:
                 e = F.when(x.isNotNull(), F.lit(0))
             else:
@@ -84,24 +90,36 @@ def contingency(df: DataFrame, num: Sequence[str], cat: Sequence[str], bins: int
     pairs = list(pairs) if pairs is not None else [(names[i], names[j]) for i in range(len(names))
                                                    for j in range(i + 1, len(names))]
     c = coded(df, num, cat, bins)
-    # Pre-aggregate whole code tuples first (combines map-side; binned codes
-    # have few distinct tuples), then emit the pairs of each tuple once,
-    # weighted by its count.
-    tuples = c.groupBy(*[col(x) for x in names]).agg(F.count(F.lit(1)).alias("_w"))
-    recs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), col(a).alias("va"), col(b).alias("vb"))
-                     for a, b in pairs])
-    return (tuples.select(F.explode(recs).alias("r"), "_w").select("r.*", "_w")
-            .where(F.col("va").isNotNull() & F.col("vb").isNotNull())
-            .groupBy("a", "b", "va", "vb").agg(F.sum("_w").alias("n")))
+    # One block per left column: its rows emit one record per partner, which
+    # combines map-side into at most the cells of those pairs' tables, so a row
+    # never carries the records of all pairs at once.
+    blocks = {}
+    for a, b in pairs:
+        blocks.setdefault(a, []).append(b)
+    out = None
+    for a, partners in blocks.items():
+        recs = F.array(*[F.struct(F.lit(b).alias("b"), col(b).alias("vb")) for b in partners])
+        one = (c.where(col(a).isNotNull()).select(col(a).alias("va"), F.explode(recs).alias("r"))
+               .select(F.lit(a).alias("a"), "r.b", "va", "r.vb").where(F.col("vb").isNotNull())
+               .groupBy("a", "b", "va", "vb").agg(F.count(F.lit(1)).alias("n")))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _margins(ct: DataFrame) -> DataFrame:
+    """Contingency rows with the margins ``ra``, ``rb`` and the pair's total:
+    aggregates that combine map-side and joins, no window over a whole pair."""
+    ra = ct.groupBy("a", "b", "va").agg(F.sum("n").alias("ra"))
+    rb = ct.groupBy("a", "b", "vb").agg(F.sum("n").alias("rb"))
+    tot = ct.groupBy("a", "b").agg(F.sum("n").alias("_tot"))
+    return ct.join(ra, ["a", "b", "va"]).join(rb, ["a", "b", "vb"]).join(tot, ["a", "b"])
 
 
 def chi2_table(ct: DataFrame) -> DataFrame:
     """χ², degrees of freedom and Cramér's V per pair from contingency rows.
     Uses χ² = Σ O²/E − n summed over the non-empty cells only: an empty
     cell contributes E to Σ(O−E)²/E and E to Σ E, so it cancels."""
-    pa, pva, pvb = Window.partitionBy("a", "b"), Window.partitionBy("a", "b", "va"), Window.partitionBy("a", "b", "vb")
-    t = (ct.withColumn("_tot", F.sum("n").over(pa)).withColumn("ra", F.sum("n").over(pva))
-           .withColumn("rb", F.sum("n").over(pvb)))
+    t = _margins(ct)
     e = F.col("ra") * F.col("rb") / F.col("_tot")
     agg = t.groupBy("a", "b").agg(
         F.first("_tot").alias("n"), (F.sum(F.col("n") * F.col("n") / e) - F.first("_tot")).alias("chi2"),
@@ -200,8 +218,22 @@ def _phik_group(pdf: pd.DataFrame) -> pd.DataFrame:
                          "phik": [phik_from_table(tab.to_numpy(dtype=float))]})
 
 
-def phik_table(ct: DataFrame) -> DataFrame:
-    """D16 φ_K per pair; one pandas call per pair on its ≤ bins×bins table."""
+# Values a column keeps in a φ_K table; all further ones are one category.
+PHIK_VALUES = 200
+REST = "\x00rest"
+
+
+def phik_table(ct: DataFrame, values: int = PHIK_VALUES) -> DataFrame:
+    """D16 φ_K per pair, one pandas call per pair.  Within a pair a column
+    keeps its ``values`` most frequent values (ties by value) and the rest is
+    one category of its own, so no row is left out and a pair's table has at
+    most ``(values + 1)²`` cells, however many values the columns have."""
+    for v in ("va", "vb"):
+        w = Window.partitionBy("a", "b").orderBy(F.desc("n"), v)
+        top = (ct.groupBy("a", "b", v).agg(F.sum("n").alias("n")).withColumn("_r", F.row_number().over(w))
+               .where(F.col("_r") <= values).select("a", "b", v, F.lit(True).alias("_top")))
+        ct = (ct.join(top, ["a", "b", v], "left").withColumn(v, F.when(F.col("_top"), F.col(v)).otherwise(F.lit(REST)))
+              .groupBy("a", "b", "va", "vb").agg(F.sum("n").alias("n")))
     return ct.groupBy("a", "b").applyInPandas(_phik_group, "a string, b string, phik double")
 
 
@@ -224,6 +256,13 @@ def association_matrix(df: DataFrame, num: Sequence[str], cat: Sequence[str], bi
     return both.unionByName(diag)
 
 
+def add_flag(role_table: DataFrame, flags: DataFrame, name: str = "Phik_high_target", default: str = "unk") -> DataFrame:
+    """The role table with the high-association flag as a column (one row
+    per source column on both sides)."""
+    return (role_table.drop(name).join(flags.select("Column_Name", name), "Column_Name", "left")
+            .withColumn(name, F.coalesce(F.col(name), F.lit(default))))
+
+
 def flag_high(matrix: DataFrame, target: str, threshold: float = 0.85) -> DataFrame:
     """Columns whose |association| with the target exceeds the
     threshold (target itself excluded), by *name*."""

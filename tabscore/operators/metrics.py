@@ -76,17 +76,16 @@ def fbetas(scored: DataFrame, label: str, score: str, cuts: dict[str, tuple[floa
     return scored.agg(*aggs).select(*outs)
 
 
-# Scores are probabilities: fixed-width buckets over [0, 1] order them for
-# the running sums without an extra quantile pass (out-of-range scores are
-# clamped into the end buckets, which keeps the result exact).
-CURVE_BUCKETS = 1 << 16
+# Buckets of the distinct scores, cut at their own quantiles: scores of rare
+# events, squeezed into a sliver of [0, 1], still fill all buckets evenly.
+CURVE_BUCKETS = 4096
 
 
 def _curve(scored: DataFrame, label: str, score: str) -> DataFrame:
     y = _pos(label)
     per_score = scored.groupBy(col(score).cast("double").alias("s")).agg(
         F.count_if(y).alias("tp"), F.count_if(~y).alias("fp"))
-    return running_sums_desc(per_score, "s", ["tp", "fp"], buckets=CURVE_BUCKETS, value_range=(0.0, 1.0))
+    return running_sums_desc(per_score, "s", ["tp", "fp"], buckets=CURVE_BUCKETS)
 
 
 def curve_metrics(scored: DataFrame, label: str, score: str, beta: float = 2.0,

@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabscore.functions.hashing import order_hash, unit_fraction
@@ -49,26 +49,30 @@ def balanced_sample(df: DataFrame, target: str, n: int | None, keys: Sequence[st
                                   class_cols=[target])
 
 
-def test_quota(totals: dict, test_size: float) -> dict:
-    """J3 quotas: ``ceil(p * n)`` test rows in all; each class gets
-    ``floor(n_test * n_c / n)`` plus one for the largest remainders (ties by
-    class value)."""
-    total = sum(totals.values())
-    if not total:
-        return {}
-    n_test = int(math.ceil(test_size * total))
-    quota = {c: (n_test * n) // total for c, n in totals.items()}
-    rem = sorted(((-((n_test * n) % total), str(c), c) for c, n in totals.items()))
-    for _, _, c in rem[:n_test - sum(quota.values())]:
-        quota[c] += 1
-    return quota
+def test_quota(totals: DataFrame, test_size: float) -> DataFrame:
+    """J3 quotas ``(_k, _q)`` from class totals ``(_k, n)``: ``ceil(p * n)`` test
+    rows in all; each class gets ``floor(n_test * n_c / n)`` plus one for the
+    largest remainders (ties by class value).  The table has one row per class, and so has the window over it."""
+    whole = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    t = totals.withColumn("total", F.sum("n").over(whole).cast("decimal(19,0)"))
+    t = t.withColumn("n_test", F.ceil(F.lit(float(test_size)) * F.col("total").cast("double")).cast("decimal(19,0)"))
+    t = t.withColumns({"base": F.expr("cast((n_test * n) div total as bigint)"), "rem": F.expr("(n_test * n) % total")})
+    rank = F.row_number().over(Window.orderBy(F.desc("rem"), F.to_json("_k")))
+    extra = F.col("n_test").cast("bigint") - F.sum("base").over(whole)
+    return t.withColumns({"rank": rank, "extra": extra}).select(
+        "_k", (F.col("base") + F.when(F.col("rank") <= F.col("extra"), 1).otherwise(0)).alias("_q"))
 
 
 def stratified_split(df: DataFrame, target: str, test_size: float, keys: Sequence[str],
-                     seed: int = 42, split_col: str = "split") -> DataFrame:
+                     seed: int = 42, split_col: str = "split", exact: bool = True) -> DataFrame:
     """Exact per-class holdout (quotas from ``test_quota``); within a
-    class, the test rows are the smallest md5.  NULL labels are dropped."""
+    class, the test rows are the smallest md5.  NULL labels are dropped.
+    ``exact=False`` takes the md5 fraction instead: the share holds in
+    expectation, in one projection without a shuffle, for very large tables."""
     labelled = df.where(col(target).isNotNull())
+    if not exact:
+        test = unit_fraction(keys, seed) < F.lit(float(test_size))
+        return labelled.withColumn(split_col, F.when(test, F.lit("test")).otherwise(F.lit("train")))
     flagged = ranks.split_by_quota(labelled, [target], keys, lambda t: test_quota(t, test_size), seed,
                                    flag_col="_test")
     return (flagged.withColumn(split_col, F.when(F.col("_test"), F.lit("test")).otherwise(F.lit("train")))
@@ -106,17 +110,22 @@ def top_by_score(df: DataFrame, score: str, n: int, keys: Sequence[str]) -> Data
 def fallback_sample(df: DataFrame, prediction: str, score: str, label: str, n: int,
                     keys: Sequence[str], seed: int = 42) -> DataFrame:
     """n examples per group with the three-step fallback: predicted
-    positives; if there are none, the highest scores; then actual positives.
+    positives; if there are none, the highest scores (``high_prob_true``); if
+    no row has a score, actual positives (``actual_true``).
     The md5-ordered groups are exact top-n picks by dyadic cut (about 2n
     rows ranked per group), the score-ordered one a plain top-n, so no group
     is ranked whole in one task."""
-    has_pos = df.agg(F.count_if(col(prediction) == 1).alias("n")).first()["n"] > 0
+    has = df.agg(F.count_if(col(prediction) == 1).alias("pos"), F.count(col(score)).alias("scores")).first()
     negs = ranks.smallest_by_hash(df.where(col(prediction) == 0), n, keys, seed) \
         .withColumn("group", F.lit("false"))
-    if has_pos:
+    if has["pos"]:
         pos = ranks.smallest_by_hash(df.where(col(prediction) == 1), n, keys, seed) \
             .withColumn("group", F.lit("true"))
-    else:
-        pos = (df.orderBy(col(score).desc_nulls_last(), order_hash(keys, seed), *[col(k) for k in keys])
+    elif has["scores"]:
+        pos = (df.where(col(score).isNotNull())
+                 .orderBy(col(score).desc(), order_hash(keys, seed), *[col(k) for k in keys])
                  .limit(n).withColumn("group", F.lit("high_prob_true")))
+    else:
+        pos = ranks.smallest_by_hash(df.where(col(label).cast("int") == 1), n, keys, seed) \
+            .withColumn("group", F.lit("actual_true"))
     return pos.unionByName(negs)

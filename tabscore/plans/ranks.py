@@ -31,26 +31,8 @@ from tabscore.functions.hashing import order_hash, unit_fraction
 from tabscore.functions.text import col
 
 DEFAULT_BUCKETS = 1 << 18
-MAX_CLASSES = 10_000
-# Largest per-class quota ranked in one window task (about 2x this many rows).
-WINDOW_QUOTA = 1_000_000
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a frame over the cluster's cores when its scan yields fewer
-    partitions than cores (one large row group, say).  Real inputs at scale
-    already have more splits than cores, and then nothing is added."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        # Only look at shuffle-free plans (a scan with projections and
-        # filters): building the RDD of a plan with exchanges would run them
-        # under AQE, and such a frame already has shuffle-sized partitions.
-        if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-            return df
-        narrow = df.rdd.getNumPartitions() < cores
-    except Exception:  # noqa: BLE001 - no JVM handle (e.g. a Connect session): leave as is
-        return df
-    return df.repartition(cores) if narrow else df
+# Rows of a per-class table up to which it is sent to all executors (counted first).
+BROADCAST_CLASSES = 1_000_000
 
 
 def with_hash(df: DataFrame, keys: Sequence[str], seed: int = 42,
@@ -72,19 +54,21 @@ def rank_in_class(df: DataFrame, class_cols: Sequence[str], keys: Sequence[str],
     """Exact 1-based rank of every row inside its class by the seeded md5
     order.  Shuffles rows by (class, bucket); no cell is larger than about
     ``class size / buckets``."""
-    cls = [col(c) for c in class_cols]
-    h = with_hash(df, keys, seed, buckets)
-    cells = h.groupBy(*cls, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    prefix = Window.partitionBy(*cls).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    ck = [f"_c{i}" for i in range(len(class_cols))]
-    offsets = cells.select(*cls, F.col("_b").alias("_ob"),
-                           F.coalesce(F.sum("_n").over(prefix), F.lit(0)).alias("_off")).toDF(*ck, "_ob", "_off")
-    # Null-safe on the class, so a NULL class is ranked like any other.
-    cond = [h[c].eqNullSafe(offsets[k]) for c, k in zip(class_cols, ck)] + [h["_b"] == offsets["_ob"]]
-    in_cell = Window.partitionBy(*cls, "_b").orderBy(*_tie_break(keys))
-    return (h.join(offsets, cond, "inner").drop(*ck, "_ob")
+    # The class as one struct: never NULL itself, and NULL fields compare equal,
+    # so a NULL class is ranked like any other and the join and the window
+    # below share one hash partitioning of the rows.
+    h = with_hash(df, keys, seed, buckets).withColumn("_k", _class_key(class_cols))
+    cells = h.groupBy("_k", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    prefix = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cells.select("_k", "_b", F.coalesce(F.sum("_n").over(prefix), F.lit(0)).alias("_off"))
+    in_cell = Window.partitionBy("_k", "_b").orderBy(*_tie_break(keys))
+    return (h.join(offsets, ["_k", "_b"], "inner")
              .withColumn(rank_col, F.col("_off") + F.row_number().over(in_cell))
-             .drop("_h", "_f", "_b", "_off"))
+             .drop("_k", "_h", "_f", "_b", "_off"))
+
+
+def _class_key(class_cols: Sequence[str]) -> Column:
+    return F.struct(*[col(c).alias(f"c{i}") for i, c in enumerate(class_cols)], F.lit(0).alias("_"))
 
 
 def _class_match(class_cols: Sequence[str], values: tuple) -> Column:
@@ -100,18 +84,17 @@ def _dyadic_cut(k: int) -> str:
 
 
 def smallest_by_hash(df: DataFrame, quota: Mapping[tuple, int] | int, keys: Sequence[str],
-                     seed: int = 42, class_cols: Sequence[str] = (),
-                     window_limit: int = WINDOW_QUOTA) -> DataFrame:
+                     seed: int = 42, class_cols: Sequence[str] = ()) -> DataFrame:
     """Rows with the ``quota`` smallest order hashes (per class when
     ``class_cols`` is given): ``ORDER BY md5 LIMIT n`` in two passes.
 
     Pass 1 is one aggregate: per class, the number of rows whose md5 fraction
     is below 2^-k for k = 0..32.  The largest k whose count still reaches the
     quota gives a cut holding between n and 2n rows (or the whole class).
-    Pass 2 keeps the rows under each class's cut and ranks only those: with
-    one window per class while every quota is at most ``window_limit`` (about
-    2n rows in one task), else with ``rank_in_class`` over (class, bucket)
-    cells, so a large quota never lands in one task."""
+    Pass 2 keeps the rows under each class's cut and ranks only those, with
+    ``rank_in_class`` over (class, bucket) cells, so no quota lands in one
+    task.  ``quota`` names its classes, so the conditions built from it are
+    as many as the caller wrote."""
     if isinstance(quota, int):
         quota = {(): quota}
     quota = {c: n for c, n in quota.items() if n > 0}
@@ -132,15 +115,8 @@ def smallest_by_hash(df: DataFrame, quota: Mapping[tuple, int] | int, keys: Sequ
     limit = F.lit(0)
     for cls, n in quota.items():
         limit = F.when(_class_match(class_cols, cls), F.lit(n)).otherwise(limit)
-    if max(quota.values()) > window_limit:
-        ranked = rank_in_class(cand.drop("_h"), class_cols, keys, seed, rank_col="_rn")
-        return ranked.where(F.col("_rn") <= limit).drop("_rn")
-    # Candidates are at most about 2 × quota rows per class: an exact top-n
-    # per class in one window each.
-    w = Window.partitionBy(*[col(c) for c in class_cols]).orderBy(*_tie_break(keys))
-    return (cand.withColumn("_rn", F.row_number().over(w))
-                .where(F.col("_rn") <= limit)
-                .drop("_h", "_rn"))
+    ranked = rank_in_class(cand.drop("_h"), class_cols, keys, seed, rank_col="_rn")
+    return ranked.where(F.col("_rn") <= limit).drop("_rn")
 
 
 def leading_zeros32(h: Column) -> Column:
@@ -158,7 +134,7 @@ def leading_zeros32(h: Column) -> Column:
 
 
 def smallest_per_class(df: DataFrame, class_cols: Sequence[str], n: int, keys: Sequence[str],
-                       seed: int = 42, window_limit: int = WINDOW_QUOTA) -> DataFrame:
+                       seed: int = 42) -> DataFrame:
     """The ``n`` rows with the smallest order hashes in every class (classes
     found in the data, NULL being one), in two passes.
 
@@ -166,109 +142,78 @@ def smallest_per_class(df: DataFrame, class_cols: Sequence[str], n: int, keys: S
     rows, combined map-side.  Per class, the deepest dyadic cut that still
     holds n rows (or the whole class) is taken from that table.  Pass 2
     keeps the rows under their class's cut (about 2n per class) and ranks
-    only those, so no class sends more than that to one task however many
-    input tasks there are."""
+    only those, over (class, bucket) cells.  The cut table has one row per
+    class; it is counted, and broadcast when small, so that only candidates
+    are shuffled and never the table on its class."""
     if n <= 0:
         return df.where(F.lit(False))
-    cls = [col(c) for c in class_cols]
-    h = df.withColumn("_h", order_hash(keys, seed)).withColumn("_z", leading_zeros32(F.col("_h")))
-    counts = h.groupBy(*cls, "_z").agg(F.count(F.lit(1)).alias("_n"))
-    deeper = Window.partitionBy(*cls).orderBy(F.desc("_z")).rowsBetween(Window.unboundedPreceding, 0)
-    total = Window.partitionBy(*cls)
-    ck = [f"_c{i}" for i in range(len(class_cols))]
+    h = (df.withColumn("_h", order_hash(keys, seed)).withColumn("_z", leading_zeros32(F.col("_h")))
+           .withColumn("_k", _class_key(class_cols)))
+    counts = h.groupBy("_k", "_z").agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
+    deeper = Window.partitionBy("_k").orderBy(F.desc("_z")).rowsBetween(Window.unboundedPreceding, 0)
+    total = Window.partitionBy("_k")
     cuts = (counts.withColumn("_ge", F.sum("_n").over(deeper)).withColumn("_tot", F.sum("_n").over(total))
                   .where(F.col("_ge") >= F.least(F.lit(n), F.col("_tot")))
-                  .groupBy(*cls).agg(F.max("_z").alias("_k"))
-                  .toDF(*ck, "_k"))
-    # One row per class; AQE broadcasts it at run time when it is small.
-    cond = [h[c].eqNullSafe(cuts[k]) for c, k in zip(class_cols, ck)]
-    cand = h.join(cuts, cond, "inner").where(F.col("_z") >= F.col("_k")).drop(*ck, "_k", "_z")
-    if n > window_limit:
-        ranked = rank_in_class(cand.drop("_h"), class_cols, keys, seed, rank_col="_rn")
-        return ranked.where(F.col("_rn") <= n).drop("_rn")
-    w = Window.partitionBy(*cls).orderBy(*_tie_break(keys))
-    return cand.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_h", "_rn")
+                  .groupBy("_k").agg(F.max("_z").alias("_cut")))
+    cand = h.join(_sent(cuts), "_k", "inner").where(F.col("_z") >= F.col("_cut")).drop("_k", "_cut", "_z", "_h")
+    ranked = rank_in_class(cand, class_cols, keys, seed, rank_col="_rn")
+    return ranked.where(F.col("_rn") <= n).drop("_rn")
+
+
+def _sent(per_class: DataFrame) -> DataFrame:
+    """A per-class table, marked for broadcast if its counted rows are few
+    enough; beyond that AQE plans an ordinary join (and splits hot classes)."""
+    return F.broadcast(per_class) if per_class.count() <= BROADCAST_CLASSES else per_class
 
 
 def split_by_quota(df: DataFrame, class_cols: Sequence[str], keys: Sequence[str],
-                   quota: Mapping[tuple, int] | Callable[[dict], Mapping[tuple, int]], seed: int = 42,
+                   quota: Callable[[DataFrame], DataFrame], seed: int = 42,
                    buckets: int | None = None, flag_col: str = "is_first") -> DataFrame:
-    """Flag the ``quota[class]`` first rows of each class in md5 order, without
-    ranking all rows: whole buckets below the boundary bucket are in, whole
-    buckets above are out, and only the boundary bucket's rows are ranked.
-
-    ``quota`` may be a function of the per-class totals; the totals then come
-    from the (class, bucket) cell table, which is checkpointed (it has at most
-    classes × buckets rows) so the data is read three times in all: cells,
-    boundary bucket, final flags."""
-    cls = [col(c) for c in class_cols]
-    h = with_hash(df, keys, seed, buckets)
-    cells = h.groupBy(*cls, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    if callable(quota):
-        cells = cells.checkpoint(eager=True)
-        per_class = cells.groupBy(*cls).agg(F.sum("_n"))
-        # Quotas are per class and travel as a broadcast map: the class
-        # column must have few values (a label), not an id.
-        if per_class.limit(MAX_CLASSES + 1).count() > MAX_CLASSES:
-            raise ValueError(f"more than {MAX_CLASSES} classes; stratify on a label column")
-        totals = {tuple(r[:-1]): r[-1] for r in per_class.collect()}
-        quota = quota(totals)
-    run = Window.partitionBy(*cls).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    qexpr = F.lit(0)
-    for c, q in quota.items():
-        qexpr = F.when(_class_match(class_cols, c), F.lit(int(q))).otherwise(qexpr)
-    cum = cells.withColumn("_cum", F.sum("_n").over(run)).withColumn("_q", qexpr)
-    # Boundary bucket per class: the first bucket whose running count reaches
-    # the quota; ``_need`` rows of it belong to the first part.
-    bound = (cum.where(F.col("_cum") >= F.col("_q"))
-                .groupBy(*cls)
-                .agg(F.min_by(F.struct("_b", "_cum", "_n", "_q"), F.col("_b")).alias("s"))
-                .select(*class_cols, F.col("s._b").alias("_bb"),
-                        (F.col("s._q") - (F.col("s._cum") - F.col("s._n"))).alias("_need")))
-    # Hash of the last row taken from each boundary bucket (bounded: one row
-    # per class, and only one bucket of rows per class is ranked).
-    edge_rows = h.join(F.broadcast(bound), [*class_cols], "inner").where(F.col("_b") == F.col("_bb"))
-    w = Window.partitionBy(*cls).orderBy(*_tie_break(keys))
-    edge = (edge_rows.withColumn("_rn", F.row_number().over(w))
-                     .where(F.col("_rn") == F.col("_need"))
-                     .select(*class_cols, F.col("_h").alias("_hh")))
-    marks = bound.join(edge, [*class_cols], "left")
-    out = h.join(F.broadcast(marks), [*class_cols], "left")
-    first = (F.col("_bb").isNotNull() &
-             ((F.col("_b") < F.col("_bb")) |
-              ((F.col("_b") == F.col("_bb")) & F.col("_hh").isNotNull() & (F.col("_h") <= F.col("_hh")))))
-    # A class has no boundary bucket only when its quota exceeds its size;
-    # then all its rows are first.
-    total_q = F.lit(False)
-    for c, q in quota.items():
-        total_q = F.when(_class_match(class_cols, c), F.lit(q > 0)).otherwise(total_q)
-    first = F.when(F.col("_bb").isNull(), total_q).otherwise(first)
-    return out.withColumn(flag_col, first).drop("_h", "_f", "_b", "_bb", "_need", "_hh")
+    """Flag the first rows of each class in md5 order, as many as its quota,
+    without ranking all rows: whole buckets below the boundary bucket are in,
+    whole buckets above are out, and only the boundary bucket's rows are
+    ranked, so repeated keys cannot make a class exceed its quota (ties go by
+    a hash of the whole row).
+
+    ``quota`` maps the table of class totals ``(_k, n)`` to ``(_k, _q)``.  Totals come from the
+    (class, bucket) cell table, which is checkpointed (at most classes × buckets rows); the data is read three
+    times in all: cells, rows of boundary buckets, other rows.  A class may be NULL."""
+    h = with_hash(df, keys, seed, buckets).withColumn("_k", _class_key(class_cols))
+    cells = h.groupBy("_k", "_b").agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
+    quotas = quota(cells.groupBy("_k").agg(F.sum("_n").alias("n"))).select("_k", "_q")
+    run = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    cum = cells.withColumn("_cum", F.sum("_n").over(run)).join(quotas, "_k")
+    # Boundary bucket per class: the first whose running count reaches the
+    # quota; ``_need`` of its rows are in the first part.  A quota above the
+    # class's size has none: then all rows are first.
+    bound = (cum.groupBy("_k").agg(
+        F.min(F.when(F.col("_cum") >= F.col("_q"), F.struct("_b", (F.col("_q") - (F.col("_cum") - F.col("_n"))).alias("need")))).alias("s"))
+        .select("_k", F.col("s._b").alias("_bb"), F.col("s.need").alias("_need"))).checkpoint(eager=True)
+    marked = h.join(_sent(bound), "_k", "left")
+    at_bound = F.coalesce(F.col("_b") == F.col("_bb"), F.lit(False))
+    rest = marked.where(~at_bound).withColumn(flag_col, F.col("_bb").isNull() | (F.col("_b") < F.col("_bb")))
+    w = Window.partitionBy("_k").orderBy(*_tie_break(keys), F.xxhash64(*[col(c) for c in df.columns]))
+    edge = (marked.where(at_bound).withColumn("_rn", F.row_number().over(w))
+                  .withColumn(flag_col, F.col("_rn") <= F.col("_need")).drop("_rn"))
+    return rest.unionByName(edge).drop("_k", "_h", "_f", "_b", "_bb", "_need")
 
 
 def running_sums_desc(df: DataFrame, order_col: str, sum_cols: Sequence[str],
-                      buckets: int = 1024, value_range: tuple[float, float] | None = None) -> DataFrame:
+                      buckets: int = 1024) -> DataFrame:
     """Running sums of ``sum_cols`` over ``order_col`` descending (one row per
-    distinct order value expected).  Rows are cut into monotone buckets —
-    fixed-width over ``value_range`` (values outside are clamped into the end
-    buckets, which keeps the order) or, without a range, approximate-quantile
-    ranges (one extra pass).  Prefix offsets come from the bucket table
-    (≤ ``buckets`` rows, so broadcasting it is bounded); inside a bucket a
-    window adds the rest."""
-    o = col(order_col).cast("double")
-    if value_range is not None:
-        lo, hi = value_range
-        b = df.withColumn("_o", o).withColumn(
-            "_bk", F.least(F.greatest(F.floor((F.col("_o") - F.lit(lo)) / F.lit(hi - lo) * buckets),
-                                      F.lit(0)), F.lit(buckets - 1)).cast("double"))
-    else:
-        from pyspark.ml.feature import Bucketizer
-        probs = [i / buckets for i in range(1, buckets)]
-        q = df.agg(F.percentile_approx(o, probs, 10000).alias("q")).first()["q"]
-        splits = sorted({float(x) for x in (q or []) if x is not None and not math.isnan(x)})
-        splits = [-math.inf] + splits + [math.inf]
-        b = Bucketizer(splits=splits, inputCol="_o", outputCol="_bk", handleInvalid="keep") \
-            .transform(df.withColumn("_o", o))
+    distinct order value expected).  Rows are cut into monotone buckets at
+    approximate quantiles of the values themselves, so however the values are
+    squeezed together a bucket holds about ``rows / buckets`` of them.  Prefix
+    offsets come from the bucket table (at most ``buckets + 1`` rows, so
+    broadcasting it is bounded); inside a bucket a window adds the rest."""
+    from pyspark.ml.feature import Bucketizer
+    # A NULL value ranks below every other.
+    o = F.coalesce(col(order_col).cast("double"), F.lit(-math.inf))
+    probs = [i / buckets for i in range(1, buckets)]
+    q = df.agg(F.percentile_approx(o, probs, 10 * buckets).alias("q")).first()["q"]
+    cuts = sorted({float(x) for x in (q or []) if math.isfinite(x)})
+    b = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="_o", outputCol="_bk", handleInvalid="keep") \
+        .transform(df.withColumn("_o", o))
     totals = b.groupBy("_bk").agg(*[F.sum(c).alias(f"_t{i}") for i, c in enumerate(sum_cols)])
     prefix = Window.orderBy(F.desc("_bk")).rowsBetween(Window.unboundedPreceding, -1)
     offs = totals.select("_bk", *[F.coalesce(F.sum(f"_t{i}").over(prefix), F.lit(0)).alias(f"_o{i}")
@@ -278,3 +223,17 @@ def running_sums_desc(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     for i, c in enumerate(sum_cols):
         out = out.withColumn(f"cum_{c}", F.col(f"_o{i}") + F.sum(c).over(within))
     return out.drop("_o", "_bk", *[f"_o{i}" for i in range(len(sum_cols))])
+
+
+
+def with_place(ordered: DataFrame, name: str = "place") -> DataFrame:
+    """Number the rows of a sorted frame from 1 in the order they come: the
+    rows are written to the checkpoint folder, and a row's place is its number
+    within its partition plus the rows of the partitions before (a table of
+    one row per partition)."""
+    kept = ordered.checkpoint(eager=True).select(
+        "*", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_i"))
+    sizes = kept.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return kept.join(F.broadcast(offsets), "_p").withColumn(name, F.col("_off") + F.col("_i") + 1).drop("_p", "_i", "_off")

@@ -35,7 +35,15 @@ def scan_files(spark: SparkSession, paths: Sequence[str], year_pattern: str = r"
     if expected is not None:
         check_schema(df.schema, expected)
     year = F.regexp_extract(F.col("_metadata.file_path"), year_pattern, 1).cast("int")
-    return df.select("*", year.alias("year"))
+    return nan_to_null(df.select("*", year.alias("year")))
+
+
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """Floating-point NaN becomes NULL, the one missing value from here on (a
+    projection within the scan's stage)."""
+    return df.select(*[F.when(~F.isnan(tx.col(f.name)), tx.col(f.name)).alias(f.name)
+                       if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else tx.col(f.name)
+                       for f in df.schema.fields])
 
 
 def check_schema(actual: T.StructType, expected: T.StructType) -> None:
@@ -62,7 +70,8 @@ def write_yearly_files(df: DataFrame, date_col: str, path: str) -> DataFrame:
 def load_full_refresh(df: DataFrame, table: str, partition_by: Sequence[str] = (),
                       dynamic: bool = False, path: str | None = None) -> None:
     """A3: overwrite a catalog table; ``dynamic`` replaces only the partitions
-    present in ``df`` (a one-year refresh)."""
+    present in ``df`` (a one-year refresh).  NaN is loaded as NULL."""
+    df = nan_to_null(df)
     spark = df.sparkSession
     mode = "dynamic" if dynamic else "static"
     if dynamic and spark.catalog.tableExists(table):
@@ -87,7 +96,7 @@ def load_full_refresh(df: DataFrame, table: str, partition_by: Sequence[str] = (
 
 
 def _writer(df: DataFrame, mode: str, path: str | None):
-    w = df.write.mode(mode).format("parquet")
+    w = nan_to_null(df).write.mode(mode).format("parquet")
     return w.option("path", path) if path else w
 
 
@@ -150,16 +159,12 @@ def write_json(df: DataFrame, path: str, single_file: bool = False) -> None:
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str,
               multi_line: bool = False) -> DataFrame:
-    """JSON records with a fixed schema (no inference)."""
-    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    """JSON records with a fixed schema (no inference); a malformed
+    record fails the read, as in ``read_csv``."""
+    return spark.read.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
 
 
 def export_rows(df: DataFrame, label_col: str, path: str) -> None:
     """One CSV file per row, grouped into ``label=<value>`` folders."""
     (df.write.mode("overwrite").partitionBy(label_col).option("maxRecordsPerFile", 1)
        .option("header", True).csv(path))
-
-
-def append_rows(df: DataFrame, table: str, path: str | None = None) -> None:
-    """Append to a catalog table; failures raise (they are not swallowed)."""
-    _writer(df, "append", path).saveAsTable(table)

@@ -21,9 +21,11 @@ from tabscore.operators.scoring import score, validate
 
 
 def score_stream(spark: SparkSession, in_dir: str, schema: T.StructType, model: PipelineModel,
-                 out_dir: str, checkpoint: str, threshold: float = 0.5, rejected_dir: str | None = None,
+                 out_dir: str, rejected_dir: str, checkpoint: str, threshold: float = 0.5,
                  available_now: bool = True, max_files_per_trigger: int | None = None):
-    """M1: score every JSON-lines record file that lands in ``in_dir``."""
+    """M1: score every JSON-lines record file that lands in ``in_dir``.  Invalid
+    records go to ``rejected_dir`` with their errors: scored and rejected
+    rows together are the input's."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -33,18 +35,16 @@ def score_stream(spark: SparkSession, in_dir: str, schema: T.StructType, model:
         # Scored and rejected rows are two writes of one batch: keep the
         # batch's lines so the files are read once (a lost block is re-read
         # from the source files by lineage).
-        lines = batch.persist() if rejected_dir else batch
+        lines = batch.persist()
         try:
             valid, rejected = validate(lines, schema)
             scored = score(valid, model, threshold).withColumn("batch_id", F.lit(batch_id))
             (scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                    .partitionBy("batch_id").parquet(out_dir))
-            if rejected_dir:
-                (rejected.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-                         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(rejected_dir))
+            (rejected.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+                     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(rejected_dir))
         finally:
-            if rejected_dir:
-                lines.unpersist()
+            lines.unpersist()
 
     w = raw.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")

@@ -82,8 +82,7 @@ def test_score_stream_splits_valid_and_rejected(spark, tmp_path):
         (src / f"p{part}.json").write_text("\n".join(lines) + "\n")
     schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("x", T.DoubleType())])
     out, rej = str(tmp_path / "out"), str(tmp_path / "rej")
-    q = score_stream(spark, str(src), schema, model, out, str(tmp_path / "ck"), 0.5,
-                     rejected_dir=rej, max_files_per_trigger=1)
+    q = score_stream(spark, str(src), schema, model, out, rej, str(tmp_path / "ck"), 0.5, max_files_per_trigger=1)
     q.awaitTermination()
     scored = spark.read.parquet(out)
     assert scored.count() == 15 and {"probability", "prediction"} <= set(scored.columns)
@@ -100,3 +99,39 @@ def test_log_run_appends(spark, tmp_path):
     assert sorted(paths) == ["run_artifacts", "run_metrics", "run_params", "runs"]
     got = sorted((r["run_id"], r["value"]) for r in spark.read.parquet(paths["run_metrics"]).collect())
     assert got == [("r0", 0.5), ("r1", 1.5)]
+
+
+def test_malformed_json_line_fails_the_read(spark, tmp_path):
+    from tabscore.sources import tables as tb
+    (tmp_path / "r.json").write_text('{"a": 1, "b": 2.0}\n{"a": 1, "b"\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        tb.read_json(spark, str(tmp_path / "r.json"), "a long, b double").collect()
+
+
+def test_phik_keeps_the_rest_as_a_category(spark):
+    rows = [("a", "b", f"v{i % 300}", "xy"[i % 2], 1 + i % 5) for i in range(1200)]
+    ct = spark.createDataFrame(rows, "a string, b string, va string, vb string, n long")
+    out = assoc.phik_table(ct, values=10).collect()
+    assert len(out) == 1 and 0.0 <= out[0]["phik"] <= 1.0
+
+
+def test_phik_hand_worked():
+    """Two equal halves with correlation r: P(both low) = 1/4 + asin(r) / 2 pi, so the χ² of n rows is
+    n (2 asin(r) / pi)²; with the pedestal of one degree of freedom the value comes back."""
+    n, r = 100_000, 0.6
+    low = n * (0.25 + np.arcsin(r) / (2 * np.pi))
+    table = np.array([[low, n / 2 - low], [n / 2 - low, low]])
+    chi2 = n * (2 * np.arcsin(r) / np.pi) ** 2
+    back = np.sin(np.pi / 2 * np.sqrt((chi2 - 1) / n))
+    assert assoc.phik_from_table(table) == pytest.approx(back, abs=1e-6)
+
+
+def test_histogram_and_samples_with_nan_and_decimals(spark):
+    from decimal import Decimal
+    from tabscore.operators import profile as prof
+    df = spark.createDataFrame([(True, 1.0), (True, float("nan")), (False, 3.0)], "y boolean, x double")
+    assert sum(r["n"] for r in assoc.class_histogram(df, ["x"], "y", bins=4).collect()) == 2
+    vals = [Decimal(x) for x in ("10", "2.5", "-3", "100.2", "30", "9.1", "4")]
+    d = spark.createDataFrame([(v,) for v in vals], "d decimal(10,1)")
+    assert prof.sample_values(d).first()["Sample_Values"] == "-3.0, 2.5, 4.0, 9.1, 10.0"
+    assert prof.profile(d).first()["Sample_Values"] == prof.profile(d, approx=True).first()["Sample_Values"] == "-3.0, 2.5, 4.0, 9.1, 10.0"

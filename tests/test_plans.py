@@ -39,13 +39,35 @@ def test_projection_prunes_the_scan(spark):
     assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in p
 
 
-def test_first_per_class_ranks_only_candidates(spark):
+def test_first_per_class_moves_only_candidates(spark):
+    """Whatever the static broadcast threshold, the table's rows meet the
+    per-class cuts without an exchange: only candidates are shuffled."""
     o = read_table(spark, SF001, "orders")
-    p = _final_plan(smp.first_per_class(o, "o_orderpriority", 5, ["o_orderkey"]))
-    assert "WindowGroupLimit" in p
-    # The per-class cut is joined before any window sees the rows.
-    window_at = p.index("Window [row_number()")
-    assert "Join" in p[window_at:]
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        p = _plan(smp.first_per_class(o, "o_orderpriority", 5, ["o_orderkey"]))
+    finally:
+        spark.conf.set(key, before)
+    cut = p.index("BroadcastHashJoin")
+    assert "Exchange" not in p[cut:cut + p[cut:].index("FileScan")]
+
+
+def test_folds_use_one_exchange_for_join_and_window(spark):
+    """The class struct is the key of both, so rows move once: the plan has
+    the cell aggregate's exchange, its prefix window's, and one for the rows."""
+    o = fx.orders_t(spark, SF001).select("o_orderkey", "done")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        p = _plan(smp.stratified_folds(o, "done", 3, ["o_orderkey"]))
+    finally:
+        spark.conf.set(key, before)
+    join = p.index("SortMergeJoin")
+    above = p[:join]
+    assert "Exchange" not in above[above.index("Window"):]
 
 
 def test_no_query_plans_a_cartesian_product(spark):

@@ -81,11 +81,31 @@ def test_hash_fraction_matches_python(orders):
     assert got == want
 
 
-def test_test_quota_largest_remainder():
-    q = smp.test_quota({("a",): 7, ("b",): 3}, 0.25)
-    # n_test = ceil(2.5) = 3; exact shares 2.1 and 0.9 → floors 2, 0; remainder to b
-    assert q == {("a",): 2, ("b",): 1}
-    assert sum(smp.test_quota({(True,): 4933, (False,): 4979}, 0.2).values()) == math.ceil(0.2 * 9912)
+def quota_of(totals, p):
+    """Largest-remainder quotas in plain Python."""
+    total = sum(totals.values())
+    n_test = math.ceil(p * total)
+    out = {c: n_test * n // total for c, n in totals.items()}
+    for _, c in sorted((-(n_test * n % total), c) for c, n in totals.items())[:n_test - sum(out.values())]:
+        out[c] += 1
+    return out
+
+
+@pytest.mark.parametrize("totals,p", [({"a": 7, "b": 3}, 0.25), ({"x": 4933, "y": 4979}, 0.2), ({"a": 1}, 0.5), ({"p": 5, "q": 5, "r": 5}, 0.2)])
+def test_test_quota_largest_remainder(spark, totals, p):
+    df = spark.createDataFrame([((c, 0), n) for c, n in totals.items()], "_k struct<c0:string,_:int>, n long")
+    assert {r["_k"]["c0"]: r["_q"] for r in smp.test_quota(df, p).collect()} == quota_of(totals, p)
+
+
+def test_split_quota_holds_on_repeated_keys(spark):
+    rows = [(i % 7, "ab"[i % 3 == 0]) for i in range(210)]
+    df = spark.createDataFrame(rows, "k long, c string").repartition(6)
+    out = smp.stratified_split(df, "c", 0.2, ["k"])
+    got = {(r["c"], r["split"]): r["count"] for r in out.groupBy("c", "split").count().collect()}
+    want = quota_of({"a": 140, "b": 70}, 0.2)
+    assert got == {("a", "test"): want["a"], ("a", "train"): 140 - want["a"], ("b", "test"): want["b"], ("b", "train"): 70 - want["b"]}
+    loose = smp.stratified_split(spark.createDataFrame(rows, "k long, c string"), "c", 0.2, ["k"], exact=False)
+    assert "Exchange" not in loose._jdf.queryExecution().executedPlan().toString()
 
 
 def test_folds_from_fraction_without_shuffle(orders):
@@ -105,21 +125,18 @@ def test_split_exact_with_skewed_classes(spark, buckets, monkeypatch):
     split = {r.o_orderkey: r.split for r in smp.stratified_split(o, "o_orderstatus", 0.1, ["o_orderkey"]).collect()}
     totals = {}
     for _, c in rows:
-        totals[(c,)] = totals.get((c,), 0) + 1
-    quota = smp.test_quota(totals, 0.1)
-    for (cls,), q in quota.items():
+        totals[c] = totals.get(c, 0) + 1
+    for cls, q in quota_of(totals, 0.1).items():
         order = sorted([k for k, c in rows if c == cls], key=lambda k: _md5(42, k))
         assert [split[k] for k in order] == ["test"] * q + ["train"] * (len(order) - q)
 
 
-@pytest.mark.parametrize("window_limit", [1_000_000, 0])
-def test_smallest_by_hash_both_rank_paths(orders, window_limit):
-    """Large quotas rank through (class, bucket) cells; the result is the
-    same exact per-class md5 top-n as the one-window path."""
+def test_smallest_by_hash_per_class(orders):
+    """Exact per-class md5 top-n."""
     rows = [r for r in _rows(orders) if r[1] is not None]
     quota = {(True,): 40, (False,): 25}
     got = ranks.smallest_by_hash(orders.where("done IS NOT NULL"), quota, ["o_orderkey"], 42,
-                                 class_cols=["done"], window_limit=window_limit)
+                                 class_cols=["done"])
     want = set()
     for cls, n in quota.items():
         part = sorted((r for r in rows if r[1] == cls[0]), key=lambda r: (_md5(42, r[0]), r[0]))
@@ -136,12 +153,12 @@ def test_leading_zeros_exact(spark):
     assert got == [32 - v.bit_length() for v in vals]
 
 
-@pytest.mark.parametrize("n,window_limit", [(3, 1_000_000), (40, 1_000_000), (40, 0), (100000, 1_000_000)])
-def test_smallest_per_class_brute_force(spark, n, window_limit):
+@pytest.mark.parametrize("n", [3, 40, 100000])
+def test_smallest_per_class_brute_force(spark, n):
     from tabscore.plans import fixtures as fx
     o = fx.orders_t(spark, SF001).select("o_orderkey", "o_orderpriority", "done")
     rows = [(r.o_orderkey, r.done) for r in o.collect()]
-    got = ranks.smallest_per_class(o, ["done"], n, ["o_orderkey"], 42, window_limit=window_limit)
+    got = ranks.smallest_per_class(o, ["done"], n, ["o_orderkey"], 42)
     want = set()
     for cls in {r[1] for r in rows}:           # NULL is a class of its own
         part = sorted((r for r in rows if r[1] == cls), key=lambda r: (_md5(42, r[0]), r[0]))
