@@ -67,8 +67,8 @@ def class_weight(df: DataFrame, target: str, weight_col: str = "weight") -> Data
     return df.withColumn(weight_col, F.when(t, F.lit(ratio)).otherwise(F.lit(1.0)))
 
 
-def assembler(features: Sequence[str], impute: bool = True, output: str = "features"):
-    """K3: ``Imputer`` (median, with missing flags) + ``VectorAssembler``.
+def assembler(features: Sequence[str], impute: bool = True, output: str = "features", strategy: str = "median"):
+    """K3: ``Imputer`` (median by default, with missing flags) + ``VectorAssembler``.
     Spark trees have no missing-value branch, so NULLs are imputed and a 0/1
     missing flag per column keeps the information."""
     from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
@@ -78,7 +78,7 @@ def assembler(features: Sequence[str], impute: bool = True, output: str = "featu
         flags = ", ".join(f"CAST(`{c}` IS NULL AS DOUBLE) AS `{c}__missing`" for c in features)
         stages.append(SQLTransformer(statement=f"SELECT *, {flags} FROM __THIS__"))
         stages.append(Imputer(inputCols=list(features), outputCols=[c + "__imp" for c in features],
-                              strategy="median"))
+                              strategy=strategy))
         cols = [c + "__imp" for c in features] + [c + "__missing" for c in features]
     stages.append(VectorAssembler(inputCols=cols, outputCol=output, handleInvalid="error"))
     return stages

@@ -3,8 +3,8 @@
 
 The prepared frame (label, weight, fold, split) is checkpointed once into the
 shared checkpoint folder, so the many fits of the search read a short lineage
-and survive executor loss.  Fits run as Spark ML jobs; ``CrossValidator``
-the search runs all folds × parameter sets side by side in a thread pool.
+and survive executor loss.  Fits run as Spark ML jobs; the search submits
+all folds × parameter sets side by side from a thread pool.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from tabscore.functions.text import col
 from tabscore.operators import features as feat
 from tabscore.operators import metrics, sampling
+from tabscore.plans import ranks
 from tabscore.session import ensure_checkpoint_dir
 
 
@@ -52,9 +53,13 @@ def build_pipeline(classifier, preprocessor_stages) -> TwoStage:
                     {"preprocessor": pre, "classifier": classifier})
 
 
+# Boosting rounds of every fit unless the caller names others.
+ROUNDS = 100
+
+
 def classifier(params: dict | None = None, weight_col: str | None = "weight", seed: int = 42) -> GBTClassifier:
     """K6: binary gradient-boosted trees."""
-    p = {"maxDepth": 4, "stepSize": 0.1, "minInstancesPerNode": 10, "maxIter": 20, "subsamplingRate": 1.0}
+    p = {"maxDepth": 4, "stepSize": 0.1, "minInstancesPerNode": 10, "maxIter": ROUNDS, "subsamplingRate": 1.0}
     p.update(params or {})
     gbt = GBTClassifier(featuresCol="features", labelCol="label", seed=seed, **p)
     if weight_col:
@@ -108,12 +113,19 @@ def draw_params(n_trials: int, seed: int = 42, space: dict | None = None) -> lis
 def prepare(df: DataFrame, target: str, keys: Sequence[str], test_size: float = 0.2,
             folds: int = 3, seed: int = 42, checkpoint: bool = True) -> DataFrame:
     """label/weight/split/fold in one frame; NULL labels dropped; test rows
-    get fold -1.  Checkpointed to the shared folder when asked."""
+    get fold -1.  One ranking gives both: of a class, the ranks up to its
+    quota are test, the others go round the folds (the same rows as
+    ``stratified_split`` and ``stratified_folds``).  Checkpointed to the shared folder when asked."""
     labelled = df.where(col(target).isNotNull())
-    split = sampling.stratified_split(labelled, target, test_size, keys, seed)
-    train = sampling.stratified_folds(split.where(F.col("split") == "train"), target, folds, keys, seed)
-    test = split.where(F.col("split") == "test").withColumn("fold", F.lit(-1))
-    both = train.unionByName(test)
+    key = F.struct(col(target).alias("c0"), F.lit(0).alias("_")).alias("_k")
+    totals = labelled.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    quota = sampling.test_quota(totals, test_size)
+    ranked = ranks.rank_in_class(labelled, [target], keys, seed, rank_col="_rk").withColumn("_k", key)
+    both = (ranked.join(quota, "_k")
+            .withColumn("split", F.when(F.col("_rk") <= F.col("_q"), F.lit("test")).otherwise(F.lit("train")))
+            .withColumn("fold", F.when(F.col("split") == "test", F.lit(-1))
+                        .otherwise(F.pmod(F.col("_rk") - F.col("_q") - 1, F.lit(folds))).cast("int"))
+            .drop("_k", "_q", "_rk"))
     both = both.withColumn("label", col(target).cast("double"))
     if checkpoint:
         ensure_checkpoint_dir(df.sparkSession)
@@ -126,16 +138,19 @@ def prepare(df: DataFrame, target: str, keys: Sequence[str], test_size: float =
     return both.withColumn("weight", F.when(F.col("label") == 1.0, F.lit(ratio)).otherwise(F.lit(1.0)))
 
 
-# Upper bound on fits submitted side by side (each holds a driver thread).
-MAX_CONCURRENT_FITS = 32
+# Rows of a training frame per task: a small sample is one task per job, so that
+# the many short jobs of boosting don't pay for empty tasks.
+ROWS_PER_TASK = 50_000
 
 
 def search(train: DataFrame, numeric: Sequence[str], params: list[dict], folds: int = 3,
-           parallelism: int | None = None, seed: int = 42, fixed: dict | None = None):
-    """Cross-validate every parameter set on the ``fold`` column.
-    All trial × fold fits are submitted at once to a thread pool (each fit
-    is a chain of small Spark jobs, so running them side by side keeps the
-    cluster busy); returns the per-trial mean scores as a table and a list."""
+           parallelism: int = 32, seed: int = 42, fixed: dict | None = None,
+           evaluator: Evaluator | None = None) -> DataFrame:
+    """K8: cross-validate every parameter set on the ``fold`` column with any
+    Spark ML evaluator (the composite one by default).  Imputer and scaler are
+    fitted once per fold and shared by its trials.  ``parallelism`` fits are submitted side by side
+    (each is a chain of small Spark jobs, and a thread only submits them).
+    Returns ``(trial, fold, params, score)``."""
     from concurrent.futures import ThreadPoolExecutor
 
     spark = train.sparkSession
@@ -143,26 +158,28 @@ def search(train: DataFrame, numeric: Sequence[str], params: list[dict], folds:
     # input (GBT does), so fold parts are not cached here: caching k folds of
     # a full table would hold k copies of it.
     data = train.select(*numeric, "label", "weight", "fold")
-    parts = [(data.where(F.col("fold") != f), data.where(F.col("fold") == f)) for f in range(folds)]
-    evaluator = CompositeEvaluator()
+    evaluator = evaluator or CompositeEvaluator()
+
+    def prepared(f):
+        tr, va = data.where(F.col("fold") != f), data.where(F.col("fold") == f)
+        pre = Pipeline(stages=preprocessor(numeric)).fit(tr)
+        return pre.transform(tr), pre.transform(va)
 
     def run(job):
         i, f = job
         tr, va = parts[f]
-        m = fit_final(tr, numeric, {**(fixed or {}), **params[i]}, seed)
-        return i, f, evaluator.evaluate(m.transform(va))
-
-    jobs = [(i, f) for i in range(len(params)) for f in range(folds)]
-    # Threads only submit jobs; Spark shares the cores among their tasks.
-    # Submitting every fit at once avoids a last fit running alone.
-    workers = parallelism or min(len(jobs), MAX_CONCURRENT_FITS)
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        results = list(pool.map(run, jobs))
-    scores = [[s for i, f, s in results if i == t] for t in range(len(params))]
-    means = [sum(v) / len(v) for v in scores]
-    rows = [(i, json.dumps(p, sort_keys=True), float(m)) for i, (p, m) in enumerate(zip(params, means))]
-    table = spark.createDataFrame(rows, "trial int, params string, mean_score double")
-    return means, table
+        m = classifier({**(fixed or {}), **params[i]}, seed=seed).fit(tr)
+        return i, f, json.dumps(params[i], sort_keys=True), float(evaluator.evaluate(m.transform(va)))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        parts = list(pool.map(prepared, range(folds)))
+        results = list(pool.map(run, [(i, f) for i in range(len(params)) for f in range(folds)]))
+    return spark.createDataFrame(results, "trial int, fold int, params string, score double")
+
+
+def fold_means(fold_scores: DataFrame) -> DataFrame:
+    """``(trial, params, mean_score)`` from the fold scores."""
+    return fold_scores.groupBy("trial", "params").agg(F.avg("score").alias("mean_score"))
 
 
 def fit_final(train: DataFrame, numeric: Sequence[str], params: dict, seed: int = 42,
@@ -189,7 +206,7 @@ def importances(model: PipelineModel, numeric: Sequence[str], impute: bool = Tru
 class TrainResult:
     model: PipelineModel
     best_params: dict
-    cv_table: DataFrame
+    fold_scores: DataFrame
     threshold: float
     f2_default: float
     f2_tuned: float
@@ -198,20 +215,20 @@ class TrainResult:
 
 def train(df: DataFrame, numeric: Sequence[str], target: str, keys: Sequence[str],
           n_trials: int = 3, folds: int = 3, test_size: float = 0.2, seed: int = 42,
-          parallelism: int | None = None, fixed: dict | None = None, checkpoint: bool = True) -> TrainResult:
+          parallelism: int = 32, rounds: int = ROUNDS, checkpoint: bool = True,
+          evaluator: Evaluator | None = None, space: dict | None = None) -> TrainResult:
     """K8 → K6 → K14: search on the training folds, fit on all training rows,
     tune the threshold on a validation fold (a fit on the other folds), and
-    report F2 on the test rows at 0.5 and at the tuned threshold."""
+    report F2 on the test rows at 0.5 and at the tuned threshold.  ``rounds``: boosting rounds of every fit;
+    ``evaluator`` and ``space``: what the search maximises, and where."""
     prep = prepare(df.select(*keys, *[c for c in numeric if c not in keys], target), target, keys,
                    test_size, folds, seed, checkpoint)
+    prep = prep.coalesce(max(1, math.ceil(prep.count() / ROWS_PER_TASK)))
     tr = prep.where(F.col("split") == "train")
     te = prep.where(F.col("split") == "test")
-    params = draw_params(n_trials, seed)
-    if fixed:
-        params = [{**p, **fixed} for p in params]
-    means, table = search(tr, numeric, params, folds, parallelism, seed)
-    best_i = max(range(len(params)), key=lambda i: (means[i], -i))
-    best = params[best_i]
+    params = [{**p, "maxIter": rounds} for p in draw_params(n_trials, seed, space)]
+    scores = search(tr, numeric, params, folds, parallelism, seed, evaluator=evaluator)
+    best = params[fold_means(scores).orderBy(F.desc("mean_score"), "trial").first()["trial"]]
     # The validation fit (for the threshold) and the final fit are
     # independent: run them side by side.
     from concurrent.futures import ThreadPoolExecutor
@@ -224,4 +241,4 @@ def train(df: DataFrame, numeric: Sequence[str], target: str, keys: Sequence[str
     scored = with_score(final.transform(te))
     # Both test-part scores in one pass over the scored test rows.
     f2 = metrics.fbetas(scored, "label", "p1", {"default": (0.5, True), "tuned": (thr, False)}, 2.0).first()
-    return TrainResult(final, best, table, float(thr), float(f2["default"]), float(f2["tuned"]), scored)
+    return TrainResult(final, best, scores, float(thr), float(f2["default"]), float(f2["tuned"]), scored)

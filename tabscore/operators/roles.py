@@ -91,7 +91,7 @@ def drop_skipped(df: DataFrame, skip: Iterable[str], roles: Mapping[str, Sequenc
     return df.drop(*[c for c in skip if c in df.columns]), kept
 
 
-def flagged(role_table: DataFrame, flag_cols: Sequence[str] = ("Skip_reason_phik", "Data_leakage"),
+def flagged(role_table: DataFrame, flag_cols: Sequence[str] = ("Skip_reason_phik", "Phik_high_target", "Data_leakage"),
             default: str = DEFAULT) -> DataFrame:
     """Rows where any flag column differs from the default."""
     cond = F.lit(False)

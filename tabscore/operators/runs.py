@@ -64,12 +64,20 @@ def append_metric(df: DataFrame, table: str, path: str | None = None) -> None:
     w.format("parquet").saveAsTable(table)
 
 
+METADATA = "model_type string, optimal_threshold double, feature_columns array<string>, target_column string, f2_score double"
+
+
+def metadata_row(spark: SparkSession, meta: dict) -> DataFrame:
+    """A model's metadata as one row with typed columns."""
+    return spark.createDataFrame([tuple(meta.get(f.name) for f in T._parse_datatype_string(METADATA).fields)], METADATA)
+
+
 def run_record(spark: SparkSession, run_id: str, params: dict, metrics: dict, artifacts: dict,
                meta: dict) -> dict[str, DataFrame]:
-    """A run as four small frames (runs, params, metrics, artifacts)."""
+    """A run as four small frames (runs, params, metrics, artifacts); the
+    metadata are columns of ``runs``."""
     now = datetime.now(timezone.utc).replace(tzinfo=None)
-    runs = spark.createDataFrame([(run_id, now, json.dumps(meta, default=str))],
-                                 "run_id string, created timestamp, metadata string")
+    runs = metadata_row(spark, meta).select(F.lit(run_id).alias("run_id"), F.lit(now).alias("created"), "*")
     p = spark.createDataFrame([(run_id, k, json.dumps(v, default=str)) for k, v in params.items()],
                               "run_id string, key string, value string")
     m = spark.createDataFrame([(run_id, k, float(v)) for k, v in metrics.items()],

@@ -19,7 +19,9 @@ from tabscore.operators import profile as prof
 from tabscore.operators import roles as rl
 from tabscore.operators import sampling as smp
 from tabscore.plans import fixtures as fx
-from tabscore.sources.tables import read_table, select_columns, union_all
+from tabscore.plans import ranks, stored
+from tabscore.session import work_path
+from tabscore.sources.tables import read_table, select_columns, union_all, write_yearly_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -86,16 +88,18 @@ def d2_count_distinct(spark, sf):
     return prof.distinct_counts(df, df.columns)
 
 
-@register("d3_missing_count", _stats_sql(fx.WIDE_SQL, [("ship_hhmm", "double"), ("arr_hhmm", "double"),
-                                                      ("l_quantity", "double")], ["Missing_Values_Count"]))
+_WIDE_ALL = fx.WIDE_KINDS + [("ship_hhmm", "double"), ("arr_hhmm", "double"), ("ship_blk", "string")]
+
+
+@register("d3_missing_count", _stats_sql(fx.WIDE_SQL, _WIDE_ALL, ["Missing_Values_Count"]))
 def d3_missing_count(spark, sf):
-    df = fx.wide(spark, sf).select("ship_hhmm", "arr_hhmm", "l_quantity")
-    return prof.column_stats(df).select("Column_Name", "Missing_Values_Count")
+    return prof.column_stats(fx.wide(spark, sf)).select("Column_Name", "Missing_Values_Count")
 
 
-@register("d4_d5_mean_std", _stats_sql("lineitem", fx.LINEITEM_KINDS[:8], ["Mean_Value", "Std_Dev"]))
+@register("d4_d5_mean_std", _stats_sql("lineitem", [x for x in fx.LINEITEM_KINDS if x[1] in ("int", "double")], ["Mean_Value", "Std_Dev"]))
 def d4_d5_mean_std(spark, sf):
-    df = read_table(spark, sf, "lineitem").select(*[c for c, _ in fx.LINEITEM_KINDS[:8]])
+    df = read_table(spark, sf, "lineitem")
+    df = df.select(*[f.name for f in df.schema.fields if tx.is_numeric_name(tx.type_name(f.dataType))])
     return prof.column_stats(df, digits=6).select("Column_Name", "Mean_Value", "Std_Dev")
 
 
@@ -107,6 +111,20 @@ def d6_sample_values(spark, sf):
     return prof.sample_values(read_table(spark, sf, "orders"))
 
 
+def _decimal_sql(c: str) -> str:
+    return f"CAST({c} AS DECIMAL(12, 2))"
+
+
+@register("d6_samples_decimal", f"""SELECT 'price' AS Column_Name, (SELECT string_agg(CAST(v AS VARCHAR), ', ' ORDER BY v) FROM
+(SELECT DISTINCT {_decimal_sql('l_extendedprice')} - 20000 AS v FROM lineitem ORDER BY v LIMIT 5)) AS Sample_Values
+UNION ALL SELECT 'rate' AS Column_Name, (SELECT string_agg(CAST(v AS VARCHAR), ', ' ORDER BY v) FROM
+(SELECT DISTINCT CAST(l_discount AS DECIMAL(5, 4)) AS v FROM lineitem ORDER BY v LIMIT 5)) AS Sample_Values""")
+def d6_samples_decimal(spark, sf):
+    li = read_table(spark, sf, "lineitem")
+    return prof.sample_values(li.select((F.col("l_extendedprice").cast("decimal(12,2)") - F.lit(20000)).cast("decimal(13,2)").alias("price"),
+                                        F.col("l_discount").cast("decimal(5,4)").alias("rate")))
+
+
 @register("d8_value_counts", """SELECT o_orderpriority, COUNT(*) AS "count" FROM orders
 WHERE o_orderpriority IS NOT NULL GROUP BY o_orderpriority""")
 def d8_value_counts(spark, sf):
@@ -134,9 +152,10 @@ def d12_cardinality_split(spark, sf):
     return prof.cardinality_roles(read_table(spark, sf, "orders"), _CARD_COLS, k=5)
 
 
-@register("d13_shape", "SELECT COUNT(*) AS n_rows, 6 AS n_columns FROM orders")
+@register("d13_shape", """SELECT COUNT(*) AS n_rows, (SELECT CAST(COUNT(*) AS INTEGER) FROM information_schema.columns
+WHERE table_name = 'orders') AS n_columns FROM orders""")
 def d13_shape(spark, sf):
-    return prof.shape(read_table(spark, sf, "orders")).withColumn("n_columns", F.lit(6))
+    return prof.shape(read_table(spark, sf, "orders"))
 
 
 # ------------------------------------------------------------------ H / I: clock
@@ -179,13 +198,12 @@ def h3_time_blocks(spark, sf):
 
 
 @register("h4_clock_parse", f"""SELECT l_orderkey, l_linenumber, l_partkey, arr_hhmm,
-CAST(floor(round(arr_hhmm) / 100) * 60 + round(arr_hhmm) % 100 AS BIGINT) AS arr_minutes
-FROM {fx.WIDE_SQL} WHERE {_ttm_sql('arr_hhmm')} IS NOT NULL AND round(arr_hhmm) <> 2400""")
+CASE WHEN round(arr_hhmm) = 2400 THEN NULL ELSE {_ttm_sql('arr_hhmm')} END AS arr_minutes FROM {fx.WIDE_SQL}""")
 def h4_clock_parse(spark, sf):
-    w = fx.wide(spark, sf)
-    valid = w.where(clock.time_to_minutes("arr_hhmm").isNotNull() & (F.round("arr_hhmm") != 2400))
-    return valid.select("l_orderkey", "l_linenumber", "l_partkey", "arr_hhmm",
-                        clock.clock_via_parse("arr_hhmm").alias("arr_minutes"))
+    # The parse form covers what parses as a clock value; 24:00 and values off the clock are NULL.
+    ok = clock.time_to_minutes("arr_hhmm").isNotNull() & (F.round("arr_hhmm") != 2400)
+    return fx.wide(spark, sf).select("l_orderkey", "l_linenumber", "l_partkey", "arr_hhmm",
+                                     clock.clock_via_parse(F.when(ok, F.col("arr_hhmm"))).alias("arr_minutes"))
 
 
 @register("i1_sql_function", f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, arr_hhmm,
@@ -226,19 +244,16 @@ LEFT JOIN {_role_values(fx.WIDE_SKIP_REASONS, 'Skip_reason_phik')} s USING (Colu
 LEFT JOIN {_role_values(fx.WIDE_LEAKAGE, 'Data_leakage')} d USING (Column_Name))"""
 
 
-def role_table(spark, sf):
-    p = prof.profile(fx.wide(spark, sf), skip=fx.WIDE_PROFILE_SKIP, digits=6, keep_ordinal=True)
-    return rl.assign_roles(p, fx.WIDE_ROLES, fx.WIDE_SKIP_REASONS, fx.WIDE_LEAKAGE)
-
-
 @register("c1_role_lookup", f"SELECT * EXCLUDE (ordinal) FROM {ROLE_TABLE_SQL}")
 def c1_role_lookup(spark, sf):
-    return role_table(spark, sf).drop("ordinal")
+    return stored.role_table(spark, sf).drop("ordinal")
 
 
-@register("c2_role_invert", f"SELECT Column_Name, Role FROM {ROLE_TABLE_SQL}")
+@register("c2_role_invert", f"SELECT Column_Name, Role, ordinal IS NOT NULL AS in_table FROM {_role_values(fx.WIDE_ROLES, 'Role')} r "
+          f"LEFT JOIN (SELECT Column_Name, ordinal FROM {ROLE_TABLE_SQL}) t USING (Column_Name)")
 def c2_role_invert(spark, sf):
-    return role_table(spark, sf).select("Column_Name", "Role")
+    known = stored.stored_roles(spark, sf).select("Column_Name", F.lit(True).alias("in_table"))
+    return rl.invert(spark, fx.WIDE_ROLES, "Role").join(known, "Column_Name", "left").withColumn("in_table", F.coalesce("in_table", F.lit(False)))
 
 
 @register("c3_scalar_subquery", """SELECT 'l_returnflag' AS Column_Name, COUNT(DISTINCT l_returnflag) AS n_unique,
@@ -253,29 +268,13 @@ def c3_scalar_subquery(spark, sf):
       FROM {view}""")
 
 
-_FEATURES_MEMO: dict = {}
-
-
-def _features(spark, sf):
-    """Feature names, target and role table of the wide stand-in.  The name
-    lists are derived from the profile once per application and scale (the
-    role table is produced once and read by later steps)."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _FEATURES_MEMO:
-        rt = role_table(spark, sf)
-        num = rl.columns_by_role(rt, "num", skip=fx.WIDE_SKIP_ADDITIONAL, order_col="ordinal")
-        _FEATURES_MEMO[key] = (num, rl.target_column(rt, order_col="ordinal"))
-    num, tgt = _FEATURES_MEMO[key]
-    return num, tgt, role_table(spark, sf)
-
-
 # num minus skip, profile order: l_quantity, l_extendedprice, l_discount, l_tax (l_linenumber is 'hot').
 _FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 @register("b1_role_projection", f"SELECT {', '.join(_FEATURES)}, returned FROM {fx.WIDE_SQL}")
 def b1_role_projection(spark, sf):
-    num, tgt, _ = _features(spark, sf)
+    num, tgt, _ = stored.feature_names(spark, sf)
     return select_columns(fx.wide(spark, sf), num + [tgt])
 
 
@@ -340,13 +339,6 @@ def b8_bernoulli_sample(spark, sf):
     return smp.hash_fraction(read_table(spark, sf, "orders"), 0.1, ["o_orderkey"])
 
 
-@register("b9_sentinel_or", f"""SELECT Column_Name, Skip_reason_phik, Data_leakage FROM {ROLE_TABLE_SQL}
-WHERE Skip_reason_phik <> 'unk' OR Data_leakage <> 'unk'""")
-def b9_sentinel_or(spark, sf):
-    return rl.flagged(role_table(spark, sf), ["Skip_reason_phik", "Data_leakage"]) \
-        .select("Column_Name", "Skip_reason_phik", "Data_leakage")
-
-
 @register("b11_probability_cut", f"SELECT l_orderkey, l_linenumber, score, CAST(score >= 0.3 AS INTEGER) AS pred FROM {fx.SCORED_SQL}")
 def b11_probability_cut(spark, sf):
     s = fx.scored_lines(spark, sf)
@@ -383,13 +375,13 @@ def b13_typed_nulls(spark, sf):
   UNION ALL SELECT c AS Column_Name, 'config:skip_additional' AS reason
     FROM (VALUES {', '.join(f"('{c}')" for c in fx.WIDE_SKIP_ADDITIONAL)}) t(c))""")
 def b14_skip_table(spark, sf):
-    return rl.skip_table(role_table(spark, sf), {"skip_additional": fx.WIDE_SKIP_ADDITIONAL})
+    return rl.skip_table(stored.stored_roles(spark, sf), {"skip_additional": fx.WIDE_SKIP_ADDITIONAL})
 
 
 @register("k16_role_mapping", f"""SELECT CAST(ordinal AS INTEGER) AS ordinal, Column_Name AS "column", Role AS role
 FROM {ROLE_TABLE_SQL} WHERE Column_Name IN ({', '.join(f"'{c}'" for c in _FEATURES + ['returned'])})""")
 def k16_role_mapping(spark, sf):
-    num, tgt, rt = _features(spark, sf)
+    num, tgt, rt = stored.feature_names(spark, sf)
     return rl.role_mapping(rt, num + [tgt])
 
 
@@ -398,13 +390,15 @@ CASE Data_Type WHEN 'INTEGER' THEN 'bigint' WHEN 'FLOAT' THEN 'double' WHEN 'STR
   WHEN 'BOOLEAN' THEN 'boolean' WHEN 'TIMESTAMP' THEN 'timestamp' ELSE 'string' END AS spark_type,
 TRUE AS required FROM {ROLE_TABLE_SQL} WHERE Column_Name IN ({', '.join(f"'{c}'" for c in _FEATURES)})""")
 def l1_schema_fields(spark, sf):
-    num, tgt, rt = _features(spark, sf)
+    num, tgt, rt = stored.feature_names(spark, sf)
     return rl.schema_fields(rt, rl.role_mapping(rt, num + [tgt]))
 
 
-@register("f7_sorted_names", f"SELECT Column_Name, Role FROM {ROLE_TABLE_SQL} WHERE Role <> 'unk'")
+@register("f7_sorted_names", f"""SELECT Column_Name, Role, row_number() OVER (ORDER BY Role, Column_Name) AS place
+FROM {ROLE_TABLE_SQL} WHERE Role <> 'unk'""")
 def f7_sorted_names(spark, sf):
-    return role_table(spark, sf).where(F.col("Role") != "unk").select("Column_Name", "Role").orderBy("Role", "Column_Name")
+    rt = stored.stored_roles(spark, sf)
+    return ranks.with_place(rt.where(F.col("Role") != "unk").select("Column_Name", "Role").orderBy("Role", "Column_Name"))
 
 
 # ------------------------------------------------------------------ F, G, J: order, sets, samples
@@ -441,15 +435,17 @@ def f5_first_per_class(spark, sf):
         .select("o_orderkey", "o_orderpriority")
 
 
-@register("f6_sort_desc", """SELECT o_orderpriority, COUNT(*) AS n FROM orders GROUP BY o_orderpriority""")
+@register("f6_sort_desc", """SELECT o_orderpriority, n, row_number() OVER (ORDER BY n DESC, o_orderpriority) AS place
+FROM (SELECT o_orderpriority, COUNT(*) AS n FROM orders GROUP BY o_orderpriority)""")
 def f6_sort_desc(spark, sf):
-    return (read_table(spark, sf, "orders").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
-            .orderBy(F.desc("n"), "o_orderpriority"))
+    return ranks.with_place(read_table(spark, sf, "orders").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+                            .orderBy(F.desc("n"), "o_orderpriority"))
 
 
-@register("f8_hash_order", "SELECT o_orderkey, o_orderstatus FROM orders")
+@register("f8_hash_order", f"""SELECT o_orderkey, o_orderstatus, row_number() OVER (ORDER BY {_md5_sql('o_orderkey')}, o_orderkey) AS place
+FROM orders""")
 def f8_hash_order(spark, sf):
-    return smp.hash_order(read_table(spark, sf, "orders"), ["o_orderkey"]).select("o_orderkey", "o_orderstatus")
+    return ranks.with_place(smp.hash_order(read_table(spark, sf, "orders"), ["o_orderkey"]).select("o_orderkey", "o_orderstatus"))
 
 
 @register("f10_fallback_sample", f"""SELECT o_orderkey, grp AS "group" FROM (SELECT o_orderkey, grp,
@@ -460,11 +456,23 @@ def f10_fallback_sample(spark, sf):
     return smp.fallback_sample(o, "prediction", "score", "done", 5, ["o_orderkey"]).select("o_orderkey", "group")
 
 
-@register("g1_union_years", "SELECT *, year(o_orderdate) AS year FROM orders")
+@register("f10_fallback_actual", f"""SELECT o_orderkey, grp AS "group" FROM (SELECT o_orderkey, grp,
+row_number() OVER (PARTITION BY grp ORDER BY {_md5_sql('o_orderkey')}, o_orderkey) AS rn
+FROM (SELECT o_orderkey, 'false' AS grp FROM {fx.ORDERS_SQL} UNION ALL SELECT o_orderkey, 'actual_true' FROM {fx.ORDERS_SQL} WHERE done)) WHERE rn <= 5""")
+def f10_fallback_actual(spark, sf):
+    """No predicted positives and no scores: the third step."""
+    o = fx.orders_t(spark, sf).withColumns({"prediction": F.lit(0), "score": F.lit(None).cast("double")})
+    return smp.fallback_sample(o, "prediction", "score", "done", 5, ["o_orderkey"]).select("o_orderkey", "group")
+
+
+@register("g1_union_years", "SELECT *, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders")
 def g1_union_years(spark, sf):
-    o = read_table(spark, sf, "orders").withColumn("year", F.year("o_orderdate"))
-    years = range(1992, 2003)
-    return union_all([o.where(F.col("year") == y) for y in years] + [o.where(~F.col("year").between(1992, 2002))])
+    """One frame per yearly file, as they lie in the raw layer: each arm reads its own year only."""
+    path = work_path(spark, "g1")
+    o = read_table(spark, sf, "orders")
+    write_yearly_files(o, "o_orderdate", path)
+    years = sorted(r.year for r in spark.read.parquet(path).select("year").distinct().collect())
+    return union_all([spark.read.schema(o.schema).parquet(f"{path}/year={y}").withColumn("year", F.lit(y)) for y in years])
 
 
 @register("g4_distinct", "SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders")
@@ -514,6 +522,17 @@ def j3_stratified_split(spark, sf):
     return smp.stratified_split(o, "done", 0.2, ["o_orderkey"])
 
 
+@register("j3_split_repeated_keys", f"""WITH t AS (SELECT l_returnflag AS cls, COUNT(*) AS n FROM lineitem WHERE l_returnflag IS NOT NULL GROUP BY 1),
+q AS (SELECT cls, n, (n_test * n) // total AS base, n_test, row_number() OVER (ORDER BY (n_test * n) % total DESC, cls) AS rk
+  FROM (SELECT *, SUM(n) OVER () AS total, CAST(ceil(0.2 * SUM(n) OVER ()) AS BIGINT) AS n_test FROM t))
+SELECT cls AS l_returnflag, CAST(n AS BIGINT) AS n_rows, CAST(base + CASE WHEN rk <= n_test - SUM(base) OVER () THEN 1 ELSE 0 END AS BIGINT) AS n_test FROM q""")
+def j3_split_repeated_keys(spark, sf):
+    """Keys repeat in ``lineitem``; the quotas hold all the same."""
+    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_partkey")
+    s = smp.stratified_split(li, "l_returnflag", 0.2, ["l_orderkey", "l_linenumber"])
+    return s.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("split") == "test").alias("n_test"))
+
+
 @register("j4_stratified_folds", f"""SELECT o_orderkey, done, CAST((row_number() OVER (PARTITION BY done
 ORDER BY {_md5_sql('o_orderkey')}, o_orderkey) - 1) % 3 AS INTEGER) AS fold FROM {fx.ORDERS_SQL} WHERE done IS NOT NULL""")
 def j4_stratified_folds(spark, sf):

@@ -16,7 +16,8 @@ from tabscore.operators import roles as rl
 from tabscore.operators import sampling as smp
 from tabscore.operators.runs import RUN_METRICS_SCHEMA, append_metric
 from tabscore.plans import fixtures as fx
-from tabscore.plans.catalog import ORACLE, _features, register
+from tabscore.plans import stored
+from tabscore.plans.catalog import ORACLE, register
 from tabscore.session import work_path
 from tabscore.sources import tables as tb
 
@@ -45,6 +46,18 @@ def a1_multi_file_scan(spark, sf):
                      "o_orderpriority", "year")
 
 
+@register("a1_scan_nan", """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, COUNT(*) AS n, count_if(o_orderkey % 7 <> 0) AS n_price,
+MAX(CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END) AS top FROM orders GROUP BY 1""")
+def a1_scan_nan(spark, sf):
+    """Files with NaN prices: the scan yields NULL, so counts and maxima are of numbers only."""
+    o = tb.read_table(spark, sf, "orders")
+    base = work_path(spark, "a1_nan")
+    price = F.when(F.col("o_orderkey") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("o_totalprice"))
+    tb.write_yearly_files(o.withColumn("o_totalprice", price), "o_orderdate", base)
+    df = tb.scan_files(spark, [f"{base}/year=*/*.parquet"], year_pattern=r"year=(\d{4})")
+    return df.groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.count("o_totalprice").alias("n_price"), F.max("o_totalprice").alias("top"))
+
+
 @register("a2_schema_check", "SELECT CAST(year(o_orderdate) AS INTEGER) AS year, COUNT(*) AS n FROM orders GROUP BY 1")
 def a2_schema_check(spark, sf):
     base = _yearly_files(spark, sf)
@@ -53,6 +66,14 @@ def a2_schema_check(spark, sf):
     return df.groupBy("year").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _released(spark, table: str, path: str, columns):
+    """The rows of an external table, whose catalog entry is dropped: readers
+    of the result read its files."""
+    rows = spark.read.parquet(path).select(*columns)
+    spark.sql(f"DROP TABLE {table}")
+    return rows
+
+
 @register("a3_full_refresh", ORDERS_YEAR_SQL)
 def a3_full_refresh(spark, sf):
     t, path = _table_name("orders_load"), work_path(spark, "a3")
@@ -60,16 +81,22 @@ def a3_full_refresh(spark, sf):
     tb.load_full_refresh(o, t, ["year"], path=path)
     # One-year refresh with the same rows: dynamic overwrite keeps it idempotent.
     tb.load_full_refresh(o.where(F.col("year") == 1996), t, ["year"], dynamic=True, path=path)
-    return spark.table(t).select(*o.columns)
+    if spark.table(t).count() != o.count():
+        raise AssertionError("the refreshed table does not hold the rows")
+    return _released(spark, t, path, o.columns)
 
 
 @register("a4_create_or_replace", ORDERS_YEAR_SQL)
 def a4_create_or_replace(spark, sf):
     t, path = _table_name("orders_all"), work_path(spark, "a4")
     o = _orders_year(spark, sf)
-    parts = [o.where(F.col("year") == y) for y in range(1992, 2003)] + [o.where(~F.col("year").between(1992, 2002))]
+    base = _yearly_files(spark, sf)
+    years = sorted(r.year for r in spark.read.parquet(base).select("year").distinct().collect())
+    raw = tb.read_table(spark, sf, "orders").schema
+    parts = [spark.read.schema(raw).parquet(f"{base}/year={y}").withColumn("year", F.lit(y)) for y in years]
     tb.create_or_replace(tb.union_all(parts[:3]), t, path)
-    return tb.create_or_replace(tb.union_all(parts), t, path + "_v2").select(*o.columns)
+    tb.create_or_replace(tb.union_all(parts), t, path + "_v2")
+    return _released(spark, t, path + "_v2", o.columns)
 
 
 @register("a5_create_strict", ORDERS_YEAR_SQL)
@@ -82,7 +109,7 @@ def a5_create_strict(spark, sf):
         pass
     else:
         raise AssertionError("strict create replaced an existing table")
-    return out
+    return _released(spark, t, path, out.columns)
 
 
 @register("a6_column_scan", "SELECT o_orderkey AS __index_level_0__, o_totalprice AS \"total price\" FROM orders")
@@ -124,7 +151,7 @@ def a9_rows_per_file(spark, sf):
 
 @register("a10_json_artifact", ORACLE["k16_role_mapping"])
 def a10_json_artifact(spark, sf):
-    num, tgt, rt = _features(spark, sf)
+    num, tgt, rt = stored.feature_names(spark, sf)
     m = rl.role_mapping(rt, num + [tgt])
     path = work_path(spark, "a10")
     tb.write_json(m, path, single_file=True)
@@ -137,7 +164,7 @@ def a11_append_metrics(spark, sf):
     m = fx.run_metrics(spark, sf).withColumn("_part", F.pmod(F.hash("pipeline_uri"), F.lit(2)))
     append_metric(m.where(F.col("_part") == 0), t, path)
     append_metric(m.where(F.col("_part") == 1), t, path)
-    return spark.table(t).select(*[f.name for f in RUN_METRICS_SCHEMA.fields])
+    return _released(spark, t, path, [f.name for f in RUN_METRICS_SCHEMA.fields])
 
 
 _TYPE_CASE = ("CASE WHEN data_type IN ('BIGINT', 'INTEGER', 'SMALLINT', 'TINYINT') THEN 'INTEGER' "
@@ -160,14 +187,16 @@ def a13_json_records(spark, sf):
     return tb.read_json(spark, path, o.schema)
 
 
-@register("a14_prediction_sink", f"""SELECT o_orderkey, o_orderstatus, score, CAST(score >= 0.5 AS INTEGER) AS prediction
-FROM {fx.ORDERS_SQL}""")
+@register("a14_prediction_sink", f"""SELECT o_orderkey, o_orderstatus, score, CAST(score >= 0.5 AS INTEGER) AS prediction, sink
+FROM {fx.ORDERS_SQL}, (VALUES ('parquet'), ('csv'), ('json')) t(sink)""")
 def a14_prediction_sink(spark, sf):
+    """Written once as Parquet, then as CSV and JSON from there; all three are read back."""
     o = fx.orders_t(spark, sf).select("o_orderkey", "o_orderstatus", "score")
     scored = o.withColumn("prediction", (F.col("score") >= 0.5).cast("int"))
     path = work_path(spark, "a14")
-    scored.write.mode("overwrite").parquet(path + "/parquet")
-    tb.write_csv(scored, path + "/csv")
-    tb.write_json(scored, path + "/json")
-    return spark.read.parquet(path + "/parquet")
-
+    scored.write.parquet(path + "/parquet")
+    first = spark.read.parquet(path + "/parquet")
+    tb.write_csv(first, path + "/csv")
+    tb.write_json(first, path + "/json")
+    back = {"parquet": first, "csv": tb.read_csv(spark, path + "/csv", scored.schema), "json": tb.read_json(spark, path + "/json", scored.schema)}
+    return tb.union_all([df.select(*scored.columns, F.lit(name).alias("sink")) for name, df in back.items()])

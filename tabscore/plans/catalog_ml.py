@@ -3,18 +3,18 @@ K15, K17, L2-L4, A15, M1, M2).
 
 The training set is the reference's shape: a 10,000-row class-balanced
 sample (one third positives) of the wide table, 80/20 stratified holdout, 3
-trials × 3 folds.  One trained model per session and scale is memoised so
-that related queries reuse it.
+trials × 3 folds, 100 rounds.  The run is written once per source
+(``plans.stored``); the queries read its tables, and score with the best
+stored run's model and threshold.
 """
 
 from __future__ import annotations
 
-import json
-
-from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tabscore.functions import text as tx
 from tabscore.operators import features as feat
 from tabscore.operators import model as mdl
 from tabscore.operators import roles as rl
@@ -22,132 +22,136 @@ from tabscore.operators import runs
 from tabscore.operators import sampling as smp
 from tabscore.operators import scoring
 from tabscore.plans import fixtures as fx
-from tabscore.plans.catalog import _features, register
+from tabscore.plans import stored
+from tabscore.plans.catalog import _FEATURES, register
+from tabscore.plans.stored import KEYS
 from tabscore.session import work_path
 from tabscore.sources import tables as tb
 from tabscore.streaming import scoring_stream as st
 
-KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
-SAMPLE_SIZE = 10_000
-SEARCH_FIXED = {"maxIter": 10}
-
-_TRAINED: dict = {}
-
-
-def trained(spark, sf):
-    """Balanced sample → train (memoised per application and scale)."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _TRAINED:
-        num, tgt, rt = _features(spark, sf)
-        sample = smp.balanced_sample(fx.wide(spark, sf), tgt, SAMPLE_SIZE, KEYS)
-        res = mdl.train(sample, num, tgt, KEYS, n_trials=3, folds=3, fixed=SEARCH_FIXED)
-        _TRAINED[key] = (res, num, tgt, rt)
-    return _TRAINED[key]
+R6 = fx.sql_round
 
 
-@register("k3_assemble")
+@register("k3_assemble", f"""SELECT l_orderkey, l_linenumber, l_partkey, {R6('coalesce(ship_hhmm, AVG(ship_hhmm) OVER ())')} AS f0,
+{R6('coalesce(arr_hhmm, AVG(arr_hhmm) OVER ())')} AS f1, CAST(ship_hhmm IS NULL AS DOUBLE) AS f2, CAST(arr_hhmm IS NULL AS DOUBLE) AS f3
+FROM {fx.WIDE_SQL}""")
 def k3_assemble(spark, sf):
-    w = fx.wide(spark, sf).select("l_orderkey", "l_linenumber", "ship_hhmm", "arr_hhmm")
-    stages = feat.assembler(["ship_hhmm", "arr_hhmm"], impute=True, output="features")
     from pyspark.ml import Pipeline
-    out = Pipeline(stages=stages).fit(w).transform(w)
-    return out.select("l_orderkey", "l_linenumber", vector_to_array("features").alias("features"))
+    w = fx.wide(spark, sf).select("l_orderkey", "l_linenumber", "l_partkey", "ship_hhmm", "arr_hhmm")
+    stages = feat.assembler(["ship_hhmm", "arr_hhmm"], impute=True, output="features", strategy="mean")
+    out = Pipeline(stages=stages).fit(w).transform(w).withColumn("v", vector_to_array("features"))
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", *[tx.round6(F.col("v")[i]).alias(f"f{i}") for i in range(4)])
 
 
-@register("k4_categorical", """SELECT l_orderkey, l_linenumber,
+@register("k4_categorical", """SELECT l_orderkey, l_linenumber, l_partkey,
 CAST(CASE l_linestatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS DOUBLE) AS l_linestatus__idx,
-CAST(CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 WHEN 'R' THEN 2 ELSE 3 END AS DOUBLE) AS l_returnflag__idx
+CAST(CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 WHEN 'R' THEN 2 ELSE 3 END AS DOUBLE) AS l_returnflag__idx,
+CAST(l_linestatus = 'F' AS DOUBLE) AS is_f, CAST(l_linestatus = 'O' AS DOUBLE) AS is_o
 FROM lineitem""")
 def k4_categorical(spark, sf):
     from pyspark.ml import Pipeline
-    li = tb.read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_linestatus", "l_returnflag")
+    li = tb.read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_linestatus", "l_returnflag")
     stages = feat.categorical_stages(["l_returnflag"], ["l_linestatus"])
     out = Pipeline(stages=stages).fit(li).transform(li)
-    return out.select("l_orderkey", "l_linenumber", "l_linestatus__idx", "l_returnflag__idx")
+    hot = next(s for s in stages if s.hasParam("outputCols") and "OneHot" in type(s).__name__).getOutputCols()[0]
+    v = vector_to_array(hot)
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_linestatus__idx", "l_returnflag__idx", v[0].alias("is_f"), v[1].alias("is_o"))
 
 
 @register("k6_gbt_fit")
 def k6_gbt_fit(spark, sf):
-    res, *_ = trained(spark, sf)
-    return res.test_scored.select(*KEYS, "label", F.col("p1").alias("probability"), "prediction")
+    """Test rows as the final fit scored them."""
+    return spark.read.parquet(f"{stored.trained_run(spark, sf)}/test_scored")
 
 
 @register("k7_two_stage")
 def k7_two_stage(spark, sf):
-    res, num, tgt, _ = trained(spark, sf)
-    two = mdl.build_pipeline(mdl.classifier(), mdl.preprocessor(num))
-    rows = [("preprocessor", type(s).__name__) for s in two.named_steps["preprocessor"]] + \
-           [("classifier", type(two.named_steps["classifier"]).__name__)]
-    fitted = [type(s).__name__ for s in res.model.stages]
-    return spark.createDataFrame([(i, n, c, fitted[i]) for i, (n, c) in enumerate(rows)],
-                                 "position int, step string, stage string, fitted string")
+    """The two stages applied to the wide table one after the other: the size of the preprocessor's vector and the classifier's score."""
+    num, tgt, _ = stored.feature_names(spark, sf)
+    model, _ = stored.best_model(spark, stored.trained_run(spark, sf))
+    rows = fx.wide(spark, sf).select(*KEYS, *[c for c in num if c not in KEYS])
+    for stage in model.stages[:-1]:
+        rows = stage.transform(rows)
+    out = model.stages[-1].transform(rows)
+    return out.select(*KEYS, F.size(vector_to_array("features")).alias("n_features"), vector_to_array("probability")[1].alias("probability"))
 
 
 @register("k8_search")
 def k8_search(spark, sf):
-    res, *_ = trained(spark, sf)
-    return res.cv_table
+    """Scores of every trial and fold."""
+    return spark.read.parquet(f"{stored.trained_run(spark, sf)}/fold_scores")
 
 
 @register("d14_fold_means")
 def d14_fold_means(spark, sf):
-    res, *_ = trained(spark, sf)
-    t = res.cv_table
-    return t.select("trial", "mean_score", (F.col("mean_score") == t.agg(F.max("mean_score")).first()[0]).alias("best"))
+    t = mdl.fold_means(spark.read.parquet(f"{stored.trained_run(spark, sf)}/fold_scores"))
+    best = t.orderBy(F.desc("mean_score"), "trial").first()["trial"]  # a row per trial
+    return t.select("trial", "mean_score", (F.col("trial") == best).alias("best"))
+
+
+_ALL_KEYS = f"SELECT {', '.join(KEYS)}, TRUE AS by_threshold FROM {fx.WIDE_SQL}"
+
+
+def _scored(spark, sf, extra=()):
+    """The wide table scored with the best stored run and its threshold."""
+    num, _, _ = stored.feature_names(spark, sf)
+    model, threshold = stored.best_model(spark, stored.trained_run(spark, sf))
+    rows = fx.wide(spark, sf).select(*KEYS, *[c for c in num if c not in KEYS], *extra)
+    return scoring.score(rows, model, threshold), threshold
 
 
-@register("k9_predict")
+def _checked(scored, threshold):
+    """Row identity, and whether the prediction is the probability's cut."""
+    return scored.select(*KEYS, ((F.col("prediction") == 1) == (F.col("probability") >= F.lit(threshold))).alias("by_threshold"))
+
+
+@register("k9_predict", _ALL_KEYS)
 def k9_predict(spark, sf):
-    res, num, tgt, _ = trained(spark, sf)
-    return scoring.score(fx.wide(spark, sf).select(*KEYS, *[c for c in num if c not in KEYS], tgt),
-                         res.model, res.threshold)
+    return _checked(*_scored(spark, sf))
 
 
 @register("k14_tuned_threshold")
 def k14_tuned_threshold(spark, sf):
-    res, *_ = trained(spark, sf)
-    return spark.createDataFrame([(res.threshold, res.f2_default, res.f2_tuned, json.dumps(res.best_params))],
-                                 "optimal_threshold double, f2_at_default double, f2_at_threshold double, params string")
+    base = stored.trained_run(spark, sf)
+    m = stored.run_table(spark, base, "run_metrics").groupBy("run_id").pivot("key", ["f2_default", "f2_score"]).agg(F.first("value"))
+    return stored.run_table(spark, base, "runs").join(m, "run_id").select(
+        "optimal_threshold", F.col("f2_default").alias("f2_at_default"), m["f2_score"].alias("f2_at_threshold"))
 
 
-@register("k15_importances")
+@register("k15_importances", f"""SELECT c AS feature_name, TRUE AS in_range FROM (VALUES {', '.join(f"('{c}')" for c in _FEATURES)}) t(c)""")
 def k15_importances(spark, sf):
-    res, num, *_ = trained(spark, sf)
-    return mdl.importances(res.model, num)
-
-
-def _log_run(spark, sf):
-    res, num, tgt, rt = trained(spark, sf)
-    base = work_path(spark, "run")
-    model_uri = base + "/model"
-    res.model.write().overwrite().save(model_uri)
-    tb.write_csv(mdl.importances(res.model, num), base + "/feature_importances", single_file=True)
-    tb.write_json(rl.role_mapping(rt, num + [tgt]), base + "/columns_roles", single_file=True)
-    meta = {"model_type": "gbt_pipeline", "optimal_threshold": res.threshold, "feature_columns": num,
-            "target_column": tgt, "f2_score": res.f2_tuned}
-    rec = runs.run_record(spark, base.rsplit("/", 1)[-1], {**res.best_params, "skip_additional_columns":
-                          fx.WIDE_SKIP_ADDITIONAL, "num_features_used": len(num), "optimal_threshold": res.threshold},
-                          {"f2_score": res.f2_tuned}, {"model": model_uri}, meta)
-    rec = {name: spark.read.parquet(path) for name, path in runs.log_run(spark, rec, base + "/tables").items()}
-    table = "run_metrics_" + base.rsplit("-", 1)[-1]
-    runs.append_metric(runs.metric_row(spark, runs.PROJECT_NAME, "gbt", "f2_score", res.f2_tuned, model_uri),
-                       table, base + "/run_metrics")
-    return rec, table, model_uri, res
-
-
-@register("k17_run_record")
+    """Every feature has one importance within [0, 1], and they add up to 1."""
+    imp = tb.read_csv(spark, f"{stored.trained_run(spark, sf)}/feature_importances", "feature_name string, importance double")
+    off = abs(imp.agg(F.sum("importance")).first()[0] - 1)
+    return imp.select("feature_name", (F.col("importance").between(0, 1) & F.lit(off < 1e-6)).alias("in_range"))
+
+
+@register("k17_run_record", """SELECT * FROM (VALUES ('artifact', 'model'), ('artifact', 'feature_importances'), ('artifact', 'columns_roles'), ('artifact', 'model_metadata'),
+('metric', 'f2_score'), ('metric', 'f2_default'), ('param', 'maxDepth'), ('param', 'stepSize'), ('param', 'minInstancesPerNode'), ('param', 'maxIter'),
+('param', 'skip_additional_columns'), ('param', 'num_features_used'), ('param', 'optimal_threshold'), ('model_type', 'gbt_pipeline'), ('target', 'returned'), ('run', 'threshold agrees')) t(part, "key")""")
 def k17_run_record(spark, sf):
-    rec, table, *_ = _log_run(spark, sf)
-    return rec["run_params"].unionByName(rec["run_metrics"].select("run_id", "key", F.col("value").cast("string")))
+    """The run's tables read back: names of artefacts, metrics and parameters, and metadata by column."""
+    base = stored.trained_run(spark, sf)
+    read = lambda name: stored.run_table(spark, base, name)
+    meta, params = read("runs"), read("run_params")
+    same = meta.join(params.where("key = 'optimal_threshold'"), "run_id").where(F.col("value").cast("double") == F.col("optimal_threshold"))
+    parts = [read("run_artifacts").select(F.lit("artifact").alias("part"), F.col("name").alias("key")), read("run_metrics").select(F.lit("metric"), "key"),
+             params.select(F.lit("param"), "key"), meta.select(F.lit("model_type"), "model_type"), meta.select(F.lit("target"), "target_column"),
+             same.select(F.lit("run"), F.lit("threshold agrees"))]
+    return tb.union_all(parts, by_name=False)
 
 
-@register("a15_model_artifact")
+_N_SAMPLE = stored.SAMPLE_SIZE // 3
+
+
+@register("a15_model_artifact", f"""SELECT n_test, n_test AS n_same FROM (SELECT CAST(ceil(0.2 * (least(count_if(returned), {_N_SAMPLE})
+  + least(count_if(NOT returned), {stored.SAMPLE_SIZE - _N_SAMPLE}))) AS BIGINT) AS n_test FROM {fx.WIDE_SQL})""")
 def a15_model_artifact(spark, sf):
-    rec, table, model_uri, res = _log_run(spark, sf)
-    best_uri = runs.best_pipeline_uri(spark.table(table), runs.PROJECT_NAME)
-    loaded = PipelineModel.load(best_uri)
-    return scoring.score(res.test_scored.select(*KEYS, "l_quantity", "l_discount", "l_tax", "label"),
-                         loaded, res.threshold)
+    """The stored model, loaded, scores the run's test rows as the run did: all rows of the test part agree."""
+    scored, _ = _scored(spark, sf)
+    was = spark.read.parquet(f"{stored.trained_run(spark, sf)}/test_scored").select(*KEYS, F.col("probability").alias("before"))
+    both = was.join(scored.select(*KEYS, "probability"), KEYS, "left")
+    return both.agg(F.count(F.lit(1)).alias("n_test"), F.count_if(F.abs(F.col("probability") - F.col("before")) < 1e-9).alias("n_same"))
 
 
 # L2: JSON records derived from orders; every 97th has text in a number, every
@@ -168,72 +172,75 @@ def _records(spark, sf):
     return o.select(F.to_json(rec).alias("value"))
 
 
-@register("l2_validate", """SELECT o_orderkey, NOT (o_orderkey % 97 = 0 OR o_orderkey % 89 = 0 OR o_orderkey % 83 = 0) AS is_valid
-FROM orders""")
+@register("l2_validate", """SELECT o_orderkey, CASE WHEN ok THEN o_custkey END AS o_custkey, CASE WHEN ok THEN o_totalprice END AS o_totalprice,
+CASE WHEN ok THEN o_orderstatus END AS o_orderstatus, errors FROM (SELECT *, errors = '' AS ok FROM (SELECT *, concat_ws('; ',
+  CASE WHEN o_orderkey % 89 = 0 THEN 'o_custkey: missing' WHEN o_orderkey % 83 = 0 THEN 'o_custkey: not a bigint: 12.5' END,
+  CASE WHEN o_orderkey % 97 = 0 THEN 'o_totalprice: not a double: n/a' END) AS errors FROM orders))""")
 def l2_validate(spark, sf):
-    from pyspark.sql import types as T
+    """Typed values of valid records, and the errors of the others."""
     schema = T._parse_datatype_string(RECORD_SCHEMA)
     valid, rejected = scoring.validate(_records(spark, sf), schema)
     key = F.get_json_object("value", "$.o_orderkey").cast("bigint")
-    return valid.select("o_orderkey", F.lit(True).alias("is_valid")).unionByName(
-        rejected.select(key.alias("o_orderkey"), F.lit(False).alias("is_valid")))
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields[1:]]
+    return valid.withColumn("errors", F.lit("")).unionByName(
+        rejected.select(key.alias("o_orderkey"), *none, F.array_join("errors", "; ").alias("errors")))
 
 
-@register("l3_batch_score")
+@register("l3_batch_score", _ALL_KEYS)
 def l3_batch_score(spark, sf):
-    res, num, tgt, _ = trained(spark, sf)
+    """F3 → load → stored threshold → scores written and read back."""
+    scored, threshold = _scored(spark, sf)
     path = work_path(spark, "l3")
-    scored = scoring.score(fx.wide(spark, sf).select(*KEYS, *[c for c in num if c not in KEYS]),
-                           res.model, res.threshold)
-    scored.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    scored.write.parquet(path)
+    return _checked(spark.read.parquet(path), threshold)
 
 
 @register("l4_sample_rows")
 def l4_sample_rows(spark, sf):
-    res, num, tgt, _ = trained(spark, sf)
+    """Rows as a reader of the exported files sees them."""
+    num, tgt, _ = stored.feature_names(spark, sf)
+    model, threshold = stored.best_model(spark, stored.trained_run(spark, sf))
     w = fx.wide(spark, sf).where(F.col(tgt).isNotNull())
     pick = smp.random_top(w.select(*KEYS, *[c for c in num if c not in KEYS], tgt), 1000, KEYS)
-    scored = scoring.score(pick, res.model, res.threshold)
-    rows = smp.fallback_sample(scored, "prediction", "probability", tgt, 5, KEYS)
+    scored = scoring.score(pick, model, threshold)
+    rows = smp.fallback_sample(scored, "prediction", "probability", tgt, 5, KEYS).drop("probability", "prediction")
     path = work_path(spark, "l4")
-    tb.export_rows(rows.drop("probability", "prediction"), "group", path)
-    return rows
+    tb.export_rows(rows, "group", path)
+    return spark.read.option("header", True).schema(T.StructType([f for f in rows.schema.fields if f.name != "group"])).csv(path)
 
 
-@register("l1_record_schema_check")
+@register("l1_record_schema_check", f"""SELECT c AS name, 'double' AS spark_type, n FROM (VALUES {', '.join(f"('{c}')" for c in _FEATURES)}) t(c),
+(SELECT COUNT(*) AS n FROM lineitem)""")
 def l1_record_schema_check(spark, sf):
-    num, tgt, rt = _features(spark, sf)
-    fields = rl.schema_fields(rt, rl.role_mapping(rt, num + [tgt]))
-    schema = rl.struct_from_fields(fields)
-    return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in schema.fields],
-                                 "name string, spark_type string")
-
-
-def _stream_input(spark, sf, name: str, pieces: int = 4) -> str:
-    """Record files for a stream: the wide table's feature columns as JSON
-    lines, split into several files so the stream sees several batches."""
-    res, num, tgt, _ = trained(spark, sf)
-    path = work_path(spark, name)
-    w = fx.wide(spark, sf).select(*KEYS, *[c for c in num if c not in KEYS])
-    w.select(F.to_json(F.struct(*w.columns)).alias("value")).repartition(pieces).write.mode("overwrite").text(path)
-    return path
+    """The record schema folded from the stored roles reads the wide table's records: each field's type, and the records that hold it."""
+    num, tgt, rt = stored.feature_names(spark, sf)
+    schema = rl.struct_from_fields(rl.schema_fields(rt, rl.role_mapping(rt, num + [tgt])))
+    recs = fx.wide(spark, sf).select(F.to_json(F.struct(*num)).alias("value"))
+    valid, _ = scoring.validate(recs, schema)
+    counts = valid.agg(*[F.count(tx.col(f.name)).alias(f.name) for f in schema.fields])
+    rows = F.array(*[F.struct(F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("spark_type"), F.col(f.name).alias("n")) for f in schema.fields])
+    return counts.select(F.explode(rows).alias("r")).select("r.*")
 
 
-@register("m1_score_stream")
+@register("m1_score_stream", f"""SELECT {', '.join(KEYS)}, l_orderkey % 89 <> 0 AS scored FROM {fx.WIDE_SQL}""")
 def m1_score_stream(spark, sf):
-    from pyspark.sql import types as T
-    res, num, tgt, _ = trained(spark, sf)
-    in_dir = _stream_input(spark, sf, "m1_in")
-    out, ck = work_path(spark, "m1_out"), work_path(spark, "m1_ck")
+    """Records as JSON-lines files, every 89th order's without a field: scored and rejected records together are the input's."""
+    num, _, _ = stored.feature_names(spark, sf)
+    model, threshold = stored.best_model(spark, stored.trained_run(spark, sf))
     w = fx.wide(spark, sf).select(*KEYS, *[c for c in num if c not in KEYS])
-    schema = T.StructType([f for f in w.schema.fields])
-    q = st.score_stream(spark, in_dir, schema, res.model, out, ck, res.threshold, max_files_per_trigger=1)
+    in_dir = work_path(spark, "m1_in")
+    missing = F.when(F.col("l_orderkey") % 89 != 0, F.col("l_quantity")).alias("l_quantity")
+    (w.select(F.to_json(F.struct(*[missing if c == "l_quantity" else c for c in w.columns])).alias("value"))
+      .repartition(4).write.text(in_dir))
+    out, rejected, ck = work_path(spark, "m1_out"), work_path(spark, "m1_rejected"), work_path(spark, "m1_ck")
+    q = st.score_stream(spark, in_dir, w.schema, model, out, rejected, ck, threshold, max_files_per_trigger=1)
     q.awaitTermination()
-    return spark.read.parquet(out)
+    kinds = {f.name: f.dataType for f in w.schema.fields}
+    back = spark.read.parquet(rejected).select(*[F.get_json_object("value", f"$.{k}").cast(kinds[k]).alias(k) for k in KEYS], F.lit(False).alias("scored"))
+    return spark.read.parquet(out).select(*KEYS, F.lit(True).alias("scored")).unionByName(back)
 
 
-@register("m2_metrics_stream", "SELECT event_type, COUNT(*) AS n FROM events GROUP BY event_type")
+@register("m2_metrics_stream", f"SELECT event_type, COUNT(*) AS n, {R6('AVG(value)')} AS mean_value, MAX(value) AS max_value FROM events GROUP BY event_type")
 def m2_metrics_stream(spark, sf):
     e = tb.read_table(spark, sf, "events")
     src_dir = work_path(spark, "m2_in")
@@ -242,4 +249,5 @@ def m2_metrics_stream(spark, sf):
     out, ck = work_path(spark, "m2_out"), work_path(spark, "m2_ck")
     q = st.metrics_stream(spark, src, out, ck, ["event_type"], "value")
     q.awaitTermination()
-    return spark.read.parquet(out).groupBy("event_type").agg(F.sum("n").alias("n"))
+    return spark.read.parquet(out).groupBy("event_type").agg(
+        F.sum("n").alias("n"), tx.round6(F.sum(F.col("n") * F.col("mean_value")) / F.sum("n")).alias("mean_value"), F.max("max_value").alias("max_value"))

@@ -125,21 +125,19 @@ _H9_TXT = f"printf('%02d:%02d', {_H9_T} // 100, {_H9_T} % 100)"
 
 @register("h9_format_parse_extract", f"""SELECT l_orderkey, l_linenumber, l_partkey, arr_hhmm,
 {_H9_TXT} AS hhmm_text,
-strftime(strptime({_H9_TXT}, '%H:%M'), '%H:%M:%S') AS parsed_time,
-CAST(hour(strptime({_H9_TXT}, '%H:%M')) AS BIGINT) AS hour_part,
-CAST(minute(strptime({_H9_TXT}, '%H:%M')) AS BIGINT) AS minute_part
-FROM {fx.WIDE_SQL} WHERE arr_hhmm IS NOT NULL AND round(arr_hhmm) % 100 < 60 AND round(arr_hhmm) < 2400""")
+strftime(try_strptime({_H9_TXT}, '%H:%M'), '%H:%M:%S') AS parsed_time,
+CAST(hour(try_strptime({_H9_TXT}, '%H:%M')) AS BIGINT) AS hour_part,
+CAST(minute(try_strptime({_H9_TXT}, '%H:%M')) AS BIGINT) AS minute_part
+FROM {fx.WIDE_SQL}""")
 def h9_format_parse_extract(spark, sf):
-    w = fx.wide(spark, sf)
-    t = F.round("arr_hhmm")
-    valid = w.where(F.col("arr_hhmm").isNotNull() & (t % 100 < 60) & (t < 2400))
+    """All rows; a text that is no time of day parses to NULL."""
     ti = F.round("arr_hhmm").cast("bigint")
     txt = F.format_string("%02d:%02d", F.floor(ti / 100).cast("bigint"), F.pmod(ti, F.lit(100)))
-    ts = F.to_timestamp(txt, "HH:mm")
-    return valid.select("l_orderkey", "l_linenumber", "l_partkey", "arr_hhmm",
-                        txt.alias("hhmm_text"), F.date_format(ts, "HH:mm:ss").alias("parsed_time"),
-                        F.hour(ts).cast("bigint").alias("hour_part"),
-                        F.minute(ts).cast("bigint").alias("minute_part"))
+    ts = F.try_to_timestamp(txt, F.lit("HH:mm"))
+    return fx.wide(spark, sf).select("l_orderkey", "l_linenumber", "l_partkey", "arr_hhmm",
+                                     txt.alias("hhmm_text"), F.date_format(ts, "HH:mm:ss").alias("parsed_time"),
+                                     F.hour(ts).cast("bigint").alias("hour_part"),
+                                     F.minute(ts).cast("bigint").alias("minute_part"))
 
 
 # ------------------------------------------------------------------ H10: seeded uniform draws

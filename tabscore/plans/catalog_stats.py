@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from tabscore.functions import text as tx
 from tabscore.operators import assoc, features, metrics
 from tabscore.plans import fixtures as fx
-from tabscore.plans.catalog import register
+from tabscore.operators import roles as rl
+from tabscore.plans import stored
+from tabscore.plans.catalog import ROLE_TABLE_SQL, register
 
 R6 = fx.sql_round
 W = fx.WIDE_SQL
 
-HIST_COLS = ["l_quantity", "l_discount", "ship_hhmm"]
+HIST_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "ship_hhmm", "arr_hhmm"]
 
 
 def _hist_sql(bins: int = 100) -> str:
@@ -37,8 +39,16 @@ def d10_class_histogram(spark, sf):
     return h.withColumn("bin_start", tx.round6(F.col("bin_start"))).withColumn("density", tx.round6(F.col("density")))
 
 
-A_NUM = ["l_quantity", "l_discount", "l_tax", "ship_hhmm"]
-A_CAT = ["l_linestatus", "returned"]
+@register("d10_histogram_nan", _hist_sql().replace(fx.WIDE_SQL, f"(SELECT * REPLACE (CASE WHEN l_linenumber = 3 THEN NULL ELSE l_quantity END AS l_quantity) FROM {fx.WIDE_SQL})"))
+def d10_histogram_nan(spark, sf):
+    """NaN values count as missing."""
+    w = fx.wide(spark, sf).withColumn("l_quantity", F.when(F.col("l_linenumber") == 3, F.lit(float("nan"))).otherwise(F.col("l_quantity")))
+    h = assoc.class_histogram(w, HIST_COLS, "returned", bins=100)
+    return h.withColumn("bin_start", tx.round6(F.col("bin_start"))).withColumn("density", tx.round6(F.col("density")))
+
+
+A_NUM = stored.ASSOC_NUM
+A_CAT = stored.ASSOC_CAT
 A_ALL = A_NUM + A_CAT
 A_PAIRS = [(A_ALL[i], A_ALL[j]) for i in range(len(A_ALL)) for j in range(i + 1, len(A_ALL))]
 
@@ -96,20 +106,30 @@ def _matrix(spark, sf):
 _V_SQL = f"(SELECT a, b, cramers_v AS v FROM ({_chi2_sql()}))"
 
 
-@register("d17_flag_high", f"""SELECT a AS Column_Name, 'true' AS Phik_high_target FROM {_V_SQL}
-WHERE b = 'returned' AND a <> 'returned' AND abs(v) > 0.85
+def _flag_sql(cut: float) -> str:
+    return f"""(SELECT a AS Column_Name, 'true' AS Phik_high_target FROM {_V_SQL}
+WHERE b = 'returned' AND a <> 'returned' AND abs(v) > {cut}
 UNION ALL SELECT b AS Column_Name, 'true' AS Phik_high_target FROM {_V_SQL}
-WHERE a = 'returned' AND b <> 'returned' AND abs(v) > 0.85""")
+WHERE a = 'returned' AND b <> 'returned' AND abs(v) > {cut})"""
+
+
+@register("d17_flag_high", f"""SELECT Column_Name, Role, coalesce(Phik_high_target, 'unk') AS Phik_high_target
+FROM {ROLE_TABLE_SQL} LEFT JOIN {_flag_sql(stored.HIGH)} USING (Column_Name)""")
 def d17_flag_high(spark, sf):
-    return assoc.flag_high(_matrix(spark, sf), "returned", 0.85)
+    """The flag as a column of the role table: ``l_returnflag`` makes the target, the others don't."""
+    return stored.stored_roles(spark, sf).select("Column_Name", "Role", "Phik_high_target")
 
 
-@register("b10_abs_threshold", f"""SELECT a AS Column_Name, 'true' AS Phik_high_target FROM {_V_SQL}
-WHERE b = 'returned' AND a <> 'returned' AND abs(v) > 0.1
-UNION ALL SELECT b AS Column_Name, 'true' AS Phik_high_target FROM {_V_SQL}
-WHERE a = 'returned' AND b <> 'returned' AND abs(v) > 0.1""")
+@register("b9_sentinel_or", f"""SELECT Column_Name, Skip_reason_phik, coalesce(Phik_high_target, 'unk') AS Phik_high_target, Data_leakage
+FROM {ROLE_TABLE_SQL} LEFT JOIN {_flag_sql(stored.HIGH)} USING (Column_Name)
+WHERE Skip_reason_phik <> 'unk' OR coalesce(Phik_high_target, 'unk') <> 'unk' OR Data_leakage <> 'unk'""")
+def b9_sentinel_or(spark, sf):
+    return rl.flagged(stored.stored_roles(spark, sf)).select("Column_Name", "Skip_reason_phik", "Phik_high_target", "Data_leakage")
+
+
+@register("b10_abs_threshold", f"SELECT * FROM {_flag_sql(0.005)}")
 def b10_abs_threshold(spark, sf):
-    return assoc.flag_high(_matrix(spark, sf), "returned", 0.1)
+    return assoc.flag_high(_matrix(spark, sf), "returned", 0.005)
 
 
 @register("d18_unique_pairs", f"SELECT least(a, b) AS column_a, greatest(a, b) AS column_b, v AS value FROM {_V_SQL}")
@@ -225,6 +245,16 @@ def k13_composite(spark, sf):
     return c.select(*[tx.round6(F.col(x)).alias(x) for x in ("fbeta", "average_precision", "composite")])
 
 
+RARE = "score * score * score * 0.002"
+
+
+@register("k11_rare_scores", _ap_sql(f"({RARE})"))
+def k11_rare_scores(spark, sf):
+    """Scores squeezed into the lowest 0.2 % of the range."""
+    rare = fx.scored_lines(spark, sf).withColumn("score", F.expr(RARE))
+    return metrics.average_precision(rare, "label", "score").select(tx.round6(F.col("average_precision")).alias("average_precision"))
+
+
 def _sweep_sql(score: str, beta: float = 2.0) -> str:
     t = "(CAST(0.05 AS DOUBLE) + i * CAST(0.05 AS DOUBLE))"
     return f"""(SELECT i, {t} AS threshold,

@@ -73,17 +73,16 @@ def load_full_refresh(df: DataFrame, table: str, partition_by: Sequence[str] = (
     present in ``df`` (a one-year refresh).  NaN is loaded as NULL."""
     df = nan_to_null(df)
     spark = df.sparkSession
-    mode = "dynamic" if dynamic else "static"
     if dynamic and spark.catalog.tableExists(table):
-        # insertInto reads the session setting (a write option is ignored):
-        # set it for this insert and put the caller's value back.
-        key = "spark.sql.sources.partitionOverwriteMode"
-        prev = spark.conf.get(key, "static")
-        spark.conf.set(key, mode)
-        try:
-            df.write.mode("overwrite").insertInto(table)
-        finally:
-            spark.conf.set(key, prev)
+        # Written below the table's folder with the option of this one write:
+        # ``insertInto`` would need a session setting that other callers see.
+        if not partition_by:
+            raise ValueError("a dynamic refresh needs partition columns")
+        where = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == "Location").first()["data_type"]
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(*partition_by).parquet(where))
+        spark.catalog.recoverPartitions(table)
+        spark.catalog.refreshTable(table)
         return
     # No partitionOverwriteMode option here: it would be stored with the
     # table and override later dynamic refreshes.
