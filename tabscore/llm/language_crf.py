@@ -265,33 +265,34 @@ def learn(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
 
 def identify(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, held_out, lang_pred, score, n_words of every row."""
-    import pandas as pd
+    import pyarrow as pa
 
     def run(batches):
         for batch in batches:
-            texts = [x if isinstance(x, str) else "" for x in batch["text"]]
+            texts = [x or "" for x in batch.column("text").to_pylist()]
             for a, b in slices([len(x) for x in texts]):
-                rows = model.predict(texts[a:b])
-                made = pd.DataFrame(rows, columns=["lang_pred", "score", "n_words"])
-                yield pd.concat([batch[["id", "held_out"]].iloc[a:b].reset_index(drop=True), made], axis=1)
+                lang, score, n = zip(*model.predict(texts[a:b]))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id").slice(a, b - a), batch.column("held_out").slice(a, b - a), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(n, pa.int64())],
+                    names=["id", "held_out", "lang_pred", "score", "n_words"])
 
     kind = dict(df.dtypes)[key]
     src = df.select(F.col(key).alias("id"), F.coalesce(remainder(key) == 2, F.lit(False)).alias("held_out"), F.col(text).cast("string").alias("text"))
-    return src.mapInPandas(run, f"id {kind}, held_out boolean, lang_pred string, score double, n_words long").withColumnRenamed("id", key)
+    return src.mapInArrow(run, f"id {kind}, held_out boolean, lang_pred string, score double, n_words long").withColumnRenamed("id", key)
 
 
 def keep_known(df: DataFrame, model: Model, least: float = 0.0, text: str = "text") -> DataFrame:
     """Rows of ``df``, all columns, whose text has a letter and a language with at least ``least`` mean probability."""
-    import pandas as pd
+    import pyarrow as pa
 
     def run(batches):
         for batch in batches:
-            texts = [x if isinstance(x, str) else "" for x in batch[text]]
+            texts = [x or "" for x in batch.column(text).to_pylist()]
             for a, b in slices([len(x) for x in texts]):
                 good = [lang != UNDETERMINED and score >= least for lang, score, _ in model.predict(texts[a:b])]
-                yield batch.iloc[a:b][good]
+                yield batch.slice(a, b - a).filter(pa.array(good, pa.bool_()))
 
-    return df.mapInPandas(run, df.schema)
+    return df.mapInArrow(run, df.schema)
 
 
 def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -101,17 +101,20 @@ def scan_text(text: str | None) -> tuple:
 def scan(df: DataFrame, text: str = "text") -> DataFrame:
     """All rows with the scan's columns added; one narrow pass, no shuffle.  ``score`` is the best accepted priority as
     a fraction of 1, 0 where nothing was found."""
-    import pandas as pd
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_type
     shape = T.StructType.fromDDL(ADDED)
     rest = [f for f in df.schema.fields if f.name not in shape.names]
+    kinds = [to_arrow_type(f.dataType) for f in shape.fields]
 
     def run(batches):
         for batch in batches:
-            rows = [scan_text(x if isinstance(x, str) else None) for x in batch[text]]
-            made = pd.DataFrame(rows, columns=shape.names).astype({"first_word": "Int64", "last_word": "Int64"})
-            yield pd.concat([batch[[f.name for f in rest]].reset_index(drop=True), made], axis=1)
+            rows = [scan_text(x) for x in batch.column(text).to_pylist()]
+            made = [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)]
+            if rows:
+                yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*[f.name for f in rest], *shape.names])
 
-    return df.select(*[F.col(f"`{f.name}`") for f in rest]).mapInPandas(run, T.StructType(rest + shape.fields))
+    return df.select(*[F.col(f"`{f.name}`") for f in rest]).mapInArrow(run, T.StructType(rest + shape.fields))
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

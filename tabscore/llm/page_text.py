@@ -231,7 +231,7 @@ def templates(pages: DataFrame, support: int = SUPPORT) -> DataFrame:
 
 def extract(pages: DataFrame, support: int = SUPPORT) -> DataFrame:
     """page_id, url, text, n_chars, n_blocks, n_template (blocks left to the template) of every page."""
-    import pandas as pd
+    import pyarrow as pa
     # at most twice the tokens of a page per host: each is on half of its pages
     fixed = keep(templates(pages, support).where("not is_tag").groupBy("host").agg(F.collect_set("token").alias("fixed")))
     total = fixed.select(F.sum(F.size("fixed") + 10)).first()[0] or 0
@@ -240,15 +240,15 @@ def extract(pages: DataFrame, support: int = SUPPORT) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            out = []
-            for source, known in zip(batch["html"], batch["fixed"]):
-                out.append(main_text(source if isinstance(source, str) else None, frozenset(known.tolist()) if known is not None else frozenset()))
-            made = pd.DataFrame(out, columns=["text", "n_blocks", "n_template"])
-            made.insert(1, "n_chars", made["text"].str.len().astype("int64") if len(made) else pd.Series([], dtype="int64"))
-            yield pd.concat([batch[["page_id", "url"]].reset_index(drop=True), made], axis=1)
+            out = [main_text(source, frozenset(known or ())) for source, known in zip(batch.column("html").to_pylist(), batch.column("fixed").to_pylist())]
+            if out:
+                text, blocks, left = zip(*out)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("page_id"), batch.column("url"), pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64()),
+                     pa.array(blocks, pa.int64()), pa.array(left, pa.int64())], names=["page_id", "url", "text", "n_chars", "n_blocks", "n_template"])
 
     kinds = dict(pages.dtypes)
-    return rows.mapInPandas(run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long, n_blocks long, n_template long")
+    return rows.mapInArrow(run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long, n_blocks long, n_template long")
 
 
 def op2_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,6 @@ from __future__ import annotations
 import os
 import re
 import struct
-import zlib
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -209,7 +208,7 @@ def encode(df: DataFrame, model_path: str, text: str = "text", key: str = "doc_i
     divisible by ``whole_every`` (or ``text`` is encoded whole), for the whole text, and reads them back alike.
     One narrow pass without a shuffle; a batch is cut by text size, so long texts don't add up in a worker.
     """
-    import pandas as pd
+    import pyarrow as pa
     added = [("token_ids", T.BinaryType()), ("decoded", T.StringType()), ("parity", T.BooleanType())]
     rest = [f for f in df.schema.fields if f.name not in dict(added)]
     names = [f.name for f in rest]
@@ -218,21 +217,21 @@ def encode(df: DataFrame, model_path: str, text: str = "text", key: str = "doc_i
         import numpy as np
         own = codec(model_path)
         for batch in batches:
-            texts = [x if isinstance(x, str) else "" for x in batch[text]]
-            keys = batch[key].tolist() if key in names else [0] * len(texts)
+            texts = [x or "" for x in batch.column(text).to_pylist()]
+            keys = batch.column(key).to_pylist() if key in names else [0] * len(texts)
             for a, b in slices([len(x) for x in texts]):
                 some = texts[a:b]
                 packed, parity = own.encode(some)
                 lists = [np.frombuffer(p, "<u4").tolist() for p in packed]
                 back = [own.decode(x) for x in lists]
                 for i, k in enumerate(keys[a:b]):
-                    if not own.chunked or (k == k and k is not None and int(k) % whole_every == 0):
+                    if not own.chunked or (k is not None and int(k) % whole_every == 0):
                         parity[i] &= own.library.encode(some[i]) == lists[i] and own.library.decode(lists[i]) == back[i] \
                             and own.tokenizer.decode(lists[i], skip_special_tokens=False) == back[i]
-                yield pd.concat([batch.iloc[a:b].reset_index(drop=True), pd.DataFrame(
-                    {"token_ids": packed, "decoded": back, "parity": parity})], axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.slice(a, b - a).columns, pa.array(packed, pa.binary()), pa.array(back, pa.string()), pa.array(parity, pa.bool_())], names=[*names, *dict(added)])
 
-    return df.select(*[F.col(f"`{n}`") for n in names]).mapInPandas(run, T.StructType(rest + [T.StructField(n, t) for n, t in added]))
+    return df.select(*[F.col(f"`{n}`") for n in names]).mapInArrow(run, T.StructType(rest + [T.StructField(n, t) for n, t in added]))
 
 
 def digest(df: DataFrame, model_path: str) -> DataFrame:

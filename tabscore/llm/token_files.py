@@ -280,10 +280,11 @@ def read_back(keys: DataFrame, shards: list[dict], key: str = "doc_id", with_ids
                 out = []
                 for i, row in shard.rows(ks):
                     ids = shard.ids(row)
-                    out.append((ks[i], shards[number]["base"] + int(shard.starts[row]), len(ids) // 4, zlib.crc32(ids))
-                               + ((ids,) if with_ids else ()))
-                names = ["doc_id", "start", "n_tokens", "ids_crc32"] + (["token_ids"] if with_ids else [])
-                yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64", "start": "int64", "n_tokens": "int64", "ids_crc32": "int64"})
+                    out.append((ks[i], shards[number]["base"] + int(shard.starts[row]), len(ids) // 4, zlib.crc32(ids), ids))
+                if out:
+                    key_, start, n, crc, ids = zip(*out)
+                    made = {"doc_id": pd.array(key_, "Int64"), "start": start, "n_tokens": n, "ids_crc32": crc}
+                    yield pd.DataFrame(made | ({"token_ids": ids} if with_ids else {}))
 
     flat = wanted.select(F.coalesce("doc_id", F.lit(NULL_LOW)).alias("_key"), F.col("doc_id").isNull().alias("_null"))
     return (flat.mapInPandas(route, "_shard int, _key long, _null boolean").repartition("_shard")
