@@ -36,8 +36,8 @@ BASE, RATE, TOP = 1.02, 20.0, (1 << 16) - 2
 BLOCK = 2048
 #: Rows of ids up to which a list of documents is sent to all executors.
 BROADCAST_ROWS = 2_000_000
-#: The likelihood estimate's standard error is at most 0.05 at the threshold; candidates 4 of them below are dropped.
-MARGIN = 0.2
+#: The likelihood estimate's standard error at the threshold is 0.041; candidates four of them below are dropped.
+MARGIN = 0.165
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -143,6 +143,8 @@ def plausible(n_a, n_b, a, b, share: float):
     fit = np.minimum(n_a, n_b) >= share * np.maximum(n_a, n_b) - 1e-9
     out = np.zeros(len(n_a), bool)
     at = np.flatnonzero(fit)
+    # Equal registers are at least about as many as the share says: far fewer need no likelihood.
+    at = at[(a[at] == b[at]).sum(1) >= REGISTERS * (share - MARGIN - 0.1)]
     if len(at):
         above, below = (a[at] > b[at]).sum(1), (a[at] < b[at]).sum(1)
         out[at] = likely(n_a[at].astype(float), n_b[at].astype(float), above, below) >= share - MARGIN
@@ -229,6 +231,7 @@ def verify(pairs: DataFrame, docs: DataFrame, n: int, percent: int, key: str, te
 
 def cross(members: DataFrame, share: float) -> DataFrame:
     """Plausible pairs of members of one bucket that lie in different components: ``members(band, key, rep, comp, n, bands)``."""
+    import numpy as np
     import pandas as pd
     per = members.groupBy("band", "key", "comp").agg(F.count("*").alias("size"))
     buckets = (per.groupBy("band", "key").agg(F.max(F.struct("size", "comp")).alias("top"), F.sum("size").alias("all"))
@@ -246,23 +249,45 @@ def cross(members: DataFrame, share: float) -> DataFrame:
                  F.transform(ints(F.col("s")), lambda x: F.struct((-1 - F.least(x, own)).alias("i"), F.greatest(x, own).alias("j"), (x < own).alias("other")))))
     sent = rows.select("band", "key", "rep", "comp", "n", "bands", F.explode(to).alias("to")).select("band", "key", "rep", "comp", "n", "bands", "to.*")
 
-    def join(part):
-        import numpy as np
+    def block(part):
+        """Plausible pairs of a block's rows: every pair once, in the first of its common bands."""
         other = part["other"].to_numpy(bool)
-        ids, comp, size, regs = part["rep"].to_numpy(), part["comp"].to_numpy(), part["n"].to_numpy(), unpack(part["bands"])
+        ids, comp, size, bands = part["rep"].to_numpy(), part["comp"].to_numpy(), part["n"].to_numpy(), np.array([np.asarray(x, "<i8") for x in part["bands"]])
+        regs, band = bands.view("<u2"), int(part["band"].iloc[0])
         within = not other.any() or other.all()
         left = np.arange(len(part)) if within else np.flatnonzero(other)
         right = left if within else np.flatnonzero(~other)
-        out = []
-        for i in left:
-            cand = right[right > i] if within else right
-            cand = cand[(comp[cand] != comp[i]) & (np.minimum(size[cand], size[i]) >= share * np.maximum(size[cand], size[i]) - 1e-9)]
-            if len(cand):
-                good = plausible(np.full(len(cand), size[i]), size[cand], np.broadcast_to(regs[i], (len(cand), REGISTERS)), regs[cand], share)
-                out += [(min(ids[i], ids[k]), max(ids[i], ids[k])) for k in cand[good]]
-        return pd.DataFrame(out, columns=["u", "v"]).astype("int64")
+        step = max(1, 100_000 // max(1, len(right)))  # bounds the pairs looked at together
+        for k in range(0, len(left), step):
+            some = left[k:k + step]
+            ok = comp[some][:, None] != comp[right][None, :]
+            if within:
+                ok &= some[:, None] < right[None, :]
+            small, large = np.minimum(size[some][:, None], size[right][None, :]), np.maximum(size[some][:, None], size[right][None, :])
+            i, j = np.nonzero(ok & (small >= share * large - 1e-9))
+            i, j = some[i], right[j]
+            first = (bands[i] == bands[j]).argmax(1) == band
+            i, j = i[first], j[first]
+            good = plausible(size[i], size[j], regs[i], regs[j], share)
+            yield from zip(np.minimum(ids[i], ids[j])[good].tolist(), np.maximum(ids[i], ids[j])[good].tolist())
+
+    def run(batches):
+        """Blocks stand in a row, sorted by their key; one block is held at a time."""
+        held = None
+        for batch in batches:
+            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            if not len(rows):
+                continue
+            key = rows[["band", "key", "i", "j"]].to_numpy()
+            cuts = np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1
+            held = rows.iloc[cuts[-1] if len(cuts) else 0:].reset_index(drop=True)
+            out = [p for a, b in zip([0, *cuts], cuts) if b - a > 1 for p in block(rows.iloc[a:b])]
+            yield pd.DataFrame(out, columns=["u", "v"], dtype="int64")
+        if held is not None and len(held) > 1:
+            yield pd.DataFrame(list(block(held)), columns=["u", "v"], dtype="int64")
 
-    return sent.groupBy("band", "key", "i", "j").applyInPandas(join, "u long, v long").distinct()
+    order = ["band", "key", "i", "j"]
+    return sent.repartition(*order).sortWithinPartitions(*order).mapInPandas(run, "u long, v long")
 
 
 def near_documents(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -276,7 +301,7 @@ def near_documents(docs: DataFrame, words: int = 5, percent: int = 80, key: str
     hubs = banded.groupBy("band", "key").agg(F.min("rep").alias("hub"), F.count("*").alias("size")).where("size > 1")
     rows = keep(banded.join(hubs.drop("size"), ["band", "key"]))  # members of buckets of two and more
     pairs = rows.where("rep != hub").select(F.col("hub").alias("u"), F.col("rep").alias("v")).distinct()
-    links = keep(verify(keep(estimate(pairs, reps, share)), docs, words, percent, key, text))
+    links = keep(verify(keep(estimate(pairs, reps, share)), docs, words, percent, key, text).unionByName(_same_id(sketches, reps)))
     comp = components(links)
     known = rows.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("band", "key", "rep", F.coalesce("component_id", "rep").alias("comp"))
     mixed = (known.groupBy("band", "key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a != b").select("band", "key"))
@@ -284,9 +309,7 @@ def near_documents(docs: DataFrame, words: int = 5, percent: int = 80, key: str
     rest = keep(cross(keep(members), share).join(pairs, ["u", "v"], "left_anti"))
     more = keep(verify(rest, docs, words, percent, key, text))
     if more.take(1):
-        comp = components(links.unionByName(more).unionByName(_same_id(sketches, reps)))
-    else:
-        comp = components(links.unionByName(_same_id(sketches, reps)))
+        comp = components(links.unionByName(more))
     roots = reps.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("component_id", "rep").alias("root"))
     out = sketches.select("id", "n", "digest").join(roots, "digest", "left")
     root = F.when(F.col("n") > 0, F.col("root")).otherwise(F.col("id"))
