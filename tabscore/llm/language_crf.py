@@ -36,7 +36,9 @@ EDGE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
 def plain(token: str) -> str:
     """A token's word: lower case, without what isn't a letter at its ends (empty: no letter)."""
-    return token.lower() if token.isalpha() else EDGE.sub("", token).lower()
+    if token.isalpha():
+        return token.lower()
+    return EDGE.sub("", token).lower() if any(map(str.isalpha, token)) else ""
 
 
 def features(word: str) -> list[int]:

@@ -35,6 +35,7 @@ def test_mixed_text_is_labelled_word_by_word():
     out = model.label_words("the river and the house 12 der Fluss und das Haus")
     assert [x[1] for x in out] == ["en"] * 5 + ["de"] * 5
     assert model.predict(["", "12 .", "the house"])[0][:2] == ("und", 0.0)
+    assert model.predict(["² ½ _ Ⅷ"])[0][:2] == ("und", 0.0)
     assert model.predict(["12 ."])[0][:2] == ("und", 0.0) and model.predict(["the house"])[0][0] == "en"
     model.remembered = 1
     assert [x[1] for x in model.label_words("the river and the house")] == ["en"] * 5
