@@ -54,8 +54,9 @@ def brute(rows, edits, min_chars, most=None):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("edits,most", [(2, None), (1, 0.5), (3, None)])
-def test_equals_brute_force(spark, edits, most):
+@pytest.mark.parametrize("edits,most,crowd", [(2, None, 50), (2, None, 1), (1, 0.5, 3), (3, None, 50)])
+def test_equals_brute_force(spark, monkeypatch, edits, most, crowd):
+    monkeypatch.setattr(ld, "CROWD", crowd)
     rng = random.Random(edits)
     letters = "abcdé ñ"
     base = ["".join(rng.choice(letters) for _ in range(rng.randint(8, 40))) for _ in range(25)]
