@@ -76,8 +76,9 @@ def test_no_query_plans_a_cartesian_product(spark):
     import __spark_entry__ as entry
     qs, sqls = entry.queries(), entry.oracle_sql()
     bad = []
+    trained = {"k9_predict", "k15_importances", "k17_run_record", "l3_batch_score"}  # they'd train first
     for name in sqls:
-        if name.startswith(("a", "m")):       # writers and streams: covered elsewhere
+        if name.startswith(("a", "m", "op")) or name in trained:  # writers, streams and the optional part: covered elsewhere
             continue
         p = _plan(qs[name](spark, SF001))
         if "CartesianProduct" in p or "BroadcastNestedLoopJoin" in p:
