@@ -86,6 +86,7 @@ def order_calls(calls: DataFrame, answered: DataFrame) -> DataFrame:
 def link(messages: DataFrame, schemas: dict) -> DataFrame:
     """One row per message of ``messages(conv, turn, kind, role, text, id, tool, args, after)``, ``kind`` one of ``plain``, ``call`` and ``result``:
     conv, turn, kind, anchor, depth, status, errors, json."""
+    messages = messages.select("conv", "turn", "kind", "role", "text", "id", "tool", "args", "after")
     fit = F.col("conv").isNotNull() & F.col("turn").isNotNull()
     named = messages.where(fit & F.col("id").isNotNull())
     rows = named.where("kind = 'call'")

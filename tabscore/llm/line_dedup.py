@@ -103,7 +103,7 @@ def links(lines: DataFrame, edits: int) -> DataFrame:
 
 
 def repeats(docs: DataFrame, key: str, text: str, edits: int, min_chars: int) -> DataFrame:
-    """``(_doc, _th, _within, _abroad, _chars)``: places of a document's lines that repeat one of its own, places of those that another
+    """``(_gone_doc, _gone_th, _gone_within, _gone_abroad, _gone_chars)``: places of a document's lines that repeat one of its own, places of those that another
     document had before, and the characters of the latter."""
     lines = lines_of(docs, key, text, min_chars)
     alike = components(keep(links(lines, edits)))
@@ -122,8 +122,8 @@ def repeats(docs: DataFrame, key: str, text: str, edits: int, min_chars: int) ->
     per = per.select("doc", "th", F.array_except("all", F.array("own")).alias("within"),
                      F.when(F.col("foreign"), F.array("own")).otherwise(F.array().cast("array<int>")).alias("abroad"),
                      F.when(F.col("foreign"), F.col("chars")).otherwise(0).alias("chars"))
-    return per.groupBy(F.col("doc").alias("_doc"), F.col("th").alias("_th")).agg(
-        F.flatten(F.collect_list("within")).alias("_within"), F.flatten(F.collect_list("abroad")).alias("_abroad"), F.sum("chars").alias("_chars"))
+    return per.groupBy(F.col("doc").alias("_gone_doc"), F.col("th").alias("_gone_th")).agg(
+        F.flatten(F.collect_list("within")).alias("_gone_within"), F.flatten(F.collect_list("abroad")).alias("_gone_abroad"), F.sum("chars").alias("_gone_chars"))
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS,
@@ -135,11 +135,11 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edits:
     """
     gone = small(keep(repeats(docs, key, text, edits, min_chars)))
     t = F.col(text).cast("string")
-    rows = docs.withColumn("_h", F.xxhash64(t)).join(gone, (F.col("_h") == F.col("_th")) & docs[key].eqNullSafe(F.col("_doc")) & docs[text].isNotNull(), "left")
-    gone_at = F.concat("_within", "_abroad")
+    rows = docs.join(gone, (F.xxhash64(t) == F.col("_gone_th")) & docs[key].eqNullSafe(F.col("_gone_doc")) & docs[text].isNotNull(), "left")
+    gone_at = F.concat("_gone_within", "_gone_abroad")
     if most is not None:
-        gone_at = F.when(F.col("_chars") > F.length(t) * most, F.col("_within")).otherwise(gone_at)
-    gone_at = F.when(F.col("_doc").isNotNull() | F.col("_th").isNotNull(), gone_at)
+        gone_at = F.when(F.col("_gone_chars") > F.length(t) * most, F.col("_gone_within")).otherwise(gone_at)
+    gone_at = F.when(F.col("_gone_doc").isNotNull() | F.col("_gone_th").isNotNull(), gone_at)
     parts = F.split(t, "\n", -1)
     left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), gone_at)
     new = F.when(F.size(gone_at) > 0, F.array_join(F.transform(left, lambda i: parts[i]), "\n")).otherwise(t)

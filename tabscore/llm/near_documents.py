@@ -326,7 +326,7 @@ def _same_id(sketches: DataFrame, reps: DataFrame) -> DataFrame:
 def drop_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """Rows of ``docs``, all columns: of each component the document with the smallest id."""
     gone = keep(near_documents(docs, words, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(small(gone), docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    return docs.join(small(gone), docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
 
 
 def op8_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

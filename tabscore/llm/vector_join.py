@@ -89,8 +89,6 @@ def block_links(ids_a, a, weight_a, ids_b, b, weight_b, cosine: float):
 
 def near_vectors(df: DataFrame, cosine: float = 0.9, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """One row per input row: key, n_links, component_id, kept."""
-    import numpy as np
-    import pandas as pd
     angle = math.acos(cosine) + 1e-6
     src = df.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))

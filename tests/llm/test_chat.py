@@ -29,7 +29,8 @@ def test_statuses_order_and_json(spark):
             call(1, 14, "g", tool="other"), call(2, 1, "m", after="n"), call(2, 2, "n", after="m"), result(2, 3, "m"), result(2, 4, "n"),
             (None, 1, "plain", "user", "no conversation", None, None, None, None, None), (3, None, "plain", "user", None, None, None, None, None, None),
             call(4, 1, None), (4, 2, "plain", "system", 'say "hi"\n\té', None, None, None, None, None)]
-    out = {(r.conv, r.turn): r for r in chat.link(spark.createDataFrame(rows, COLUMNS), SCHEMAS).collect()}
+    frame = spark.createDataFrame(rows, COLUMNS).selectExpr("*", "1 as state", "2 as anchor", "3 as first_turn", "4 as errors")  # clashing names
+    out = {(r.conv, r.turn): r for r in chat.link(frame, SCHEMAS).collect()}
     assert len(out) == len(rows)
     status = {k: r.status for k, r in out.items()}
     assert status[1, 5] == status[1, 2] == status[1, 1] == status[1, 9] == status[1, 13] == "ok"
