@@ -8,8 +8,9 @@ set sizes) drops candidates far below the threshold; the rest is decided on the
 
 Equal sets are one vertex.  Candidates never become all pairs of a bucket: first every member of a bucket is compared with the
 bucket's smallest vertex; where a bucket still holds several components, the members outside its largest component are compared
-with all others of another component, in blocks of bounded size.  So each pair of candidates is verified or already
-connected, and a bucket of any size is many small tasks.
+with all others of another component, in blocks of bounded size that hold the members' full sets (as 64-bit hashes of all
+shingles): only links leave a block, and components it has linked are compared no further.  So each pair of candidates
+is verified or already connected, and a bucket of any size is many small tasks.
 
 Chance that two sets of resemblance 0.8 share none of 24 bands: (1 - 0.8 ** 4) ** 24 = 3e-6.
 
@@ -32,8 +33,8 @@ from tabscore.llm.common import components, keep, read
 
 REGISTERS, BAND = 96, 4
 BASE, RATE, TOP = 1.02, 20.0, (1 << 16) - 2
-#: Members of a bucket that meet in one block, per side.
-BLOCK = 2048
+#: Members of a bucket, and shingles of their sets (8 bytes each), that meet in one block, per side.
+BLOCK, BLOCK_SHINGLES = 2048, 1_500_000
 #: Rows of ids up to which a list of documents is sent to all executors.
 BROADCAST_ROWS = 2_000_000
 #: The likelihood estimate's standard error at the threshold is 0.041; candidates four of them below are dropped.
@@ -229,16 +230,43 @@ def verify(pairs: DataFrame, docs: DataFrame, n: int, percent: int, key: str, te
     return rows.mapInPandas(run, "u long, v long")
 
 
-def cross(members: DataFrame, share: float) -> DataFrame:
-    """Plausible pairs of members of one bucket that lie in different components: ``members(band, key, rep, comp, n, bands)``."""
+def hash_sets(docs: DataFrame, ids: DataFrame, n: int, key: str, text: str) -> DataFrame:
+    """``(digest, hashes)``: the sets of the documents with these ids (kept before), all hashes of each in ascending order."""
+    import pandas as pd
+
+    def run(batches):
+        for batch in batches:
+            rows = [shingle_hashes(t if isinstance(t, str) else None, n).tobytes() for t in batch["text"]]
+            yield pd.DataFrame({"digest": [hashlib.md5(h).digest() for h in rows], "hashes": rows})
+
+    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).join(small(ids), "id", "left_semi")
+    return texts.select("text").mapInPandas(run, "digest binary, hashes binary").dropDuplicates(["digest"])
+
+
+def share_of(x, y) -> tuple[int, int]:
+    """Sizes of the intersection and the union of two ascending arrays of distinct hashes."""
+    import numpy as np
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.searchsorted(y, x)
+    at[at == len(y)] = 0
+    common = int((y[at] == x).sum())
+    return common, len(x) + len(y) - common
+
+
+def cross(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between members of one bucket that lie in different components: ``members(band, key, rep, comp, n, bands,
+    digest)`` (kept before); enough of them to connect all components that have one."""
     import numpy as np
     import pandas as pd
-    per = members.groupBy("band", "key", "comp").agg(F.count("*").alias("size"))
-    buckets = (per.groupBy("band", "key").agg(F.max(F.struct("size", "comp")).alias("top"), F.sum("size").alias("all"))
+    share = percent / 100
+    per = members.groupBy("band", "key", "comp").agg(F.count("*").alias("size"), F.sum("n").alias("shingles"))
+    chunks = lambda rows, shingles: F.ceil(F.greatest(rows / BLOCK, shingles / BLOCK_SHINGLES)).cast("int")
+    buckets = (per.groupBy("band", "key").agg(F.max(F.struct("size", "comp", "shingles")).alias("top"), F.sum("size").alias("all"), F.sum("shingles").alias("sum"))
                .where(F.col("all") > F.col("top.size"))
-               .select("band", "key", F.col("top.comp").alias("main"), F.ceil(F.col("top.size") / BLOCK).cast("int").alias("g"),
-                       F.ceil((F.col("all") - F.col("top.size")) / BLOCK).cast("int").alias("s")))
-    rows = members.join(buckets, ["band", "key"])
+               .select("band", "key", F.col("top.comp").alias("main"), chunks(F.col("top.size"), F.col("top.shingles")).alias("g"),
+                       chunks(F.col("all") - F.col("top.size"), F.col("sum") - F.col("top.shingles")).alias("s")))
+    rows = members.join(buckets, ["band", "key"]).join(sets, "digest")
     h = F.xxhash64("rep")
     in_main = F.col("comp") == F.col("main")
     own_main, own = F.pmod(h, F.col("g")).cast("int"), F.pmod(h, F.col("s")).cast("int")
@@ -247,29 +275,37 @@ def cross(members: DataFrame, share: float) -> DataFrame:
     to = F.when(in_main, F.transform(ints(F.col("s")), lambda j: F.struct(own_main.alias("i"), j.alias("j"), F.lit(False).alias("other")))).otherwise(
         F.concat(F.transform(ints(F.col("g")), lambda i: F.struct(i.alias("i"), own.alias("j"), F.lit(True).alias("other"))),
                  F.transform(ints(F.col("s")), lambda x: F.struct((-1 - F.least(x, own)).alias("i"), F.greatest(x, own).alias("j"), (x < own).alias("other")))))
-    sent = rows.select("band", "key", "rep", "comp", "n", "bands", F.explode(to).alias("to")).select("band", "key", "rep", "comp", "n", "bands", "to.*")
+    names = ["band", "key", "rep", "comp", "n", "bands", "hashes"]
+    sent = rows.select(*names, F.explode(to).alias("to")).select(*names, "to.*")
 
     def block(part):
-        """Plausible pairs of a block's rows: every pair once, in the first of its common bands."""
+        """Links of a block's rows; a pair is looked at once, in the first of its common bands."""
         other = part["other"].to_numpy(bool)
         ids, comp, size, bands = part["rep"].to_numpy(), part["comp"].to_numpy(), part["n"].to_numpy(), np.array([np.asarray(x, "<i8") for x in part["bands"]])
+        sets = [np.frombuffer(x, "<u8") for x in part["hashes"]]
         regs, band = bands.view("<u2"), int(part["band"].iloc[0])
+        _, label = np.unique(comp, return_inverse=True)
         within = not other.any() or other.all()
         left = np.arange(len(part)) if within else np.flatnonzero(other)
         right = left if within else np.flatnonzero(~other)
         step = max(1, 100_000 // max(1, len(right)))  # bounds the pairs looked at together
         for k in range(0, len(left), step):
             some = left[k:k + step]
-            ok = comp[some][:, None] != comp[right][None, :]
+            ok = label[some][:, None] != label[right][None, :]
             if within:
                 ok &= some[:, None] < right[None, :]
-            small, large = np.minimum(size[some][:, None], size[right][None, :]), np.maximum(size[some][:, None], size[right][None, :])
-            i, j = np.nonzero(ok & (small >= share * large - 1e-9))
+            low, high = np.minimum(size[some][:, None], size[right][None, :]), np.maximum(size[some][:, None], size[right][None, :])
+            i, j = np.nonzero(ok & (low >= share * high - 1e-9))
             i, j = some[i], right[j]
             first = (bands[i] == bands[j]).argmax(1) == band
             i, j = i[first], j[first]
             good = plausible(size[i], size[j], regs[i], regs[j], share)
-            yield from zip(np.minimum(ids[i], ids[j])[good].tolist(), np.maximum(ids[i], ids[j])[good].tolist())
+            for a, b in zip(i[good].tolist(), j[good].tolist()):
+                if label[a] != label[b]:
+                    common, union = share_of(sets[a], sets[b])
+                    if 100 * common >= percent * union:
+                        yield int(ids[a]), int(ids[b])
+                        label[label == label[b]] = label[a]
 
     def run(batches):
         """Blocks stand in a row, sorted by their key; one block is held at a time."""
@@ -305,9 +341,9 @@ def near_documents(docs: DataFrame, words: int = 5, percent: int = 80, key: str
     comp = components(links)
     known = rows.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("band", "key", "rep", F.coalesce("component_id", "rep").alias("comp"))
     mixed = (known.groupBy("band", "key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a != b").select("band", "key"))
-    members = known.join(mixed, ["band", "key"], "left_semi").join(reps.select("rep", "n", "bands"), "rep")
-    rest = keep(cross(keep(members), share).join(pairs, ["u", "v"], "left_anti"))
-    more = keep(verify(rest, docs, words, percent, key, text))
+    members = keep(known.join(mixed, ["band", "key"], "left_semi").join(reps, "rep"))
+    sets = hash_sets(docs, keep(members.select(F.col("rep").alias("id")).distinct()), words, key, text)
+    more = keep(cross(members, sets, percent))
     if more.take(1):
         comp = components(links.unionByName(more))
     roots = reps.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("component_id", "rep").alias("root"))
