@@ -8,8 +8,8 @@ line of the same length or up to ``EDITS`` shorter; positions as the edits left
 with the banded edit distance of Spark.  Lines connected by links are one class; its first occurrence, by document id and
 place, stays and the others go.
 
-DataFrame functions only.  Distinct lines are shuffled once as texts; from there on lines travel as hashes (two 64-bit
-ones for equality), and only the texts of matched lines are moved again to be verified.
+DataFrame functions only.  Line texts are never shuffled for grouping: lines travel as hashes (two 64-bit ones for equality),
+and only the texts of matched lines are moved to be verified.
 
 Defined results: null text has no lines and stays null; empty, short and blank lines always stay; rows with the same
 id and text are one document; null ids sort first; a text all of whose lines go becomes empty.  Extra columns stay.
@@ -17,7 +17,7 @@ id and text are one document; null ids sort first; a text all of whose lines go
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabscore.llm.common import components, keep, read
@@ -70,37 +70,39 @@ def keys(line: Column, edits: int) -> tuple[list[Column], list[Column]]:
 
 
 def matches(lines: DataFrame, edits: int) -> DataFrame:
-    """Pairs ``(u, v, sure)``, ``u < v``, of line hashes that share a segment.
+    """Pairs ``(u, v)``, ``u < v``, of line hashes that share a segment; and, as ``(u, null)``, the lines of crowded segments.
 
-    Many variants of one line share its segments, and their pairs grow with the square of the group.  So where a
-    segment is shared by more than ``CROWD`` lines, the texts come along and the edit distance is a condition of the
-    join itself: only links leave it (``sure``), never the group's pairs, and AQE splits a crowded key among
-    tasks.  Other keys give at most ``CROWD`` candidates a line, which are verified afterwards.
+    Many variants of one line share its segments, and their pairs grow with the square of the group.  A segment of
+    more than ``CROWD`` lines therefore gives no pairs here but its lines, which ``links`` verifies where they meet.
     """
     index, probe = keys(F.col("line"), edits)
-    # Equal lines are one row before keys are made: a line that a third of all rows hold has as many keys as any
-    # other.  Both sides read the one exchange of distinct lines.
-    once = lines.select("a", "line").distinct()
-    rows = lambda key_list: once.select("a", "line", F.explode(F.array(*key_list)).alias("k"))
-    crowded = small(keep(rows(index).groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("k", F.lit(True).alias("crowd"))))
-    side = lambda key_list, u, x: rows(key_list).join(crowded, "k", "left").select(
-        "k", F.col("a").alias(u), F.when(F.col("crowd"), F.col("line")).alias(x))
-    near = F.col("x").isNull() | (F.levenshtein("x", "y", edits) >= 0)
-    ind, pro = side(index, "u", "x"), side(probe, "v", "y").withColumnRenamed("k", "k2")
-    both = ind.join(pro, (F.col("k") == F.col("k2")) & (F.col("u") != F.col("v")) & near)
-    return (both.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), F.col("x").isNotNull().alias("sure"))
-            .groupBy("u", "v").agg(F.max("sure").alias("sure")))
+    ind = lines.select(F.col("a").alias("u"), F.explode(F.array(*index)).alias("k")).distinct()
+    pro = lines.select(F.col("a").alias("v"), F.explode(F.array(*probe)).alias("k")).distinct()
+    counted = ind.withColumn("n", F.count("*").over(Window.partitionBy("k")))  # sorted by k, as the join needs it
+    both = counted.where(F.col("n") <= CROWD).join(pro, "k").where("u != v")
+    pairs = both.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    crowd = counted.where(F.col("n") > CROWD)
+    own = crowd.select("u").unionByName(pro.join(crowd.select("k").distinct(), "k", "left_semi").select(F.col("v").alias("u")))
+    return pairs.unionByName(own.select("u", F.lit(None).cast("long").alias("v"))).distinct()
 
 
 def links(lines: DataFrame, edits: int) -> DataFrame:
     """Pairs ``(u, v)`` of line hashes whose texts are within the edits."""
     found = keep(matches(lines, edits))
-    pairs = found.where("not sure").select("u", "v")
-    ids = small(keep(pairs.select(F.col("u").alias("a")).unionByName(pairs.select(F.col("v").alias("a"))).distinct()))
-    texts = lines.select("a", "line").join(ids, "a", "left_semi").distinct()
+    pairs, crowd = found.where("v is not null"), found.where("v is null").select(F.col("u").alias("a"))
+    ids = small(keep(found.select(F.col("u").alias("a")).unionByName(pairs.select(F.col("v").alias("a"))).distinct()))
+    texts = keep(lines.select("a", "line").join(ids, "a", "left_semi").distinct())
     both = (pairs.join(texts.select(F.col("a").alias("u"), F.col("line").alias("x")), "u")
             .join(texts.select(F.col("a").alias("v"), F.col("line").alias("y")), "v"))
-    return both.where(F.levenshtein("x", "y", edits) >= 0).select("u", "v").unionByName(found.where("sure").select("u", "v")).distinct()
+    plain = both.where(F.levenshtein("x", "y", edits) >= 0).select("u", "v")
+    # Crowded lines: the edit distance is a condition of the join itself, so only links leave it, and AQE splits a
+    # crowded key among tasks.
+    own = texts.join(crowd, "a", "left_semi")
+    index, probe = keys(F.col("line"), edits)
+    ind = own.select(F.col("a").alias("u"), F.col("line").alias("x"), F.explode(F.array(*index)).alias("k"))
+    pro = own.select(F.col("a").alias("v"), F.col("line").alias("y"), F.explode(F.array(*probe)).alias("k2"))
+    close = ind.join(pro, (F.col("k") == F.col("k2")) & (F.col("u") != F.col("v")) & (F.levenshtein("x", "y", edits) >= 0))
+    return plain.unionByName(close.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))).distinct()
 
 
 def repeats(docs: DataFrame, key: str, text: str, edits: int, min_chars: int) -> DataFrame:
@@ -146,7 +148,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edits:
     new = F.when(F.size(gone_at) > 0, F.array_join(F.transform(left, lambda i: parts[i]), "\n")).otherwise(t)
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     return rows.select(*[new.alias(c) if c == text else docs[c] for c in names],
-                       F.coalesce(F.when(t.isNull(), 0).otherwise(F.size(parts)), F.lit(0)).cast("long").alias("n_lines"),
+                       F.coalesce(F.octet_length(t) - F.octet_length(F.replace(t, F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long").alias("n_lines"),
                        F.when(F.size(gone_at) > 0, F.size(gone_at)).otherwise(0).cast("long").alias("n_dropped"))
 
 
