@@ -19,6 +19,10 @@ class ChunkMemory:
         self.young: dict = {}
         self.old: dict = {}
 
+    def clear(self) -> None:
+        """Forget all chunks, so that a reused worker holds no memory for its next stage."""
+        self.young, self.old = {}, {}
+
     def pack(self, texts: list[list]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, given as its chunks."""
         if len(self.young) > self.size:

@@ -143,7 +143,7 @@ class Model:
     weights: object  # BUCKETS x labels
     first: object
     trans: object
-    remembered: int = 500_000
+    remembered: int = 250_000
     _rows: dict = field(default_factory=dict, repr=False)
     _words: dict = field(default_factory=dict, repr=False)
     _scores: object = field(default=None, repr=False)

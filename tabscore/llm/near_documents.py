@@ -34,7 +34,7 @@ from tabscore.llm.common import components, keep, read
 REGISTERS, BAND = 96, 4
 BASE, RATE, TOP = 1.02, 20.0, (1 << 16) - 2
 #: Members of a bucket, and shingles of their sets (8 bytes each), that meet in one block, per side.
-BLOCK, BLOCK_SHINGLES = 2048, 1_500_000
+BLOCK, BLOCK_SHINGLES = 2048, 1_000_000
 #: Rows of ids up to which a list of documents is sent to all executors.
 BROADCAST_ROWS = 2_000_000
 #: The likelihood estimate's standard error at the threshold is 0.041; candidates four of them below are dropped.
@@ -211,7 +211,7 @@ def verify(pairs: DataFrame, docs: DataFrame, n: int, percent: int, key: str, te
             nonlocal held
             at = (i, t)
             if at not in known:
-                if held > 2_000_000:  # bounds the worker's memory
+                if held > 500_000:  # bounds the worker's memory
                     known.clear()
                     held = 0
                 known[at] = shingle_set(t, n)

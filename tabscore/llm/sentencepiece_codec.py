@@ -141,7 +141,7 @@ class Codec:
         self.chunked = m["type"] == BPE and m["byte_fallback"] and not any(
             re.search(f"[^{MARK}]{MARK}", p) or (len(p) > 1 and "\n" in p) for p in words)
         self.chunk = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
-        self.memory = ChunkMemory(self._encode_new)
+        self.memory = ChunkMemory(self._encode_new, 200_000)
         self.library = processor(path)
         #: Chunks for which the sentencepiece library gives other ids.
         self.differing: set[str] = set()
@@ -214,8 +214,14 @@ def encode(df: DataFrame, model_path: str, text: str = "text", key: str = "doc_i
     names = [f.name for f in rest]
 
     def run(batches):
-        import numpy as np
         own = codec(model_path)
+        try:
+            yield from encoded(own, batches)
+        finally:
+            own.memory.clear()
+
+    def encoded(own, batches):
+        import numpy as np
         for batch in batches:
             texts = [x or "" for x in batch.column(text).to_pylist()]
             keys = batch.column(key).to_pylist() if key in names else [0] * len(texts)
