@@ -25,15 +25,15 @@ from tabscore.llm.common import components, keep, read
 EDITS = 2
 MIN_CHARS = 30
 #: Lines that share a segment beyond which their pairs are verified where they meet.
-CROWD = 50
-#: Rows (of about 100 bytes, lists counted by their entries) up to which a side is sent to all executors: 50 MB.
-BROADCAST_ROWS = 500_000
+CROWD = 20
+#: Bytes (about 100 a row, and 4 for each entry of its lists) up to which a side is sent to all executors.
+BROADCAST_BYTES = 64_000_000
 
 
-def small(df: DataFrame, size: Column | None = None) -> DataFrame:
-    """``df`` (kept before), marked for broadcast if its rows, or the sum of their sizes, are few enough."""
-    total = df.count() if size is None else df.agg(F.sum(size)).first()[0] or 0
-    return F.broadcast(df) if total <= BROADCAST_ROWS else df
+def small(df: DataFrame, entries: Column | None = None) -> DataFrame:
+    """``df`` (kept before), marked for broadcast if its counted rows, with the entries of their lists, are small enough."""
+    count = df.agg(F.count("*").alias("rows"), F.sum(F.lit(0) if entries is None else entries).alias("entries")).first()
+    return F.broadcast(df) if 100 * count["rows"] + 4 * (count["entries"] or 0) <= BROADCAST_BYTES else df
 
 
 def lines_of(docs: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
@@ -136,7 +136,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edits:
     ``most``: where lines that other documents had before make up more than this share of a document's characters,
     it is a copy as a whole and keeps them (a document-level stage decides about copies); its own repeats go nevertheless.
     """
-    gone = small(keep(repeats(docs, key, text, edits, min_chars)), 1 + F.size("_gone_within") + F.size("_gone_abroad"))
+    gone = small(keep(repeats(docs, key, text, edits, min_chars)), F.size("_gone_within") + F.size("_gone_abroad"))
     t = F.col(text).cast("string")
     rows = docs.join(gone, (F.xxhash64(t) == F.col("_gone_th")) & docs[key].eqNullSafe(F.col("_gone_doc")) & docs[text].isNotNull(), "left")
     gone_at = F.concat("_gone_within", "_gone_abroad")
