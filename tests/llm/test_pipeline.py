@@ -40,6 +40,41 @@ def test_planted_cases(spark, tmp_path):
     assert ids["leaks"] == ids["tokens"] == ids["copies"] - {102} and all(r.round_trip and r.parity for r in seen["tokens"])
 
 
+def stages(spark, tmp_path, rows, names):
+    spark.createDataFrame([], "item_id long, text string").write.mode("overwrite").parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    seen = {}
+    for name in names:
+        dict(cp.STAGES)[name](spark, docs, str(tmp_path)).write.parquet(str(tmp_path / f"only-{name}"))
+        docs = spark.read.parquet(str(tmp_path / f"only-{name}"))
+        seen[name] = {r.doc_id: r.text for r in docs.collect()}
+    return seen
+
+
+def test_short_document_made_of_repeated_passages(spark, tmp_path):
+    """No document holds most of it, but its lines stand in several: it is no copy and loses them."""
+    rng = random.Random(8)
+    passages = [words(rng, 60) for _ in range(2)]
+    rows = {i: "\n".join(words(rng, 30) for _ in range(8)) for i in range(6)}
+    rows[2] += "\n" + passages[0]
+    rows[4] += "\n" + passages[1]
+    own = words(rng, 12)
+    rows[20] = passages[0] + "\n" + own + "\n" + passages[1]
+    seen = stages(spark, tmp_path, rows, ["lines", "copies"])
+    assert seen["lines"] == seen["copies"] == rows | {20: own}
+
+
+def test_lines_of_a_copy_that_goes_are_not_lost(spark, tmp_path):
+    """A copy's own line stays in the document that has it too; the one of the group that stays loses what others had before."""
+    rng = random.Random(9)
+    long = [words(rng, 40) for _ in range(12)]
+    only, common = words(rng, 10), words(rng, 8)
+    rows = {1: words(rng, 50) + "\n" + common, 2: "\n".join([*long, common]), 3: "\n".join([*long, only, common]), 4: words(rng, 50) + "\n" + only}
+    seen = stages(spark, tmp_path, rows, ["lines", "copies"])
+    assert seen["lines"] == rows
+    assert seen["copies"] == {1: rows[1], 2: "\n".join(long), 4: rows[4]}
+
+
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
