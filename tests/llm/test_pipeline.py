@@ -2,7 +2,15 @@
 
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline as cp
+from tabscore.llm import line_dedup, near_copies
+
+from .test_line_dedup import brute as lines_brute
+from .test_near_documents import brute as near_brute
+from .test_near_documents import corpus
 
 
 def words(rng, n):
@@ -64,6 +72,59 @@ def test_short_document_made_of_repeated_passages(spark, tmp_path):
     assert seen["lines"] == seen["copies"] == rows | {20: own}
 
 
+def test_copy_with_a_word_changed_in_most_lines(spark, tmp_path):
+    """Its unchanged lines are less than half of it; they must not go before the copy is found."""
+    rng = random.Random(10)
+    base = [words(rng, 60) for _ in range(6)]
+    changed = [" ".join("rewritten" if i == 30 else w for i, w in enumerate(line.split())) if p < 4 else line for p, line in enumerate(base)]
+    rows = {1: words(rng, 80), 2: "\n".join(base), 3: "\n".join(changed), 4: words(rng, 80)}
+    seen = stages(spark, tmp_path, rows, ["lines", "copies"])
+    assert seen["lines"] == rows and seen["copies"] == {i: rows[i] for i in (1, 2, 4)}
+
+
+def test_lines_and_copies_equal_brute_force(spark, tmp_path):
+    """Near copies with a word changed in no, one or most lines, among texts that share passages."""
+    rng = random.Random(12)
+    shared = [words(rng, 12) for _ in range(6)]
+    texts = []
+    for _ in range(12):
+        base = [rng.choice(shared) if rng.random() < 0.3 else words(rng, rng.choice([10, 40])) for _ in range(rng.randint(2, 9))]
+        for _ in range(rng.choice([1, 1, 2, 3])):
+            most = rng.choice([0.0, 0.2, 0.8])
+            parts = [line.split() for line in base]
+            for w in parts:
+                if rng.random() < most:
+                    w[rng.randrange(len(w))] = "rewritten"
+            texts.append("\n".join(map(" ".join, parts)))
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+
+    def grouped(rows):
+        return {k: root for k, _, root, _ in near_brute(rows, 5)}
+    root = grouped(rows)
+    several = {c for c in root.values() if list(root.values()).count(c) > 1}
+    assert len(several) >= 3
+    after = dict(lines_brute([r for r in rows if root[r[0]] not in several], 2, line_dedup.MIN_CHARS)) | {k: t for k, t in rows if root[k] in several}
+    again = grouped(sorted(after.items()))
+    left = dict(lines_brute([(k, t) for k, t in sorted(after.items()) if again[k] == k], 2, line_dedup.MIN_CHARS))
+    seen = stages(spark, tmp_path, dict(rows), ["lines", "copies"])
+    assert seen["lines"] == after and seen["copies"] == left
+
+
+@pytest.mark.parametrize("crowd", [10_000, 2])
+def test_near_copies_equal_brute_force(spark, monkeypatch, crowd):
+    monkeypatch.setattr(near_copies, "CROWD", crowd)
+    rows = corpus(random.Random(3)) + [(2000, None), (2001, "one two"), (2002, "ONE\ttwo"), (2003, "   "), (2004, "   ")]
+    size = {}
+    for _, _, root, _ in near_brute(rows, 5):
+        size[root] = size.get(root, 0) + 1
+    want = {k for k, _, root, _ in near_brute(rows, 5) if size[root] > 1}
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    near = near_copies.near_copies(df)
+    got = {r.doc_id for r in df.join(near, F.xxhash64("text") == F.col("_near")).collect() if r.text and r.text.strip()}
+    assert got == want if crowd > 2 else got >= want
+
+
 def test_lines_of_a_copy_that_goes_are_not_lost(spark, tmp_path):
     """A copy's own line stays in the document that has it too; the one of the group that stays loses what others had before."""
     rng = random.Random(9)
