@@ -1,7 +1,7 @@
 """Line deduplication by a segment-partition edit join.
 
-Lines of at least ``min_chars`` characters (white space at the ends aside) are compared across all documents: two lines are alike
-if at most ``EDITS`` single-character edits turn one into the other.  A line is split into ``EDITS + 1`` even segments; of two like
+Lines of at least ``min_chars`` characters (white space at the ends aside; all but blank ones, if not given) are compared across all
+documents: equal lines are alike, and lines of ``EDITS + 1`` characters and more are if at most ``EDITS`` single-character edits turn one into the other.  A line is split into ``EDITS + 1`` even segments; of two like
 lines, at least one segment of the shorter stands unchanged in the longer, near its place.  So each distinct line gives index
 rows (its segments, keyed by length, number and text) and probe rows (the substrings of itself that may equal a segment of a
 line of the same length or up to ``EDITS`` shorter; positions as the edits left and right of a segment allow).  Matches are verified
@@ -11,7 +11,7 @@ place, stays and the others go.
 DataFrame functions only.  Line texts are never shuffled for grouping: lines travel as hashes (two 64-bit ones for equality),
 and only the texts of matched lines are moved to be verified.
 
-Defined results: null text has no lines and stays null; empty, short and blank lines always stay; rows with the same
+Defined results: null text has no lines and stays null; empty and blank lines, and those of fewer than ``min_chars`` characters, always stay; rows with the same
 id and text are one document; null ids sort first; a text all of whose lines go becomes empty.  Extra columns stay.
 """
 
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tabscore.llm.common import components, keep, read
 
 EDITS = 2
-MIN_CHARS = 30
+MIN_CHARS = 1
 #: Lines that share a segment beyond which their pairs are verified where they meet.
 CROWD = 20
 #: Bytes (about 100 a row, and 4 for each entry of its lists) up to which a side is sent to all executors.
@@ -109,7 +109,7 @@ def repeats(docs: DataFrame, key: str, text: str, edits: int, min_chars: int) ->
     """``(_gone_doc, _gone_th, _gone_within, _gone_abroad, _gone_chars)``: places of a document's lines that repeat one of its own, places of those that another
     document had before, and the characters of the latter."""
     lines = lines_of(docs, key, text, min_chars)
-    alike = components(keep(links(lines, edits)))
+    alike = components(keep(links(lines.where(F.length("line") > edits), edits)))  # shorter lines have no edits + 1 segments
     at = F.struct("doc", "th", "pos")
     own = lines.groupBy("a", "b").agg(F.min(at).alias("first"), F.count("*").alias("n"))
     own = own.join(alike.withColumnRenamed("id", "a"), "a", "left")

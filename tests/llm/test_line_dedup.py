@@ -98,3 +98,18 @@ def test_repeated_rows_and_empty(spark):
     df = spark.createDataFrame([(1, line), (1, line), (2, line + "\nshort")], "doc_id long, text string")
     assert sorted((r.doc_id, r.text) for r in ld.dedup_lines(df).collect()) == [(1, line), (1, line), (2, "short")]
     assert ld.dedup_lines(df.limit(0)).count() == 0
+
+
+def test_short_lines_take_part(spark):
+    """Equal lines of any length go; two edits count from three characters on; blank lines stay."""
+    rows = [(1, "To\n\nAll rights reserved.\nOf, edti oner."), (2, "To\n \nAll rights reserved\nof\n"), (3, "Of, edti onr.\nQuite another one\n\nQ"), (4, "Q")]
+    got = dict(tuple(r) for r in ld.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "text").collect())
+    assert got == {1: rows[0][1], 2: " \nof\n", 3: "Quite another one\n\nQ", 4: ""}
+
+
+def test_short_lines_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(ld, "CROWD", 3)
+    rng = random.Random(4)
+    rows = [(i, "\n".join("".join(rng.choice("abcdefghijklmnopqrst") for _ in range(rng.choice([0, 3, 5, 6, 7, 8, 9, 10]))) for _ in range(8))) for i in range(40)]
+    out = ld.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == brute(rows, 2, 1)
