@@ -33,6 +33,24 @@ def test_sentencepiece_equals_library():
     assert own.tokenizer.decode_batch(ids, skip_special_tokens=False) == lib.decode(ids)
 
 
+def test_parity_covers_what_follows_a_line_feed():
+    """A difference in the first word of a later line, or in a line feed, is seen in every text."""
+    own = sp.Codec(sp.default_model())
+    lib = own.library
+
+    class Other:
+        def __init__(self, odd):
+            self.odd = odd
+
+        def encode(self, texts, **options):
+            one = lambda t: lib.encode(t) + [5] * (self.odd in t)
+            return one(texts) if isinstance(texts, str) else [one(t) for t in texts]
+    for odd in ("\nzebra", "\n\n"):
+        own.library = Other(odd)
+        own.memory.clear()
+        assert own.encode(["a\nzebra b\n\nc", "a zebra\nb", ""])[1] == [False, True, True]
+
+
 def test_unigram_model_is_rebuilt(tmp_path):
     """A hand-made unigram protobuf: scores decide, unknown characters fall back to bytes."""
     def varint(n):
