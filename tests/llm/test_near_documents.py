@@ -78,6 +78,24 @@ def test_likelihood_estimate():
         assert abs(np.mean(found) - share) < 0.03
 
 
+@pytest.mark.parametrize("ratio", [1.0, 0.97, 0.95, 0.9, 0.85, 0.801])
+def test_estimate_loses_less_than_the_bands(ratio):
+    """Chance of all outcomes of the registers, for sets of resemblance 0.8, that ``plausible`` drops."""
+    from math import lgamma, log, log1p
+    r, u = nd.REGISTERS, ratio / (1 + ratio)
+    up, down = (-log1p(-x * (nd.BASE - 1) / nd.BASE) / log(nd.BASE) for x in (max(u - (1 - u) * 0.8, 1e-12), 1 - u - u * 0.8))
+    above, below = (x.ravel() for x in np.indices((r + 1, r + 1)))
+    above, below = above[above + below <= r], below[above + below <= r]
+    chance = [lgamma(r + 1) - lgamma(i + 1) - lgamma(j + 1) - lgamma(r - i - j + 1) + i * log(up) + j * log(down) + (r - i - j) * log(1 - up - down)
+              for i, j in zip(above.tolist(), below.tolist())]
+    at = np.arange(r)[None, :]
+    a = np.where(at < above[:, None], 2, 1)
+    b = np.where((at >= above[:, None]) & (at < (above + below)[:, None]), 2, 1)
+    size = np.full(len(above), 1_000_000)
+    kept = nd.plausible((size * ratio).astype(int), size, a, b, 0.8)
+    assert np.exp(chance)[~kept].sum() < 1e-7
+
+
 def test_edges(spark):
     df = spark.createDataFrame([(1, "a b c d e f", "x"), (1, "a b c d e f", "x"), (None, "a b c d e f", "x"), (2, "a b c d e f", "y"),
                                 (3, "q r s t u v", "y"), (3, "a b c d e f", "y"), (4, "q r s t u v", "y")], "doc_id long, text string, kept string")
