@@ -51,3 +51,13 @@ def slices(sizes: list[int], most: int = 1_000_000):
             start, held = i + 1, 0
     if start < len(sizes):
         yield start, len(sizes)
+
+
+def text_slices(batch, column: str, most: int = 1_000_000):
+    """``(start, end, texts)`` of consecutive rows of an Arrow batch whose texts hold about ``most`` bytes (nulls: empty); only
+    one slice's texts exist as Python strings at a time."""
+    import pyarrow.compute as pc
+    texts = batch.column(column)
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+    for a, b in slices(sizes, most):
+        yield a, b, [x or "" for x in texts.slice(a, b - a).to_pylist()]
