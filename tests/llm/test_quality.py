@@ -97,9 +97,9 @@ def test_labels_of_held_out_rows_teach_nothing(spark):
 def test_odd_rows(spark):
     shape = "doc_id long, text string, lang string, score string, held_out int, _text int, at int"
     rows = [(1, "Fine words here.", "en", "x", 1, 1, 1), (1, "Fine words here.", "en", "x", 1, 1, 1), (None, "JUNK!! JUNK!!", None, None, None, None, None),
-            (3, None, "en", "x", 1, 1, 1), (4, "", "en", "x", 1, 1, 1), (5, "JUNK!! JUNK!! JUNK!!", "en", "x", 1, 1, 1), (8, "word " * 200_000, "en", "x", 1, 1, 1)]
+            (3, None, "en", "x", 1, 1, 1), (4, "", "en", "x", 1, 1, 1), (6, "JUNK!! JUNK!! JUNK!!", "en", "x", 1, 1, 1), (8, "word " * 200_000, "en", "x", 1, 1, 1)]
     docs = spark.createDataFrame(rows, shape)
-    labels = spark.createDataFrame([(1, 1), (1, 1), (5, 0), (3, None), (99, 0), (None, 1)], "doc_id long, quality int")
+    labels = spark.createDataFrame([(1, 1), (1, 1), (6, 0), (3, None), (99, 0), (None, 1)], "doc_id long, quality int")
     model = q.learn(docs, labels)
     got = sorted(map(tuple, q.score(docs, model).collect()), key=str)
     assert len(got) == len(rows)
@@ -107,7 +107,7 @@ def test_odd_rows(spark):
     for i, held, s, p in got:
         by.setdefault(i, []).append((held, s, p))
     assert len(by[1]) == 2 and by[1][0] == by[1][1] and by[None][0][0] is False
-    assert by[3][0][1:] == by[4][0][1:] and by[1][0][1] > by[5][0][1]
+    assert by[3][0][1:] == by[4][0][1:] and by[1][0][1] > by[6][0][1]
     one = q.learn(docs, labels.where("quality = 1"))
     assert {round(r.score, 3) for r in q.score(docs, one).collect()} == {1.0}
     none = q.learn(docs.limit(0), labels.limit(0))
