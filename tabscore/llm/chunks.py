@@ -29,12 +29,11 @@ class ChunkMemory:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
         new = []
-        for c in {c for parts in texts for c in parts}:
-            if c not in young:
-                if c in old:
-                    young[c] = old[c]
-                else:
-                    new.append(c)
+        for c in set().union(*texts).difference(young):
+            if c in old:
+                young[c] = old[c]
+            else:
+                new.append(c)
         for c, ids in zip(new, self.encode_batch(new) if new else []):
             young[c] = struct.pack(f"<{len(ids)}I", *ids)
         get = young.__getitem__
@@ -53,11 +52,27 @@ def slices(sizes: list[int], most: int = 1_000_000):
         yield start, len(sizes)
 
 
-def text_slices(batch, column: str, most: int = 1_000_000):
+def text_slices(batch, column: str, most: int = 1_000_000, raw: bool = False):
     """``(start, end, texts)`` of consecutive rows of an Arrow batch whose texts hold about ``most`` bytes (nulls: empty); only
-    one slice's texts exist as Python strings at a time."""
+    one slice's texts exist as Python strings (``raw``: as UTF-8 bytes) at a time."""
+    import pyarrow as pa
     import pyarrow.compute as pc
     texts = batch.column(column)
-    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
-    for a, b in slices(sizes, most):
-        yield a, b, [x or "" for x in texts.slice(a, b - a).to_pylist()]
+    none = b"" if raw else ""
+    for a, b in slices(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), most):
+        part = texts.slice(a, b - a)
+        yield a, b, [x or none for x in (part.cast(pa.binary()) if raw else part).to_pylist()]
+
+
+def give_back() -> None:
+    """Return memory that is no longer used to the system: a reused worker keeps freed pages otherwise.  Called at the end of a task."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass

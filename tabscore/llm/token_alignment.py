@@ -28,7 +28,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscore.llm.chunks import text_slices
+from tabscore.llm.chunks import give_back, text_slices
 from tabscore.llm.common import keep, read
 from tabscore.session import work_path
 
@@ -78,6 +78,9 @@ class Aligner:
         #: B id with the bytes of each A id, -1 where there is none.
         self.same = [same.get(x, -1) for x in self.a_bytes]
         self.same_array = np.array(self.same, np.int64)
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in y], np.int64) for y in (self.a_bytes, self.b_bytes))
+        #: Each id as text of a group: in front of another of its side, and as the last one.
+        self.said = [np.array([[f"{i},", f"{i}{end}"] for i in range(len(y))], object) for y, end in ((self.a_bytes, "|"), (self.b_bytes, ";"))]
         self.chunked = not any(re.search(f"[^{MARK}]{MARK}", pieces[i]) or (len(pieces[i]) > 1 and "\n" in pieces[i]) for i in plain)
         self.before = len(b.encode("\n"))
         self.young: dict = {}
@@ -93,39 +96,42 @@ class Aligner:
             second = self.b.encode([c[1:] for c in chunks], num_threads=1)
         return list(zip(first, second))
 
-    def align(self, chunk: str, a: list[int], b: list[int]) -> tuple | None:
-        """``(n_a, n_b, n_groups, n_links, text of the groups, A ids of exact groups, pair numbers of the others)``, the last two
-        as little-endian unsigned 32-bit integers; None if the bytes differ."""
-        data = chunk.encode()
-        a_bytes, b_bytes, same = self.a_bytes, self.b_bytes, self.same
-        if b"".join(map(a_bytes.__getitem__, a)) != data or b"".join(map(b_bytes.__getitem__, b)) != data:
-            return None
-        said, exact, pairs, links = [], [], [], 0
-        i = j = groups = 0
-        while i < len(a):
-            i0, j0 = i, j
-            at, bt = len(a_bytes[a[i]]), len(b_bytes[b[j]])
-            i, j = i + 1, j + 1
-            while at != bt:
-                if at < bt:
-                    at += len(a_bytes[a[i]])
-                    i += 1
-                else:
-                    bt += len(b_bytes[b[j]])
-                    j += 1
-            groups += 1
-            links += (i - i0) * (j - j0)
-            if i - i0 == 1 and j - j0 == 1:
-                said.append(f"{a[i0]}|{b[j0]}")
-                if same[a[i0]] == b[j0]:
-                    exact.append(a[i0])
-                else:
-                    pairs.append(a[i0] << B_BITS | b[j0])
-            else:
-                said.append(f"{','.join(map(str, a[i0:i]))}|{','.join(map(str, b[j0:j]))}")
-                pairs += [x << B_BITS | y for x in a[i0:i] for y in b[j0:j]]
+    def align(self, chunks: list[str], ids: list[tuple[list[int], list[int]]]) -> list[tuple | None]:
+        """Per chunk ``(n_a, n_b, n_groups, n_links, text of the groups, A ids of exact groups, pair numbers of the others)``, the last
+        two as little-endian unsigned 32-bit integers; None if the bytes differ.  The text ends with a semicolon."""
         import numpy as np
-        return len(a), len(b), groups, links, ";".join(said), np.array(exact, "<u4").tobytes(), np.array(pairs, "<u4").tobytes()
+        data = [c.encode() for c in chunks]
+        sound = [b"".join(map(self.a_bytes.__getitem__, a)) == d == b"".join(map(self.b_bytes.__getitem__, b)) for d, (a, b) in zip(data, ids)]
+        ids = [x for x, ok in zip(ids, sound) if ok]
+        n_a, n_b = (np.array([len(x[k]) for x in ids], np.int64) for k in (0, 1))
+        a, b = (np.fromiter((i for x in ids for i in x[k]), np.int64, int(n.sum())) for k, n in ((0, n_a), (1, n_b)))
+        # all chunks stand in a row of bytes; chunk ends are ends of both
+        a_end, b_end = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        cuts = np.intersect1d(a_end, b_end, assume_unique=True)
+        a_group, b_group = np.searchsorted(cuts, a_end), np.searchsorted(cuts, b_end)
+        in_a, in_b = np.bincount(a_group, minlength=len(cuts)), np.bincount(b_group, minlength=len(cuts))
+        a_first, b_first = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b
+        owner = np.searchsorted(np.cumsum(n_a), a_first, "right")  # chunk of each group
+        groups, links = np.bincount(owner, minlength=len(ids)), np.bincount(owner, in_a * in_b, len(ids)).astype(np.int64)
+        exact = np.flatnonzero((in_a == 1) & (in_b == 1))
+        exact = exact[self.same_array[a[a_first[exact]]] == b[b_first[exact]]]
+        other = np.ones(len(cuts), bool)
+        other[exact] = False
+        other = np.flatnonzero(other)
+        times = in_a[other] * in_b[other]
+        of, place = np.repeat(other, times), np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+        pairs = a[a_first[of] + place // in_b[of]] << B_BITS | b[b_first[of] + place % in_b[of]]
+
+        def split(values, owners):
+            raw, ends = values.astype("<u4").tobytes(), 4 * np.cumsum(np.bincount(owners, minlength=len(ids)))
+            return [raw[x:y] for x, y in zip([0, *ends[:-1].tolist()], ends.tolist())]
+        said = np.empty(len(a) + len(b), object)
+        said[np.arange(len(a)) + b_first[a_group]] = self.said[0][a, (np.arange(len(a)) == (a_first + in_a - 1)[a_group]).astype(int)]
+        said[np.arange(len(b)) + (a_first + in_a)[b_group]] = self.said[1][b, (np.arange(len(b)) == (b_first + in_b - 1)[b_group]).astype(int)]
+        said, ends = said.tolist(), np.cumsum(n_a + n_b).tolist()
+        texts = ["".join(said[x:y]) for x, y in zip([0, *ends[:-1]], ends)]
+        made = iter(zip(n_a.tolist(), n_b.tolist(), groups.tolist(), links.tolist(), texts, split(a[a_first[exact]], owner[exact]), split(pairs, owner[of])))
+        return [next(made) if ok else None for ok in sound]
 
     def records(self, chunks: set[str]) -> dict:
         """Record of each distinct chunk."""
@@ -141,8 +147,8 @@ class Aligner:
                     continue
                 self.young[c] = r
             out[c] = r
-        for c, (a, b) in zip(new, self.encode(new) if new else []):
-            out[c] = self.young[c] = r = self.align(c, a, b)
+        for c, r in zip(new, self.align(new, self.encode(new)) if new else []):
+            out[c] = self.young[c] = r
             self.held += 2 * len(c) + (len(r[4]) + len(r[5]) + len(r[6]) if r else 0)
         return out
 
@@ -174,7 +180,7 @@ def aligned(own: Aligner, texts: list[str]) -> dict:
     owner = np.repeat(np.arange(len(texts)), [len(r) for r in rows])
     sums = [np.bincount(owner, np.array([r[k] for r in kept], float)[flat], len(texts)).astype(np.int64) if len(flat) else np.zeros(len(texts), np.int64) for k in range(4)]
     said = [r[4] for r in kept]
-    shas = [hashlib.sha256(";".join([said[i] for i in r]).encode()).hexdigest() if r else "" for r in rows]
+    shas = [hashlib.sha256("".join([said[i] for i in r])[:-1].encode()).hexdigest() if r else "" for r in rows]
 
     def links(k):
         parts = [r[k] for r in kept]
@@ -233,6 +239,7 @@ def encode(df: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text: s
                     yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, schema)], schema=schema)
         finally:
             own.clear()
+            give_back()
         row = [None] * (len(schema) - 1) + [vector.tolist()]
         yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, schema)], schema=schema)
 
