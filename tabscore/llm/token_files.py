@@ -28,11 +28,13 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscore.llm.chunks import ChunkMemory, slices
+from tabscore.llm.chunks import ChunkMemory, give_back, text_slices
 from tabscore.llm.common import read
 from tabscore.session import work_path
 
 END_ID = 2
+#: Bytes of one ranged read of a payload.
+READ_BYTES = 8_000_000
 NULL_LOW = -(2 ** 63)
 
 
@@ -139,10 +141,21 @@ class Shard:
 
     def ids(self, row: int) -> bytes:
         """Ids of a row as little-endian unsigned 32-bit integers."""
+        return next(self.runs([row]))[1]
+
+    def runs(self, rows: list[int], most: int = READ_BYTES):
+        """``(row, ids)`` of ascending rows; neighbouring rows come from one ranged read of about ``most`` bytes."""
         import numpy as np
-        a, b, width = int(self.starts[row]), int(self.starts[row + 1]), self.head["width"]
-        data = self.payload.read_at((b - a) * width, a * width)
-        return data if width == 4 else np.frombuffer(data, "<u2").astype("<u4").tobytes()
+        width, at = self.head["width"], 0
+        while at < len(rows):
+            last, first = at, int(self.starts[rows[at]])
+            while last + 1 < len(rows) and rows[last + 1] <= rows[last] + 1 and (int(self.starts[rows[last + 1] + 1]) - first) * width <= most:
+                last += 1
+            data = self.payload.read_at((int(self.starts[rows[last] + 1]) - first) * width, first * width)
+            data = data if width == 4 else np.frombuffer(data, "<u2").astype("<u4").tobytes()
+            for row in rows[at:last + 1]:
+                yield row, data[4 * (int(self.starts[row]) - first):4 * (int(self.starts[row + 1]) - first)]
+            at = last + 1
 
 
 def filesystem(uri: str):
@@ -180,9 +193,11 @@ class WordEncoder:
         texts = [c.decode() if isinstance(c, bytes) else c for c in chunks]
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list) -> list[bytes]:
+        """Ids of texts (as text, or as bytes in UTF-8)."""
+        texts = [x.encode() if isinstance(x, str) else x for x in texts]
         if self.chunked:
-            return self.memory.pack([TAIL.sub(rb" \g<0>", x.encode().lower()).split() for x in texts])
+            return self.memory.pack([TAIL.sub(rb" \g<0>", x.lower()).split() for x in texts])
         return self.memory.pack([[x] if x else [] for x in texts])
 
 
@@ -198,17 +213,25 @@ def write(df: DataFrame, folder: str, tokenizer_path: str, key: str = "doc_id",
           end_id: int = END_ID) -> list[dict]:
     """Write the shards below ``folder``; returns the manifest, one entry per shard in key order: path, lo, hi (key
     range; None: null), n_docs, n_ids, base (ids in the shards before it)."""
-    import pandas as pd
+    import pyarrow as pa
+    shape = pa.schema([("path", pa.string()), ("has_null", pa.bool_()), ("lo", pa.int64()), ("hi", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
 
     def run(batches):
+        own = encoder(tokenizer_path)
+        try:
+            yield from written(own, batches)
+        finally:
+            own.memory.clear()
+            give_back()
+
+    def written(own, batches):
         import numpy as np
-        own, keys, counts, out, path = encoder(tokenizer_path), [], [], None, ""
+        keys, counts, out, path = [], [], None, ""
         width = 2 if max(own.largest, end_id) < 1 << 16 else 4
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            texts = [x if isinstance(x, str) else "" for x in batch["_text"]]
-            for a, b in slices([len(x) for x in texts]):
-                packed = own.encode(texts[a:b])
+            for _, _, texts in text_slices(batch, "_text", raw=True):
+                packed = own.encode(texts)
                 if out is None:
                     path = f"{folder}/shard-{uuid.uuid4().hex}"
                     fs, at = filesystem(path)
@@ -217,7 +240,7 @@ def write(df: DataFrame, folder: str, tokenizer_path: str, key: str = "doc_id",
                 joined = b"".join(x for p in packed for x in (p, end))
                 out.write(joined if width == 4 else np.frombuffer(joined, "<u4").astype("<u2").tobytes())
                 counts += [len(p) // 4 + 1 for p in packed]
-            keys += [None if n else int(k) for k, n in zip(batch["_key"], batch["_null"])]
+            keys += [None if n else k for k, n in zip(batch.column("_key").to_pylist(), batch.column("_null").to_pylist())]
         if out is None:
             return
         out.close()
@@ -225,14 +248,14 @@ def write(df: DataFrame, folder: str, tokenizer_path: str, key: str = "doc_id",
         with fs.open_output_stream(f"{at}.idx") as f:
             f.write(pack_shard(keys, starts, width))
         real = [k for k in keys if k is not None]
-        yield pd.DataFrame({"path": [path], "has_null": [keys[0] is None], "lo": [real[0] if real else None], "hi": [real[-1] if real else None],
-                            "n_docs": [len(keys)], "n_ids": [int(starts[-1])]}).astype({"lo": "Int64", "hi": "Int64"})
+        yield pa.RecordBatch.from_pylist([{"path": path, "has_null": keys[0] is None, "lo": real[0] if real else None, "hi": real[-1] if real else None,
+                                           "n_docs": len(keys), "n_ids": int(starts[-1])}], schema=shape)
 
     k = F.col(key).cast("long")
     src = df.select(F.coalesce(k, F.lit(NULL_LOW)).alias("_key"), k.isNull().alias("_null"), F.col(text).cast("string").alias("_text"))
     order = [F.col("_null").desc(), F.col("_key"), F.xxhash64("_text")]
     made = (src.repartitionByRange(*order).sortWithinPartitions(*order)
-            .mapInPandas(run, "path string, has_null boolean, lo long, hi long, n_docs long, n_ids long"))
+            .mapInArrow(run, "path string, has_null boolean, lo long, hi long, n_docs long, n_ids long"))
     made.write.mode("overwrite").parquet(f"{folder}/manifest")
     return manifest(df.sparkSession, folder)
 
@@ -277,17 +300,17 @@ def read_back(keys: DataFrame, shards: list[dict], key: str = "doc_id", with_ids
                 if number != now:
                     now, shard = number, Shard(shards[number]["path"])
                 ks = [None if n else k for k, n in zip(part["_key"].tolist(), part["_null"].tolist())]
-                out = []
-                for i, row in shard.rows(ks):
-                    ids = shard.ids(row)
-                    out.append((ks[i], shards[number]["base"] + int(shard.starts[row]), len(ids) // 4, zlib.crc32(ids), ids))
+                out, found = [], sorted((row, i) for i, row in shard.rows(ks))
+                for (row, i), (_, ids) in zip(found, shard.runs([row for row, _ in found])):
+                    out.append((ks[i], shards[number]["base"] + int(shard.starts[row]), len(ids) // 4, zlib.crc32(ids), ids if with_ids else None))
                 if out:
                     key_, start, n, crc, ids = zip(*out)
                     made = {"doc_id": pd.array(key_, "Int64"), "start": start, "n_tokens": n, "ids_crc32": crc}
                     yield pd.DataFrame(made | ({"token_ids": ids} if with_ids else {}))
 
     flat = wanted.select(F.coalesce("doc_id", F.lit(NULL_LOW)).alias("_key"), F.col("doc_id").isNull().alias("_null"))
-    return (flat.mapInPandas(route, "_shard int, _key long, _null boolean").repartition("_shard")
+    # as many parts as shards: keys are small, and parts coalesced by their bytes would read all payloads in one task
+    return (flat.mapInPandas(route, "_shard int, _key long, _null boolean").repartition(max(1, len(shards)), "_shard")
             .sortWithinPartitions("_shard", "_null", "_key").mapInPandas(look, shape))
 
 
