@@ -3,7 +3,8 @@
 The ``.model`` protobuf is parsed here; from it the normaliser, the metaspace marker, the unigram scores (or the
 merge order of a BPE model) and byte fallback are rebuilt as a ``tokenizers.Tokenizer``.  Distinct chunks of a
 batch are encoded multithreaded and remembered per worker.  Parity with the ``sentencepiece`` library is
-verified on every whole text.
+verified on every distinct chunk where chunks cannot merge (behind a line feed, or behind a letter for line feeds, so that
+chunks with and without a marker are compared as they stand in a text), and else on every whole text.
 
 Defined results: a null text counts as empty and gives no ids; a null ``doc_id`` stays null; repeated rows give
 repeated rows; further input columns pass through ``encode`` untouched.  ``n_tokens`` etc. are added last and
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabscore.llm.chunks import ChunkMemory, slices
+from tabscore.llm.chunks import ChunkMemory, give_back, text_slices
 from tabscore.llm.common import read
 
 MARK = "▁"
@@ -140,9 +141,14 @@ class Codec:
         words = [p for p, _, kind in pieces if kind in (NORMAL, USER_DEFINED)]
         self.chunked = m["type"] == BPE and m["byte_fallback"] and not any(
             re.search(f"[^{MARK}]{MARK}", p) or (len(p) > 1 and "\n" in p) for p in words)
-        self.chunk = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
+        self.chunk = re.compile(f"\n+|{MARK}*[^{MARK}\n]+|{MARK}+")
         self.memory = ChunkMemory(self._encode_new, 200_000)
         self.library = processor(path)
+        self.read_back = self.library.decode
+        #: Whether parity is known from chunks, what stands before a chunk when it is compared, and the chunks that differ.
+        self.by_chunk = self.chunked and self.plain
+        self.lead = {lead: self.library.encode(lead) for lead in ("\n", "a")}
+        self.bad: set[str] = set()
         # Decoder rebuilt the same way: bytes fuse, the marker becomes a space, the dummy prefix goes.
         steps = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
         self.tokenizer.decoder = decoders.Sequence(steps + ([decoders.Strip(" ", 1, 0)] if m["dummy_prefix"] else []))
@@ -156,12 +162,22 @@ class Codec:
 
     def _encode_new(self, chunks: list[str]) -> list[list[int]]:
         # encode_batch runs on the library's own threads (TOKENIZERS_PARALLELISM, RAYON_NUM_THREADS)
-        return [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        if self.by_chunk:
+            leads = ["a" if c[0] == "\n" else "\n" for c in chunks]
+            whole = [self.lead[lead] + x for lead, x in zip(leads, ids)]
+            theirs = self.library.encode([lead + c.replace(MARK, " ") for lead, c in zip(leads, chunks)], num_threads=1)
+            back = zip(self.read_back(whole), self.tokenizer.decode_batch(whole, skip_special_tokens=False), map(self.decode, whole))
+            for c, x, y, (p, q, r) in zip(chunks, whole, theirs, back):
+                (self.bad.discard if x == y and p == q == r else self.bad.add)(c)
+        return ids
 
     def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool]]:
         """Ids of each text as little-endian unsigned 32-bit integers, and whether the sentencepiece library gives the same."""
         parts = [(self.chunk.findall(x) if self.chunked else [x] if x else []) for x in map(self.normalise, texts)]
         packed = self.memory.pack(parts)
+        if self.by_chunk:
+            return packed, [not self.bad or self.bad.isdisjoint(p) for p in parts]
         other = self.library.encode(texts, num_threads=1)
         return packed, [struct.pack(f"<{len(x)}I", *x) == p for x, p in zip(other, packed)]
 
@@ -197,7 +213,7 @@ def default_model() -> str:
 def encode(df: DataFrame, model_path: str, text: str = "text") -> DataFrame:
     """Add ``token_ids`` (little-endian unsigned 32-bit integers), ``decoded`` (the ids' text) and ``parity``.
 
-    ``parity``: the ``sentencepiece`` library gives the same ids for the whole text, and it and the ``tokenizers`` library
+    ``parity``: the ``sentencepiece`` library gives the same ids for all of the text, and it and the ``tokenizers`` library
     read them back alike.
     One narrow pass without a shuffle; a batch is cut by text size, so long texts don't add up in a worker.
     """
@@ -212,18 +228,19 @@ def encode(df: DataFrame, model_path: str, text: str = "text") -> DataFrame:
             yield from encoded(own, batches)
         finally:
             own.memory.clear()
+            own.bad.clear()
+            give_back()
 
     def encoded(own, batches):
         import numpy as np
         for batch in batches:
-            texts = [x or "" for x in batch.column(text).to_pylist()]
-            for a, b in slices([len(x) for x in texts]):
-                some = texts[a:b]
-                packed, parity = own.encode(some)
+            for a, b, texts in text_slices(batch, text):
+                packed, parity = own.encode(texts)
                 lists = [np.frombuffer(p, "<u4").tolist() for p in packed]
                 back = [own.decode(x) for x in lists]
-                read_back = zip(own.library.decode(lists), own.tokenizer.decode_batch(lists, skip_special_tokens=False), back)
-                parity = [same and x == y == z for same, (x, y, z) in zip(parity, read_back)]
+                if not own.by_chunk:
+                    read_back = zip(own.read_back(lists), own.tokenizer.decode_batch(lists, skip_special_tokens=False), back)
+                    parity = [same and x == y == z for same, (x, y, z) in zip(parity, read_back)]
                 yield pa.RecordBatch.from_arrays(
                     [*batch.slice(a, b - a).columns, pa.array(packed, pa.binary()), pa.array(back, pa.string()), pa.array(parity, pa.bool_())], names=[*names, *dict(added)])
 
