@@ -30,6 +30,8 @@ from tabscore.llm.common import keep, read
 
 #: Turns below a node from which on it is an upper node; a bin's size in turns.
 SHARD_TURNS = 20_000
+#: Upper nodes (four numbers each) up to which they are sent to all executors.
+BROADCAST_ROWS = 500_000
 #: Characters of joined ids that travel as one row.
 JOINED = 60_000
 WORD = r"[^\x20\x09-\x0D]+"
@@ -37,6 +39,11 @@ NOTHING = hashlib.sha256(b"").hexdigest()
 NODE = ["depth", "x1", "x2"]
 
 
+def small(df: DataFrame) -> DataFrame:
+    """``df`` (kept before), marked for broadcast if its counted rows are few; else the join's hot nodes are left to AQE."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def marks(depth: Column, turn: Column) -> list[Column]:
     """Two hashes of a turn at a depth; a prefix's fingerprint is their XOR over its turns."""
     return [F.xxhash64(F.lit(17), depth, turn).alias("f1"), F.xxhash64(turn, depth, F.lit(29)).alias("f2")]
@@ -290,7 +297,7 @@ def trie(df: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "r
     rows = turns.join(ends.select("c", F.col("depth").alias("size")), "c")
     heavy = (rows.groupBy(*NODE).agg(F.sum(F.col("size") - F.col("depth") + 1).alias("below")).where(F.col("below") > shard)
              .select(*NODE, F.lit(True).alias("upper")))
-    rows = keep(rows.join(heavy, NODE, "left"))
+    rows = keep(rows.join(small(keep(heavy)), NODE, "left"))
     bins = max(1, -(-rows.count() // shard))
 
     # shards: what lies below a sequence's upper nodes, never more than ``shard`` turns
