@@ -28,7 +28,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscore.llm.chunks import slices
+from tabscore.llm.chunks import give_back, slices, text_slices
 from tabscore.llm.common import components, keep, read
 
 REGISTERS, BAND = 96, 4
@@ -154,19 +154,27 @@ def plausible(n_a, n_b, a, b, share: float):
 
 def sketch(docs: DataFrame, n: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(id, n, digest, bands)`` of every row: set size, digest of the set, and the registers, four to a long."""
-    import pandas as pd
+    import pyarrow as pa
 
     def run(batches):
+        try:
+            yield from sketched(batches)
+        finally:
+            give_back()
+
+    def sketched(batches):
         for batch in batches:
-            ids, texts = batch["id"], batch["text"].tolist()
-            rows = []
-            for t in texts:
-                h = shingle_hashes(t if isinstance(t, str) else None, n)
-                rows.append((len(h), hashlib.md5(h.tobytes()).digest(), registers(h).view("<i8").tolist()))
-            yield pd.DataFrame({"id": ids.to_numpy(), "n": [r[0] for r in rows], "digest": [r[1] for r in rows], "bands": [r[2] for r in rows]})
+            for a, b, texts in text_slices(batch, "text"):
+                rows = []
+                for t in texts:
+                    h = shingle_hashes(t, n)
+                    rows.append((len(h), hashlib.md5(h.tobytes()).digest(), registers(h).view("<i8").tolist()))
+                sizes, digests, bands = zip(*rows)
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(a, b - a), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                                                 names=["id", "n", "digest", "bands"])
 
-    src = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).where("id is not null")
-    return src.mapInPandas(run, "id long, n long, digest binary, bands array<long>")
+    src = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+    return src.mapInArrow(run, "id long, n long, digest binary, bands array<long>")
 
 
 # ---- links ---------------------------------------------------------------------------------------------------------
@@ -327,9 +335,10 @@ def cross(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_documents(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row with an id: key, n_shingles, component_id, kept."""
+    """One row per row: key, n_shingles, component_id, kept; a null id is linked with nothing, its component_id is null and it is kept."""
     share = percent / 100
-    sketches = keep(sketch(docs, words, key, text))
+    every = keep(sketch(docs, words, key, text))
+    sketches = every.where("id is not null")
     reps = keep(sketches.where("n > 0").groupBy("digest").agg(F.min("id").alias("rep"), F.min_by(F.struct("n", "bands"), "id").alias("x"))
                 .select("digest", "rep", "x.n", "x.bands"))
     # A repeated id with several texts has a row for each of its sets; all its sets are one vertex.
@@ -349,7 +358,9 @@ def near_documents(docs: DataFrame, words: int = 5, percent: int = 80, key: str
     roots = reps.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("component_id", "rep").alias("root"))
     out = sketches.select("id", "n", "digest").join(roots, "digest", "left")
     root = F.when(F.col("n") > 0, F.col("root")).otherwise(F.col("id"))
-    return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), root.alias("component_id"), (F.col("id") == root).alias("kept"))
+    out = out.select("id", "n", root.alias("root")).unionByName(every.where("id is null").select("id", "n", F.lit(None).cast("long").alias("root")))
+    return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.col("root").alias("component_id"),
+                      F.coalesce(F.col("id") == F.col("root"), F.lit(True)).alias("kept"))
 
 
 def _same_id(sketches: DataFrame, reps: DataFrame) -> DataFrame:

@@ -100,7 +100,17 @@ def test_edges(spark):
     df = spark.createDataFrame([(1, "a b c d e f", "x"), (1, "a b c d e f", "x"), (None, "a b c d e f", "x"), (2, "a b c d e f", "y"),
                                 (3, "q r s t u v", "y"), (3, "a b c d e f", "y"), (4, "q r s t u v", "y")], "doc_id long, text string, kept string")
     got = {(r.doc_id, r.component_id) for r in nd.near_documents(df).collect()}
-    assert got == {(1, 1), (2, 1), (3, 1), (4, 1)}
+    assert got == {(None, None), (1, 1), (2, 1), (3, 1), (4, 1)}
     left = nd.drop_copies(df)
     assert left.columns == df.columns and sorted(str(r.doc_id) for r in left.collect()) == ["1", "1", "None"]
     assert nd.near_documents(df.limit(0)).count() == 0 and nd.drop_copies(df.limit(0)).count() == 0
+
+
+def test_null_ids_stay(spark):
+    text = "one two three four five six seven eight nine ten"
+    rows = [(None, text), (None, text), (2 ** 60 + 1, text), (2 ** 60 + 3, text + " eleven"), (None, None), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in nd.near_documents(docs, words=4).collect()), key=str)
+    want = [(None, 7, None, True)] * 2 + [(None, 0, None, True), (2 ** 60 + 1, 7, 2 ** 60 + 1, True), (2 ** 60 + 3, 8, 2 ** 60 + 1, False), (5, 0, 5, True)]
+    assert got == sorted(want, key=str)
+    assert nd.drop_copies(docs, 4).count() == 5
