@@ -5,7 +5,8 @@ transitions join neighbouring words, and forward-backward gives every word's lab
 are labelled word by word.  A document's language has the largest mean probability over its words.
 
 The model is fitted on the driver from a bounded sample: rows whose ``crc32(doc_id) % 4`` isn't 2 and whose language is
-known, drawn by hash so that about ``SAMPLE_CHARS`` characters of each language come (whole texts).  Everything
+known, drawn by hash so that about ``SAMPLE_CHARS`` characters of each language come, and at least one text of each; of a text at
+most the first ``SAMPLE_CHARS`` characters are learned from.  Everything
 else runs where the rows are, in one narrow pass; forward-backward works on equal segments of all texts of a
 slice at once (segment transfer matrices, then a scan over segments), so a very long text costs no more a word.
 
@@ -22,7 +23,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscore.llm.chunks import slices
+from tabscore.llm.chunks import give_back, text_slices
 from tabscore.llm.common import read
 
 #: Characters of each language that are learned from (a documented bound of the fit).
@@ -143,7 +144,7 @@ class Model:
     weights: object  # BUCKETS x labels
     first: object
     trans: object
-    remembered: int = 250_000
+    remembered: int = 120_000
     _rows: dict = field(default_factory=dict, repr=False)
     _words: dict = field(default_factory=dict, repr=False)
     _scores: object = field(default=None, repr=False)
@@ -151,6 +152,10 @@ class Model:
     def __getstate__(self):
         return self.__dict__ | {"_rows": {}, "_words": {}, "_scores": None}
 
+    def forget(self) -> None:
+        """Give the memory of scored words up."""
+        self._rows, self._words, self._scores = {}, {}, None
+
     def emissions(self, tokens: list[str]):
         """Row of each token in the score table (0: no letter); the table starts anew when it has grown large."""
         import numpy as np
@@ -261,8 +266,16 @@ def learn(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     wanted = F.lit(False)
     for one, n in sorted(sizes.items()):
         wanted = wanted | ((F.col("lang") == one) & (draw < int((1 << 30) * min(1.0, chars / max(n or 1, 1)))))
-    rows = src.where(wanted).select("text", "lang").collect() if sizes else []
-    return fit(sorted((r.text, r.lang) for r in rows))
+    short = F.substring("text", 1, chars).alias("text")
+    drawn = src.where(wanted).select("lang", draw.alias("draw"), "id", short)
+    # the text with the smallest draw of each language comes whatever its length (it is among the drawn ones, if there are any)
+    first = src.groupBy("lang").agg(F.min(F.struct(draw.alias("draw"), "id", short)).alias("x")).select("lang", "x.*")
+    if not sizes:
+        return fit([])
+    rows = [(r.text, r.lang) for r in drawn.collect()]
+    have = {lang for _, lang in rows}
+    rows += [(r.text, r.lang) for r in first.where(~F.col("lang").isin(sorted(have))).collect()] if len(have) < len(sizes) else []
+    return fit(sorted(rows))
 
 
 def identify(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -270,10 +283,16 @@ def identify(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text
     import pyarrow as pa
 
     def run(batches):
+        try:
+            yield from identified(batches)
+        finally:
+            model.forget()
+            give_back()
+
+    def identified(batches):
         for batch in batches:
-            texts = [x or "" for x in batch.column("text").to_pylist()]
-            for a, b in slices([len(x) for x in texts]):
-                lang, score, n = zip(*model.predict(texts[a:b]))
+            for a, b, texts in text_slices(batch, "text"):
+                lang, score, n = zip(*model.predict(texts))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").slice(a, b - a), batch.column("held_out").slice(a, b - a), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(n, pa.int64())],
                     names=["id", "held_out", "lang_pred", "score", "n_words"])
@@ -288,10 +307,16 @@ def keep_known(df: DataFrame, model: Model, least: float = 0.0, text: str = "tex
     import pyarrow as pa
 
     def run(batches):
+        try:
+            yield from known(batches)
+        finally:
+            model.forget()
+            give_back()
+
+    def known(batches):
         for batch in batches:
-            texts = [x or "" for x in batch.column(text).to_pylist()]
-            for a, b in slices([len(x) for x in texts]):
-                good = [lang != UNDETERMINED and score >= least for lang, score, _ in model.predict(texts[a:b])]
+            for a, b, texts in text_slices(batch, text):
+                good = [lang != UNDETERMINED and score >= least for lang, score, _ in model.predict(texts)]
                 yield batch.slice(a, b - a).filter(pa.array(good, pa.bool_()))
 
     return df.mapInArrow(run, df.schema)

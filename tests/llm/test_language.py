@@ -66,3 +66,20 @@ def test_edges(spark):
     empty = crf.learn(df.limit(0))
     assert crf.identify(df.limit(0), empty).count() == 0
     assert {r.lang_pred for r in crf.identify(df, empty).collect()} == {"und"}
+
+
+def test_every_language_is_learned(spark):
+    """Languages of a few long texts beside one of many short ones."""
+    rows, i = [], 0
+    for k in range(8):
+        word = "".join(chr(97 + (k * 5 + j) % 26) for j in range(4))
+        for _ in range(2):
+            while zlib.crc32(str(i).encode()) % 4 == 2:
+                i += 1
+            rows.append((i, (word + " ") * 6000, f"l{k}"))
+            i += 1
+    rows += [(1000 + j, "many short ones", "en") for j in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = crf.learn(docs, chars=3000)
+    assert model.labels == sorted({r[2] for r in rows})
+    assert {r.doc_id: r.lang_pred for r in crf.identify(docs.where("doc_id < 1000"), model).collect()} == {r[0]: r[2] for r in rows if r[0] < 1000}
