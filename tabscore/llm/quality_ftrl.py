@@ -26,7 +26,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscore.llm.chunks import text_slices
+from tabscore.llm.chunks import give_back, text_slices
 from tabscore.llm.common import read
 
 #: Bounds of the fit: labelled rows of each label, and characters of a row that are learned from.
@@ -221,6 +221,13 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
 
     def run(batches):
         own = Words()
+        try:
+            yield from scored(own, batches)
+        finally:
+            own.known = {}
+            give_back()
+
+    def scored(own, batches):
         for batch in batches:
             for a, b, texts in text_slices(batch, "_text"):
                 found = model.scores(texts, own)

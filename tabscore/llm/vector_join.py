@@ -29,9 +29,10 @@ BLOCK = 4096
 
 
 def unit(rows):
-    """Rows as unit vectors in double precision."""
+    """Rows as unit vectors in double precision; rows are scaled by their largest component first, so no square overflows or vanishes."""
     import numpy as np
     x = np.array([np.asarray(r, np.float64) for r in rows])
+    x = x / np.abs(x).max(1, keepdims=True)
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 

@@ -47,3 +47,11 @@ def test_chain_and_empty(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     assert {(r.vec_id, r.n_links, r.component_id) for r in vj.near_vectors(df).collect()} == {(0, 1, 0), (1, 2, 0), (2, 2, 0), (3, 2, 0), (4, 1, 0)}
     assert vj.near_vectors(df.limit(0)).count() == 0
+
+
+def test_components_of_any_size(spark):
+    """No square overflows or vanishes."""
+    rows = [(1, [1e200, 0.0]), (2, [2e200, 0.0]), (3, [1.0, 0.0]), (4, [1e-300, 1e-301]), (5, [0.0, 1e308]), (6, [1e-320, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vj.near_vectors(df).collect()}
+    assert got == {**{i: (4, 1) for i in (1, 2, 3, 4, 6)}, 5: (0, 5)}
