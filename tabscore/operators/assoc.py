@@ -4,13 +4,15 @@
   one partial ``min/max`` per column (a table with one row per column), an
   equi-join back on the column name, equal-width bins over the joint range
   and a partial ``count`` per ``(column, class, bin)``.  All rows are used.
-* ``contingency``: every column is coded as a string (numeric → equal-width
-  bin over its range, categorical → value); in blocks of one left column,
-  each row emits one record per partner *column* (never pairs of rows), and a
-  partial count per ``(a, b, va, vb)`` builds the block's tables.
-* χ² and Cramér's V are SQL aggregates over those tables, with margins by
-  aggregates and joins; φ_K inverts a bivariate-normal χ² per pair in
-  ``applyInPandas`` (numpy, on the most frequent values and a rest).
+* ``contingency``: one scan; numeric columns become equal-width bins in the
+  JVM, and each task codes the values of its rows as small integers and
+  co-counts all column pairs in numpy, a slab of rows at a time.  Only cells
+  leave a task; Spark adds them up per ``(a, b, va, vb)``.
+* χ² and Cramér's V are SQL aggregates over those cells (written once), with
+  margins by aggregates and joins.
+* φ_K inverts a bivariate-normal χ² for all pairs at once: corner rows from
+  joined margins, quadrature as an expression, map-side sums over cells, and a
+  section search that looks at ``PHIK_POINTS`` correlations per pass.
 """
 
 from __future__ import annotations
@@ -19,11 +21,11 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabscore.functions.text import col
+from tabscore.session import ensure_checkpoint_dir
 
 
 def _long(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -82,28 +84,73 @@ def coded(df: DataFrame, num: Sequence[str], cat: Sequence[str], bins: int = 10)
     return df.select(*[exprs[c].alias(c) for c in names])
 
 
+#: Rows that a task co-counts at a time, at most.
+SLAB_ROWS = 200_000
+
+
+def _cells(codes: list[np.ndarray], values: list[list], pairs: list[tuple[int, int]]):
+    """Cells of a slab: per pair its numbers, and the codes and counts of its non-empty cells (code 0: missing)."""
+    for i, j in pairs:
+        wide = len(values[j])
+        key = codes[i].astype(np.int64) * wide + codes[j]
+        if len(values[i]) * wide <= 4 * len(key) + 1000:
+            n = np.bincount(key, minlength=len(values[i]) * wide)
+            key = np.flatnonzero(n)
+            n = n[key]
+        else:
+            key, n = np.unique(key, return_counts=True)
+        ci, cj = key // wide, key % wide
+        both = (ci > 0) & (cj > 0)
+        yield i, j, ci[both], cj[both], n[both]
+
+
 def contingency(df: DataFrame, num: Sequence[str], cat: Sequence[str], bins: int = 10,
                 pairs: Sequence[tuple[str, str]] | None = None) -> DataFrame:
     """``(a, b, va, vb, n)`` for every column pair; rows missing either
     value are dropped per pair."""
+    import pyarrow as pa
     names = list(num) + list(cat)
     pairs = list(pairs) if pairs is not None else [(names[i], names[j]) for i in range(len(names))
                                                    for j in range(i + 1, len(names))]
+    numbered = [(names.index(a), names.index(b)) for a, b in pairs]
     c = coded(df, num, cat, bins)
-    # One block per left column: its rows emit one record per partner, which
-    # combines map-side into at most the cells of those pairs' tables, so a row
-    # never carries the records of all pairs at once.
-    blocks = {}
-    for a, b in pairs:
-        blocks.setdefault(a, []).append(b)
-    out = None
-    for a, partners in blocks.items():
-        recs = F.array(*[F.struct(F.lit(b).alias("b"), col(b).alias("vb")) for b in partners])
-        one = (c.where(col(a).isNotNull()).select(col(a).alias("va"), F.explode(recs).alias("r"))
-               .select(F.lit(a).alias("a"), "r.b", "va", "r.vb").where(F.col("vb").isNotNull())
-               .groupBy("a", "b", "va", "vb").agg(F.count(F.lit(1)).alias("n")))
-        out = one if out is None else out.unionByName(one)
-    return out
+
+    def count(batches):
+        known = [{None: 0} for _ in names]
+        held, rows = [[] for _ in names], 0
+
+        def flush():
+            values = [list(k) for k in known]
+            codes = [np.concatenate(h) for h in held]
+            for i, j, ci, cj, n in _cells(codes, values, numbered):
+                if len(n):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(n), k, np.int32)) for k in (i, j)]
+                        + [pa.array(values[k], pa.string()).take(pa.array(x)) for k, x in ((i, ci), (j, cj))] + [pa.array(n, pa.int64())],
+                        names=["i", "j", "va", "vb", "n"])
+
+        for batch in batches:
+            for k in range(len(names)):
+                d = batch.column(k).dictionary_encode()
+                to = np.array([known[k].setdefault(v, len(known[k])) for v in d.dictionary.to_pylist()] + [0], np.int32)
+                held[k].append(to[d.indices.fill_null(len(to) - 1).to_numpy(zero_copy_only=False)])
+            rows += batch.num_rows
+            if rows >= SLAB_ROWS:
+                yield from flush()
+                known, held, rows = [{None: 0} for _ in names], [[] for _ in names], 0
+        if rows:
+            yield from flush()
+
+    labels = F.array(*[F.lit(n) for n in names])
+    return (c.mapInArrow(count, "i int, j int, va string, vb string, n long")
+            .groupBy("i", "j", "va", "vb").agg(F.sum("n").alias("n"))
+            .select(F.get(labels, F.col("i")).alias("a"), F.get(labels, F.col("j")).alias("b"), "va", "vb", "n"))
+
+
+def stored_cells(ct: DataFrame) -> DataFrame:
+    """Contingency rows written once to the shared checkpoint folder: the margins read them several times."""
+    ensure_checkpoint_dir(ct.sparkSession)
+    return ct.checkpoint(eager=True)
 
 
 def _margins(ct: DataFrame) -> DataFrame:
@@ -212,36 +259,119 @@ def phik_from_table(counts: np.ndarray) -> float:
     return (lo + hi) / 2
 
 
-def _phik_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    tab = pdf.pivot_table(index="va", columns="vb", values="n", aggfunc="sum", fill_value=0)
-    return pd.DataFrame({"a": [pdf["a"].iloc[0]], "b": [pdf["b"].iloc[0]],
-                         "phik": [phik_from_table(tab.to_numpy(dtype=float))]})
+# Acklam's rational approximation of the normal quantile (relative error below 1.2e-9).
+PPF_A = (-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02, 1.383577518672690e+02, -3.066479806614716e+01, 2.506628277459239e+00)
+PPF_B = (-5.447609879822406e+01, 1.615858368580409e+02, -1.556989798598866e+02, 6.680131188771972e+01, -1.328068155288572e+01)
+PPF_C = (-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e+00, -2.549732539343734e+00, 4.374664141464968e+00, 2.938163982698783e+00)
+PPF_D = (7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00, 3.754408661907416e+00)
+PPF_LOW = 2.425e-02
+
+#: Correlations looked at per pass, passes, and the largest correlation that is told from 1.
+PHIK_POINTS, PHIK_PASSES, PHIK_TOP = 24, 5, 0.9999
+
+
+def _num(x: float) -> str:
+    return f"({x:.17e})"
+
+
+def ppf_sql(p: str) -> str:
+    """Standard normal quantile of ``p`` in (0, 1), as SQL that Spark and other engines read alike."""
+    def poly(cs, x):
+        out = _num(cs[0])
+        for c in cs[1:]:
+            out = f"({out} * {x} + {_num(c)})"
+        return out
+    low, high = f"sqrt(-2e0 * ln({p}))", f"sqrt(-2e0 * ln(1e0 - {p}))"
+    mid, r = f"({p} - 5e-1)", f"(({p} - 5e-1) * ({p} - 5e-1))"
+    tail = lambda q: f"{poly(PPF_C, q)} / {poly((*PPF_D, 1.0), q)}"
+    return (f"CASE WHEN {p} < {_num(PPF_LOW)} THEN {tail(low)} WHEN {p} > {_num(1 - PPF_LOW)} THEN -({tail(high)}) "
+            f"ELSE {mid} * {poly(PPF_A, r)} / {poly((*PPF_B, 1.0), r)} END")
+
+
+def corner_sql(h: str, k: str, rho: str) -> str:
+    """What the correlation ``rho`` adds to P(X <= h, Y <= k) of a standard bivariate normal: Gauss-Legendre over the angle, as SQL."""
+    terms = []
+    for x, w in zip(_GL_X, _GL_W):
+        u = _num((x + 1) / 2)
+        terms.append(f"{_num(w / 2)} * exp(-({h} * {h} + {k} * {k} - 2e0 * {h} * {k} * sin({u} * asin({rho}))) / (2e0 * cos({u} * asin({rho})) * cos({u} * asin({rho}))))")
+    return f"asin({rho}) * ({' + '.join(terms)}) / {_num(2 * math.pi)}"
 
 
-# Values a column keeps in a φ_K table; all further ones are one category.
-PHIK_VALUES = 200
+# A column's most frequent values that ``phik_table(values=n)`` keeps; the rest is one category.
 REST = "\x00rest"
 
 
-def phik_table(ct: DataFrame, values: int = PHIK_VALUES) -> DataFrame:
-    """D16 φ_K per pair, one pandas call per pair.  Within a pair a column
-    keeps its ``values`` most frequent values (ties by value) and the rest is
-    one category of its own, so no row is left out and a pair's table has at
-    most ``(values + 1)²`` cells, however many values the columns have."""
+def _most_frequent(ct: DataFrame, values: int) -> DataFrame:
     for v in ("va", "vb"):
         w = Window.partitionBy("a", "b").orderBy(F.desc("n"), v)
         top = (ct.groupBy("a", "b", v).agg(F.sum("n").alias("n")).withColumn("_r", F.row_number().over(w))
                .where(F.col("_r") <= values).select("a", "b", v, F.lit(True).alias("_top")))
         ct = (ct.join(top, ["a", "b", v], "left").withColumn(v, F.when(F.col("_top"), F.col(v)).otherwise(F.lit(REST)))
               .groupBy("a", "b", "va", "vb").agg(F.sum("n").alias("n")))
-    return ct.groupBy("a", "b").applyInPandas(_phik_group, "a string, b string, phik double")
+    return ct
+
+
+def _bounds(ct: DataFrame, v: str, place: str, bound: str) -> DataFrame:
+    """Per pair and value of one side, in the values' order (numbers first, as numbers): its place, its share, the next
+    value's share, and the normal quantile of its upper bound (none for the last)."""
+    order = Window.partitionBy("a", "b").orderBy(F.expr(f"try_cast({v} AS double)").asc_nulls_last(), v)
+    whole = Window.partitionBy("a", "b")
+    m = ct.groupBy("a", "b", v).agg(F.sum("n").cast("double").alias("m"))
+    m = m.select("a", "b", F.row_number().over(order).alias(place), (F.col("m") / F.sum("m").over(whole)).alias(f"p{place}"),
+                 (F.lead("m").over(order) / F.sum("m").over(whole)).alias(f"q{place}"),
+                 (F.sum("m").over(order.rowsBetween(Window.unboundedPreceding, 0)) / F.sum("m").over(whole)).alias("cum"))
+    return m.where(F.col(f"q{place}").isNotNull()).select("a", "b", place, f"p{place}", f"q{place}", F.expr(ppf_sql("cum")).alias(bound))
+
+
+def phik_table(ct: DataFrame, values: int | None = None) -> DataFrame:
+    """D16 φ_K per pair (Baak et al., arXiv:1811.11440): ``(a, b, phik)``.
+
+    The correlation of a bivariate normal whose χ² over the pair's cells, plus the χ² that independent data would show (its
+    degrees of freedom), equals the observed one.  All pairs are solved together on rows: a pair's corners come from a
+    join of its two margins, so one with many values is many tasks; the driver holds two numbers per pair.
+    ``values``: keep that many most frequent values of a column and make the rest one category (none: all values)."""
+    ct = stored_cells(ct if values is None else _most_frequent(ct, values))
+    spark = ct.sparkSession
+    observed = chi2_table(ct).collect()  # a row per pair of columns
+    goal = {(r["a"], r["b"]): r["chi2"] - r["dof"] for r in observed}
+    size = {(r["a"], r["b"]): r["n"] for r in observed}
+    done = {k: 0.0 for k, g in goal.items() if g <= 0}
+    left = {k: (0.0, PHIK_TOP) for k in goal if k not in done}
+    if left:
+        corners = _bounds(ct, "va", "i", "h").join(_bounds(ct, "vb", "j", "k"), ["a", "b"])
+        ensure_checkpoint_dir(spark)
+        corners = corners.checkpoint(eager=True)
+    for step in range(PHIK_PASSES if left else 0):
+        points = PHIK_POINTS + (step == 0)  # the first pass looks at the top as well
+        rhos = {(key, p): lo + (hi - lo) * p / (PHIK_POINTS + 1) for key, (lo, hi) in left.items() for p in range(1, points + 1)}
+        looked = spark.createDataFrame([(a, b, p, r) for ((a, b), p), r in rhos.items()], "a string, b string, p int, rho double")
+        chi2 = {((r["a"], r["b"]), r["p"]): r["s"] * size[r["a"], r["b"]] for r in _cell_sums(corners, F.broadcast(looked)).collect()}
+        for key, (lo, hi) in list(left.items()):
+            below = [rhos[key, p] for p in range(1, points + 1) if chi2[key, p] < goal[key]]
+            if step == 0 and len(below) == points:
+                done[key] = 1.0
+                del left[key]
+                continue
+            above = [rhos[key, p] for p in range(1, points + 1) if chi2[key, p] >= goal[key]]
+            left[key] = (max([lo, *below]), min([hi, *above]))
+    done |= {k: (lo + hi) / 2 for k, (lo, hi) in left.items()}
+    return spark.createDataFrame([(a, b, v) for (a, b), v in sorted(done.items())], "a string, b string, phik double")
+
+
+def _cell_sums(corners: DataFrame, looked: DataFrame) -> DataFrame:
+    """Σ (cell − independent)² / independent per pair and correlation: a corner counts in four cells, with sign."""
+    q = corners.join(looked, ["a", "b"]).withColumn("q", F.expr(corner_sql("h", "k", "rho")))
+    cells = F.array(*[F.struct((F.col("i") + x).alias("i"), (F.col("j") + y).alias("j"), (F.col("q") * (1 if x == y else -1)).alias("d"),
+                               (F.col("qi" if x else "pi") * F.col("qj" if y else "pj")).alias("e")) for x in (0, 1) for y in (0, 1)])
+    per_cell = q.select("a", "b", "p", F.inline(cells)).groupBy("a", "b", "p", "i", "j").agg(F.sum("d").alias("d"), F.min("e").alias("e"))
+    return per_cell.groupBy("a", "b", "p").agg(F.sum(F.col("d") * F.col("d") / F.col("e")).alias("s"))
 
 
 def association_matrix(df: DataFrame, num: Sequence[str], cat: Sequence[str], bins: int = 10,
                        method: str = "cramers_v") -> DataFrame:
     """Symmetric long-form matrix ``(column_a, column_b, value)`` with the
     diagonal set to 1."""
-    ct = contingency(df, num, cat, bins)
+    ct = stored_cells(contingency(df, num, cat, bins))
     if method == "phik":
         vals = phik_table(ct).select("a", "b", F.col("phik").alias("value"))
     elif method == "cramers_v":
@@ -272,9 +402,6 @@ def flag_high(matrix: DataFrame, target: str, threshold: float = 0.85) -> DataFr
 
 
 def unique_pairs(matrix: DataFrame) -> DataFrame:
-    """Each unordered pair once (self pairs dropped), highest first."""
-    return (matrix.where(F.col("column_a") != F.col("column_b"))
-            .select(F.least("column_a", "column_b").alias("column_a"),
-                    F.greatest("column_a", "column_b").alias("column_b"), "value")
-            .dropDuplicates(["column_a", "column_b"])
-            .orderBy(F.desc("value"), "column_a", "column_b"))
+    """Each unordered pair once (self pairs dropped), highest first: the matrix is symmetric, so the triangle with the
+    lesser name first is all of it."""
+    return matrix.where(F.col("column_a") < F.col("column_b")).select("column_a", "column_b", "value").orderBy(F.desc("value"), "column_a", "column_b")

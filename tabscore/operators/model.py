@@ -2,9 +2,10 @@
 (K3-K9, K13-K15, K17, D14).
 
 The prepared frame (label, weight, fold, split) is checkpointed once into the
-shared checkpoint folder, so the many fits of the search read a short lineage
-and survive executor loss.  Fits run as Spark ML jobs; the search submits
-all folds × parameter sets side by side from a thread pool.
+shared checkpoint folder, so the many passes of the search read a short lineage
+and survive executor loss.  All fits of a batch of trials (every fold of each
+trial, and each trial on all training rows) grow side by side in shared passes
+(``operators.boosting``); the scores of held-out rows come out of the same run.
 """
 
 from __future__ import annotations
@@ -16,15 +17,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabscore.functions.text import col
-from tabscore.operators import features as feat
-from tabscore.operators import metrics, sampling
+from tabscore.operators import boosting, metrics, sampling
 from tabscore.plans import ranks
 from tabscore.session import ensure_checkpoint_dir
 
@@ -36,14 +35,14 @@ class TwoStage:
     named_steps: dict = field(default_factory=dict)
 
 
-def preprocessor(numeric: Sequence[str], impute: bool = True):
-    """K1 + K3 as pipeline stages: impute (with missing flags), assemble,
-    standardise.  Spark's ``StandardScaler`` divides by the sample std; the
-    population form is ``features.standardize``.  Trees do not depend on it."""
-    from pyspark.ml.feature import StandardScaler
-    stages = feat.assembler(numeric, impute=impute, output="raw_features")
-    stages.append(StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True))
-    return stages
+def scaled(numeric: Sequence[str]) -> list[str]:
+    """Names of the standardised columns."""
+    return [f"{c}__std" for c in numeric]
+
+
+def preprocessor(numeric: Sequence[str]):
+    """K1 as a pipeline stage: population standardisation.  Missing values stay missing; the trees have a branch for them."""
+    return [boosting.PopulationScaler(inputCols=list(numeric), outputCols=scaled(numeric))]
 
 
 def build_pipeline(classifier, preprocessor_stages) -> TwoStage:
@@ -57,19 +56,15 @@ def build_pipeline(classifier, preprocessor_stages) -> TwoStage:
 ROUNDS = 100
 
 
-def classifier(params: dict | None = None, weight_col: str | None = "weight", seed: int = 42) -> GBTClassifier:
-    """K6: binary gradient-boosted trees."""
-    p = {"maxDepth": 4, "stepSize": 0.1, "minInstancesPerNode": 10, "maxIter": ROUNDS, "subsamplingRate": 1.0}
-    p.update(params or {})
-    gbt = GBTClassifier(featuresCol="features", labelCol="label", seed=seed, **p)
-    if weight_col:
-        gbt.setWeightCol(weight_col)
-    return gbt
+def classifier(params: dict | None = None, weight_col: str | None = "weight", numeric: Sequence[str] | None = None, rounds: int = ROUNDS) -> boosting.HistBoost:
+    """K6: binary gradient-boosted trees on the standardised columns of ``numeric``."""
+    return boosting.HistBoost(inputCols=scaled(numeric) if numeric else None, weightCol=weight_col, rounds=rounds, **(params or {}))
 
 
 def with_score(scored: DataFrame, out: str = "p1") -> DataFrame:
-    """K9: P(class 1) as a double column."""
-    return scored.withColumn(out, vector_to_array(F.col("probability")).getItem(1))
+    """K9: P(class 1) as a double column (from a double or from a class vector)."""
+    p = F.col("probability")
+    return scored.withColumn(out, p if dict(scored.dtypes)["probability"] == "double" else vector_to_array(p).getItem(1))
 
 
 class CompositeEvaluator(Evaluator):
@@ -92,21 +87,50 @@ class CompositeEvaluator(Evaluator):
         return True
 
 
-# The search space (depth 3-12, learning rate 0.01-0.3 log,
-# minimum rows per leaf 10-100); leaf count has no Spark equivalent.
-SPACE = {"maxDepth": (3, 12), "stepSize": (0.01, 0.3), "minInstancesPerNode": (10, 100)}
+# The search space (leaves 20-100, learning rate 0.01-0.3 log, depth 3-12, minimum rows per leaf 10-100).
+SPACE = {"num_leaves": (20, 100), "learning_rate": (0.01, 0.3), "max_depth": (3, 12), "min_data_in_leaf": (10, 100)}
+LOG = {"learning_rate"}
+
+
+def _unit(name: str, value: float, space: dict) -> float:
+    lo, hi = space[name]
+    return (math.log(value / lo) / math.log(hi / lo)) if name in LOG else (value - lo) / (hi - lo)
+
+
+def _value(name: str, u: float, space: dict):
+    lo, hi = space[name]
+    return lo * (hi / lo) ** u if name in LOG else min(hi, lo + int(u * (hi - lo + 1)))
 
 
 def draw_params(n_trials: int, seed: int = 42, space: dict | None = None) -> list[dict]:
     """K8: seeded random draws (log-uniform for the learning rate)."""
     space = space or SPACE
     rng = random.Random(seed)
+    return [{name: _value(name, rng.random(), space) for name in space} for _ in range(n_trials)]
+
+
+def propose(history: list[tuple[dict, float]], n: int, seed: int = 42, space: dict | None = None, startup: int = 10, candidates: int = 24) -> list[dict]:
+    """K8: the next ``n`` trials, learned from earlier ``(params, score)``.  The first ``startup`` trials are random; then, of some draws
+    around the best quarter's values, the one that is likeliest under the best and unlikeliest under the others (a
+    Parzen estimate for each parameter)."""
+    space = space or SPACE
+    if len(history) < startup:
+        return draw_params(n, seed + len(history), space)
+    ranked = sorted(history, key=lambda x: -x[1])
+    cut = max(1, math.ceil(len(ranked) / 4))
+    rng = random.Random(seed * 1_000_003 + len(history))
+
+    def density(u: float, points: list[float]) -> float:
+        width = max(0.05, 1.0 / max(1, len(points)))
+        return (1.0 + sum(math.exp(-((u - p) / width) ** 2 / 2) / width for p in points)) / (len(points) + 1)
     out = []
-    for _ in range(n_trials):
-        lo, hi = space["stepSize"]
-        out.append({"maxDepth": rng.randint(*space["maxDepth"]),
-                    "stepSize": math.exp(rng.uniform(math.log(lo), math.log(hi))),
-                    "minInstancesPerNode": rng.randint(*space["minInstancesPerNode"])})
+    for _ in range(n):
+        one = {}
+        for name in space:
+            good, bad = ([_unit(name, p[name], space) for p, _ in part] for part in (ranked[:cut], ranked[cut:]))
+            draws = [min(0.999999, max(0.0, rng.gauss(rng.choice(good), max(0.05, 1.0 / len(good) / 4)))) for _ in range(candidates)]
+            one[name] = _value(name, max(draws, key=lambda u: density(u, good) / density(u, bad)), space)
+        out.append(one)
     return out
 
 
@@ -138,43 +162,47 @@ def prepare(df: DataFrame, target: str, keys: Sequence[str], test_size: float =
     return both.withColumn("weight", F.when(F.col("label") == 1.0, F.lit(ratio)).otherwise(F.lit(1.0)))
 
 
-# Rows of a training frame per task: a small sample is one task per job, so that
-# the many short jobs of boosting don't pay for empty tasks.
-ROWS_PER_TASK = 50_000
+@dataclass
+class SearchResult:
+    """``fold_scores``: (trial, fold, params, score).  ``held_out``: (trial, fold, label, p1) of every training row under the fit that
+    hasn't seen it.  ``models``: each trial's fit on all training rows."""
+    fold_scores: DataFrame
+    held_out: DataFrame
+    models: list[boosting.HistBoostModel]
 
 
-def search(train: DataFrame, numeric: Sequence[str], params: list[dict], folds: int = 3,
-           parallelism: int = 32, seed: int = 42, fixed: dict | None = None,
-           evaluator: Evaluator | None = None) -> DataFrame:
-    """K8: cross-validate every parameter set on the ``fold`` column with any
-    Spark ML evaluator (the composite one by default).  Imputer and scaler are
-    fitted once per fold and shared by its trials.  ``parallelism`` fits are submitted side by side
-    (each is a chain of small Spark jobs, and a thread only submits them).
-    Returns ``(trial, fold, params, score)``."""
+def search(train: DataFrame, numeric: Sequence[str], params: list[dict], folds: int = 3, parallelism: int = 32,
+           rounds: int = ROUNDS, evaluator: Evaluator | None = None, parts: int | None = None, first: int = 0) -> SearchResult:
+    """K8: cross-validate every parameter set on the ``fold`` column with any Spark ML evaluator (the composite one by
+    default).  All folds of all trials, and each trial on all rows, grow in shared passes; ``parts``: tasks of a pass;
+    ``first``: number of the first trial."""
     from concurrent.futures import ThreadPoolExecutor
 
     spark = train.sparkSession
-    # ``train`` reads the checkpointed frame; every fit persists its own
-    # input (GBT does), so fold parts are not cached here: caching k folds of
-    # a full table would hold k copies of it.
-    data = train.select(*numeric, "label", "weight", "fold")
+    fits = [boosting.Fit(held_out=f, **p) for p in params for f in [*range(folds), -1]]
+    ensembles, edges, state = boosting.fit_many(train.select(*[col(c) for c in numeric], "label", "weight", "fold"), numeric, fits, rounds, parts)
+
+    def rows(b):
+        for i, fit in enumerate(fits):
+            at = b.fold == fit.held_out
+            if fit.held_out >= 0:
+                for y, s in zip(b.y[at].tolist(), b.scores[at, i].tolist()):
+                    yield first + i // (folds + 1), fit.held_out, y, 1.0 / (1.0 + math.exp(-s))
+
+    held_out = spark.createDataFrame(state.flatMap(rows), "trial int, fold int, label double, probability double")
+    held_out = held_out.checkpoint(eager=True)
+    state.unpersist()
     evaluator = evaluator or CompositeEvaluator()
 
-    def prepared(f):
-        tr, va = data.where(F.col("fold") != f), data.where(F.col("fold") == f)
-        pre = Pipeline(stages=preprocessor(numeric)).fit(tr)
-        return pre.transform(tr), pre.transform(va)
-
     def run(job):
         i, f = job
-        tr, va = parts[f]
-        m = classifier({**(fixed or {}), **params[i]}, seed=seed).fit(tr)
-        return i, f, json.dumps(params[i], sort_keys=True), float(evaluator.evaluate(m.transform(va)))
+        part = held_out.where((F.col("trial") == first + i) & (F.col("fold") == f))
+        return first + i, f, json.dumps(params[i], sort_keys=True), float(evaluator.evaluate(part))
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        parts = list(pool.map(prepared, range(folds)))
         results = list(pool.map(run, [(i, f) for i in range(len(params)) for f in range(folds)]))
-    return spark.createDataFrame(results, "trial int, fold int, params string, score double")
+    models = [boosting.HistBoostModel(list(numeric), boosting.node_rows(ensembles[i * (folds + 1) + folds], edges)) for i in range(len(params))]
+    return SearchResult(spark.createDataFrame(results, "trial int, fold int, params string, score double"), held_out, models)
 
 
 def fold_means(fold_scores: DataFrame) -> DataFrame:
@@ -182,23 +210,18 @@ def fold_means(fold_scores: DataFrame) -> DataFrame:
     return fold_scores.groupBy("trial", "params").agg(F.avg("score").alias("mean_score"))
 
 
-def fit_final(train: DataFrame, numeric: Sequence[str], params: dict, seed: int = 42,
-              weight: bool = True) -> PipelineModel:
+def fit_final(train: DataFrame, numeric: Sequence[str], params: dict, weight: bool = True, rounds: int = ROUNDS) -> PipelineModel:
     """K6/K7: fit the two-stage pipeline on all training rows."""
-    gbt = classifier(params, weight_col="weight" if weight else None, seed=seed)
-    return build_pipeline(gbt, preprocessor(numeric)).pipeline.fit(train)
-
-
-def importances(model: PipelineModel, numeric: Sequence[str], impute: bool = True) -> DataFrame:
-    """Feature importances (Spark's gain-based, summing to 1) by name,
-    highest first; imputed value and missing flag of a column are added up."""
-    gbt = model.stages[-1]
-    names = [c for c in numeric] + ([c for c in numeric] if impute else [])
-    vals = gbt.featureImportances.toArray().tolist()
-    agg: dict[str, float] = {}
-    for n, v in zip(names, vals):
-        agg[n] = agg.get(n, 0.0) + float(v)
-    return (SparkSession.getActiveSession().createDataFrame(sorted(agg.items()), "feature_name string, importance double")
+    return build_pipeline(classifier(params, "weight" if weight else None, numeric, rounds), preprocessor(numeric)).pipeline.fit(train)
+
+
+def importances(model: PipelineModel, numeric: Sequence[str]) -> DataFrame:
+    """Importance of every feature by its number of splits, and its share of the gain, highest first."""
+    spark = SparkSession.active()
+    found = boosting.split_importances(model.stages[-1].node_table(spark), scaled(numeric))
+    total = F.sum("gain").over(Window.partitionBy())  # a row per feature
+    names = F.regexp_replace("feature_name", "__std$", "")
+    return (found.select(names.alias("feature_name"), F.col("splits").cast("double").alias("importance"), F.coalesce(F.try_divide("gain", total), F.lit(0.0)).alias("gain_share"))
             .orderBy(F.desc("importance"), "feature_name"))
 
 
@@ -216,29 +239,36 @@ class TrainResult:
 def train(df: DataFrame, numeric: Sequence[str], target: str, keys: Sequence[str],
           n_trials: int = 3, folds: int = 3, test_size: float = 0.2, seed: int = 42,
           parallelism: int = 32, rounds: int = ROUNDS, checkpoint: bool = True,
-          evaluator: Evaluator | None = None, space: dict | None = None) -> TrainResult:
+          evaluator: Evaluator | None = None, space: dict | None = None, parts: int | None = None, batch: int = 8) -> TrainResult:
     """K8 → K6 → K14: search on the training folds, fit on all training rows,
-    tune the threshold on a validation fold (a fit on the other folds), and
-    report F2 on the test rows at 0.5 and at the tuned threshold.  ``rounds``: boosting rounds of every fit;
-    ``evaluator`` and ``space``: what the search maximises, and where."""
+    tune the threshold on a held-out fold, and report F2 on the test rows at 0.5 and at the tuned threshold.
+    ``rounds``: boosting rounds of every fit; ``evaluator`` and ``space``: what the search maximises, and where; ``parts``:
+    tasks of a pass; ``batch``: trials that grow side by side, the next batch being proposed from the scores so far.
+
+    The final model is the best trial's fit on all training rows, and the threshold is tuned on the rows its first fold held out:
+    both come out of the search's own passes."""
     prep = prepare(df.select(*keys, *[c for c in numeric if c not in keys], target), target, keys,
                    test_size, folds, seed, checkpoint)
-    prep = prep.coalesce(max(1, math.ceil(prep.count() / ROWS_PER_TASK)))
     tr = prep.where(F.col("split") == "train")
     te = prep.where(F.col("split") == "test")
-    params = [{**p, "maxIter": rounds} for p in draw_params(n_trials, seed, space)]
-    scores = search(tr, numeric, params, folds, parallelism, seed, evaluator=evaluator)
-    best = params[fold_means(scores).orderBy(F.desc("mean_score"), "trial").first()["trial"]]
-    # The validation fit (for the threshold) and the final fit are
-    # independent: run them side by side.
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        val_job = pool.submit(fit_final, tr.where(F.col("fold") != 0), numeric, best, seed)
-        final_job = pool.submit(fit_final, tr, numeric, best, seed)
-        val_model, final = val_job.result(), final_job.result()
-    val = with_score(val_model.transform(tr.where(F.col("fold") == 0)))
+    scaler = preprocessor(numeric)[0].fit(tr)
+    rows = scaler.transform(tr)
+    params, found, history = [], [], []
+    while len(params) < n_trials:
+        some = propose(history, min(batch, n_trials - len(params)), seed, space)
+        found.append((len(params), search(rows, scaled(numeric), some, folds, parallelism, rounds, evaluator, parts, first=len(params))))
+        params += some
+        means = {r["trial"]: r["mean_score"] for r in fold_means(found[-1][1].fold_scores).collect()}  # a row per trial
+        history += [(p, means[found[-1][0] + i]) for i, p in enumerate(some)]
+    best = max(range(n_trials), key=lambda i: (history[i][1], -i))
+    first, res = next(x for x in reversed(found) if x[0] <= best)
+    scores = found[0][1].fold_scores
+    for _, more in found[1:]:
+        scores = scores.unionByName(more.fold_scores)
+    final = PipelineModel([scaler, res.models[best - first]])
+    val = with_score(res.held_out.where((F.col("trial") == best) & (F.col("fold") == 0)))
     thr = metrics.best_threshold(val, "label", "p1").first()["threshold"]
     scored = with_score(final.transform(te))
     # Both test-part scores in one pass over the scored test rows.
     f2 = metrics.fbetas(scored, "label", "p1", {"default": (0.5, True), "tuned": (thr, False)}, 2.0).first()
-    return TrainResult(final, best, scores, float(thr), float(f2["default"]), float(f2["tuned"]), scored)
+    return TrainResult(final, {**params[best], "rounds": rounds}, scores, float(thr), float(f2["default"]), float(f2["tuned"]), scored)

@@ -49,10 +49,9 @@ def score(df: DataFrame, model: PipelineModel, threshold: float = 0.5,
           keep: list[str] | None = None) -> DataFrame:
     """L3: all input columns + ``probability`` of class 1 + ``prediction`` at
     the model's stored threshold (``>=``)."""
-    from pyspark.ml.functions import vector_to_array
+    from tabscore.operators.model import with_score
 
     cols = keep or df.columns
-    out = model.transform(df)
-    p1 = vector_to_array(F.col("probability")).getItem(1)
-    return out.select(*[col(c) for c in cols], p1.alias("probability"),
-                      (p1 >= F.lit(threshold)).cast("int").alias("prediction"))
+    out = with_score(model.transform(df), "_p1")
+    return out.select(*[col(c) for c in cols], F.col("_p1").alias("probability"),
+                      (F.col("_p1") >= F.lit(threshold)).cast("int").alias("prediction"))

@@ -57,6 +57,22 @@ def d7_profile_orders(spark, sf):
     return prof.profile(read_table(spark, sf, "orders"), digits=6)
 
 
+@register("d7_profile_merged", f"""SELECT Column_Name, Data_Type, Min_Value, Max_Value, Missing_Values_Count, Mean_Value, Std_Dev, Sample_Values, TRUE AS distinct_close
+FROM ({fx.profile_sql('orders', fx.ORDERS_KINDS)})""")
+def d7_profile_merged(spark, sf):
+    """States by year, stored; one year is profiled again and replaces its rows; the profile comes from the merged states."""
+    o = read_table(spark, sf, "orders").withColumn("year", F.year("o_orderdate"))
+    path = work_path(spark, "d7")
+    prof.profile_states(o, "year").write.partitionBy("year").parquet(path)
+    (prof.profile_states(o.where("year = 1997"), "year").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("year").parquet(path))
+    fields = [f for f in o.schema.fields if f.name != "year"]
+    merged = prof.merge_states(spark.read.parquet(path), fields, digits=6)
+    exact = prof.distinct_counts(o, [f.name for f in fields])
+    close = F.abs(F.col("Unique_Values_Count") - F.col("n_unique")) <= 0.03 * F.col("n_unique")
+    return merged.join(exact, "Column_Name").withColumn("distinct_close", close).drop("Unique_Values_Count", "n_unique")
+
+
 @register("d7_profile_wide", fx.profile_sql(fx.WIDE_SQL, fx.WIDE_KINDS))
 def d7_profile_wide(spark, sf):
     # Clock and block columns are skipped, as in the reference's profile.

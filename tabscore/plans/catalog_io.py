@@ -66,6 +66,16 @@ def a2_schema_check(spark, sf):
     return df.groupBy("year").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("a2_file_footers", " UNION ALL ".join(f"""SELECT CAST(year(o_orderdate) AS INTEGER) AS year, '{c}' AS column_name, '{t}' AS data_type, COUNT(*) AS n_rows
+FROM orders GROUP BY 1""" for c, t in (("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"),
+                                       ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string"))))
+def a2_file_footers(spark, sf):
+    """Every footer of the yearly files: columns, types and rows."""
+    found = tb.footers(spark, [f"{_yearly_files(spark, sf)}/year=*/*.parquet"])
+    year = F.regexp_extract("file", r"year=(\d{4})", 1).cast("int").alias("year")
+    return found.groupBy(year, "column_name", "data_type").agg(F.sum("n_rows").alias("n_rows"))
+
+
 def _released(spark, table: str, path: str, columns):
     """The rows of an external table, whose catalog entry is dropped: readers
     of the result read its files."""

@@ -70,19 +70,20 @@ def d15_contingency(spark, sf):
     return assoc.contingency(fx.wide(spark, sf), A_NUM, A_CAT, bins=10)
 
 
-def _chi2_sql() -> str:
+def _chi2_sql(rounded: bool = True) -> str:
+    chi2 = R6('chi2') if rounded else 'chi2'
     return f"""WITH ct AS ({_ct_sql()}),
 t AS (SELECT *, SUM(n) OVER (PARTITION BY a, b) AS NN, SUM(n) OVER (PARTITION BY a, b, va) AS ra,
         SUM(n) OVER (PARTITION BY a, b, vb) AS rb FROM ct),
 g AS (SELECT a, b, CAST(first(NN) AS BIGINT) AS n, SUM(n * n / (ra * rb / NN)) - first(NN) AS chi2,
         COUNT(DISTINCT va) AS r, COUNT(DISTINCT vb) AS c FROM t GROUP BY a, b)
-SELECT a, b, n, r, c, {R6('chi2')} AS chi2, (r - 1) * (c - 1) AS dof,
+SELECT a, b, n, r, c, {chi2} AS chi2, (r - 1) * (c - 1) AS dof,
   {R6('CASE WHEN least(r, c) - 1 <= 0 THEN 0.0 ELSE sqrt(chi2 / n / (least(r, c) - 1)) END')} AS cramers_v FROM g"""
 
 
 def _chi2(spark, sf):
     ct = assoc.contingency(fx.wide(spark, sf), A_NUM, A_CAT, bins=10)
-    return assoc.chi2_table(ct)
+    return assoc.chi2_table(assoc.stored_cells(ct))
 
 
 @register("d16_chi2_cramers_v", _chi2_sql())
@@ -91,10 +92,31 @@ def d16_chi2_cramers_v(spark, sf):
     return t.withColumn("chi2", tx.round6(F.col("chi2"))).withColumn("cramers_v", tx.round6(F.col("cramers_v")))
 
 
-@register("d16_phik")
+def _phik_sql() -> str:
+    """The solver of ``assoc.phik_table`` written out: the same quadrature, quantiles and section search, pass by pass."""
+    def bounds(v, i, h):
+        return f"""SELECT a, b, {i}, p{i}, q{i}, {assoc.ppf_sql('cum')} AS {h} FROM (SELECT a, b, row_number() OVER o AS {i}, m / SUM(m) OVER (PARTITION BY a, b) AS p{i},
+  lead(m) OVER o / SUM(m) OVER (PARTITION BY a, b) AS q{i}, SUM(m) OVER (o ROWS UNBOUNDED PRECEDING) / SUM(m) OVER (PARTITION BY a, b) AS cum
+  FROM (SELECT a, b, {v}, CAST(SUM(n) AS DOUBLE) AS m FROM ct GROUP BY ALL) WINDOW o AS (PARTITION BY a, b ORDER BY TRY_CAST({v} AS DOUBLE) NULLS LAST, {v})) WHERE q{i} IS NOT NULL"""
+    ctes = [f"ct AS ({_ct_sql()})", f"obs AS (SELECT a, b, n, chi2 - (r - 1) * (c - 1) AS goal FROM ({_chi2_sql(rounded=False)}))",
+            f"corners AS (SELECT * FROM ({bounds('va', 'i', 'h')}) JOIN ({bounds('vb', 'j', 'k')}) USING (a, b))",
+            f"s0 AS (SELECT a, b, n, goal, 0e0 AS lo, {assoc.PHIK_TOP}e0 AS hi, FALSE AS full_ FROM obs WHERE goal > 0)"]
+    cells = "[" + ", ".join(f"{{'i': i + {x}, 'j': j + {y}, 'd': {'' if x == y else '-'}q, 'e': {'qi' if x else 'pi'} * {'qj' if y else 'pj'}}}" for x in (0, 1) for y in (0, 1)) + "]"
+    for t in range(assoc.PHIK_PASSES):
+        points = assoc.PHIK_POINTS + (t == 0)
+        ctes += [f"p{t} AS (SELECT a, b, p, lo + (hi - lo) * p / {assoc.PHIK_POINTS + 1}e0 AS rho FROM s{t}, range(1, {points + 1}) x(p))",
+                 f"q{t} AS (SELECT a, b, p, unnest({cells}) AS u FROM (SELECT *, {assoc.corner_sql('h', 'k', 'rho')} AS q FROM corners JOIN p{t} USING (a, b)))",
+                 f"""x{t} AS (SELECT a, b, p, SUM(d * d / e) AS s FROM (SELECT a, b, p, u.i, u.j, SUM(u.d) AS d, MIN(u.e) AS e FROM q{t} GROUP BY ALL) GROUP BY a, b, p)""",
+                 f"""s{t + 1} AS (SELECT a, b, n, goal, greatest(lo, coalesce(MAX(rho) FILTER (s * n < goal), lo)) AS lo, least(hi, coalesce(MIN(rho) FILTER (s * n >= goal), hi)) AS hi,
+  {'COUNT(*) FILTER (s * n >= goal) = 0' if t == 0 else 'bool_or(full_)'} AS full_ FROM s{t} JOIN p{t} USING (a, b) JOIN x{t} USING (a, b, p) GROUP BY a, b, n, goal, lo, hi)"""]
+    return f"""WITH {', '.join(ctes)} SELECT a, b, {R6('CASE WHEN z.goal IS NULL THEN 0e0 WHEN full_ THEN 1e0 ELSE (lo + hi) / 2 END')} AS phik
+FROM obs LEFT JOIN s{assoc.PHIK_PASSES} z USING (a, b)"""
+
+
+@register("d16_phik", _phik_sql())
 def d16_phik(spark, sf):
     ct = assoc.contingency(fx.wide(spark, sf), A_NUM, A_CAT, bins=10)
-    return assoc.phik_table(ct)
+    return assoc.phik_table(ct).withColumn("phik", tx.round6(F.col("phik")))
 
 
 def _matrix(spark, sf):
@@ -106,22 +128,23 @@ def _matrix(spark, sf):
 _V_SQL = f"(SELECT a, b, cramers_v AS v FROM ({_chi2_sql()}))"
 
 
-def _flag_sql(cut: float) -> str:
-    return f"""(SELECT a AS Column_Name, 'true' AS Phik_high_target FROM {_V_SQL}
-WHERE b = 'returned' AND a <> 'returned' AND abs(v) > {cut}
-UNION ALL SELECT b AS Column_Name, 'true' AS Phik_high_target FROM {_V_SQL}
-WHERE a = 'returned' AND b <> 'returned' AND abs(v) > {cut})"""
+_K_SQL = f"(SELECT a, b, phik AS v FROM ({_phik_sql()}))"
+
+
+def _flag_sql(cut: float, values: str = _V_SQL) -> str:
+    return f"""(SELECT CASE WHEN a = 'returned' THEN b ELSE a END AS Column_Name, 'true' AS Phik_high_target FROM {values}
+WHERE (a = 'returned') <> (b = 'returned') AND abs(v) > {cut})"""
 
 
 @register("d17_flag_high", f"""SELECT Column_Name, Role, coalesce(Phik_high_target, 'unk') AS Phik_high_target
-FROM {ROLE_TABLE_SQL} LEFT JOIN {_flag_sql(stored.HIGH)} USING (Column_Name)""")
+FROM {ROLE_TABLE_SQL} LEFT JOIN {_flag_sql(stored.HIGH, _K_SQL)} USING (Column_Name)""")
 def d17_flag_high(spark, sf):
     """The flag as a column of the role table: ``l_returnflag`` makes the target, the others don't."""
     return stored.stored_roles(spark, sf).select("Column_Name", "Role", "Phik_high_target")
 
 
 @register("b9_sentinel_or", f"""SELECT Column_Name, Skip_reason_phik, coalesce(Phik_high_target, 'unk') AS Phik_high_target, Data_leakage
-FROM {ROLE_TABLE_SQL} LEFT JOIN {_flag_sql(stored.HIGH)} USING (Column_Name)
+FROM {ROLE_TABLE_SQL} LEFT JOIN {_flag_sql(stored.HIGH, _K_SQL)} USING (Column_Name)
 WHERE Skip_reason_phik <> 'unk' OR coalesce(Phik_high_target, 'unk') <> 'unk' OR Data_leakage <> 'unk'""")
 def b9_sentinel_or(spark, sf):
     return rl.flagged(stored.stored_roles(spark, sf)).select("Column_Name", "Skip_reason_phik", "Phik_high_target", "Data_leakage")

@@ -1,11 +1,16 @@
 """Results that are made once and read back: the role table and the training run.
 
-Both live in the shared folder, named by a mark of their source (its files' paths, sizes and times), so a
-changed source gives a new one, and every query reads stored rows instead of profiling or training again.
+Both live in the shared folder, named by a mark of their source (its files' paths, sizes and times) and one of their
+settings and code, so a change of either gives a new one, and every query reads stored rows instead of profiling or
+training again.  The folder stays the same from job to job, and so does the run registry: its tables are appended to by
+every run and read by best-run queries.
 """
 
 from __future__ import annotations
 
+import hashlib
+import inspect
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -13,18 +18,24 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscore.operators import assoc
+from tabscore.operators import assoc, boosting, features, metrics
 from tabscore.operators import model as mdl
 from tabscore.operators import profile as prof
 from tabscore.operators import roles as rl
 from tabscore.operators import runs
 from tabscore.operators import sampling as smp
 from tabscore.plans import fixtures as fx
-from tabscore.session import ensure_checkpoint_dir, work_path
+from tabscore.plans import ranks
+from tabscore.session import shared_root
 from tabscore.sources import tables as tb
 
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 SAMPLE_SIZE = 10_000
+TRIALS, FOLDS = 3, 3
+#: Tasks of a training pass: the sample is small.
+PARTS = 4
+#: Rounds of the second, shorter run.
+SHORT_ROUNDS = 10
 #: Columns whose association with the target is flagged, and the cut.
 ASSOC_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "ship_hhmm", "arr_hhmm"]
 ASSOC_CAT = ["l_linenumber", "l_linestatus", "l_returnflag", "returned"]
@@ -38,13 +49,21 @@ def source_mark(spark: SparkSession, sf: str, table: str) -> str:
     return f"{files.agg(F.bit_xor('h')).first()[0] or 0:x}".replace("-", "m")
 
 
+def settings_mark(*settings) -> str:
+    """Hash of the settings and of the code that makes the results."""
+    code = "".join(inspect.getsource(m) for m in (assoc, boosting, features, fx, mdl, metrics, prof, ranks, rl, smp))
+    return hashlib.md5(f"{settings}{code}".encode()).hexdigest()[:12]
+
+
 def once(spark: SparkSession, name: str, make: Callable[[str], None]) -> str:
-    """Folder ``name`` below the shared work folder, made by ``make(path)`` unless a finished one is there."""
-    note = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tabscore-work/{name}"
+    """Folder ``name`` below the shared folder, made by ``make(path)`` unless a finished one is there.  Two callers that make it at
+    once write two folders; the note that is written last is the one that is read from then on."""
+    root = shared_root(spark)
+    note = f"{root}/notes/{name}"
     try:
         return spark.read.parquet(note).first()["path"]
     except AnalysisException:
-        path = work_path(spark, name)
+        path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
         make(path)
         spark.createDataFrame([(path,)], "path string").write.mode("overwrite").parquet(note)
         return path
@@ -59,10 +78,11 @@ def role_table(spark: SparkSession, sf: str) -> DataFrame:
 def stored_roles(spark: SparkSession, sf: str) -> DataFrame:
     """The role table with the high-association flag (D17), read back from where it was written once."""
     def make(path: str) -> None:
-        matrix = assoc.association_matrix(fx.wide(spark, sf), ASSOC_NUM, ASSOC_CAT, bins=10)
+        matrix = assoc.association_matrix(fx.wide(spark, sf), ASSOC_NUM, ASSOC_CAT, bins=10, method="phik")
         rl_table = assoc.add_flag(role_table(spark, sf), assoc.flag_high(matrix, "returned", HIGH))
         rl_table.coalesce(1).write.parquet(path)  # one row per source column
-    return spark.read.parquet(once(spark, f"roles-{source_mark(spark, sf, 'lineitem')}", make))
+    mark = settings_mark(ASSOC_NUM, ASSOC_CAT, HIGH)
+    return spark.read.parquet(once(spark, f"roles-{mark}-{source_mark(spark, sf, 'lineitem')}", make))
 
 
 def feature_names(spark: SparkSession, sf: str) -> tuple[list[str], str, DataFrame]:
@@ -74,35 +94,58 @@ def feature_names(spark: SparkSession, sf: str) -> tuple[list[str], str, DataFra
 
 def trained_run(spark: SparkSession, sf: str, rounds: int = mdl.ROUNDS) -> str:
     """Folder of the training run on the wide table: the balanced sample, search, final fit and everything K17 records,
-    written once.  Below it: ``model``, ``fold_scores``, ``test_scored``, ``feature_importances``, ``columns_roles``,
-    ``model_metadata`` and ``tables`` (the run tables)."""
+    written once.  Below it: ``model``, ``fold_scores``, ``test_scored``, ``feature_importances``, ``columns_roles`` and
+    ``model_metadata``; the run is appended to the registry."""
+    source, mark = source_mark(spark, sf, "lineitem"), settings_mark(SAMPLE_SIZE, TRIALS, FOLDS, rounds, KEYS)
+
     def make(base: str) -> None:
         num, tgt, rt = feature_names(spark, sf)
         sample = smp.balanced_sample(fx.wide(spark, sf), tgt, SAMPLE_SIZE, KEYS)
-        res = mdl.train(sample, num, tgt, KEYS, n_trials=3, folds=3, rounds=rounds)
+        res = mdl.train(sample, num, tgt, KEYS, n_trials=TRIALS, folds=FOLDS, rounds=rounds, parts=PARTS)
         res.model.write().overwrite().save(f"{base}/model")
         res.fold_scores.write.parquet(f"{base}/fold_scores")
-        res.test_scored.select(*KEYS, "label", F.col("p1").alias("probability"), "prediction").write.parquet(f"{base}/test_scored")
+        res.test_scored.select(*KEYS, "label", F.col("p1").alias("probability"), (F.col("p1") > 0.5).cast("int").alias("prediction")).write.parquet(f"{base}/test_scored")
         tb.write_csv(mdl.importances(res.model, num), f"{base}/feature_importances", single_file=True)
         tb.write_json(rl.role_mapping(rt, num + [tgt]), f"{base}/columns_roles", single_file=True)
-        meta = {"model_type": "gbt_pipeline", "optimal_threshold": res.threshold, "feature_columns": num, "target_column": tgt, "f2_score": res.f2_tuned}
+        meta = {"model_type": "hist_boost_pipeline", "optimal_threshold": res.threshold, "feature_columns": num, "target_column": tgt, "f2_score": res.f2_tuned}
         tb.write_json(runs.metadata_row(spark, meta), f"{base}/model_metadata", single_file=True)
         artifacts = {n: f"{base}/{n}" for n in ("model", "feature_importances", "columns_roles", "model_metadata")}
         rec = runs.run_record(spark, base.rsplit("/", 1)[-1],
                               {**res.best_params, "skip_additional_columns": fx.WIDE_SKIP_ADDITIONAL, "num_features_used": len(num), "optimal_threshold": res.threshold},
                               {"f2_score": res.f2_tuned, "f2_default": res.f2_default}, artifacts, meta)
-        rec["run_scores"] = runs.metric_row(spark, runs.PROJECT_NAME, "gbt", "f2_score", res.f2_tuned, f"{base}/model")
-        runs.log_run(spark, rec, f"{base}/tables")
-    return once(spark, f"run-{rounds}-{source_mark(spark, sf, 'lineitem')}", make)
+        rec["run_scores"] = runs.metric_row(spark, project(source), "hist_boost", "f2_score", res.f2_tuned, f"{base}/model")
+        runs.log_run(spark, rec, registry(spark))
+    return once(spark, f"run-{rounds}-{mark}-{source}", make)
+
+
+def registry(spark: SparkSession) -> str:
+    """Folder of the run tables: one for all jobs and runs."""
+    return f"{shared_root(spark)}/registry"
+
+
+def project(source: str) -> str:
+    """A source's runs are one project."""
+    return f"{runs.PROJECT_NAME}/{source}"
 
 
 def run_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{base}/tables/{name}")
+    """Rows of the run ``base`` in a run table."""
+    return spark.read.parquet(f"{registry(spark)}/{name}").where(F.col("run_id") == base.rsplit("/", 1)[-1])
+
+
+def scores(spark: SparkSession) -> DataFrame:
+    """The run-metrics table of the registry."""
+    return spark.read.parquet(f"{registry(spark)}/run_scores")
+
+
+def best_run(spark: SparkSession, sf: str) -> str:
+    """folder of the best among the source's runs (a full and a short one at least)."""
+    trained_run(spark, sf)
+    trained_run(spark, sf, SHORT_ROUNDS)
+    return runs.best_pipeline_uri(scores(spark), project(source_mark(spark, sf, "lineitem"))).rsplit("/", 1)[0]
 
 
-def best_model(spark: SparkSession, base: str) -> tuple[PipelineModel, float]:
-    """F3 → load → stored threshold: the model of the project's best run, and the threshold its run recorded."""
-    uri = runs.best_pipeline_uri(run_table(spark, base, "run_scores"), runs.PROJECT_NAME)
-    run = run_table(spark, base, "run_artifacts").where(F.col("uri") == uri).select("run_id")
-    meta = run_table(spark, base, "runs").join(run, "run_id").first()
-    return PipelineModel.load(uri), meta["optimal_threshold"]
+def best_model(spark: SparkSession, sf: str) -> tuple[PipelineModel, float]:
+    """The best run's model, loaded, and the threshold that the run recorded."""
+    base = best_run(spark, sf)
+    return PipelineModel.load(f"{base}/model"), run_table(spark, base, "runs").first()["optimal_threshold"]

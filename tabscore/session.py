@@ -66,6 +66,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local_dir
 
 
+def shared_root(spark: SparkSession) -> str:
+    """A folder below the shared checkpoint folder that stays the same from job to job: what ``spark.checkpoint.dir`` names (each
+    application's own checkpoints lie in a fresh folder below it).  Only a local session without the setting has one of
+    its own."""
+    own = ensure_checkpoint_dir(spark).rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{(named or own).rstrip('/')}/tabscore-shared"
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder for written tables."""
     root = ensure_checkpoint_dir(spark).rstrip("/")

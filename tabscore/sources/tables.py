@@ -6,6 +6,7 @@ the Parquet footer (never CSV/JSON inference).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -30,10 +31,10 @@ def scan_files(spark: SparkSession, paths: Sequence[str], year_pattern: str = r"
                expected: T.StructType | None = None) -> DataFrame:
     """A1: read many Parquet files in one scan; ``year`` is parsed from each
     file's name through the hidden ``_metadata`` column.  A2: with ``expected``
-    the footer schema must match, else a diff is raised."""
-    df = spark.read.option("mergeSchema", "false").parquet(*paths)
+    every file's footer must hold that schema, else a diff that names the files is raised."""
     if expected is not None:
-        check_schema(df.schema, expected)
+        check_files(footers(spark, paths), expected)
+    df = spark.read.option("mergeSchema", "false").parquet(*paths)
     year = F.regexp_extract(F.col("_metadata.file_path"), year_pattern, 1).cast("int")
     return nan_to_null(df.select("*", year.alias("year")))
 
@@ -58,6 +59,48 @@ def check_schema(actual: T.StructType, expected: T.StructType) -> None:
                          f"changed={[(k, e[k], a[k]) for k in changed]}")
 
 
+def footers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """A2: ``(file, ordinal, column_name, data_type, n_rows)``, one row per file and column.  Files are listed by Spark and their footers
+    read in tasks (a footer each, no data), so any number of files is checked side by side."""
+    import json
+
+    def read(batches):
+        import pandas as pd
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+        from pyspark.sql.pandas.types import from_arrow_schema
+        for batch in batches:
+            rows = []
+            for uri in batch["path"]:
+                if "://" in uri or uri.startswith("file:"):
+                    store, at = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))
+                else:
+                    store, at = fs.LocalFileSystem(), uri
+                with store.open_input_file(at) as f:
+                    footer = pq.ParquetFile(f)
+                    n, own = footer.metadata.num_rows, (footer.metadata.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata")
+                    # files that Spark wrote name its types; others are translated
+                    schema = T.StructType.fromJson(json.loads(own)) if own else from_arrow_schema(footer.schema_arrow, prefer_timestamp_ntz=True)
+                rows += [(uri, k, c.name, c.dataType.simpleString(), n) for k, c in enumerate(schema.fields)]
+            yield pd.DataFrame(rows, columns=["file", "ordinal", "column_name", "data_type", "n_rows"])
+
+    files = spark.read.format("binaryFile").load(list(paths)).select("path")
+    return files.repartition(spark.sparkContext.defaultParallelism).mapInPandas(read, "file string, ordinal int, column_name string, data_type string, n_rows long")
+
+
+def check_files(found: DataFrame, expected: T.StructType, shown: int = 20) -> None:
+    """A2: fail with a readable diff that names files (the first ``shown`` differences) when a footer is not the expected schema."""
+    want = found.sparkSession.createDataFrame([(f.name, f.dataType.simpleString()) for f in expected.fields], "column_name string, expected string")
+    names = F.array(*[F.lit(f.name) for f in expected.fields])
+    lost = found.groupBy("file").agg(F.collect_set("column_name").alias("has")).select("file", F.explode(F.array_except(names, "has")).alias("column_name"))
+    missing = lost.select("file", F.lit("missing").alias("what"), "column_name", F.lit(None).cast("string").alias("expected"), F.lit(None).cast("string").alias("found"))
+    other = (found.join(F.broadcast(want), "column_name", "left").where(~F.col("expected").eqNullSafe(F.col("data_type")))
+             .select("file", F.when(F.col("expected").isNull(), "extra").otherwise("changed").alias("what"), "column_name", "expected", F.col("data_type").alias("found")))
+    rows = missing.unionByName(other).orderBy("file", "what", "column_name").limit(shown).collect()
+    if rows:
+        raise ValueError("schema mismatch: " + "; ".join(f"{r.file}: {r.what} {r.column_name}" + (f" (expected {r.expected}, found {r.found})" if r.what == "changed" else "") for r in rows))
+
+
 def write_yearly_files(df: DataFrame, date_col: str, path: str) -> DataFrame:
     """Split a table into one Parquet folder per year (the raw layer)."""
     (df.withColumn("year", F.year(tx.col(date_col)))

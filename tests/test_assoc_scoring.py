@@ -59,8 +59,34 @@ def test_metrics_stream_idempotent_total(spark, tmp_path):
     out = str(tmp_path / "out")
     q = metrics_stream(spark, src, out, str(tmp_path / "ck"), ["g"], "v")
     q.awaitTermination()
-    got = {r.g: r.n for r in spark.read.parquet(out).groupBy("g").agg(F.sum("n").alias("n")).collect()}
-    assert got == {0: 34, 1: 33, 2: 33}
+    from tabscore.streaming.scoring_stream import merged_metrics, read_sink
+    got = {r.grp: r.n for r in merged_metrics(read_sink(spark, out)).collect()}
+    assert got == {"0": 34, "1": 33, "2": 33}
+
+
+def test_sinks_keep_runs_apart_and_replace_replayed_batches(spark, tmp_path):
+    from tabscore.operators.runs import RUN_METRICS_SCHEMA, top_runs
+    from tabscore.streaming import scoring_stream as st
+    src_dir, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(60).selectExpr("id % 2 AS g", "cast(id AS double) AS v").repartition(3).write.parquet(src_dir)
+    schema = spark.read.parquet(src_dir).schema
+
+    def run(name, ck):
+        src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src_dir)
+        st.metrics_stream(spark, src, out, str(tmp_path / ck), ["g"], "v", run_id=name, project="p").awaitTermination()
+    run("1", "ck1")
+    run("2", "ck2")
+    want = {(r, g): (30, 29.0 + int(g), 58.0 + int(g)) for r in "12" for g in "01"}
+
+    def totals():
+        return {(r.run_id, r.grp): (r.n, round(r.mean_value, 6), r.max_value) for r in st.merged_metrics(st.read_sink(spark, out)).collect()}
+    assert totals() == want
+    # a lost checkpoint replays all batches of run 2: they replace their rows
+    run("2", "ck3")
+    assert totals() == want
+    rows = st.read_sink(spark, out)
+    assert [f.name for f in RUN_METRICS_SCHEMA.fields] == rows.columns[:6]
+    assert top_runs(rows, "p", "0/max", 1).first().metric_value == 58.0
 
 
 def test_score_stream_splits_valid_and_rejected(spark, tmp_path):
@@ -86,7 +112,12 @@ def test_score_stream_splits_valid_and_rejected(spark, tmp_path):
     q.awaitTermination()
     scored = spark.read.parquet(out)
     assert scored.count() == 15 and {"probability", "prediction"} <= set(scored.columns)
-    rejected = spark.read.parquet(rej).collect()
+    again = score_stream(spark, str(src), schema, model, out, rej, str(tmp_path / "ck2"), 0.5, max_files_per_trigger=2, run_id="later")
+    again.awaitTermination()
+    assert {r.run_id: r["count"] for r in spark.read.parquet(out).groupBy("run_id").count().collect()} == {"stream": 15, "later": 15}
+    rej_all = spark.read.parquet(rej)
+    assert rej_all.count() == 12
+    rejected = rej_all.where("run_id = 'stream'").collect()
     assert len(rejected) == 6 and all(len(r["errors"]) == 1 for r in rejected)
 
 

@@ -97,3 +97,42 @@ def test_profile_approx_exact_fields_equal(spark):
     for c in ex:
         ex[c].pop("Unique_Values_Count"), ap[c].pop("Unique_Values_Count")
         assert ap[c] == ex[c], c
+
+
+def test_merged_states_equal_the_whole_profile(spark, tmp_path):
+    """Parts profiled alone and merged give the profile of all rows: exact fields as the exact profile, distinct counts as the approximate one."""
+    from decimal import Decimal
+
+    from pyspark.sql import functions as F
+    rows = [(2020 + i % 3, i % 7 if i % 5 else None, float(i % 11) / 4 if i % 4 else None, f"v{i % 900:04d}", Decimal(i % 13) / 10, i % 2 == 0, None) for i in range(3000)]
+    df = spark.createDataFrame(rows, "year int, a long, b double, s string, d decimal(5,1), f boolean, nothing string")
+    path = str(tmp_path / "states")
+    prof.profile_states(df, "year").write.partitionBy("year").parquet(path)
+    grown = df.unionByName(df.where("year = 2021").withColumns({"a": F.lit(99).cast("long"), "s": F.lit("zz")}))
+    prof.profile_states(grown.where("year = 2021"), "year").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
+    fields = [f for f in df.schema.fields if f.name != "year"]
+    got = prof.merge_states(spark.read.parquet(path), fields, digits=9).collect()
+    flat = grown.drop("year")
+    exact, approx = (prof.profile(flat, digits=9, approx=x).collect() for x in (False, True))
+    keep = [c for c in prof.PROFILE_SCHEMA.names if c != "Unique_Values_Count"]
+    assert [[r[c] for c in keep] for r in got] == [[r[c] for c in keep] for r in exact] == [[r[c] for c in keep] for r in approx]
+    assert [r.Unique_Values_Count for r in got] == [r.Unique_Values_Count for r in approx]
+    assert all(abs(g.Unique_Values_Count - e.Unique_Values_Count) <= 0.03 * e.Unique_Values_Count for g, e in zip(got, exact))
+
+
+def test_every_footer_is_checked(spark, tmp_path):
+    """One file with another type, one without a column, one with a further column: the diff names each."""
+    from tabscore.sources import tables as tb
+    base = str(tmp_path)
+    good = spark.range(5).selectExpr("id", "cast(id as double) x")
+    good.coalesce(1).write.parquet(f"{base}/2019.parquet")
+    good.coalesce(1).write.parquet(f"{base}/2020.parquet")
+    assert tb.scan_files(spark, [f"{base}/*.parquet"], expected=good.schema).count() == 10
+    spark.range(5).selectExpr("id", "cast(id as string) x").coalesce(1).write.parquet(f"{base}/2021.parquet")
+    spark.range(5).selectExpr("id").coalesce(1).write.parquet(f"{base}/2022.parquet")
+    good.selectExpr("*", "1 AS more").coalesce(1).write.parquet(f"{base}/2023.parquet")
+    with pytest.raises(ValueError, match="schema mismatch") as e:
+        tb.scan_files(spark, [f"{base}/*.parquet"], expected=good.schema)
+    said = str(e.value)
+    assert "changed x (expected double, found string)" in said and "missing x" in said and "extra more" in said
+    assert "2021.parquet" in said and "2022.parquet" in said and "2023.parquet" in said and "2019.parquet" not in said
