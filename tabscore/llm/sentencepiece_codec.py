@@ -99,6 +99,10 @@ def parse_model(data: bytes) -> dict:
     return out
 
 
+def unpacked(ids: bytes) -> list[int]:
+    return list(struct.unpack(f"<{len(ids) // 4}I", ids))
+
+
 class Codec:
     """Encoder and decoder of one SentencePiece model."""
 
@@ -149,6 +153,8 @@ class Codec:
         self.by_chunk = self.chunked and self.plain
         self.lead = {lead: self.library.encode(lead) for lead in ("\n", "a")}
         self.bad: set[str] = set()
+        #: Chunks whose ids decode to another text.
+        self.other: set[str] = set()
         # Decoder rebuilt the same way: bytes fuse, the marker becomes a space, the dummy prefix goes.
         steps = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
         self.tokenizer.decoder = decoders.Sequence(steps + ([decoders.Strip(" ", 1, 0)] if m["dummy_prefix"] else []))
@@ -168,18 +174,28 @@ class Codec:
             whole = [self.lead[lead] + x for lead, x in zip(leads, ids)]
             theirs = self.library.encode([lead + c.replace(MARK, " ") for lead, c in zip(leads, chunks)], num_threads=1)
             back = zip(self.read_back(whole), self.tokenizer.decode_batch(whole, skip_special_tokens=False), map(self.decode, whole))
-            for c, x, y, (p, q, r) in zip(chunks, whole, theirs, back):
+            for c, lead, x, y, (p, q, r) in zip(chunks, leads, whole, theirs, back):
                 (self.bad.discard if x == y and p == q == r else self.bad.add)(c)
+                (self.other.discard if r == lead + c.replace(MARK, " ") else self.other.add)(c)
         return ids
 
-    def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool]]:
-        """Ids of each text as little-endian unsigned 32-bit integers, and whether the sentencepiece library gives the same."""
+    def both(self, texts: list[str]) -> tuple[list[bytes], list[bool], list[str]]:
+        """Ids of each text as little-endian unsigned 32-bit integers, whether the sentencepiece library gives the same, and the
+        text that the ids decode to.  Each distinct chunk's ids are decoded once, so a text's decoding is its chunks' in a row."""
         parts = [(self.chunk.findall(x) if self.chunked else [x] if x else []) for x in map(self.normalise, texts)]
         packed = self.memory.pack(parts)
         if self.by_chunk:
-            return packed, [not self.bad or self.bad.isdisjoint(p) for p in parts]
-        other = self.library.encode(texts, num_threads=1)
-        return packed, [struct.pack(f"<{len(x)}I", *x) == p for x, p in zip(other, packed)]
+            parity = [not self.bad or self.bad.isdisjoint(p) for p in parts]
+            back = [self.decode(unpacked(x)) if self.other and not self.other.isdisjoint(p) else "".join(p).replace(MARK, " ")[1:] for x, p in zip(packed, parts)]
+            return packed, parity, back
+        lists = list(map(unpacked, packed))
+        back = [self.decode(x) for x in lists]
+        theirs = zip(self.library.encode(texts, num_threads=1), self.read_back(lists), self.tokenizer.decode_batch(lists, skip_special_tokens=False))
+        return packed, [x == y and p == q == r for x, (y, p, q), r in zip(lists, theirs, back)], back
+
+    def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool]]:
+        """Ids and parity of each text."""
+        return self.both(texts)[:2]
 
     def decode(self, ids: list[int]) -> str:
         """Text of the ids: piece bytes in a row; ids that are control or unknown pieces, or bytes that are no valid
@@ -229,18 +245,13 @@ def encode(df: DataFrame, model_path: str, text: str = "text") -> DataFrame:
         finally:
             own.memory.clear()
             own.bad.clear()
+            own.other.clear()
             give_back()
 
     def encoded(own, batches):
-        import numpy as np
         for batch in batches:
             for a, b, texts in text_slices(batch, text):
-                packed, parity = own.encode(texts)
-                lists = [np.frombuffer(p, "<u4").tolist() for p in packed]
-                back = [own.decode(x) for x in lists]
-                if not own.by_chunk:
-                    read_back = zip(own.read_back(lists), own.tokenizer.decode_batch(lists, skip_special_tokens=False), back)
-                    parity = [same and x == y == z for same, (x, y, z) in zip(parity, read_back)]
+                packed, parity, back = own.both(texts)
                 yield pa.RecordBatch.from_arrays(
                     [*batch.slice(a, b - a).columns, pa.array(packed, pa.binary()), pa.array(back, pa.string()), pa.array(parity, pa.bool_())], names=[*names, *dict(added)])
 

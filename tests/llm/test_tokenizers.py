@@ -133,3 +133,13 @@ def test_absent_keys_and_empty_table(spark, tmp_path):
     assert tf.read_back(others, shards).count() == 0
     assert tf.write(df.limit(0), str(tmp_path / "b"), tf.default_tokenizer()) == []
     assert tf.read_back(others, []).count() == 0
+
+
+def test_text_of_chunks_is_text_of_ids():
+    """Decoding chunk by chunk gives what decoding all ids of a text gives, also where chunks decode to another text."""
+    own = sp.Codec(sp.default_model())
+    texts = EDGE + noise(200)
+    packed, _, back = own.both(texts)
+    assert back == [own.decode(sp.unpacked(p)) for p in packed] == own.read_back([sp.unpacked(p) for p in packed])
+    own.other = set(own.memory.young)
+    assert own.both(texts)[2] == back
