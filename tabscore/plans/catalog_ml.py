@@ -11,6 +11,7 @@ scoring queries compare them, row by row, with the node table walked in arrays.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -163,7 +164,6 @@ def _scored(spark, sf, extra=()):
 
 def _walked(scored, model, name="walked"):
     """P(class 1) of every row from the model's node table, walked in arrays batch by batch: the score of the expression, made another way."""
-    import pandas as pd
     nodes, cols = model.stages[-1].nodes, model.stages[-1].getInputCols()
 
     @F.pandas_udf("double")
