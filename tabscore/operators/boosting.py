@@ -14,6 +14,9 @@ The rows' bins, and every fit's score of every row, are blocks of a persisted RD
 arrays from pass to pass, which DataFrame operators can't.  Every ``CHECKPOINT_ROUNDS`` rounds the blocks are written to the
 shared checkpoint folder, so a lost executor costs these rounds at most and the lineage stays short.
 
+A frame that a task holds (the bounded training sample) needs no pass per level: ``fit_each`` sends its rows to a group per fit,
+and the same growth runs in the groups.
+
 Scoring is a Catalyst expression (``score_column``): the stored node table becomes nested conditions, one per tree.
 """
 
@@ -21,6 +24,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -85,6 +89,15 @@ class Block:
     scores: np.ndarray
 
 
+def coded_rows(columns: list, edges: list[list[float]]) -> np.ndarray:
+    """Bins of rows (0: missing), a column per feature."""
+    codes = np.zeros((len(columns[0]) if columns else 0, len(edges)), np.uint8)
+    for i, (x, e) in enumerate(zip(columns, edges)):
+        x = np.asarray(x, float)
+        codes[:, i] = np.where(np.isnan(x), 0, 1 + np.searchsorted(np.array(e), x, "left"))
+    return codes
+
+
 def blocks(df: DataFrame, cols: Sequence[str], edges: list[list[float]], fits: int, parts: int | None):
     """RDD of ``Block`` over ``df`` (the columns and label, weight, fold)."""
     data = df.select(*[col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)], F.col("label").cast("double").alias("label"),
@@ -93,10 +106,7 @@ def blocks(df: DataFrame, cols: Sequence[str], edges: list[list[float]], fits: i
     def make(batches):
         import pyarrow as pa
         for batch in batches:
-            codes = np.zeros((batch.num_rows, len(edges)), np.uint8)
-            for i, e in enumerate(edges):
-                x = batch.column(i).to_numpy(zero_copy_only=False).astype(float)
-                codes[:, i] = np.where(np.isnan(x), 0, 1 + np.searchsorted(np.array(e), x, "left"))
+            codes = coded_rows([batch.column(i).to_numpy(zero_copy_only=False) for i in range(len(edges))], edges)
             rest = [batch.column(len(edges) + k).to_numpy(zero_copy_only=False) for k in range(3)]
             yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (codes, rest[0].astype("<f8"), rest[1].astype("<f8"), rest[2].astype("<i4"))],
                                              names=["codes", "y", "w", "fold"])
@@ -134,6 +144,18 @@ class Node:
     stats: tuple | None = None  # of the kids
 
 
+def walk(codes: np.ndarray, splits: tuple, at: np.ndarray) -> np.ndarray:
+    """Nodes ``at`` of all rows, led on (in place) to their leaves."""
+    feature, cut, missing_left, left, right = splits
+    rows = np.flatnonzero(left[at] >= 0)
+    while len(rows):
+        node = at[rows]
+        c = codes[rows, feature[node]]
+        at[rows] = node = np.where(np.where(c == 0, missing_left[node], c <= cut[node]), left[node], right[node])
+        rows = rows[left[node] >= 0]
+    return at
+
+
 @dataclass
 class Tree:
     """A tree as arrays over its nodes; a leaf has ``left`` -1."""
@@ -149,14 +171,7 @@ class Tree:
 
     def leaves(self, codes: np.ndarray) -> np.ndarray:
         """Leaf of every row."""
-        at = np.zeros(len(codes), np.int64)
-        rows = np.flatnonzero(self.left[at] >= 0)
-        while len(rows):
-            node = at[rows]
-            c = codes[rows, self.feature[node]]
-            at[rows] = np.where(np.where(c == 0, self.missing_left[node], c <= self.bin[node]), self.left[node], self.right[node])
-            rows = rows[self.left[at[rows]] >= 0]
-        return at
+        return walk(codes, (self.feature, self.bin, self.missing_left, self.left, self.right), np.zeros(len(codes), np.int64))
 
 
 def best_splits(hist: np.ndarray, fit: Fit) -> list[tuple]:
@@ -191,6 +206,8 @@ class Growing:
     fit: Fit
     nodes: list[Node] = field(default_factory=lambda: [Node(0, 0.0, 0.0, -1.0)])
     used: list[int] = field(default_factory=list)
+    #: Per node: feature, bin, side of missing values, and both kids (-1: a leaf so far).
+    splits: list[list] = field(default_factory=lambda: [[0, 0, False, -1, -1]])
 
     def wanted(self) -> list[int]:
         """Leaves whose histograms are needed to go on; none when the tree is done (then ``used`` are its splits)."""
@@ -208,6 +225,8 @@ class Growing:
             node = self.nodes[i]
             if node.kids is None:
                 node.kids = (len(self.nodes), len(self.nodes) + 1)
+                self.splits[i] = [*node.split[1:], *node.kids]
+                self.splits += [[0, 0, False, -1, -1], [0, 0, False, -1, -1]]
                 for g, h, n in node.stats:
                     done = node.depth + 1 >= self.fit.max_depth or n < 2 * self.fit.min_data_in_leaf
                     self.nodes.append(Node(node.depth + 1, g, h, n, () if done else None))
@@ -224,19 +243,18 @@ class Growing:
         for i, (split, stats) in zip(leaves, best_splits(hist, self.fit)):
             self.nodes[i].split, self.nodes[i].stats = split, stats
 
-    def tree(self, every: bool = False) -> Tree:
-        """The tree of the used splits (``every``: of all that were tried, numbered as in ``nodes``)."""
-        inner = [i for i, n in enumerate(self.nodes) if n.kids] if every else self.used
-        if every:
-            order = list(range(len(self.nodes)))
-        else:
-            order, at, split = [0], 0, set(inner)
-            while at < len(order):
-                if order[at] in split:
-                    order += self.nodes[order[at]].kids
-                at += 1
-        number, split = {i: k for k, i in enumerate(order)}, set(inner)
-        rows = []
+    def so_far(self) -> tuple:
+        """The splits that were tried, as arrays over ``nodes``."""
+        return tuple(np.array(x, k) for x, k in zip(zip(*self.splits), (np.int32, np.uint8, bool, np.int32, np.int32)))
+
+    def tree(self) -> Tree:
+        """The tree of the used splits."""
+        order, at, split = [0], 0, set(self.used)
+        while at < len(order):
+            if order[at] in split:
+                order += self.nodes[order[at]].kids
+            at += 1
+        number, rows = {i: k for k, i in enumerate(order)}, []
         for i in order:
             n = self.nodes[i]
             value = -n.g / (n.h + self.fit.l2) * self.fit.learning_rate if n.n > 0 else 0.0
@@ -249,21 +267,54 @@ class Growing:
         return Tree(*[np.array(x, k) for x, k in zip(zip(*rows), kinds)])
 
 
-def histograms(block: Block, asked: list[tuple[int, int, Tree, list[int]]]) -> np.ndarray:
-    """Gradient, hessian and row sums of a block for each asked leaf: ``asked`` holds (fit, held-out fold, tree so far, leaves)."""
+def grow(fits: list[Fit], sums) -> list[Tree]:
+    """A tree of every fit, side by side; ``sums(asked)`` gives the histograms of all asked leaves."""
+    growing = [Growing(f) for f in fits]
+    while True:
+        wanted = [g.wanted() for g in growing]
+        asked = [(i, f.held_out, growing[i].so_far(), leaves) for i, (f, leaves) in enumerate(zip(fits, wanted)) if leaves]
+        if not asked:
+            return [g.tree() for g in growing]
+        total, at = sums(asked), 0
+        for i, _, _, leaves in asked:
+            growing[i].learn(leaves, total[at:at + len(leaves)])
+            at += len(leaves)
+
+
+#: What a worker remembers of the blocks it last saw: nodes, gradients and hessians per fit within a round.  Whatever is not there is made
+#: again, so results never depend on it.
+_SEEN: dict = {}
+REMEMBERED_BLOCKS = 8
+
+
+def seen(block: Block, place: tuple, run: tuple) -> dict:
+    """The worker's memory of a block within a round (``run``)."""
+    held = _SEEN.pop(place, None)
+    if held is None or held[0] != run or held[2] != len(block.y):
+        held = (run, {}, len(block.y))
+    _SEEN[place] = held
+    while len(_SEEN) > REMEMBERED_BLOCKS:
+        _SEEN.pop(next(iter(_SEEN)))
+    return held[1]
+
+
+def histograms(block: Block, asked: list[tuple[int, int, tuple, list[int]]], known: dict) -> np.ndarray:
+    """Gradient, hessian and row sums of a block for each asked leaf: ``asked`` holds (fit, held-out fold, splits so far, leaves);
+    ``known`` is what the round's earlier passes left."""
     width, bins = block.codes.shape[1], BINS + 1
     out = []
-    for fit, held_out, tree, leaves in asked:
-        slot = np.full(len(tree.left), -1)
+    for fit, held_out, splits, leaves in asked:
+        if fit not in known:
+            p = 1.0 / (1.0 + np.exp(-block.scores[:, fit]))
+            known[fit] = (np.zeros(len(p), np.int64), (p - block.y) * block.w, p * (1.0 - p) * block.w)
+        at, g, h = known[fit]
+        walk(block.codes, splits, at)
+        slot = np.full(len(splits[0]), -1)
         slot[leaves] = np.arange(len(leaves))
-        at = slot[tree.leaves(block.codes)]
-        rows = np.flatnonzero((at >= 0) & (block.fold != held_out))
-        p = 1.0 / (1.0 + np.exp(-block.scores[rows, fit]))
-        w = block.w[rows]
-        g, h = (p - block.y[rows]) * w, p * (1.0 - p) * w
-        cell = ((at[rows, None] * width + np.arange(width)) * bins + block.codes[rows]).ravel()
+        rows = np.flatnonzero((slot[at] >= 0) & (block.fold != held_out))
+        cell = ((slot[at[rows], None] * width + np.arange(width)) * bins + block.codes[rows]).ravel()
         size = len(leaves) * width * bins
-        sums = [np.bincount(cell, None if x is None else np.repeat(x, width), size) for x in (g, h, None)]
+        sums = [np.bincount(cell, None if x is None else np.repeat(x[rows], width), size) for x in (g, h, None)]
         out.append(np.stack(sums, 1).reshape(len(leaves), width, bins, 3))
     return np.concatenate(out)
 
@@ -280,24 +331,19 @@ def fit_many(df: DataFrame, cols: Sequence[str], fits: list[Fit], rounds: int =
     edges = bin_edges(df, cols)
     state = blocks(df, cols, edges, len(fits), parts).persist(StorageLevel.MEMORY_AND_DISK)
     ensembles: list[list[Tree]] = [[] for _ in fits]
-    before = None
+    before, width, name = None, state.getNumPartitions(), uuid.uuid4().hex
     for r in range(rounds):
-        growing = [Growing(f) for f in fits]
-        while True:
-            wanted = [g.wanted() for g in growing]
-            asked = [(i, f.held_out, growing[i].tree(every=True), leaves) for i, (f, leaves) in enumerate(zip(fits, wanted)) if leaves]
-            if not asked:
-                break
-            sums = state.mapPartitions(lambda bs, asked=asked: [sum(histograms(b, asked) for b in bs)])
-            sums = sums.filter(lambda x: not isinstance(x, int))  # a part without rows
-            total = sum(sums.collect()) if state.getNumPartitions() <= DRIVER_PARTS else sums.treeReduce(np.add)
-            if isinstance(total, int):
-                total = np.zeros((sum(len(x[3]) for x in asked), len(cols), BINS + 1, 3))
-            at = 0
-            for i, _, _, leaves in asked:
-                growing[i].learn(leaves, total[at:at + len(leaves)])
-                at += len(leaves)
-        trees = [g.tree() for g in growing]
+        def sums(asked, state=state, run=(name, r)):
+            shape = (sum(len(x[3]) for x in asked), len(cols), BINS + 1, 3)
+
+            def add_up(part, bs):
+                total = np.zeros(shape)
+                for k, b in enumerate(bs):
+                    total += histograms(b, asked, seen(b, (part, k), run))
+                return [total]
+            made = state.mapPartitionsWithIndex(add_up)
+            return sum(made.collect(), np.zeros(shape)) if width <= DRIVER_PARTS else made.treeReduce(np.add)
+        trees = grow(fits, sums)
         for e, t in zip(ensembles, trees):
             e.append(t)
 
@@ -314,6 +360,42 @@ def fit_many(df: DataFrame, cols: Sequence[str], fits: list[Fit], rounds: int =
     return ensembles, edges, state
 
 
+def fit_each(df: DataFrame, cols: Sequence[str], fits: list[Fit], rounds: int = 100):
+    """The same trees for a frame that a task holds (a bounded sample): rows go to each fit's group, and a group's passes stay in its task,
+    so the fits run beside each other without a job per pass.
+
+    Returns ``(ensembles, edges, scored)``, ``scored``: (fit, label, raw) of every fit's held-out rows, kept in the checkpoint folder.
+    """
+    import pickle
+
+    import pyarrow as pa
+    ensure_checkpoint_dir(df.sparkSession)
+    edges = bin_edges(df, cols)
+    rows = df.select(*[col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)], F.col("label").cast("double").alias("label"),
+                     F.col("weight").cast("double").alias("weight"), F.col("fold").cast("int").alias("fold"))
+    shape = pa.schema([("fit", pa.int32()), ("trees", pa.binary()), ("label", pa.list_(pa.float64())), ("raw", pa.list_(pa.float64()))])
+
+    def one(key, table):
+        fit = fits[key[0].as_py()]
+        y, w, fold = (table.column(c).to_numpy() for c in ("label", "weight", "fold"))
+        block = Block(coded_rows([table.column(f"x{i}").to_numpy() for i in range(len(edges))], edges), y, w, fold, np.zeros((len(y), 1)))
+        trees = []
+        for _ in range(rounds):
+            known: dict = {}
+            trees += grow([fit], lambda asked, known=known: histograms(block, asked, known))
+            block.scores[:, 0] += trees[-1].value[trees[-1].leaves(block.codes)]
+        out = (fold == fit.held_out) & (fit.held_out >= 0)
+        return pa.Table.from_pylist([{"fit": key[0].as_py(), "trees": pickle.dumps(trees), "label": y[out].tolist(), "raw": block.scores[out, 0].tolist()}], schema=shape)
+
+    every = F.explode(F.sequence(F.lit(0), F.lit(len(fits) - 1))).alias("fit")
+    # a range of one fit for each task; a group's rows are no more than the frame's
+    dealt = rows.select("*", every).repartitionByRange(len(fits), "fit")
+    made = dealt.groupBy("fit").applyInArrow(one, "fit int, trees binary, label array<double>, raw array<double>").checkpoint(eager=True)
+    found = {r["fit"]: pickle.loads(r["trees"]) for r in made.select("fit", "trees").collect()}  # rounds x leaves nodes a fit
+    scored = made.select("fit", F.inline(F.arrays_zip("label", "raw")))
+    return [found.get(i, []) for i in range(len(fits))], edges, scored
+
+
 # ---- node tables and scores ----------------------------------------------------------------------------------------
 
 def node_rows(trees: list[Tree], edges: list[list[float]]) -> list[tuple]:
@@ -336,29 +418,35 @@ def by_tree(nodes: Sequence[tuple]) -> list[dict[int, tuple]]:
     return [trees[k] for k in sorted(trees)]
 
 
-def tree_column(tree: dict[int, tuple], cols: Sequence[Column], node: int = 0) -> Column:
-    """A tree as nested conditions: ``x <= threshold`` goes left; missing values go where the node says."""
-    _, _, f, threshold, missing_left, left, right, value, _, _ = tree[node]
+def tree_sql(tree: dict[int, tuple], cols: Sequence[str], leaf=lambda r: repr(float(r[7])) + "D", node: int = 0) -> str:
+    """A tree as nested conditions: ``x <= threshold`` goes left; missing values (NULL and NaN) go where the node says."""
+    _, _, f, threshold, missing_left, left, right, *_ = tree[node]
     if left is None:
-        return F.lit(float(value))
+        return leaf(tree[node])
     x = cols[f]
-    here = x.isNotNull() if threshold == math.inf else x <= F.lit(float(threshold))
-    # a comparison with NULL is no TRUE, so missing values go right unless they are asked for
-    return F.when((x.isNull() | here) if missing_left else here, tree_column(tree, cols, left)).otherwise(tree_column(tree, cols, right))
+    if threshold == math.inf:
+        here = "TRUE" if missing_left else f"({x} IS NOT NULL AND NOT isnan({x}))"
+    else:  # a comparison with NULL or NaN is not true, so missing values go right unless they are asked for
+        here = f"{x} <= {float(threshold)!r}D"
+        here = f"({x} IS NULL OR isnan({x}) OR {here})" if missing_left else here
+    return f"CASE WHEN {here} THEN {tree_sql(tree, cols, leaf, left)} ELSE {tree_sql(tree, cols, leaf, right)} END"
+
+
+def _quoted(cols: Sequence[str]) -> list[str]:
+    return [f"CAST(`{c.replace('`', '``')}` AS DOUBLE)" for c in cols]
 
 
 def raw_column(nodes: Sequence[tuple], cols: Sequence[str]) -> Column:
-    """Sum of the trees' values as a Catalyst expression, added up in the trees' order.  NaN counts as missing."""
-    xs = [F.nanvl(col(c).cast("double"), F.lit(None).cast("double")) for c in cols]
-    trees = [tree_column(t, xs) for t in by_tree(nodes)]
+    """Sum of the trees' values as a Catalyst expression, added up in the trees' order.  The expression is handed over as SQL text:
+    one call, however many nodes."""
+    trees = [tree_sql(t, _quoted(cols)) for t in by_tree(nodes)]
     # the trees are elements of an array, so that the generated code is split by tree
-    return F.aggregate(F.array(*trees), F.lit(0.0), lambda a, x: a + x) if trees else F.lit(0.0)
+    return F.expr(f"aggregate(array({', '.join(trees)}), 0D, (a, x) -> a + x)") if trees else F.lit(0.0)
 
 
 def leaf_columns(nodes: Sequence[tuple], cols: Sequence[str]) -> list[Column]:
     """Node number of the leaf that a row reaches, per tree, as Catalyst expressions."""
-    xs = [F.nanvl(col(c).cast("double"), F.lit(None).cast("double")) for c in cols]
-    return [tree_column({i: (*r[:7], r[1], *r[8:]) for i, r in t.items()}, xs).cast("int") for t in by_tree(nodes)]
+    return [F.expr(tree_sql(t, _quoted(cols), lambda r: str(r[1]))) for t in by_tree(nodes)]
 
 
 def split_visits(df: DataFrame, nodes: Sequence[tuple], cols: Sequence[str]) -> DataFrame:

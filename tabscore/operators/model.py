@@ -172,26 +172,29 @@ class SearchResult:
 
 
 def search(train: DataFrame, numeric: Sequence[str], params: list[dict], folds: int = 3, parallelism: int = 32,
-           rounds: int = ROUNDS, evaluator: Evaluator | None = None, parts: int | None = None, first: int = 0) -> SearchResult:
+           rounds: int = ROUNDS, evaluator: Evaluator | None = None, parts: int | None = None, in_task: bool = False, first: int = 0) -> SearchResult:
     """K8: cross-validate every parameter set on the ``fold`` column with any Spark ML evaluator (the composite one by
     default).  All folds of all trials, and each trial on all rows, grow in shared passes; ``parts``: tasks of a pass;
-    ``first``: number of the first trial."""
+    ``in_task``: the rows fit in a task (a bounded sample), so each fit grows in one; ``first``: number of the first trial."""
     from concurrent.futures import ThreadPoolExecutor
 
     spark = train.sparkSession
     fits = [boosting.Fit(held_out=f, **p) for p in params for f in [*range(folds), -1]]
-    ensembles, edges, state = boosting.fit_many(train.select(*[col(c) for c in numeric], "label", "weight", "fold"), numeric, fits, rounds, parts)
-
-    def rows(b):
-        for i, fit in enumerate(fits):
-            at = b.fold == fit.held_out
-            if fit.held_out >= 0:
-                for y, s in zip(b.y[at].tolist(), b.scores[at, i].tolist()):
-                    yield first + i // (folds + 1), fit.held_out, y, 1.0 / (1.0 + math.exp(-s))
-
-    held_out = spark.createDataFrame(state.flatMap(rows), "trial int, fold int, label double, probability double")
-    held_out = held_out.checkpoint(eager=True)
-    state.unpersist()
+    rows = train.select(*[col(c) for c in numeric], "label", "weight", "fold")
+    if in_task:
+        ensembles, edges, scored = boosting.fit_each(rows, numeric, fits, rounds)
+    else:
+        ensembles, edges, state = boosting.fit_many(rows, numeric, fits, rounds, parts)
+
+        def held(b):
+            for i, fit in enumerate(fits):
+                at = b.fold == fit.held_out
+                if fit.held_out >= 0:
+                    yield from ((i, y, s) for y, s in zip(b.y[at].tolist(), b.scores[at, i].tolist()))
+        scored = spark.createDataFrame(state.flatMap(held), "fit int, label double, raw double").checkpoint(eager=True)
+        state.unpersist()
+    held_out = scored.select((F.lit(first) + F.floor(F.col("fit") / (folds + 1))).cast("int").alias("trial"), (F.col("fit") % (folds + 1)).alias("fold"),
+                             "label", (1.0 / (1.0 + F.exp(-F.col("raw")))).alias("probability"))
     evaluator = evaluator or CompositeEvaluator()
 
     def run(job):
@@ -239,11 +242,11 @@ class TrainResult:
 def train(df: DataFrame, numeric: Sequence[str], target: str, keys: Sequence[str],
           n_trials: int = 3, folds: int = 3, test_size: float = 0.2, seed: int = 42,
           parallelism: int = 32, rounds: int = ROUNDS, checkpoint: bool = True,
-          evaluator: Evaluator | None = None, space: dict | None = None, parts: int | None = None, batch: int = 8) -> TrainResult:
+          evaluator: Evaluator | None = None, space: dict | None = None, parts: int | None = None, in_task: bool = False, batch: int = 8) -> TrainResult:
     """K8 → K6 → K14: search on the training folds, fit on all training rows,
     tune the threshold on a held-out fold, and report F2 on the test rows at 0.5 and at the tuned threshold.
     ``rounds``: boosting rounds of every fit; ``evaluator`` and ``space``: what the search maximises, and where; ``parts``:
-    tasks of a pass; ``batch``: trials that grow side by side, the next batch being proposed from the scores so far.
+    tasks of a pass; ``in_task``: the frame is a sample that a task holds; ``batch``: trials that grow side by side, the next batch being proposed from the scores so far.
 
     The final model is the best trial's fit on all training rows, and the threshold is tuned on the rows its first fold held out:
     both come out of the search's own passes."""
@@ -256,7 +259,7 @@ def train(df: DataFrame, numeric: Sequence[str], target: str, keys: Sequence[str
     params, found, history = [], [], []
     while len(params) < n_trials:
         some = propose(history, min(batch, n_trials - len(params)), seed, space)
-        found.append((len(params), search(rows, scaled(numeric), some, folds, parallelism, rounds, evaluator, parts, first=len(params))))
+        found.append((len(params), search(rows, scaled(numeric), some, folds, parallelism, rounds, evaluator, parts, in_task, first=len(params))))
         params += some
         means = {r["trial"]: r["mean_score"] for r in fold_means(found[-1][1].fold_scores).collect()}  # a row per trial
         history += [(p, means[found[-1][0] + i]) for i, p in enumerate(some)]

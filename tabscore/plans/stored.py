@@ -32,8 +32,6 @@ from tabscore.sources import tables as tb
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 SAMPLE_SIZE = 10_000
 TRIALS, FOLDS = 3, 3
-#: Tasks of a training pass: the sample is small.
-PARTS = 4
 #: Rounds of the second, shorter run.
 SHORT_ROUNDS = 10
 #: Columns whose association with the target is flagged, and the cut.
@@ -101,7 +99,7 @@ def trained_run(spark: SparkSession, sf: str, rounds: int = mdl.ROUNDS) -> str:
     def make(base: str) -> None:
         num, tgt, rt = feature_names(spark, sf)
         sample = smp.balanced_sample(fx.wide(spark, sf), tgt, SAMPLE_SIZE, KEYS)
-        res = mdl.train(sample, num, tgt, KEYS, n_trials=TRIALS, folds=FOLDS, rounds=rounds, parts=PARTS)
+        res = mdl.train(sample, num, tgt, KEYS, n_trials=TRIALS, folds=FOLDS, rounds=rounds, in_task=True)  # SAMPLE_SIZE bounds the rows
         res.model.write().overwrite().save(f"{base}/model")
         res.fold_scores.write.parquet(f"{base}/fold_scores")
         res.test_scored.select(*KEYS, "label", F.col("p1").alias("probability"), (F.col("p1") > 0.5).cast("int").alias("prediction")).write.parquet(f"{base}/test_scored")

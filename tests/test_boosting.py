@@ -84,6 +84,20 @@ def test_shared_passes_equal_plain_trees(frame, parts):
     state.unpersist()
 
 
+def test_fits_in_tasks_equal_shared_passes(frame):
+    fits = [bo.Fit(0, num_leaves=6, max_depth=3, min_data_in_leaf=15, learning_rate=0.3), bo.Fit(-1, num_leaves=9, max_depth=8, min_data_in_leaf=30)]
+    shared, edges, state = bo.fit_many(frame, COLS, fits, rounds=4, parts=1)
+    each, edges_2, scored = bo.fit_each(frame, COLS, fits, rounds=4)
+    assert edges == edges_2
+    for a, b in zip(shared, each):
+        for t, u in zip(a, b):
+            assert all((getattr(t, k) == getattr(u, k)).all() for k in ("feature", "bin", "missing_left", "left", "right", "n"))
+            assert t.value == pytest.approx(u.value, abs=1e-9)
+    held = sorted(x for b in state.collect() for x in b.scores[b.fold == 0, 0].tolist())
+    assert sorted(r.raw for r in scored.collect()) == pytest.approx(held, abs=1e-9)
+    state.unpersist()
+
+
 def test_expression_equals_walked_arrays(frame, spark):
     model = bo.HistBoost(inputCols=COLS, weightCol="weight", rounds=12, num_leaves=12, max_depth=7).fit(frame)
     odd = spark.createDataFrame([(None, None, None), (float("nan"), 1.0, float("inf")), (-1e300, 2.0, None)], "a double, b double, c double")
@@ -124,6 +138,8 @@ def test_pipeline_is_saved_and_loaded(frame, spark, tmp_path):
 def test_search_scores_held_out_rows(frame):
     params = [{"num_leaves": 4, "max_depth": 2, "learning_rate": 0.2, "min_data_in_leaf": 20}, {"num_leaves": 12, "max_depth": 6, "learning_rate": 0.1, "min_data_in_leaf": 10}]
     res = mdl.search(frame, COLS, params, folds=3, rounds=4)
+    inside = mdl.search(frame, COLS, params, folds=3, rounds=4, in_task=True)
+    assert {(r.trial, r.fold): round(r.score, 6) for r in inside.fold_scores.collect()} == {(r.trial, r.fold): round(r.score, 6) for r in res.fold_scores.collect()}
     assert res.held_out.groupBy("trial", "fold").count().count() == 6 and res.held_out.count() == 2 * frame.count()
     alone = bo.HistBoost(inputCols=COLS, weightCol="weight", rounds=4, **params[1]).fit(frame.where("fold <> 1"))
     want = sorted(round(r.probability, 6) for r in alone.transform(frame.where("fold = 1")).collect())
