@@ -76,3 +76,13 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
     except (AttributeError, OSError):  # another C library
         pass
+
+
+def giving_back(run: Callable) -> Callable:
+    """``run(batches)`` of a ``mapInPandas`` or ``mapInArrow``, with its memory given back when its task is over."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return wrapped

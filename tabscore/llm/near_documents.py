@@ -28,7 +28,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscore.llm.chunks import give_back, slices, text_slices
+from tabscore.llm.chunks import giving_back, slices, text_slices
 from tabscore.llm.common import components, keep, read
 
 REGISTERS, BAND = 96, 4
@@ -157,12 +157,6 @@ def sketch(docs: DataFrame, n: int, key: str = "doc_id", text: str = "text") ->
     import pyarrow as pa
 
     def run(batches):
-        try:
-            yield from sketched(batches)
-        finally:
-            give_back()
-
-    def sketched(batches):
         for batch in batches:
             for a, b, texts in text_slices(batch, "text"):
                 rows = []
@@ -174,7 +168,7 @@ def sketch(docs: DataFrame, n: int, key: str = "doc_id", text: str = "text") ->
                                                  names=["id", "n", "digest", "bands"])
 
     src = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    return src.mapInArrow(run, "id long, n long, digest binary, bands array<long>")
+    return src.mapInArrow(giving_back(run), "id long, n long, digest binary, bands array<long>")
 
 
 # ---- links ---------------------------------------------------------------------------------------------------------
@@ -202,7 +196,7 @@ def estimate(pairs: DataFrame, reps: DataFrame, share: float) -> DataFrame:
     one = reps.select(F.col("rep").alias("u"), "n", "bands")
     two = reps.select(F.col("rep").alias("v"), F.col("n").alias("n2"), F.col("bands").alias("bands2"))
     sized = pairs.join(one, "u").join(two, "v").where(F.least("n", "n2") >= F.greatest("n", "n2") * share - 1e-9)
-    return sized.mapInPandas(run, "u long, v long")
+    return sized.mapInPandas(giving_back(run), "u long, v long")
 
 
 def verify(pairs: DataFrame, docs: DataFrame, n: int, percent: int, key: str, text: str) -> DataFrame:
@@ -235,7 +229,7 @@ def verify(pairs: DataFrame, docs: DataFrame, n: int, percent: int, key: str, te
 
     rows = (pairs.join(texts.select(F.col("id").alias("u"), F.col("text").alias("a")), "u")
             .join(texts.select(F.col("id").alias("v"), F.col("text").alias("b")), "v"))
-    return rows.mapInPandas(run, "u long, v long")
+    return rows.mapInPandas(giving_back(run), "u long, v long")
 
 
 def hash_sets(docs: DataFrame, ids: DataFrame, n: int, key: str, text: str) -> DataFrame:
@@ -248,7 +242,7 @@ def hash_sets(docs: DataFrame, ids: DataFrame, n: int, key: str, text: str) -> D
             yield pd.DataFrame({"digest": [hashlib.md5(h).digest() for h in rows], "hashes": rows})
 
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).join(small(ids), "id", "left_semi")
-    return texts.select("text").mapInPandas(run, "digest binary, hashes binary").dropDuplicates(["digest"])
+    return texts.select("text").mapInPandas(giving_back(run), "digest binary, hashes binary").dropDuplicates(["digest"])
 
 
 def share_of(x, y) -> tuple[int, int]:
@@ -331,7 +325,7 @@ def cross(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield pd.DataFrame(list(block(held)), columns=["u", "v"], dtype="int64")
 
     order = ["band", "key", "i", "j"]
-    return sent.repartition(*order).sortWithinPartitions(*order).mapInPandas(run, "u long, v long")
+    return sent.repartition(*order).sortWithinPartitions(*order).mapInPandas(giving_back(run), "u long, v long")
 
 
 def near_documents(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -146,7 +146,7 @@ class Codec:
         self.chunked = m["type"] == BPE and m["byte_fallback"] and not any(
             re.search(f"[^{MARK}]{MARK}", p) or (len(p) > 1 and "\n" in p) for p in words)
         self.chunk = re.compile(f"\n+|{MARK}*[^{MARK}\n]+|{MARK}+")
-        self.memory = ChunkMemory(self._encode_new, 200_000)
+        self.memory = ChunkMemory(self._encode_new, 120_000)
         self.library = processor(path)
         self.read_back = self.library.decode
         #: Whether parity is known from chunks, what stands before a chunk when it is compared, and the chunks that differ.
@@ -212,7 +212,9 @@ class Codec:
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
-    return Codec(path)
+    made = Codec(path)
+    give_back()  # what rebuilding the model took
+    return made
 
 
 @lru_cache(maxsize=2)
