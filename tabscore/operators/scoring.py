@@ -22,8 +22,9 @@ def validate(records: DataFrame, schema: T.StructType, value_col: str = "value",
     """L2: ``(valid, rejected)``.  ``valid`` has the schema's typed columns;
     ``rejected`` keeps the raw text and an ``errors`` array.  With
     ``fail_fast`` any invalid record raises."""
-    m = F.from_json(col(value_col), "map<string,string>")
-    parsed = records.withColumn("_m", m)
+    # A generated column: a filter on its fields is not moved below it, where the record would be parsed again for every field.
+    m = F.explode(F.array(F.from_json(col(value_col), "map<string,string>")))
+    parsed = records.select("*", m.alias("_m"))
     errs, typed = [], []
     for f in schema.fields:
         raw = F.try_element_at(F.col("_m"), F.lit(f.name))

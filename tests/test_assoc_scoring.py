@@ -166,3 +166,11 @@ def test_histogram_and_samples_with_nan_and_decimals(spark):
     d = spark.createDataFrame([(v,) for v in vals], "d decimal(10,1)")
     assert prof.sample_values(d).first()["Sample_Values"] == "-3.0, 2.5, 4.0, 9.1, 10.0"
     assert prof.profile(d).first()["Sample_Values"] == prof.profile(d, approx=True).first()["Sample_Values"] == "-3.0, 2.5, 4.0, 9.1, 10.0"
+
+
+def test_a_record_is_parsed_once(spark, tmp_path):
+    """Neither the valid nor the rejected records are parsed again for every field that is checked."""
+    spark.createDataFrame([('{"a": 1, "b": "x"}',), ('{"a": "y"}',), ("no",), (None,)], "value string").write.text(str(tmp_path / "in"))
+    parts = scoring.validate(spark.read.text(str(tmp_path / "in")), T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())]))
+    assert [p._jdf.queryExecution().optimizedPlan().toString().count("from_json(") for p in parts] == [1, 1]
+    assert [p.count() for p in parts] == [1, 3]

@@ -169,3 +169,35 @@ def test_proposals_learn_from_earlier_trials():
     for p, _ in history:
         assert all(lo <= p[k] <= hi for k, (lo, hi) in mdl.SPACE.items())
     assert mdl.propose([], 2) == mdl.propose([], 2)
+
+
+def test_walk_of_a_tree_with_many_leaves():
+    """More leaves than a word has bits, values at thresholds, missing and infinite ones."""
+    rng, rows, open_, n = np.random.default_rng(3), {}, [0], 1
+    while len(open_) < 150:
+        i = open_.pop(int(rng.integers(len(open_))))
+        rows[i] = (0, i, int(rng.integers(3)), [0.25, 0.5, 0.75, math.inf][int(rng.integers(4))] + round(float(rng.random()), 2), bool(rng.random() < 0.5), n, n + 1, None, 1.0, 1)
+        open_ += [n, n + 1]
+        n += 2
+    rows |= {i: (0, i, None, None, None, None, None, float(i), None, 1) for i in open_}
+    nodes = [rows[i] for i in sorted(rows)] + [(1, 0, None, None, None, None, None, 0.5, None, 1)]
+    x = np.round(rng.random((500, 3)) * 2, 2)
+    x[::5, 0], x[::7, 1], x[3, 2], x[4, 2] = math.nan, math.nan, math.inf, -math.inf
+
+    def value(row, i=0):
+        _, _, f, threshold, missing_left, left, right, v, *_ = rows[i]
+        if left is None:
+            return v
+        return value(row, left if (missing_left if math.isnan(row[f]) else row[f] <= threshold) else right)
+    want = [1 / (1 + math.exp(-(value(r) / 100 + 0.5))) for r in x]
+    scaled = [(*r[:7], r[7] / 100, *r[8:]) if r[7] is not None and r[0] == 0 else r for r in nodes]
+    assert bo.Walk(scaled)(x).tolist() == pytest.approx(want, abs=1e-12)
+
+
+def test_trees_are_compiled(spark):
+    """No tree is an argument of a lambda function: those are interpreted, node by node."""
+    nodes = [(k, *r) for k in range(3) for r in ((0, 0, 0.5, False, 1, 2, None, 1.0, 2), (1, None, None, None, None, None, 1.0, None, 1), (2, None, None, None, None, None, 2.0, None, 1))]
+    df = spark.createDataFrame([(0.0,), (1.0,), (None,)], "a double").select(bo.raw_column(nodes, ["a"]).alias("raw"))
+    plan = df._jdf.queryExecution().analyzed().toString()
+    assert "CASE" not in plan[plan.index("aggregate("):].split("lambdafunction", 1)[0] and plan.count("CASE") == 3
+    assert [r.raw for r in df.collect()] == [3.0, 6.0, 6.0]
