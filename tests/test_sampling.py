@@ -204,3 +204,22 @@ def test_prepare_weights_from_training_rows(spark):
     assert {r["weight"] for r in rows if r["label"] == 0.0} == {1.0}
     assert {r["fold"] for r in rows if r["split"] == "test"} == {-1}
     assert {r["fold"] for r in tr} == {0, 1, 2}
+
+
+def test_cuts_are_counted_in_one_group(spark, monkeypatch):
+    """Rows are counted by class and cut, not by an aggregate for each cut; the rows are those of the whole order."""
+    import hashlib
+
+    from tabscore.plans import ranks
+
+    def refused(*_):
+        raise AssertionError("an aggregate for a cut")
+    monkeypatch.setattr(ranks.F, "count_if", refused)
+    rows = [(i, [True, False, None][i % 3]) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, y boolean").repartition(3)
+    order = sorted(rows, key=lambda r: hashlib.md5(f"42:{r[0]}".encode()).hexdigest())
+    for quota in ({(True,): 7, (False,): 30}, {(True,): 500, (False,): 1}):
+        want = sorted(r[0] for (y,), n in quota.items() for r in [x for x in order if x[1] is y][:n])
+        assert sorted(r.id for r in ranks.smallest_by_hash(df, quota, ["id"], class_cols=["y"]).collect()) == want
+    assert sorted(r.id for r in ranks.smallest_by_hash(df, 25, ["id"]).collect()) == sorted(r[0] for r in order[:25])
+    assert ranks.smallest_by_hash(df.where("id < 0"), 25, ["id"]).count() == 0
