@@ -201,3 +201,21 @@ def test_trees_are_compiled(spark):
     plan = df._jdf.queryExecution().analyzed().toString()
     assert "CASE" not in plan[plan.index("aggregate("):].split("lambdafunction", 1)[0] and plan.count("CASE") == 3
     assert [r.raw for r in df.collect()] == [3.0, 6.0, 6.0]
+
+
+def test_only_the_runs_test_rows_are_scored(spark, tmp_path, monkeypatch):
+    """The stored test rows go to the wide table before it is scored, and all of them are found."""
+    from tabscore.plans import catalog_ml as cm
+    from tabscore.plans import fixtures as fx
+
+    from .conftest import SF001
+    model = PipelineModel([bo.HistBoostModel(cm._ENSEMBLE_COLS, cm._ENSEMBLE)])
+    monkeypatch.setattr(cm.stored, "feature_names", lambda *_: (cm._ENSEMBLE_COLS, "returned", None))
+    monkeypatch.setattr(cm.stored, "best_model", lambda *_: (model, 0.5))
+    monkeypatch.setattr(cm.stored, "best_run", lambda *_: str(tmp_path))
+    rows = model.transform(fx.wide(spark, SF001).where("l_orderkey % 50 = 0"))
+    rows.select(*cm.KEYS, "probability").write.parquet(str(tmp_path / "test_scored"))
+    n = rows.count()
+    assert [tuple(r) for r in cm.a15_model_artifact(spark, SF001).collect()] == [(n, n)] and n > 0
+    only = spark.read.parquet(str(tmp_path / "test_scored")).select(*cm.KEYS)
+    assert cm._scored(spark, SF001, only=only)[0].count() == n < fx.wide(spark, SF001).count()
