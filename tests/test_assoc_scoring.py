@@ -174,3 +174,28 @@ def test_a_record_is_parsed_once(spark, tmp_path):
     parts = scoring.validate(spark.read.text(str(tmp_path / "in")), T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())]))
     assert [p._jdf.queryExecution().optimizedPlan().toString().count("from_json(") for p in parts] == [1, 1]
     assert [p.count() for p in parts] == [1, 3]
+
+
+def test_contingency_of_many_bins_columns_and_kinds(spark):
+    """More binned columns than one long holds, and whole numbers, booleans and text, some missing, as categories."""
+    import collections
+    import math
+    import random
+    draw = random.Random(5)
+    num = [f"x{k}" for k in range(9)]
+    rows = [[float(draw.randrange(300)) for _ in num]
+            + [draw.choice([None, 3, -4]), draw.choice([None, True, False]), draw.choice([None, "", "u"])] for _ in range(400)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in num) + ", i int, b boolean, s string")
+    got = {(r["a"], r["b"], r["va"], r["vb"]): r["n"] for r in assoc.contingency(df, num, ["i", "b", "s"], bins=300).collect()}
+    names = [*num, "i", "b", "s"]
+
+    def code(k, v):
+        if v is None:
+            return None
+        if k >= len(num):
+            return {True: "true", False: "false"}[v] if isinstance(v, bool) else str(v)
+        known = [r[k] for r in rows]
+        return str(min(math.floor((v - min(known)) / (max(known) - min(known)) * 300), 299))
+    coded = [[code(k, v) for k, v in enumerate(r)] for r in rows]
+    want = collections.Counter((names[i], names[j], r[i], r[j]) for r in coded for i in range(len(names)) for j in range(i + 1, len(names)) if r[i] is not None and r[j] is not None)
+    assert got == want

@@ -1,9 +1,11 @@
 """Plan shape: the scale properties the README claims, read from Spark's
 physical plans (the final AQE plan where the query has run)."""
 
+from tabscore.operators import assoc
 from tabscore.operators import profile as prof
 from tabscore.operators import sampling as smp
 from tabscore.plans import fixtures as fx
+from tabscore.plans import stored
 from tabscore.sources.tables import read_table
 
 from .conftest import SF001
@@ -84,3 +86,17 @@ def test_no_query_plans_a_cartesian_product(spark):
         if "CartesianProduct" in p or "BroadcastNestedLoopJoin" in p:
             bad.append(name)
     assert bad == []
+
+
+def test_profile_aggregates_are_compiled_and_times_formatted_when_distinct(spark):
+    """One text end in the global aggregate would make all of it run uncompiled, and a text of every time stamp would be made per row."""
+    p = _final_plan(prof.profile(fx.wide(spark, SF001), digits=6))
+    assert "SortAggregate(key=[]" not in p
+    before = [x for x in p[p.index("Expand"):].splitlines() if "date_format" in x]
+    assert not before
+
+
+def test_contingency_hands_few_columns_to_its_tasks(spark):
+    """Six binned columns are one long beside the four others."""
+    p = _plan(assoc.contingency(fx.wide(spark, SF001), stored.ASSOC_NUM, stored.ASSOC_CAT))
+    assert "c4#" in p and "c5#" not in p

@@ -136,3 +136,16 @@ def test_every_footer_is_checked(spark, tmp_path):
     said = str(e.value)
     assert "changed x (expected double, found string)" in said and "missing x" in said and "extra more" in said
     assert "2021.parquet" in said and "2022.parquet" in said and "2023.parquet" in said and "2019.parquet" not in said
+
+
+def test_profile_of_every_kind_of_column(spark):
+    """Times, dates, decimals and booleans travel in slots of their own and come out as text; text ends come with the distinct values."""
+    rows = [("b", "2020-01-02 03:04:05", 1.5, True, 0.0), ("a", "2019-05-06 00:00:00", 2.25, False, -0.0), (None, None, None, None, float("nan")), ("a", "2019-05-06 00:00:00", 1.5, True, 1.0)]
+    df = spark.createDataFrame(rows, "s string, at string, n double, b boolean, x double").selectExpr(
+        "s", "cast(at as timestamp) as t", "cast(at as timestamp_ntz) as z", "cast(at as date) as y", "cast(n as decimal(6,2)) as n", "b", "x", "cast(null as string) as none")
+    got = {r["Column_Name"]: r for r in prof.profile(df).collect()}
+    at = "2019-05-06 00:00:00+00, 2020-01-02 03:04:05+00"
+    assert {c: got[c]["Sample_Values"] for c in got} == {"s": "a, b", "t": at, "z": at, "y": "2019-05-06, 2020-01-02", "n": "1.50, 2.25", "b": "false, true", "x": "0, 1, NaN", "none": None}
+    assert {c: got[c]["Unique_Values_Count"] for c in got} == {"s": 2, "t": 2, "z": 2, "y": 2, "n": 2, "b": 2, "x": 3, "none": 0}
+    assert [(got[c]["Min_Value"], got[c]["Max_Value"]) for c in ("s", "z", "y", "none")] == [
+        ("a", "b"), ("2019-05-06 00:00:00+00", "2020-01-02 03:04:05+00"), ("2019-05-06", "2020-01-02"), (None, None)]
