@@ -2,7 +2,7 @@
 
 The ``.model`` protobuf is parsed here; from it the normaliser, the metaspace marker, the unigram scores (or the
 merge order of a BPE model) and byte fallback are rebuilt as a ``tokenizers.Tokenizer``.  Distinct chunks of a
-batch are encoded multithreaded and remembered per worker.  Parity with the ``sentencepiece`` library is
+batch are encoded together and remembered per worker, from task to task.  Parity with the ``sentencepiece`` library is
 verified on every distinct chunk where chunks cannot merge (behind a line feed, or behind a letter for line feeds, so that
 chunks with and without a marker are compared as they stand in a text), and else on every whole text.
 
@@ -161,13 +161,19 @@ class Codec:
         self.raw = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() for p, _, kind in pieces]
         self.special = {i for i, p in enumerate(pieces) if p[2] in (CONTROL, UNKNOWN)}
 
+    def begin(self) -> None:
+        """A task begins: chunks known from the worker's earlier tasks stay known, unless those marked as different have grown many."""
+        if len(self.bad) + len(self.other) > self.memory.size:
+            self.memory.clear()
+            self.bad.clear()
+            self.other.clear()
+
     def normalise(self, text: str) -> str:
         if self.plain:
             return (MARK + text.replace(" ", MARK)) if text else ""
         return self.normal.normalize_str(text) if text and text.strip(" ") else ""
 
     def _encode_new(self, chunks: list[str]) -> list[list[int]]:
-        # encode_batch runs on the library's own threads (TOKENIZERS_PARALLELISM, RAYON_NUM_THREADS)
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
         if self.by_chunk:
             leads = ["a" if c[0] == "\n" else "\n" for c in chunks]
@@ -211,7 +217,8 @@ class Codec:
 
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
+    # tasks fill an executor's cores already; the library's own threads only cost CPU time
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     made = Codec(path)
     give_back()  # what rebuilding the model took
     return made
@@ -242,12 +249,10 @@ def encode(df: DataFrame, model_path: str, text: str = "text") -> DataFrame:
 
     def run(batches):
         own = codec(model_path)
+        own.begin()
         try:
             yield from encoded(own, batches)
         finally:
-            own.memory.clear()
-            own.bad.clear()
-            own.other.clear()
             give_back()
 
     def encoded(own, batches):

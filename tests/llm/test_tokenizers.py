@@ -143,3 +143,17 @@ def test_text_of_chunks_is_text_of_ids():
     assert back == [own.decode(sp.unpacked(p)) for p in packed] == own.read_back([sp.unpacked(p) for p in packed])
     own.other = set(own.memory.young)
     assert own.both(texts)[2] == back
+
+
+def test_chunks_stay_known_from_task_to_task():
+    """A worker's next task finds the chunks of the ones before, on one thread; marked ones never add up beyond the memory's size."""
+    import os
+
+    from tabscore.llm import sentencepiece_codec as sp
+    own = sp.codec(sp.default_model())
+    own.encode(["ab cd"])
+    own.begin()
+    assert own.memory.young and os.environ["TOKENIZERS_PARALLELISM"] == "false"
+    own.other.update(map(str, range(own.memory.size + 1)))
+    own.begin()
+    assert not own.memory.young and not own.other and not own.bad
