@@ -144,8 +144,9 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edits:
         gone_at = F.when(F.col("_gone_chars") > F.length(t) * most, F.col("_gone_within")).otherwise(gone_at)
     gone_at = F.when(F.col("_gone_doc").isNotNull() | F.col("_gone_th").isNotNull(), gone_at)
     parts = F.split(t, "\n", -1)
-    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), gone_at)
-    new = F.when(F.size(gone_at) > 0, F.array_join(F.transform(left, lambda i: parts[i]), "\n")).otherwise(t)
+    rows, gone_at = rows.withColumn("_gone_at", gone_at), F.col("_gone_at")
+    # the text is split once; as an element of a transform it would be split for every line
+    new = F.when(F.size(gone_at) > 0, F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(gone_at, i)), "\n")).otherwise(t)
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     return rows.select(*[new.alias(c) if c == text else docs[c] for c in names],
                        F.coalesce(F.octet_length(t) - F.octet_length(F.replace(t, F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long").alias("n_lines"),

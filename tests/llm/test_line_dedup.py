@@ -113,3 +113,11 @@ def test_short_lines_equal_brute_force(spark, monkeypatch):
     rows = [(i, "\n".join("".join(rng.choice("abcdefghijklmnopqrst") for _ in range(rng.choice([0, 3, 5, 6, 7, 8, 9, 10]))) for _ in range(8))) for i in range(40)]
     out = ld.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
     assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == brute(rows, 2, 1)
+
+
+def test_text_is_split_once(spark):
+    """Inside a transform the text would be split again for every line that stays."""
+    docs = spark.createDataFrame([(1, "abcdefgh one\nabcdefgh two"), (2, "abcdefgh one\nother")], "doc_id long, text string")
+    out = ld.dedup_lines(docs)
+    assert "transform(" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.doc_id: r.text for r in out.collect()} == {1: "abcdefgh one\nabcdefgh two", 2: "other"}
