@@ -44,7 +44,7 @@ def lines_of(docs: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
     return rows.select("doc", "th", "pos", "line", F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b"))
 
 
-def segment(length: Column, number: int, edits: int) -> tuple[Column, Column]:
+def segment(length: Column, number: int | Column, edits: int) -> tuple[Column, Column]:
     """First character (from 1) and size of a segment of a line of that length: even sizes, the last ones longer."""
     parts = edits + 1
     size, more = F.floor(length / parts).cast("int"), (length % parts).cast("int")
@@ -53,32 +53,43 @@ def segment(length: Column, number: int, edits: int) -> tuple[Column, Column]:
     return size * number + longer + 1, own
 
 
-def keys(line: Column, edits: int) -> tuple[list[Column], list[Column]]:
-    """Index keys of a line, and its probe keys."""
-    n = F.length(line)
+def places(edits: int) -> list[tuple[int, int, int]]:
+    """``(number, less, shift)`` of each substring of a line that may equal a segment: of a line ``less`` characters shorter, ``shift``
+    characters from the segment's place there.  Those with neither are the line's own segments."""
+    return [(i, less, shift) for less in range(edits + 1) for i in range(edits + 1)
+            for shift in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1)]
 
-    def key(number: int, length: Column, start: Column, size: Column) -> Column:
-        return F.xxhash64(F.lit(number), length, F.substring(line, start, size))
-    index = [key(i, n, *segment(n, i, edits)) for i in range(edits + 1)]
-    probe = []
-    for less in range(edits + 1):
-        for i in range(edits + 1):
-            start, size = segment(n - less, i, edits)
-            for shift in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1):
-                probe.append(key(i, n - less, start + shift, size))
-    return index, probe
+
+def keys(lines: DataFrame, edits: int) -> DataFrame:
+    """A row for each key of a line: the line's columns, ``k``, and ``own``, whether it is an index key of the line besides a probe key.
+
+    The places are rows of a constant, so one short expression makes all keys and the line's length is counted once.  Where
+    every character is a byte, places are found without a walk through the line; the hashes are those of the characters.
+    """
+    at = F.array(*[F.struct(*[F.lit(x).alias(name) for x, name in zip(place, ("number", "less", "shift"))]) for place in places(edits)])
+    rows = lines.withColumn("chars", F.length("line")).withColumn("plain", F.octet_length("line") == F.col("chars"))
+    rows = rows.withColumn("bytes", F.col("line").cast("binary")).select("*", F.explode(at).alias("at"))
+    rows = rows.select(*lines.columns, "bytes", "plain", "at.number", (F.col("chars") - F.col("at.less")).alias("length"), "at.shift",
+                       ((F.col("at.less") == 0) & (F.col("at.shift") == 0)).alias("own")).where(F.col("length") > edits)
+    start, size = segment(F.col("length"), F.col("number"), edits)
+    rows = rows.select(*lines.columns, "bytes", "plain", "number", "length", "own", (start + F.col("shift")).alias("start"), size.alias("size"))
+    part = F.when(F.col("plain"), F.col("bytes").substr(F.col("start"), F.col("size"))).otherwise(F.col("line").substr(F.col("start"), F.col("size")).cast("binary"))
+    return rows.select(*lines.columns, F.xxhash64("number", "length", part).alias("k"), "own")
 
 
 def matches(lines: DataFrame, edits: int) -> DataFrame:
     """Pairs ``(u, v)``, ``u < v``, of line hashes that share a segment; and, as ``(u, null)``, the lines of crowded segments.
 
-    Many variants of one line share its segments, and their pairs grow with the square of the group.  A segment of
-    more than ``CROWD`` lines therefore gives no pairs here but its lines, which ``links`` verifies where they meet.
+    Keys are first combined to the smallest and the largest line of each, which leaves those of two lines and more; only these
+    keys' lines are moved.  Many variants of one line share its segments, and their pairs grow with the square of the group.  A
+    segment of more than ``CROWD`` lines therefore gives no pairs here but its lines, which ``links`` verifies where they meet.
     """
-    index, probe = keys(F.col("line"), edits)
-    ind = lines.select(F.col("a").alias("u"), F.explode(F.array(*index)).alias("k")).distinct()
-    pro = lines.select(F.col("a").alias("v"), F.explode(F.array(*probe)).alias("k")).distinct()
-    counted = ind.withColumn("n", F.count("*").over(Window.partitionBy("k")))  # sorted by k, as the join needs it
+    every = keys(lines.select("a", "line"), edits).select("a", "k", "own")
+    ends = every.groupBy("k").agg(F.min("a").alias("low"), F.max("a").alias("high"), F.max("own").alias("own"))
+    shared = small(keep(ends.where(F.col("own") & (F.col("low") != F.col("high"))).select("k")))
+    rows = keep(every.join(shared, "k", "left_semi").distinct())
+    counted = rows.where("own").select(F.col("a").alias("u"), "k").withColumn("n", F.count("*").over(Window.partitionBy("k")))  # sorted by k, as the join needs it
+    pro = rows.select(F.col("a").alias("v"), "k").distinct()
     both = counted.where(F.col("n") <= CROWD).join(pro, "k").where("u != v")
     pairs = both.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     crowd = counted.where(F.col("n") > CROWD)
@@ -97,10 +108,9 @@ def links(lines: DataFrame, edits: int) -> DataFrame:
     plain = both.where(F.levenshtein("x", "y", edits) >= 0).select("u", "v")
     # Crowded lines: the edit distance is a condition of the join itself, so only links leave it, and AQE splits a
     # crowded key among tasks.
-    own = texts.join(crowd, "a", "left_semi")
-    index, probe = keys(F.col("line"), edits)
-    ind = own.select(F.col("a").alias("u"), F.col("line").alias("x"), F.explode(F.array(*index)).alias("k"))
-    pro = own.select(F.col("a").alias("v"), F.col("line").alias("y"), F.explode(F.array(*probe)).alias("k2"))
+    every = keys(texts.join(crowd, "a", "left_semi"), edits)
+    ind = every.where("own").select(F.col("a").alias("u"), F.col("line").alias("x"), "k")
+    pro = every.select(F.col("a").alias("v"), F.col("line").alias("y"), F.col("k").alias("k2"))
     close = ind.join(pro, (F.col("k") == F.col("k2")) & (F.col("u") != F.col("v")) & (F.levenshtein("x", "y", edits) >= 0))
     return plain.unionByName(close.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))).distinct()
 
@@ -110,18 +120,15 @@ def repeats(docs: DataFrame, key: str, text: str, edits: int, min_chars: int) ->
     document had before, and the characters of the latter."""
     lines = lines_of(docs, key, text, min_chars)
     alike = components(keep(links(lines.where(F.length("line") > edits), edits)))  # shorter lines have no edits + 1 segments
-    at = F.struct("doc", "th", "pos")
-    own = lines.groupBy("a", "b").agg(F.min(at).alias("first"), F.count("*").alias("n"))
-    own = own.join(alike.withColumnRenamed("id", "a"), "a", "left")
+    alike = small(keep(alike.withColumnRenamed("id", "a")))
     # a class: the lines of a component, or equal lines
-    own = own.select("a", "b", "first", "n", F.coalesce("component_id", "a").alias("c"), F.when(F.col("component_id").isNull(), F.col("b")).otherwise(0).alias("cb"))
-    own = keep(own)
-    classes = own.groupBy("c", "cb").agg(F.min("first").alias("first"), F.sum("n").alias("n")).where("n > 1").select("c", "cb", "first")
-    repeated = keep(own.select("a", "b", "c", "cb").join(classes, ["c", "cb"]))
-    hit = lines.select("doc", "th", "pos", F.length("line").alias("chars"), "a", "b").join(small(repeated), ["a", "b"])
+    own = lines.groupBy("a", "b").agg(F.count("*").alias("n")).join(alike, "a", "left").where("n > 1 or component_id is not null")
+    own = own.select("a", "b", F.coalesce("component_id", "a").alias("c"), F.when(F.col("component_id").isNull(), F.col("b")).otherwise(0).alias("cb"))
+    hit = lines.select("doc", "th", "pos", F.length("line").alias("chars"), "a", "b").join(small(keep(own)), ["a", "b"])
     # the class's lines within a document: the first of them goes only if another document had the class before
-    per = hit.groupBy("doc", "th", "c", "cb").agg(F.min("pos").alias("own"), F.collect_set("pos").alias("all"), F.min_by("chars", "pos").alias("chars"),
-                                                  F.max(~(F.col("first.doc").eqNullSafe(F.col("doc")) & (F.col("first.th") == F.col("th")))).alias("foreign"))
+    per = keep(hit.groupBy("doc", "th", "c", "cb").agg(F.min("pos").alias("own"), F.collect_set("pos").alias("all"), F.min_by("chars", "pos").alias("chars")))
+    first = small(keep(per.groupBy("c", "cb").agg(F.min(F.struct("doc", "th")).alias("first"))))
+    per = per.join(first, ["c", "cb"]).withColumn("foreign", ~(F.col("first.doc").eqNullSafe(F.col("doc")) & (F.col("first.th") == F.col("th"))))
     per = per.select("doc", "th", F.array_except("all", F.array("own")).alias("within"),
                      F.when(F.col("foreign"), F.array("own")).otherwise(F.array().cast("array<int>")).alias("abroad"),
                      F.when(F.col("foreign"), F.col("chars")).otherwise(0).alias("chars"))

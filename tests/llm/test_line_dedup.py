@@ -121,3 +121,36 @@ def test_text_is_split_once(spark):
     out = ld.dedup_lines(docs)
     assert "transform(" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert {r.doc_id: r.text for r in out.collect()} == {1: "abcdefgh one\nabcdefgh two", 2: "other"}
+
+
+def test_keys_of_lone_lines_are_not_moved_again(spark, monkeypatch):
+    """Only lines that share a key with another line leave the first count of the keys; before, all keys were dealt out twice."""
+    kept = []
+    keep = ld.keep
+    monkeypatch.setattr(ld, "keep", lambda df: kept.append(keep(df)) or kept[-1])
+    rng = random.Random(8)
+    rows = [(i, "".join(rng.choice("abcdefghijé") for _ in range(60))) for i in range(40)]
+    rows += [(100, rows[0][1][:-1]), (101, rows[0][1] + "é")]
+    lines = ld.lines_of(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", 1)
+    found = ld.matches(lines, 2)
+    assert "Generate" not in found._jdf.queryExecution().optimizedPlan().toString()
+    near = {r.a for r in lines.where("doc in (0, 100, 101)").collect()}
+    assert {x for r in found.collect() for x in (r.u, r.v)} == near and found.count() == 3
+    assert 0 < sum(df.count() for df in kept) <= 3 * 12 * 2
+
+
+@pytest.mark.parametrize("edits", [1, 2, 3])
+def test_keys_are_hashes_of_characters(spark, edits):
+    """An own segment's key is one of the probe keys of a line up to the edits longer, whether characters are bytes or not."""
+    from pyspark.sql import functions as F
+    for line in ("segments of a line", "sègments of à line", "abcdé", "x" * 30):
+        longer = ["é" * k + line for k in range(edits + 1)] + [line + "z" * edits, line[:3] + "y" * edits + line[3:]]
+        df = spark.createDataFrame([(i, x) for i, x in enumerate([line, *longer])], "a long, line string")
+        rows = ld.keys(df, edits).collect()
+        own = {r.k for r in rows if r.a == 0 and r.own}
+        assert len(own) == edits + 1
+        for i in range(1, len(longer) + 1):
+            assert own & {r.k for r in rows if r.a == i}
+        n, size = len(line), len(line) // (edits + 1)
+        first = df.where("a = 0").select(F.xxhash64(F.lit(0), F.lit(n), F.substring("line", 1, size))).first()[0]
+        assert first in own
