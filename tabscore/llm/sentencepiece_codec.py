@@ -30,6 +30,8 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Model types of the trainer spec (fixed values of its public schema).
 UNIGRAM, BPE = 1, 2
+#: Chunks encoded and compared in one row.
+ROW = 40
 
 
 def fields(data: bytes):
@@ -152,6 +154,7 @@ class Codec:
         #: Whether parity is known from chunks, what stands before a chunk when it is compared, and the chunks that differ.
         self.by_chunk = self.chunked and self.plain
         self.lead = {lead: self.library.encode(lead) for lead in ("\n", "a")}
+        self.feed = self._ids(["\n"])[0]
         self.bad: set[str] = set()
         #: Chunks whose ids decode to another text.
         self.other: set[str] = set()
@@ -174,16 +177,59 @@ class Codec:
         return self.normal.normalize_str(text) if text and text.strip(" ") else ""
 
     def _encode_new(self, chunks: list[str]) -> list[list[int]]:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-        if self.by_chunk:
-            leads = ["a" if c[0] == "\n" else "\n" for c in chunks]
-            whole = [self.lead[lead] + x for lead, x in zip(leads, ids)]
-            theirs = self.library.encode([lead + c.replace(MARK, " ") for lead, c in zip(leads, chunks)], num_threads=1)
-            back = zip(self.read_back(whole), self.tokenizer.decode_batch(whole, skip_special_tokens=False), map(self.decode, whole))
-            for c, lead, x, y, (p, q, r) in zip(chunks, leads, whole, theirs, back):
-                (self.bad.discard if x == y and p == q == r else self.bad.add)(c)
-                (self.other.discard if r == lead + c.replace(MARK, " ") else self.other.add)(c)
-        return ids
+        """Ids of each of the distinct chunks; marks those that the library encodes to other ids, or whose ids are read back otherwise.
+
+        Chunks are encoded and compared many in a row, each behind a line feed, as they stand in a text: no merge crosses a line
+        feed and no chunk of words holds one, so rows are equal only if all their chunks are, and are cut at the line
+        feeds' ids.  The chunks of a row that differs, and line feeds, are encoded and compared one by one.
+        """
+        if not self.by_chunk:
+            return self._ids(chunks)
+        self.bad.difference_update(chunks)
+        self.other.difference_update(chunks)
+        lead, known = self.lead["\n"], {}
+        alone = [c for c in chunks if c[0] == "\n"]
+        words = [c for c in chunks if c[0] != "\n"]
+        rows = [words[k:k + ROW] for k in range(0, len(words), ROW)]
+        joined = ["\n".join(row) for row in rows]
+        ids = self._ids(joined)
+        cut = [self._cut(x, len(row)) for x, row in zip(ids, rows)]
+        readings = self._readings([f"\n{t}".replace(MARK, " ") for t in joined], [lead + x for x in ids])
+        for row, parts, (text, x, y, p, q, r) in zip(rows, cut, readings):
+            if parts and x == y and p == q == r == text:
+                known.update(zip(row, parts))
+            else:
+                alone += row
+        ids = self._ids(alone)
+        known.update(zip(alone, ids))
+        texts = [("a" if c[0] == "\n" else "\n") + c.replace(MARK, " ") for c in alone]
+        for c, (text, x, y, p, q, r) in zip(alone, self._readings(texts, [self.lead[t[0]] + x for t, x in zip(texts, ids)])):
+            if not (x == y and p == q == r):
+                self.bad.add(c)
+            if r != text:
+                self.other.add(c)
+        return [known[c] for c in chunks]
+
+    def _ids(self, chunks: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+
+    def _cut(self, ids: list[int], parts: int) -> list[list[int]]:
+        """Ids of a row, cut at the line feeds' ids; empty if these are not as many as stand between its parts."""
+        if len(self.feed) != 1 or ids.count(self.feed[0]) != parts - 1:
+            return []
+        out, start = [], 0
+        for _ in range(parts - 1):
+            end = ids.index(self.feed[0], start)
+            out.append(ids[start:end])
+            start = end + 1
+        return [*out, ids[start:]]
+
+    def _readings(self, texts: list[str], ids: list[list[int]]):
+        """``(text, ids, the library's ids, the ids read back by the library, by tokenizers and here)`` of each text."""
+        if not texts:
+            return []
+        return zip(texts, ids, self.library.encode(texts, num_threads=1), self.read_back(ids),
+                   self.tokenizer.decode_batch(ids, skip_special_tokens=False), map(self.decode, ids))
 
     def both(self, texts: list[str]) -> tuple[list[bytes], list[bool], list[str]]:
         """Ids of each text as little-endian unsigned 32-bit integers, whether the sentencepiece library gives the same, and the

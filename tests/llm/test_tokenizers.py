@@ -157,3 +157,24 @@ def test_chunks_stay_known_from_task_to_task():
     own.other.update(map(str, range(own.memory.size + 1)))
     own.begin()
     assert not own.memory.young and not own.other and not own.bad
+
+
+def test_new_chunks_are_encoded_and_compared_in_rows():
+    """The libraries get rows of chunks, not single ones; a chunk that differs is still found alone, and ids are those of single chunks."""
+    own = sp.Codec(sp.default_model())
+    lib, calls = own.library, []
+
+    class Other:
+        def encode(self, texts, **options):
+            calls.append(len(texts))
+            return [x + [5] * ("zebra" in t) for t, x in zip(texts, lib.encode(texts))]
+    own.library = Other()
+    words = [f"w{i}é" for i in range(5 * sp.ROW)]
+    texts = [" ".join(words), "a zebra", "\n\n".join(words[:9]), ""]
+    packed, parity, back = own.both(texts)
+    assert parity == [True, False, True, True] and back == texts and own.bad == {"▁zebra"}
+    assert [sp.unpacked(p) for p in packed] == lib.encode(texts)
+    assert sum(calls) <= 6 + sp.ROW + 1 + 2
+    own.feed = []  # a model that gives a line feed several ids, or none of its own
+    own.memory.clear()
+    assert own.both(texts) == (packed, parity, back)
