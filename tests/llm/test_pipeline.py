@@ -140,3 +140,16 @@ def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
     assert cp.run(spark, str(tmp_path)).count() == 0
+
+
+def test_lone_lines_are_not_stored(spark, monkeypatch):
+    """Lines and keys that no other line shares take no room in the shared folder; before, every distinct line was kept."""
+    kept = []
+    keep = line_dedup.keep
+    monkeypatch.setattr(line_dedup, "keep", lambda df: kept.append(keep(df)) or kept[-1])
+    rng = random.Random(12)
+    rows = [(i, "\n".join("".join(rng.choice("abcdefghijklmno ") for _ in range(50)) for _ in range(4))) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = cp.copies(spark, df, "")
+    assert sorted(tuple(r) for r in out.select("doc_id", "text").collect()) == rows
+    assert kept and sum(x.count() for x in kept) == 0
