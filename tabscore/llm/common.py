@@ -27,15 +27,18 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     join on the vertex, which AQE can split when one vertex holds most edges.  No component meets in one task or
     on the driver.  Rounds end when no edge moves; ``max_rounds`` only guards against a defect and raises.
     """
+    def pairs(rows: DataFrame, *ends) -> DataFrame:
+        """Each row's pairs as rows ``(u, v)``; the rows are read once, which a union of them is not."""
+        return rows.select(F.explode(F.array(*[F.struct(u.alias("u"), v.alias("v")) for u, v in ends])).alias("x")).select("x.*")
+
+    u, v, m = F.col("u"), F.col("v"), F.col("m")
+
     def star(e: DataFrame, large: bool) -> DataFrame:
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else e
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        if large:
-            moved = both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        else:
-            moved = e.join(low, "u").where(F.col("v") > F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-            moved = moved.unionByName(low.select("u", F.col("m").alias("v")))
-        return moved.where(F.col("u") != F.col("v")).distinct()
+        e = pairs(e, (u, v), (v, u)) if large else e
+        low = e.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        both = e.join(low, "u")
+        moved = both.where("v > u").select(v.alias("u"), m.alias("v")) if large else pairs(both, (v, m), (u, m))
+        return moved.where("u != v").distinct()
 
     def mark(e: DataFrame):
         return e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -47,8 +50,6 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         e = keep(star(star(e, True), False))
         now = mark(e)
         if now == before:
-            ids = e.select(F.col("u").alias("id"), F.col("v").alias("component_id"))
-            roots = e.select(F.col("v").alias("id"), F.col("v").alias("component_id")).distinct()
-            return ids.unionByName(roots)
+            return pairs(e, (u, v), (v, v)).select(u.alias("id"), v.alias("component_id")).distinct()
         before = now
     raise RuntimeError(f"components did not settle within {max_rounds} rounds")

@@ -30,6 +30,8 @@ from tabscore.llm.common import read
 SAMPLE_CHARS = 400_000
 BUCKETS = 1 << 17
 SEGMENT = 64
+#: Words that a learning step looks at together (whole sequences): bounds the driver's memory.
+AT_ONCE = 1 << 15
 UNDETERMINED = "und"
 
 EDGE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
@@ -228,12 +230,16 @@ def fit(samples: list[tuple[str, str]], rounds: int = 24, rate: float = 0.15, ri
     sizes = [sum(len(w) for w, _ in lines[i:i + 8]) for i in range(0, len(lines), 8)]
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
     flat, at = flat_features(list(vocab))
-    owner = np.repeat(np.arange(len(vocab)), np.diff(np.append(at, len(flat))))
+    n_words = len(vocab)
+    del lines, vocab  # from here on words are numbers
+    owner = np.repeat(np.arange(n_words), np.diff(np.append(at, len(flat))))
     inner = np.ones(len(word), bool)
     inner[starts] = False
     seen = np.zeros((L, L))
     np.add.at(seen, (gold[:-1][inner[1:]], gold[1:][inner[1:]]), 1)
-    onehot = np.eye(L)[gold]
+    eye, miss = np.eye(L), np.empty((len(word), L))
+    runs = [0, *(np.flatnonzero(np.diff(starts // AT_ONCE)) + 1).tolist(), len(starts)]
+    ends = np.append(starts, len(word))
     # all labels weigh alike, however many words their samples hold
     weight = (len(gold) / (L * np.bincount(gold, minlength=L)))[gold]
     params = [np.zeros((BUCKETS, L)), np.zeros(L), np.zeros((L, L))]
@@ -241,9 +247,13 @@ def fit(samples: list[tuple[str, str]], rounds: int = 24, rate: float = 0.15, ri
     for step in range(1, rounds + 1):
         W, first, trans = params
         table = np.add.reduceat(W[flat], at, axis=0)
-        post, pairs = forward_backward(table[word], starts, first, trans)
-        miss = (onehot - post) * weight[:, None]
-        by_word = np.stack([np.bincount(word, miss[:, k], len(vocab)) for k in range(L)], 1)
+        pairs = np.zeros((L, L))
+        for a, b in zip(runs, runs[1:]):
+            here = slice(ends[a], ends[b])
+            post, some = forward_backward(table[word[here]], starts[a:b] - starts[a], first, trans)
+            miss[here] = (eye[gold[here]] - post) * weight[here, None]
+            pairs += some
+        by_word = np.stack([np.bincount(word, miss[:, k], n_words) for k in range(L)], 1)
         grad = np.stack([np.bincount(flat, by_word[owner, k], BUCKETS) for k in range(L)], 1)
         grads = [grad / len(word) - ridge * W, miss[starts].sum(0) / len(starts) - 1e-3 * first, (seen - pairs) / len(word) - 1e-4 * trans]
         for x, g, (m, v) in zip(params, grads, moments):
@@ -275,7 +285,9 @@ def learn(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     rows = [(r.text, r.lang) for r in drawn.collect()]
     have = {lang for _, lang in rows}
     rows += [(r.text, r.lang) for r in first.where(~F.col("lang").isin(sorted(have))).collect()] if len(have) < len(sizes) else []
-    return fit(sorted(rows))
+    model = fit(sorted(rows))
+    give_back()  # else the driver keeps what learning held for the rest of the application
+    return model
 
 
 def identify(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -101,7 +101,7 @@ def links(lines: DataFrame, edits: int) -> DataFrame:
     """Pairs ``(u, v)`` of line hashes whose texts are within the edits."""
     found = keep(matches(lines, edits))
     pairs, crowd = found.where("v is not null"), found.where("v is null").select(F.col("u").alias("a"))
-    ids = small(keep(found.select(F.col("u").alias("a")).unionByName(pairs.select(F.col("v").alias("a"))).distinct()))
+    ids = small(keep(found.select(F.explode(F.array("u", "v")).alias("a")).where("a is not null").distinct()))
     texts = keep(lines.select("a", "line").join(ids, "a", "left_semi").distinct())
     both = (pairs.join(texts.select(F.col("a").alias("u"), F.col("line").alias("x")), "u")
             .join(texts.select(F.col("a").alias("v"), F.col("line").alias("y")), "v"))
@@ -119,7 +119,7 @@ def repeats(docs: DataFrame, key: str, text: str, edits: int, min_chars: int) ->
     """``(_gone_doc, _gone_th, _gone_within, _gone_abroad, _gone_chars)``: places of a document's lines that repeat one of its own, places of those that another
     document had before, and the characters of the latter."""
     lines = lines_of(docs, key, text, min_chars)
-    alike = components(keep(links(lines.where(F.length("line") > edits), edits)))  # shorter lines have no edits + 1 segments
+    alike = components(links(lines.where(F.length("line") > edits), edits))  # shorter lines have no edits + 1 segments
     alike = small(keep(alike.withColumnRenamed("id", "a")))
     # a class: the lines of a component, or equal lines
     own = lines.groupBy("a", "b").agg(F.count("*").alias("n")).join(alike, "a", "left").where("n > 1 or component_id is not null")

@@ -203,7 +203,7 @@ def verify(pairs: DataFrame, docs: DataFrame, n: int, percent: int, key: str, te
     """Pairs ``(u, v)`` (kept before) whose full shingle sets reach the percentage.  Only texts of documents in a pair
     are moved: the list of their ids is counted and, if short enough, sent to the executors."""
     import pandas as pd
-    ids = small(keep(pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).distinct()))
+    ids = small(keep(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()))
     texts = (docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).join(ids, "id", "left_semi"))
 
     def run(batches):

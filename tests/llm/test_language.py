@@ -83,3 +83,24 @@ def test_every_language_is_learned(spark):
     model = crf.learn(docs, chars=3000)
     assert model.labels == sorted({r[2] for r in rows})
     assert {r.doc_id: r.lang_pred for r in crf.identify(docs.where("doc_id < 1000"), model).collect()} == {r[0]: r[2] for r in rows if r[0] < 1000}
+
+
+def test_learning_holds_few_words_at_once(spark, monkeypatch):
+    """The driver looks at bounded runs of sequences, with the same weights, and gives their memory back; before, at all words at once."""
+    rng = np.random.default_rng(7)
+    words = {"en": ["the", "house", "river", "with", "thing"], "de": ["der", "Fluss", "nicht", "und", "Haus"]}
+    rows = [(i, "\n".join(" ".join(rng.choice(words[x], 6)) for _ in range(9)), x) for i in range(40) for x in ("en", "de")]
+    samples, seen, given = [(t, x) for _, t, x in rows], [], []
+    run = crf.forward_backward
+    monkeypatch.setattr(crf, "forward_backward", lambda emit, *a: seen.append(len(emit)) or run(emit, *a))
+    monkeypatch.setattr(crf, "AT_ONCE", 1 << 20)
+    whole = crf.fit(samples, rounds=3)
+    assert set(seen) == {80 * 54}
+    seen.clear()
+    monkeypatch.setattr(crf, "AT_ONCE", 100)
+    parts = crf.fit(samples, rounds=3)
+    assert sum(seen) == 3 * 80 * 54 and max(seen) < 100 + 2 * 48
+    assert all(np.allclose(a, b, rtol=1e-6, atol=1e-9) for a, b in ((whole.weights, parts.weights), (whole.first, parts.first), (whole.trans, parts.trans)))
+    monkeypatch.setattr(crf, "give_back", lambda: given.append(1))
+    crf.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert given

@@ -55,3 +55,14 @@ def test_components_of_any_size(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = {r.vec_id: (r.n_links, r.component_id) for r in vj.near_vectors(df).collect()}
     assert got == {**{i: (4, 1) for i in (1, 2, 3, 4, 6)}, 5: (0, 5)}
+
+
+def test_component_rounds_read_their_edges_once(spark, monkeypatch):
+    """A union of two readings of the same edges doubles the tasks that the driver keeps account of in every round."""
+    from tabscore.llm import common
+    plans, keep = [], common.keep
+    monkeypatch.setattr(common, "keep", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or keep(df))
+    edges = [(9, 4), (4, 7), (7, 9), (1, 2), (2, 3), (5, 5), (2, 1)]
+    out = common.components(spark.createDataFrame(edges, "u long, v long"))
+    assert sorted(tuple(r) for r in out.collect()) == [(1, 1), (2, 1), (3, 1), (4, 4), (7, 4), (9, 4)]
+    assert "Union" not in "".join([*plans, out._jdf.queryExecution().optimizedPlan().toString()])
