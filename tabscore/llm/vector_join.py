@@ -5,7 +5,9 @@ whole cells: every representative has a home cell (its nearest pivot), and is al
 with a smaller number, unless ``angle(x, q) - radius(q) > t`` or ``angle(x, q) - angle(x, home) > 2 t`` (``t``: the
 threshold's angle), for then no vector of that cell can be near.  A pair is met in one cell: that of the smaller
 home.  Cells are cut into blocks of bounded size, so a dense cell is many tasks, and every block joins
-independently.  A block returns link counts per vector and a spanning forest of its links, never all pairs.
+independently.  A block returns link counts per vector and a spanning forest of its links, never all pairs.  Tasks hand
+vectors over, and look at a block's pairs, in pieces of bounded bytes, so their memory grows neither with the number of
+vectors nor with their length.
 
 Pivots: the ``ceil(n ** (1/3))`` representatives with the smallest hash (no sampling of rows: pivots only steer the
 partitioning, every vector is compared).
@@ -21,17 +23,21 @@ import math
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
+from tabscore.llm.chunks import giving_back, slices
 from tabscore.llm.common import components, keep, read
 
-#: Representatives of a cell that meet in one block, per side.
-BLOCK = 4096
+#: Representatives that meet in one block, per side, and bytes of their unit vectors.
+BLOCK, BLOCK_BYTES = 16_384, 64_000_000
+#: Bytes that a task hands over at once, about; pairs of a block looked at together, and numbers of the vectors of those decided together.
+SENT_BYTES, PAIRS, NUMBERS = 4_000_000, 2_000_000, 4_000_000
 
 
 def unit(rows):
     """Rows as unit vectors in double precision; rows are scaled by their largest component first, so no square overflows or vanishes."""
     import numpy as np
-    x = np.array([np.asarray(r, np.float64) for r in rows])
+    x = np.asarray(rows, np.float64)
     x = x / np.abs(x).max(1, keepdims=True)
     return x / np.sqrt((x * x).sum(1))[:, None]
 
@@ -56,14 +62,17 @@ def block_links(ids_a, a, weight_a, ids_b, b, weight_b, cosine: float):
     shift = 0 if own else n
     edges = []
     a32, b32 = a.astype(np.float32), b.astype(np.float32)
-    for start in range(0, n, 512):
-        near_i, near_j = np.nonzero(a32[start:start + 512] @ b32.T >= cosine - 1e-4)
+    step, some = max(1, PAIRS // max(1, len(ids_b))), max(1, NUMBERS // a.shape[1])
+    for start in range(0, n, step):
+        first = start if own else 0  # within a block, pairs with later vectors only
+        near_i, near_j = np.divmod(np.flatnonzero(a32[start:start + step] @ b32[first:].T >= cosine - 1e-4), len(b32) - first)
+        near_i, near_j = near_i + start, near_j + first
         if own:
-            upper = near_j > near_i + start
+            upper = near_j > near_i
             near_i, near_j = near_i[upper], near_j[upper]
         keep_i, keep_j = [], []
-        for k in range(0, len(near_i), 200_000):  # bounds the rows decided at once
-            i, j = near_i[k:k + 200_000] + start, near_j[k:k + 200_000]
+        for k in range(0, len(near_i), some):  # bounds the rows decided at once
+            i, j = near_i[k:k + some], near_j[k:k + some]
             hit = np.einsum("ij,ij->i", a[i], b[j]) >= cosine
             keep_i.append(i[hit])
             keep_j.append(j[hit])
@@ -73,12 +82,12 @@ def block_links(ids_a, a, weight_a, ids_b, b, weight_b, cosine: float):
         np.add.at(count_a, i, weight_b[j])
         np.add.at(count_b, j, weight_a[i])
         cuts = np.flatnonzero(np.diff(i)) + 1
-        for row, some in zip(i[np.concatenate([[0], cuts])] if len(i) else [], np.split(j, cuts)):
-            seen = label[some + shift]
+        for row, others in zip(i[np.concatenate([[0], cuts])] if len(i) else [], np.split(j, cuts)):
+            seen = label[others + shift]
             fresh = seen != label[row]
             if fresh.any():
                 for other, at in zip(*np.unique(seen[fresh], return_index=True)):
-                    edges.append((ids_a[row], ids_b[some[fresh][at]]))
+                    edges.append((ids_a[row], ids_b[others[fresh][at]]))
                     label[label == other] = label[row]
     if own:
         count_a = count_a + count_b
@@ -98,9 +107,9 @@ def near_vectors(df: DataFrame, cosine: float = 0.9, key: str = "vec_id", vector
     good = src.where("fit")
     reps = keep(good.groupBy("v").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
                 .withColumn("dim", F.size("v")).withColumn("h", F.xxhash64("v")))
-    links = []
+    links, single = [], isinstance(df.schema[vector].dataType.elementType, FloatType)
     for (dim,) in reps.select("dim").distinct().collect():
-        links.append(_links(reps.where(F.col("dim") == dim), cosine, angle))
+        links.append(_links(reps.where(F.col("dim") == dim), cosine, angle, dim, single))
     none = df.sparkSession.createDataFrame([], "u long, v long, n long")
     found = none
     for x in links:
@@ -119,76 +128,86 @@ def near_vectors(df: DataFrame, cosine: float = 0.9, key: str = "vec_id", vector
                       F.col("root").cast("long").alias("component_id"), (F.col("id") == F.col("root")).alias("kept"))
 
 
-def _links(reps: DataFrame, cosine: float, angle: float) -> DataFrame:
-    """``(u, null, n)``: n links of u; ``(u, v, null)``: an edge of the spanning forest."""
+def rows_of(column):
+    """Vectors of an Arrow list column, all of one length and without nulls, as a matrix."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _links(reps: DataFrame, cosine: float, angle: float, dim: int, single: bool) -> DataFrame:
+    """``(u, null, n)``: n links of u; ``(u, v, null)``: an edge of the spanning forest.  ``single``: all components are single-precision
+    numbers and are sent as such."""
     import numpy as np
     import pandas as pd
-    spark = reps.sparkSession
+    import pyarrow as pa
     n = reps.count()
     k = max(1, math.ceil(n ** (1 / 3)))
     pivots = unit([r.v for r in reps.orderBy("h", "rep").select("v").limit(k).collect()])  # bounded: the cube root of n
+    side = max(1, min(BLOCK, BLOCK_BYTES // (8 * dim), math.ceil(n / 4)))
+    number, together, most = "<f4" if single else "<f8", max(1, SENT_BYTES // (8 * (len(pivots) + dim))), SENT_BYTES
+    cell = np.arange(len(pivots))
+
+    def near(batches):
+        """``(batch, x, angles, home)`` of a few rows at a time, whatever their length and the number of pivots."""
+        for whole in batches:
+            for start in range(0, whole.num_rows, together):
+                batch = whole.slice(start, together)
+                x = rows_of(batch.column("v"))
+                a = angles(unit(x), pivots)
+                yield batch, x, a, a.argmin(1)
 
     def home(batches):
-        for batch in batches:
-            a = angles(unit(batch["v"]), pivots)
-            at = a.argmin(1)
-            yield pd.DataFrame({"cell": at, "far": a[np.arange(len(at)), at]})
+        for _, _, a, at in near(batches):
+            yield pa.RecordBatch.from_pydict({"cell": at.astype(np.int32), "far": a[np.arange(len(at)), at]})
 
-    cells = {r.cell: (r.n, r.far) for r in reps.select("v").mapInPandas(home, "cell int, far double").groupBy("cell")
+    cells = {r.cell: (r.n, r.far) for r in reps.select("v").mapInArrow(home, "cell int, far double").groupBy("cell")
              .agg(F.count("*").alias("n"), F.max("far").alias("far")).collect()}  # a row per pivot
     radius = np.array([cells.get(c, (0, -9.0))[1] for c in range(len(pivots))])
-    homes = np.array([max(1, math.ceil(cells.get(c, (0, 0))[0] / BLOCK)) for c in range(len(pivots))])
+    homes = np.array([max(1, math.ceil(cells.get(c, (0, 0))[0] / side)) for c in range(len(pivots))])
+
+    def visits(a, at):
+        """Which rows are guests of which cells."""
+        return (a <= radius + angle) & (a - a[np.arange(len(at)), at][:, None] <= 2 * angle) & (cell < at[:, None])
 
-    def send(batches):
-        """Rows per block they take part in.  Of a cell with g home chunks, blocks are (i, j) with i <= j for homes, and
-        (i, -1 - c) for guests' chunk c; guests fall into chunks by their hash."""
-        for batch in batches:
-            x = unit(batch["v"])
-            a = angles(x, pivots)
-            at = a.argmin(1)
-            near = a[np.arange(len(at)), at]
-            guest = (a <= radius + angle) & (a - near[:, None] <= 2 * angle) & (np.arange(len(pivots)) < at[:, None])
-            rep, copies, h = batch["rep"].to_numpy(), batch["copies"].to_numpy(), batch["h"].to_numpy()
-            flat = x.astype("<f8")
-            out = {"cell": [], "i": [], "j": [], "guest": [], "rep": [], "copies": [], "x": []}
-
-            def put(cell, i, j, is_guest, r):
-                out["cell"].append(cell)
-                out["i"].append(i)
-                out["j"].append(j)
-                out["guest"].append(is_guest)
-                out["rep"].append(rep[r])
-                out["copies"].append(copies[r])
-                out["x"].append(raw[r])
-            raw = [row.tobytes() for row in flat]
-            for r in range(len(at)):
-                c, g = int(at[r]), int(homes[at[r]])
-                own = int(h[r] % g)
-                for o in range(g):
-                    put(c, min(own, o), max(own, o), own > o if own != o else False, r)
-                for chunk in range(guests[c]):
-                    put(c, own, -1 - chunk, False, r)
-                for q in np.flatnonzero(guest[r]):
-                    for o in range(int(homes[q])):
-                        put(int(q), o, -1 - int(abs(int(h[r]) // 7) % guests[q]), True, r)
-            yield pd.DataFrame(out)
-
-    # Guests of a cell are at most all representatives; their chunks are sized by that bound's share.
     def count_guests(batches):
-        for batch in batches:
-            a = angles(unit(batch["v"]), pivots)
-            at = a.argmin(1)
-            near = a[np.arange(len(at)), at]
-            guest = (a <= radius + angle) & (a - near[:, None] <= 2 * angle) & (np.arange(len(pivots)) < at[:, None])
-            total = guest.sum(0)
-            yield pd.DataFrame({"cell": np.arange(len(pivots)), "n": total})
-
-    seen = {r.cell: r.n for r in reps.select("v").mapInPandas(count_guests, "cell int, n long").groupBy("cell")
+        for _, _, a, at in near(batches):
+            yield pa.RecordBatch.from_pydict({"cell": cell.astype(np.int32), "n": visits(a, at).sum(0)})
+
+    seen = {r.cell: r.n for r in reps.select("v").mapInArrow(count_guests, "cell int, n long").groupBy("cell")
             .agg(F.sum("n").alias("n")).collect()}
-    guests = [math.ceil((seen.get(c) or 0) / (2 * BLOCK)) for c in range(len(pivots))]
+    guests = np.array([math.ceil((seen.get(c) or 0) / side) for c in range(len(pivots))])
+
+    def send(batches):
+        """Rows per block they take part in.  Of a cell with g home chunks, blocks are (i, j) with i <= j for homes, and
+        (i, -1 - c) for guests' chunk c; rows fall into chunks by their hash.  As many rows are looked at as fill one batch of
+        bounded size: a row goes to more blocks the more rows there are."""
+        def times(rows, how_often):
+            """Each row as often as it says, and the number of its repetition."""
+            ends = np.cumsum(how_often)
+            return np.repeat(rows, how_often), np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - how_often, how_often)
+
+        for batch, x, a, at in near(batches):
+            raw, h = np.ascontiguousarray(x, number), batch.column("h").to_numpy()
+            rep, copies = batch.column("rep").to_numpy(), batch.column("copies").to_numpy()
+            own, visit = h % homes[at], visits(a, at)
+            sizes = (homes[at] + guests[at] + visit @ homes) * (raw.shape[1] * raw.itemsize + 64)
+            for start, end in slices(sizes.tolist(), most):
+                some = np.arange(start, end)
+                r1, o1 = times(some, homes[at[some]])
+                r2, o2 = times(some, guests[at[some]])
+                g, q = np.nonzero(visit[start:end])
+                r3, o3 = times(np.arange(len(g)), homes[q])
+                r3, q = g[r3] + start, q[r3]
+                r = np.concatenate([r1, r2, r3])
+                width, data = raw.shape[1] * raw.itemsize, raw[r]
+                yield pa.RecordBatch.from_pydict({
+                    "cell": np.concatenate([at[r1], at[r2], q]).astype(np.int32),
+                    "i": np.concatenate([np.minimum(own[r1], o1), own[r2], o3]).astype(np.int32),
+                    "j": np.concatenate([np.maximum(own[r1], o1), -1 - o2, -1 - (h[r3] >> 20) % guests[q]]).astype(np.int32),
+                    "guest": np.concatenate([own[r1] > o1, np.zeros(len(r2), bool), np.ones(len(r3), bool)]), "rep": rep[r], "copies": copies[r],
+                    "x": pa.Array.from_buffers(pa.binary(), len(r), [None, pa.py_buffer(np.arange(len(r) + 1, dtype=np.int32) * width), pa.py_buffer(data)])})
 
     def join(part):
-        x = np.frombuffer(b"".join(part["x"]), "<f8").reshape(len(part), -1)
+        x = unit(np.frombuffer(b"".join(part["x"]), number).reshape(len(part), -1))
         ids, copies, guest = part["rep"].to_numpy(), part["copies"].to_numpy(), part["guest"].to_numpy(bool)
         own = part["j"].iloc[0] == part["i"].iloc[0]
         if own:
@@ -199,8 +218,8 @@ def _links(reps: DataFrame, cosine: float, angle: float) -> DataFrame:
         return pd.DataFrame({"u": [u for u, _ in counts] + [u for u, _ in edges], "v": [None] * len(counts) + [v for _, v in edges],
                              "n": [c for _, c in counts] + [None] * len(edges)}).astype({"u": "int64", "v": "Int64", "n": "Int64"})
 
-    blocks = reps.select("v", "rep", "copies", "h").mapInPandas(
-        send, "cell int, i int, j int, guest boolean, rep long, copies long, x binary")
+    blocks = reps.select("v", "rep", "copies", "h").mapInArrow(
+        giving_back(send), "cell int, i int, j int, guest boolean, rep long, copies long, x binary")
     return blocks.groupBy("cell", "i", "j").applyInPandas(join, "u long, v long, n long")
 
 

@@ -66,3 +66,53 @@ def test_component_rounds_read_their_edges_once(spark, monkeypatch):
     out = common.components(spark.createDataFrame(edges, "u long, v long"))
     assert sorted(tuple(r) for r in out.collect()) == [(1, 1), (2, 1), (3, 1), (4, 4), (7, 4), (9, 4)]
     assert "Union" not in "".join([*plans, out._jdf.queryExecution().optimizedPlan().toString()])
+
+
+def test_tasks_hand_over_bounded_pieces(spark, monkeypatch):
+    """A vector goes to more blocks the more vectors there are: what a task holds at once must not grow with that.  Every pair meets once."""
+    import pyarrow as pa
+    frame = type(spark.range(0))
+    monkeypatch.setattr(vj, "BLOCK", 16)
+    monkeypatch.setattr(vj, "SENT_BYTES", 40_000, raising=False)
+    tasks = []
+    for name in ("mapInPandas", "mapInArrow"):
+        def record(df, run, schema, *a, f=getattr(frame, name), **b):
+            tasks.append((run, schema)) if "guest" in schema else None
+            return f(df, run, schema, *a, **b)
+        monkeypatch.setattr(frame, name, record)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 8)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    vj.near_vectors(df)
+    (run, _), = tasks
+    rows = {"v": [v.astype(float).tolist() for v in x], "rep": list(range(300)), "copies": [1] * 300, "h": rng.integers(-2 ** 63, 2 ** 63, 300).tolist()}
+    batch = pa.RecordBatch.from_pydict(rows)
+    pieces = list(run(iter([batch if hasattr(vj, "rows_of") else batch.to_pandas()])))
+    assert len(pieces) > 5 and all((p.num_rows if isinstance(p, pa.RecordBatch) else len(p)) * (8 * 4 + 64) <= 2 * 40_000 for p in pieces)
+    blocks, met = {}, {}
+    for r in (r for p in pieces for r in p.to_pylist()):
+        assert r["x"] == x[r["rep"]].tobytes()
+        blocks.setdefault((r["cell"], r["i"], r["j"]), ([], []))[r["guest"]].append(r["rep"])
+    for (_, i, j), (left, right) in blocks.items():
+        for u in left:
+            for v in (left if i == j else right):
+                if u != v and (i != j or u < v):
+                    met[min(u, v), max(u, v)] = met.get((min(u, v), max(u, v)), 0) + 1
+    unit = vj.unit(x.astype(float))
+    near = {(int(u), int(v)) for u, v in zip(*np.nonzero(unit @ unit.T >= 0.9)) if u < v}
+    assert near and near <= set(met) and set(met.values()) == {1}
+
+
+def test_blocks_hold_bounded_bytes(spark, monkeypatch):
+    """Long vectors meet in smaller blocks; results stay."""
+    monkeypatch.setattr(vj, "BLOCK_BYTES", 20 * 8 * 40)
+    monkeypatch.setattr(vj, "PAIRS", 50)
+    monkeypatch.setattr(vj, "NUMBERS", 100)
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(5, 40))
+    rows = [(i, (base[i % 5] + rng.normal(size=40) * 0.2).tolist()) for i in range(60)]
+    a = vj.unit([v for _, v in rows])
+    counts, edges = vj.block_links(np.arange(60), a, np.ones(60, np.int64), None, None, None, 0.9)
+    assert dict(counts) == {i: int(n) - 1 for i, n in enumerate((a @ a.T >= 0.9).sum(1)) if n > 1} and len(edges) >= 5
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted((tuple(r) for r in vj.near_vectors(df).collect()), key=str) == brute(rows)
