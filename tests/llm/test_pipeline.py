@@ -153,3 +153,32 @@ def test_lone_lines_are_not_stored(spark, monkeypatch):
     out = cp.copies(spark, df, "")
     assert sorted(tuple(r) for r in out.select("doc_id", "text").collect()) == rows
     assert kept and sum(x.count() for x in kept) == 0
+
+
+@pytest.mark.parametrize("crowd", [20, 2])
+def test_near_copies_are_no_others(spark, monkeypatch, crowd):
+    """Members of crowded bands are decided as well: texts that share a passage are no near copies, however many have it."""
+    monkeypatch.setattr(near_copies, "CROWD", crowd)
+    rng = random.Random(5)
+    passage = words(rng, 60)
+    rows = corpus(random.Random(3)) + [(3000 + i, passage + " " + words(rng, rng.choice([5, 12, 12, 30]))) for i in range(60)]
+    rows += [(4000 + i, rows[-1 - i][1] + " other") for i in range(5)] + [(5000, rows[-8][1])]
+    size = {}
+    for _, _, root, _ in near_brute(rows, 5):
+        size[root] = size.get(root, 0) + 1
+    want = {k for k, _, root, _ in near_brute(rows, 5) if size[root] > 1}
+    assert 10 < len([k for k in want if 3000 <= k < 4000]) < 55
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    near = near_copies.near_copies(df)
+    got = {r.doc_id for r in df.join(near, F.xxhash64("text") == F.col("_near")).collect() if r.text and r.text.strip()}
+    assert got == want
+
+
+def test_crowded_texts_lose_their_lines(spark, monkeypatch):
+    """Forty texts share a passage and are near copies of none: the lines stage takes it out of all but the first."""
+    monkeypatch.setattr(near_copies, "CROWD", 2)
+    rng = random.Random(15)
+    passage = words(rng, 40)
+    rows = {i: passage + "\n" + words(rng, 24) for i in range(40)}
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id: r.text for r in cp.lines(spark, docs, "").collect()} == dict(lines_brute(list(rows.items()), 2, line_dedup.MIN_CHARS))
