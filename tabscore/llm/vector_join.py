@@ -6,8 +6,8 @@ with a smaller number, unless ``angle(x, q) - radius(q) > t`` or ``angle(x, q) -
 threshold's angle), for then no vector of that cell can be near.  A pair is met in one cell: that of the smaller
 home.  Cells are cut into blocks of bounded size, so a dense cell is many tasks, and every block joins
 independently.  A block returns link counts per vector and a spanning forest of its links, never all pairs.  Tasks hand
-vectors over, and look at a block's pairs, in pieces of bounded bytes, so their memory grows neither with the number of
-vectors nor with their length.
+vectors over, and look at a block's pairs, in pieces of bounded bytes, so their memory, but for the pivots, grows neither
+with the number of vectors nor with their length.
 
 Pivots: the ``ceil(n ** (1/3))`` representatives with the smallest hash (no sampling of rows: pivots only steer the
 partitioning, every vector is compared).
